@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import secrets
 from .common import long_id, read, stored, workspace
 
 
@@ -18,6 +19,10 @@ def op1_bitplane_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read_digests(spark, path)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(read(spark, sf_dir, "documents").select(long_id("doc_id"), "text")))
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import chat
 
@@ -30,10 +35,12 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bitplane_token_files": op1_bitplane_token_files,
+    "op9_secret_scan": op9_secret_scan,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_secret_scan": secrets.digest_sql(),
     "op10_chat_formatting": r"""
         WITH rows AS (
             SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
