@@ -19,6 +19,12 @@ def op1_bitplane_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read_digests(spark, path)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import substrings
+
+    return substrings.kept_digest(substrings.dedup_substrings(read(spark, sf_dir, "documents")))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents").select(long_id("doc_id"), "text")))
 
@@ -35,6 +41,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bitplane_token_files": op1_bitplane_token_files,
+    "op2_substring_dedup": op2_substring_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_chat_formatting": op10_chat_formatting,
 }
