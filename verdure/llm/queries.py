@@ -25,6 +25,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digest(substrings.dedup_substrings(read(spark, sf_dir, "documents")))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import simhash
+
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), k=3)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents").select(long_id("doc_id"), "text")))
 
@@ -42,6 +48,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bitplane_token_files": op1_bitplane_token_files,
     "op2_substring_dedup": op2_substring_dedup,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_chat_formatting": op10_chat_formatting,
 }
