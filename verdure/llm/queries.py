@@ -25,6 +25,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digest(substrings.dedup_substrings(read(spark, sf_dir, "documents")))
 
 
+def op3_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mixing
+
+    return mixing.mix(read(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash
 
@@ -48,6 +54,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bitplane_token_files": op1_bitplane_token_files,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_cube_mixing": op3_cube_mixing,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_chat_formatting": op10_chat_formatting,
