@@ -31,6 +31,18 @@ def op3_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import kmtree
+
+    return kmtree.search(read(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import linedup
+
+    return linedup.dedup_lines(read(spark, sf_dir, "documents"), lines=2)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash
 
@@ -55,12 +67,27 @@ QUERIES = {
     "op1_bitplane_token_files": op1_bitplane_token_files,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_cube_mixing": op3_cube_mixing,
+    "op4_kmeans_tree_search": op4_kmeans_tree_search,
+    "op5_line_dedup": op5_line_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_line_dedup": r"""
+        WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS piece, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+        l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos
+              FROM (SELECT doc_id, i, trim(piece, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS s FROM p) WHERE s <> ''),
+        w AS (SELECT *, lead(s) OVER (PARTITION BY doc_id ORDER BY pos) AS s2 FROM l),
+        f AS (SELECT doc_id, pos, first_value(doc_id) OVER g AS fd, first_value(pos) OVER g AS fp FROM w WHERE s2 IS NOT NULL WINDOW g AS (PARTITION BY s, s2 ORDER BY doc_id, pos)),
+        c AS (SELECT doc_id, pos FROM f WHERE doc_id <> fd OR pos >= fp + 2),
+        gone AS (SELECT doc_id, pos FROM c UNION SELECT doc_id, pos + 1 FROM c),
+        kept AS (SELECT p.doc_id, string_agg(p.piece, chr(10) ORDER BY p.i) AS text
+                 FROM p LEFT JOIN l ON p.doc_id = l.doc_id AND p.i = l.i LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.pos = gone.pos WHERE gone.doc_id IS NULL GROUP BY p.doc_id),
+        n AS (SELECT l.doc_id, count(*) AS lines, count(gone.doc_id) AS lost FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.pos = gone.pos GROUP BY l.doc_id)
+        SELECT d.doc_id, CASE WHEN coalesce(n.lost, 0) = 0 THEN d.text ELSE kept.text END AS text, d.lang, d.source, d.n_chars
+        FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id WHERE n.lines IS NULL OR n.lost < n.lines""",
     "op9_secret_scan": secrets.digest_sql(),
     "op10_chat_formatting": r"""
         WITH rows AS (
