@@ -49,6 +49,14 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), k=3)
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import pieces
+
+    return pieces.encode_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, sf_dir, "documents").select(long_id("doc_id"), "text")))
 
@@ -70,6 +78,7 @@ QUERIES = {
     "op4_kmeans_tree_search": op4_kmeans_tree_search,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_secret_scan": op9_secret_scan,
     "op10_chat_formatting": op10_chat_formatting,
 }
