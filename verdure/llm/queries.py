@@ -49,6 +49,12 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), k=3)
 
 
+def op7_perplexity_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import perplexity
+
+    return perplexity.quality(read(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -78,6 +84,7 @@ QUERIES = {
     "op4_kmeans_tree_search": op4_kmeans_tree_search,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_perplexity_quality": op7_perplexity_quality,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_secret_scan": op9_secret_scan,
     "op10_chat_formatting": op10_chat_formatting,
