@@ -48,7 +48,7 @@ def test_scores_equal_formulas(spark):
 def test_verdicts(spark):
     rows = corpus()
     df = spark.createDataFrame(rows, DOCS)
-    got = P.quality(df, width=2.0).collect()
+    got = P.quality(df, width=2.0, short=50.0).collect()
     by = {(r["doc_id"], r["n_words"]): r for r in got}
     for d, text, *_ in rows:
         n = P.brute_numbers(text)
@@ -57,7 +57,7 @@ def test_verdicts(spark):
         assert r["base_failed"] == (n[0] < 10 or 100 * n[4] > 20 * n[0])
         assert r["kept"] == (not r["base_failed"] and r["low"] <= r["logppl"] <= r["high"])
     assert not by[302, 23]["kept"] and not by[302, 23]["base_failed"]
-    kept = P.filter_documents(df, width=2.0).collect()
+    kept = P.filter_documents(df, width=2.0, short=50.0).collect()
     assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted((str(d), t) for d, t, *_ in rows if by[d, P.brute_numbers(t)[0]]["kept"])
     assert 0.5 * len(rows) < len(kept) < len(rows)
 

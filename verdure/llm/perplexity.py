@@ -6,7 +6,7 @@ result is stored as sorted hash arrays: a gram's key is a bijective 64-bit hash,
 entries goes to all tasks; a larger one stays a table, and the documents' grams are joined with it.
 
 A document's perplexity is judged against its language's bands, ``width`` quartile ranges below the lower and above the upper quartile of the logarithm over all documents of the
-language that pass the base rules. Base rules: a document fails with fewer than ten words, or if over a fifth of its words are in five-word windows found twice or more in it.
+language that pass the base rules. Three ranges are the usual fence for far-out values. A short text's mean varies more, so its bands are wider, by sqrt(1 + short / units). Base rules: a document fails with fewer than ten words, or if over a fifth of its words are in five-word windows found twice or more in it.
 
 Cases: a null text has no words and fails; a null language is a language of its own; rows of one doc_id are each judged on their own; an empty table gives an empty result; other
 columns are ignored, or kept by ``filter_documents``.
@@ -263,15 +263,17 @@ def score_documents(docs: DataFrame, keep: list[str], most_entries: int = 3_000_
     return stored(rows.withColumn("verdure_base_failed", failed), "scores")
 
 
-def with_verdict(scored: DataFrame, width: float = 6.0, least: float = 0.05) -> DataFrame:
+def with_verdict(scored: DataFrame, width: float = 3.0, least: float = 0.01, short: float = 500.0) -> DataFrame:
     """verdure_low, verdure_high and verdure_kept. A quartile range under ``least`` counts as ``least``, so that few or equal documents don't make bands of no width."""
     lang = F.coalesce("verdure_l", F.lit("\0"))
     q = F.percentile_approx("verdure_logppl", F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000))
     bands = scored.filter(~F.col("verdure_base_failed")).groupBy(lang.alias("verdure_band")).agg(q.alias("q"))
     reach = F.lit(width) * F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(least))
-    bands = bands.select("verdure_band", (F.col("q")[0] - reach).alias("verdure_low"), (F.col("q")[1] + reach).alias("verdure_high"))
+    bands = bands.select("verdure_band", F.col("q")[0].alias("verdure_q1"), F.col("q")[1].alias("verdure_q3"), reach.alias("verdure_reach"))
+    more = F.col("verdure_reach") * F.sqrt(1 + F.lit(short) / (F.col("verdure_word_chars") + F.col("verdure_n_words") + 1))
+    rows = scored.join(bands, lang == bands["verdure_band"], "left").withColumns({"verdure_low": F.col("verdure_q1") - more, "verdure_high": F.col("verdure_q3") + more})
     kept = ~F.col("verdure_base_failed") & F.col("verdure_logppl").between(F.col("verdure_low"), F.col("verdure_high"))
-    return scored.join(bands, lang == bands["verdure_band"], "left").withColumn("verdure_kept", F.coalesce(kept, F.lit(False)))
+    return rows.withColumn("verdure_kept", F.coalesce(kept, F.lit(False)))
 
 
 def quality(docs: DataFrame, **how) -> DataFrame:
