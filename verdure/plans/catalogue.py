@@ -1,4 +1,504 @@
 """Every registered query of the library, with the SQL that checks it."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from verdure.fixtures import PERIODS, ctes, load
+from verdure.functions import geo, indices
+from verdure.operators import carbon, climate, composite, incidents, publish, scenes, series, tiles
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def r6(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
+    """Floating sums depend on their order; both sides are compared to ``places`` places."""
+    return df.withColumns({c: F.round(c, places) + F.lit(0.0) for c in columns})
+
+
+def with_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions with their ring: a box, of some the top side notched, of one none."""
+    p = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    x0, x1, y0, y1 = (F.col(c) for c in ("x0", "x1", "y0", "y1"))
+    box = [p(x0, y0), p(x1, y0), p(x1, y1), p(x0, y1)]
+    ring = F.when(F.col("notched"), F.array(*box[:3], p((x0 + x1) / 2, y1 - 1.37), box[3])).otherwise(F.array(*box))
+    return load(spark, sf_dir, "regions").withColumn("ring", F.when(~F.col("no_geom"), ring))
+
+
+EDGES = """v AS (SELECT code, name, type, 0 AS i, x0 AS x, y0 AS y, notched FROM regions WHERE NOT no_geom UNION ALL SELECT code, name, type, 1, x1, y0, notched FROM regions WHERE NOT no_geom
+        UNION ALL SELECT code, name, type, 2, x1, y1, notched FROM regions WHERE NOT no_geom UNION ALL SELECT code, name, type, 3, (x0 + x1) / 2, y1 - 1.37e0, notched FROM regions WHERE NOT no_geom AND notched
+        UNION ALL SELECT code, name, type, 4, x0, y1, notched FROM regions WHERE NOT no_geom),
+    edges AS (SELECT code, name, type, x AS xa, y AS ya, coalesce(lead(x) OVER w, first_value(x) OVER w) AS xb, coalesce(lead(y) OVER w, first_value(y) OVER w) AS yb FROM v WINDOW w AS (PARTITION BY code ORDER BY i))"""
+INSIDE = "sum(CASE WHEN (ya > {y}) <> (yb > {y}) AND {x} < (xb - xa) * ({y} - ya) / (yb - ya) + xa THEN 1 ELSE 0 END) % 2 = 1"
+NODES = f"""nodes AS (SELECT DISTINCT iy, ix, lat, lon FROM rain), placed AS (SELECT iy, ix, code AS region FROM nodes, edges WHERE type = 'range' GROUP BY iy, ix, code HAVING {INSIDE.format(x='lon', y='lat')}),
+    rd AS (SELECT region, time, avg(CASE WHEN rainfall >= 0 THEN rainfall END) AS rainfall, count(*) AS n, count(*) FILTER (NOT rainfall >= 0) AS missing FROM rain JOIN placed USING (iy, ix) GROUP BY region, time)"""
+RAIN = f"WITH {ctes('regions', 'rain')}, {EDGES}, {NODES} "
+SHORT = "['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec']"
+LONG = "['january','february','march','april','may','june','july','august','september','october','november','december']"
+
+
+def _daily_rain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return climate.rain_by_region_day(load(spark, sf_dir, "rain"), with_rings(spark, sf_dir))
+
+
+@query(RAIN + f"""SELECT region, 'average_rainfall_' || year(time) || '_' || {SHORT}[month(time)] || '_fn' || CASE WHEN day(time) <= 15 THEN 1 ELSE 2 END AS label, round(sum(rainfall), 2) AS total
+    FROM rd GROUP BY 1, 2""")
+def rain_fortnight_total(spark, sf_dir):
+    return climate.rain_by_fortnight(_daily_rain(spark, sf_dir))
+
+
+@query(RAIN + "SELECT region, time, round(rainfall, 9) AS rainfall, n FROM rd")
+def rain_daily_region_mean(spark, sf_dir):
+    return r6(_daily_rain(spark, sf_dir).drop("missing"), "rainfall", places=9)
+
+
+@query(RAIN + "SELECT region, time, n, missing FROM rd WHERE missing > 0")
+def rain_quality_missing(spark, sf_dir):
+    return climate.missing_days(_daily_rain(spark, sf_dir))
+
+
+@query(f"WITH {ctes('rain')} SELECT time, iy, ix, rainfall FROM rain WHERE rainfall < 0 OR rainfall > 1000")
+def rain_quality_anomaly(spark, sf_dir):
+    return climate.anomalies(load(spark, sf_dir, "rain")).select("time", "iy", "ix", "rainfall")
+
+
+@query(RAIN + "SELECT count(DISTINCT region) AS regions, count(*) AS n_rows, min(time) AS first_day, max(time) AS last_day FROM rd")
+def rain_summary(spark, sf_dir):
+    return climate.rain_summary(_daily_rain(spark, sf_dir))
+
+
+@query(RAIN + "SELECT code FROM regions WHERE type = 'range' AND code NOT IN (SELECT region FROM placed)")
+def rain_regions_without_nodes(spark, sf_dir):
+    ranges = with_rings(spark, sf_dir).filter("type = 'range'")
+    return ranges.select("code").join(climate.grid_regions(load(spark, sf_dir, "rain"), ranges).select(F.col("region").alias("code")), "code", "left_anti")
+
+
+NORMALS = f"WITH {ctes('daily', 'regions')}, normals AS (SELECT code, month(date) AS month, day(date) AS day, avg(value) AS normal FROM daily WHERE date >= DATE '2001-06-30' - 1825 AND value IS NOT NULL GROUP BY 1, 2, 3) "
+
+
+@query(NORMALS + "SELECT code, CAST(month AS INT) AS month, CAST(day AS INT) AS day, round(normal, 6) AS normal FROM normals")
+def normal_rain_daily(spark, sf_dir):
+    return r6(climate.daily_normals(load(spark, sf_dir, "daily"), "2001-06-30", years=5), "normal")
+
+
+@query(NORMALS + f""", grid AS (SELECT code, m, fn FROM regions, (SELECT unnest(range(1, 13)) AS m), (SELECT unnest([1, 2]) AS fn))
+    SELECT g.code, 'normal_rainfall_' || {SHORT}[m] || '_fn' || fn AS label, round(coalesce(sum(normal), 0), 2) AS total, count(normal) AS n_days
+    FROM grid g LEFT JOIN normals n ON g.code = n.code AND n.month = m AND (CASE WHEN n.day <= 15 THEN 1 ELSE 2 END) = fn GROUP BY g.code, m, fn""")
+def normal_rain_fortnight_dense(spark, sf_dir):
+    return climate.fortnight_normals(climate.daily_normals(load(spark, sf_dir, "daily"), "2001-06-30", years=5), load(spark, sf_dir, "regions"))
+
+
+DEPTHS = f"""WITH {ctes('wells', 'regions')}, {EDGES}, depths AS (SELECT well_id, longitude, latitude, CAST(regexp_extract(column_name, '\\d{{4}}') AS INT) AS year, CASE WHEN column_name LIKE 'pre%' THEN 'pre' ELSE 'post' END AS period,
+    CASE WHEN lower(trim(raw)) = 'dry' THEN 0 WHEN lower(trim(raw)) = 'na' THEN NULL ELSE TRY_CAST(raw AS DOUBLE) END AS depth
+    FROM (UNPIVOT (SELECT * FROM wells WHERE state_name_with_lgd_code ILIKE 'rajasthan%') ON {', '.join(PERIODS)} INTO NAME column_name VALUE raw)) """
+
+
+@query(DEPTHS + "SELECT well_id, year, period, depth FROM depths")
+def well_depth_unpivot(spark, sf_dir):
+    return climate.well_depths(load(spark, sf_dir, "wells")).select("well_id", "year", "period", "depth")
+
+
+@query(DEPTHS + f""", placed AS (SELECT well_id, name FROM (SELECT DISTINCT well_id, longitude, latitude FROM depths), edges WHERE type = 'range' GROUP BY well_id, code, name, longitude, latitude HAVING {INSIDE.format(x='longitude', y='latitude')})
+    SELECT name, year, period, round(avg(depth), 6) AS depth, count(*) AS n FROM depths JOIN placed USING (well_id) WHERE depth IS NOT NULL GROUP BY 1, 2, 3""")
+def well_depth_region_period(spark, sf_dir):
+    return r6(climate.depth_by_region(climate.well_depths(load(spark, sf_dir, "wells")), with_rings(spark, sf_dir)), "depth")
+
+
+@query(f"""WITH {ctes('daily')}, f AS (SELECT *, CASE WHEN day(date) <= 15 THEN 1 ELSE 2 END AS fn FROM daily)
+    SELECT code, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, fn, 'groundwater_trend_' || year(date) || '_' || {LONG}[month(date)] || '_fn' || fn AS label, round(avg(value * 0.1e0), 6) AS value,
+        CAST(date_trunc('month', min(date)) + to_days(CASE WHEN fn = 1 THEN 0 ELSE 15 END) AS DATE) AS start_date, CASE WHEN fn = 1 THEN CAST(date_trunc('month', min(date)) + to_days(14) AS DATE) ELSE last_day(max(date)) END AS end_date
+    FROM f GROUP BY 1, 2, 3, 4, 5""")
+def gw_fortnight_mean(spark, sf_dir):
+    return r6(climate.groundwater_fortnights(load(spark, sf_dir, "daily")), "value")
+
+
+@query(f"WITH {ctes('stack', 'weights')} SELECT code, year, band, round(sum(c * value) / sum(c), 6) AS mean FROM weights JOIN stack USING (cell) GROUP BY 1, 2, 3")
+def zonal_weighted_mean(spark, sf_dir):
+    return r6(climate.zonal_mean(load(spark, sf_dir, "stack"), load(spark, sf_dir, "weights"), ["year", "band"]), "mean")
+
+
+@query(f"WITH {ctes('stack', 'weights')} SELECT code, year, band, round(sum(c * value * value) / sum(c * value), 6) AS mean FROM weights JOIN stack USING (cell) GROUP BY 1, 2, 3")
+def zonal_self_weighted_mean(spark, sf_dir):
+    return r6(climate.self_weighted_mean(load(spark, sf_dir, "stack"), load(spark, sf_dir, "weights"), ["year", "band"]), "mean")
+
+
+@query(f"""WITH {ctes('regions')}, g AS (SELECT code, x0, x1, y0, y1, unnest(range(CAST(floor(x0 / 0.5) AS BIGINT), CAST(ceil(x1 / 0.5) AS BIGINT))) AS gx FROM regions WHERE NOT no_geom AND NOT notched),
+    h AS (SELECT *, unnest(range(CAST(floor(y0 / 0.5) AS BIGINT), CAST(ceil(y1 / 0.5) AS BIGINT))) AS gy FROM g)
+    SELECT code, gx, gy, round((least(x1, (gx + 1) * 0.5e0) - greatest(x0, gx * 0.5e0)) * (least(y1, (gy + 1) * 0.5e0) - greatest(y0, gy * 0.5e0)) / 0.25e0, 6) AS c FROM h""")
+def zonal_exact_coverage(spark, sf_dir):
+    return r6(geo.coverage_weights(with_rings(spark, sf_dir).filter("not notched"), 0.5, ["code"]), "c")
+
+
+@query(f"""WITH {ctes('stack', 'weights')}, m AS (SELECT code, year, band, sum(c * value) / sum(c) AS mean FROM weights JOIN stack USING (cell) GROUP BY 1, 2, 3)
+    SELECT code, 'soil_moisture_' || year || '_' || {LONG}[(band - 1) // 2 + 1] || '_fn' || CASE WHEN band % 2 = 0 THEN 2 ELSE 1 END AS label, round(mean * 100, 2) AS value FROM m""")
+def soil_moisture_labels(spark, sf_dir):
+    return climate.soil_moisture(load(spark, sf_dir, "stack"), load(spark, sf_dir, "weights"))
+
+
+PUBLISH = f"WITH {ctes('raw_values', 'region_codes', 'snapshots', 'products')}, live AS (SELECT s.* FROM snapshots s JOIN products p ON p.id = product_id WHERE s.deleted_at IS NULL AND p.deleted_at IS NULL) "
+
+
+def _published(spark, sf_dir, how):
+    return how(*(load(spark, sf_dir, n) for n in ("raw_values", "region_codes", "snapshots", "products")))
+
+
+@query(PUBLISH + "SELECT s.id AS snapshot_id, region_id, CAST(round(value, 2) AS DOUBLE) AS value FROM raw_values JOIN region_codes USING (code) JOIN live s USING (label)")
+def publish_join(spark, sf_dir):
+    return _published(spark, sf_dir, publish.publish).withColumn("value", F.get_json_object("value", "$.value").cast("double"))
+
+
+@query(PUBLISH + """SELECT code, label, round(value, 6) AS value, CASE WHEN code NOT IN (SELECT code FROM region_codes) THEN 'no region' ELSE 'no snapshot' END AS reason FROM raw_values
+    WHERE code NOT IN (SELECT code FROM region_codes) OR label NOT IN (SELECT label FROM live)""")
+def publish_rejects(spark, sf_dir):
+    return r6(_published(spark, sf_dir, publish.rejects), "value")
+
+
+WANTED = "SELECT DISTINCT o_custkey % 5 AS product_id, 'label_' || (o_orderkey % 14) AS label FROM orders"
+
+
+def _wanted(spark, sf_dir):
+    return spark.sql(WANTED.replace("FROM orders", "FROM {orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+
+
+@query(f"""WITH {ctes('snapshots')}, wanted AS ({WANTED}), live AS (SELECT * FROM snapshots WHERE deleted_at IS NULL)
+    SELECT w.product_id, w.label, live.id AS live_id, live.id IS NULL AS created FROM wanted w LEFT JOIN live ON live.product_id = w.product_id AND live.label = w.label""")
+def snapshot_get_or_create(spark, sf_dir):
+    out = publish.get_or_create(_wanted(spark, sf_dir), load(spark, sf_dir, "snapshots"))
+    return out.select("product_id", "label", F.when(~F.col("created"), F.col("id").cast("int")).alias("live_id"), "created")
+
+
+@query(PUBLISH + """, rows AS (SELECT s.id AS snapshot_id, s.product_id, region_id, round(value, 2) AS value FROM raw_values JOIN region_codes USING (code) JOIN live s USING (label)) SELECT snapshot_id, region_id, value FROM rows WHERE product_id = 1""")
+def snapshot_semi_join(spark, sf_dir):
+    return publish.of_snapshots(publish_join(spark, sf_dir), load(spark, sf_dir, "snapshots").filter("product_id = 1"))
+
+
+_VALUE = lambda n: f"max_by(value, seq) FILTER (name = '{n}') AS {n}"
+INCIDENTS = f"""WITH {ctes('forms', 'form_values')}, latest AS (SELECT form_id, name, value FROM form_values QUALIFY row_number() OVER (PARTITION BY form_id, name ORDER BY seq DESC) = 1),
+    a AS (SELECT form_id, region_id, {', '.join(f"max(value) FILTER (name = '{n}') AS {n}" for n in incidents.NAMES)} FROM forms JOIN latest USING (form_id)
+        WHERE status IN ('submitted', 'acknowledged') AND template = 'animal-rescue' AND reporting_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-25' GROUP BY 1, 2),
+    d AS (SELECT *, regexp_extract(date_of_reporting, '^(\\d{{1,2}})-(Jan|Feb)-(\\d{{4}}|\\d{{2}})$', ['d', 'm', 'y']) AS p FROM a),
+    e AS (SELECT *, CASE WHEN p.d <> '' AND p.m = 'Jan' AND CAST(p.d AS INT) BETWEEN 1 AND 31 THEN make_date(CAST(p.y AS INT) % 2000 + 2000, 1, CAST(p.d AS INT)) END AS rescue_date FROM d),
+    i AS (SELECT 'rescue_' || form_id AS incident_id, form_id, region_id, TRY_CAST(latitude AS DOUBLE) AS latitude, TRY_CAST(longitude AS DOUBLE) AS longitude, lower(nullif(trim(animal_category), '')) AS category,
+        nullif(trim(animal_species), '') AS species, coalesce(lower(nullif(trim(process_status), '')), 'unknown') AS status, nullif(trim(village_town), '') AS village, rescue_date FROM e),
+    incidents AS (SELECT *, species || ' rescue' || coalesce(' in ' || village, '') AS description, 'animal_rescue_' || year(rescue_date) AS label FROM i
+        WHERE latitude <> 0 AND longitude <> 0 AND category IS NOT NULL AND species IS NOT NULL AND rescue_date IS NOT NULL) """
+
+
+def _incidents(spark, sf_dir):
+    return incidents.extract(incidents.form_attributes(load(spark, sf_dir, "forms"), load(spark, sf_dir, "form_values"), "animal-rescue", None, "2024-01-03", "2024-01-25"))
+
+
+@query(INCIDENTS + "SELECT * FROM incidents")
+def incident_extract(spark, sf_dir):
+    return _incidents(spark, sf_dir)
+
+
+@query(INCIDENTS + """SELECT incident_id, region_id, CASE WHEN form_id % 3 = 0 THEN 'closed' ELSE status END AS status FROM incidents WHERE form_id % 2 = 0 OR form_id % 3 = 0""")
+def incident_upsert(spark, sf_dir):
+    rows = _incidents(spark, sf_dir)
+    cols = ["incident_id", "region_id", "status"]
+    return publish.upsert(rows.filter("form_id % 2 = 0").select(cols), rows.filter("form_id % 3 = 0").withColumn("status", F.lit("closed")).select(cols), "incident_id")
+
+
+@query(INCIDENTS + """SELECT incident_id, CASE WHEN form_id % 7 = 0 THEN DATE '2023-01-01' WHEN form_id % 4 = 0 THEN DATE '2024-02-01' END AS deleted_at, CASE WHEN form_id % 4 = 0 AND form_id % 7 <> 0 THEN DATE '2024-02-01' ELSE rescue_date END AS updated_at FROM incidents""")
+def incident_soft_delete(spark, sf_dir):
+    rows = _incidents(spark, sf_dir)
+    kept = rows.select("incident_id", F.when(F.col("form_id") % 7 == 0, F.to_date(F.lit("2023-01-01"))).alias("deleted_at"), F.col("rescue_date").alias("updated_at"))
+    return publish.soft_delete(kept, rows.filter("form_id % 4 = 0"), "incident_id", "2024-02-01")
+
+
+@query(INCIDENTS + """, l AS (SELECT unnest([{'facet': 'category', 'key': category}, {'facet': 'species', 'key': species}, {'facet': 'status', 'key': status}, {'facet': 'month', 'key': strftime(rescue_date, '%Y-%m')}, {'facet': 'total', 'key': 'all'}]) AS u FROM incidents)
+    SELECT u.facet AS facet, u.key AS key, count(*) AS n FROM l GROUP BY 1, 2""")
+def incident_stats_facets(spark, sf_dir):
+    return incidents.facets(_incidents(spark, sf_dir))
+
+
+VOLUME = "0.0005 * D ** 2 + Math.max(0.01, 0.002 * D)"
+_NUM = lambda c, default="0e0": f"coalesce(TRY_CAST({c} AS DOUBLE), {default})"
+
+
+def _stock(months: str, survival: str) -> str:
+    d = f"({_NUM('increment')} * ({months}) / 12)"
+    above = f"((0.0005e0 * {d} * {d} + greatest(0.01e0, 0.002e0 * {d})) * {_NUM('wood_density')})"
+    return f"({above} * (1 + {_NUM('root_shoot')} + {_NUM('bef')}) * {_NUM('carbon_fraction')} * {survival} / 100e0 * {_NUM('co2_factor', '3.67e0')})"
+
+
+@query(f"WITH {ctes('species')} SELECT id, round({_stock('120e0', '60e0')} * num_trees, 6) AS co2 FROM species")
+def carbon_at_year(spark, sf_dir):
+    return r6(carbon.at_year(load(spark, sf_dir, "species"), 10, 60.0, VOLUME), "co2")
+
+
+@query(f"WITH {ctes('species')} SELECT id, round({_stock('180e0', '80e0')} * num_trees / 1000 / 2.5e0, 6) AS tonnes_per_ha FROM species")
+def carbon_per_hectare(spark, sf_dir):
+    return r6(carbon.per_hectare(load(spark, sf_dir, "species"), 2.5, 15, 80.0, VOLUME), "tonnes_per_ha")
+
+
+def _carbon_sql(rates: str) -> str:
+    return f"""WITH {ctes('species')}, f AS (SELECT min(make_date(plant_year, plant_month, 1)) AS p FROM species), b AS (SELECT CAST(p + INTERVAL 1 MONTH AS DATE) AS lo, CAST(p + INTERVAL 361 MONTH AS DATE) AS hi FROM f),
+    ys AS (SELECT lo, hi, unnest(range(year(lo), year(hi) + 1)) AS y FROM b), pr AS (SELECT greatest(lo, make_date(y, 1, 1)) AS s, least(hi, make_date(y + 1, 1, 1)) AS e FROM ys),
+    periods AS (SELECT row_number() OVER (ORDER BY s) AS no, s, e, strftime(s, '%b %Y') || '-' || strftime(e - 1, '%b %Y') AS label FROM pr WHERE s < e),
+    r AS (SELECT sp.*, no, label, survival, date_diff('month', greatest(s, CAST(make_date(plant_year, plant_month, 1) + INTERVAL 1 MONTH AS DATE)), e) AS k FROM species sp, periods, (SELECT unnest([{rates}]) AS survival)
+        WHERE e > CAST(make_date(plant_year, plant_month, 1) + INTERVAL 1 MONTH AS DATE)),
+    m AS (SELECT *, sum(k) OVER (PARTITION BY id, survival ORDER BY no) AS months FROM r),
+    h AS (SELECT *, coalesce(floor((months - k) / 12.0 / harvest_cycle) < floor(months / 12.0 / harvest_cycle), FALSE) AS harvested FROM m),
+    x AS (SELECT *, coalesce(sum(CAST(harvested AS INT)) OVER (PARTITION BY id, survival ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier FROM h),
+    st AS (SELECT *, {_stock('CASE WHEN harvested THEN harvest_cycle * 12 ELSE months END', 'survival')} * num_trees * CASE WHEN harvested THEN coalesce(retention, 0) / 100 ELSE 1 END AS stock FROM x WHERE earlier = 0),
+    d AS (SELECT *, stock - coalesce(lag(stock) OVER (PARTITION BY id, survival ORDER BY no), 0) AS delta FROM st) """
+
+
+def _deltas(spark, sf_dir, survival=(60,)):
+    return carbon.deltas(load(spark, sf_dir, "species"), survival=survival, volume=VOLUME)
+
+
+@query(_carbon_sql("60") + "SELECT id, name, CAST(survival AS INT) AS survival, CAST(no AS INT) AS no, label, CAST(months AS BIGINT) AS months, round(stock, 4) AS stock, round(delta, 4) AS delta, harvested FROM d")
+def carbon_period_deltas(spark, sf_dir):
+    return r6(_deltas(spark, sf_dir), "stock", "delta", places=4)
+
+
+@query(_carbon_sql("60") + """, g AS (SELECT * FROM (SELECT DISTINCT name FROM d), (SELECT DISTINCT no FROM d)), a AS (SELECT g.name, g.no, coalesce(sum(delta), 0) / 1e6 AS annual FROM g LEFT JOIN d ON g.name = d.name AND g.no = d.no GROUP BY 1, 2)
+    SELECT name, CAST(no AS INT) AS no, round(annual, 6) + 0e0 AS annual, round(sum(annual) OVER (PARTITION BY name ORDER BY no), 6) + 0e0 AS running FROM a""")
+def carbon_cumulative(spark, sf_dir):
+    return r6(carbon.cumulative(_deltas(spark, sf_dir)), "annual", "running")
+
+
+NAMES = ["Brand#11", "Brand#12", "Brand#21"]
+
+
+@query(_carbon_sql("60") + f"""SELECT CAST(no AS INT) AS no, label, {', '.join(f'round(coalesce(sum(delta) FILTER (name = {chr(39)}{n}{chr(39)}), 0) / 1e6, 6) AS "{n}"' for n in NAMES)},
+    round(coalesce(sum(delta) FILTER (name IN ({', '.join(chr(39) + n + chr(39) for n in NAMES)})), 0) / 1e6, 6) AS total FROM d GROUP BY 1, 2""")
+def carbon_pivot_total(spark, sf_dir):
+    out = carbon.pivot_total(_deltas(spark, sf_dir), NAMES)
+    return out.select("no", "label", *(F.round(F.col(f"`{c}`"), 6).alias(c) for c in [*NAMES, "total"]))
+
+
+CHART = _carbon_sql("40, 60, 80, 100") + ", c AS (SELECT CAST(survival AS INT) AS survival, CAST(no AS INT) AS year, label, sum(sum(delta)) OVER (PARTITION BY survival ORDER BY no) AS co2 FROM d GROUP BY survival, no, label) "
+
+
+@query(CHART + "SELECT survival, year, label, round(co2, 3) AS co2 FROM c")
+def carbon_survival_chart(spark, sf_dir):
+    return r6(carbon.survival_chart(_deltas(spark, sf_dir, (40, 60, 80, 100))), "co2", places=3)
+
+
+@query(CHART + "SELECT survival, CAST(asked AS INT) AS asked, year, label, round(co2, 3) AS co2 FROM c JOIN (SELECT unnest([1, 5, 10, 30, 99]) AS asked) ON year = least(asked, (SELECT max(year) FROM c))")
+def carbon_requested_years(spark, sf_dir):
+    return r6(carbon.of_years(carbon.survival_chart(_deltas(spark, sf_dir, (40, 60, 80, 100))), [1, 5, 10, 30, 99]), "co2", places=3)
+
+
+MAXED = "max(CASE WHEN scl IN (4, 5, 6) AND red + nir > 0 THEN (nir - red) / CAST(red + nir AS DOUBLE) END)"
+ENCODED = f"coalesce(CAST(floor(least(200, greatest(0, ({MAXED} + 1) * 100))) AS INT), 0)"
+
+
+@query(f"WITH {ctes('pixels')} SELECT tile, y, x, round({MAXED}, 6) AS ndvi, {MAXED} IS NOT NULL AS valid, {ENCODED} AS value FROM pixels GROUP BY 1, 2, 3")
+def max_ndvi_composite(spark, sf_dir):
+    return r6(composite.max_composite(load(spark, sf_dir, "pixels"), ["tile", "y", "x"]), "ndvi")
+
+
+@query(f"""WITH {ctes('pixels')}, s AS (SELECT *, CASE WHEN month(day) IN (4, 5) THEN year(day) || '_apr_may' WHEN month(day) IN (11, 12) THEN year(day) || '_nov_dec' END AS season FROM pixels),
+    t AS (SELECT season, tile, y, x, {ENCODED} AS value FROM s WHERE season IS NOT NULL GROUP BY 1, 2, 3, 4) SELECT season, y, x, max(value) AS value FROM t GROUP BY 1, 2, 3""")
+def season_mosaic_max(spark, sf_dir):
+    return composite.season_mosaic(load(spark, sf_dir, "pixels"))
+
+
+@query(f"WITH {ctes('pixels')} SELECT tile, y, x, red, nir, blue FROM pixels WHERE scl NOT IN (0, 3, 8, 9, 10) QUALIFY row_number() OVER (PARTITION BY tile, y, x ORDER BY day, seq) = 1")
+def first_valid_composite(spark, sf_dir):
+    return composite.first_valid(load(spark, sf_dir, "pixels"), ["tile", "y", "x"], ["red", "nir", "blue"])
+
+
+@query(f"WITH {ctes('layers')} SELECT y, x, coalesce(arg_min(value, chunk) FILTER (value <> 0), 0) AS value FROM layers GROUP BY 1, 2")
+def ordered_first_mosaic(spark, sf_dir):
+    return composite.ordered_mosaic(load(spark, sf_dir, "layers"))
+
+
+@query(f"""WITH {ctes('pixels')} SELECT tile, count(*) FILTER (scl NOT IN (8, 9, 10) AND nir <> red) AS in_series, count(*) FILTER (scl NOT IN (0, 3, 8, 9, 10)) AS in_composite, count(*) FILTER (scl IN (4, 5, 6) AND red + nir > 0) AS in_mosaic
+    FROM pixels GROUP BY 1""")
+def scl_valid_counts(spark, sf_dir):
+    return composite.class_counts(load(spark, sf_dir, "pixels"))
+
+
+@query(f"""WITH {ctes('pixels')} SELECT seq, round(CASE WHEN red + nir > 0 THEN (nir - red) / CAST(red + nir AS DOUBLE) END, 6) AS plain, round((nir - red) / (CAST(nir AS DOUBLE) + red + 1e-3), 6) AS series,
+    round((nir - red) / (CAST(nir AS DOUBLE) + red + 1e-8), 6) AS composite FROM pixels""")
+def ndvi_three_variants(spark, sf_dir):
+    r, n = F.col("red"), F.col("nir")
+    return r6(load(spark, sf_dir, "pixels").select("seq", indices.ndvi(r, n).alias("plain"), indices.ndvi_series(r, n).alias("series"), indices.ndvi_composite(r, n).alias("composite")), "plain", "series", "composite")
+
+
+BANDS = ["red", "green", "blue", "nir", "swir"]
+FCD = f"""WITH {ctes('pixels')}, c AS (SELECT tile AS chunk, y, x, {', '.join(f'{b} / 10000e0 AS {b}' for b in BANDS)} FROM pixels WHERE scl NOT IN (0, 3, 8, 9, 10) QUALIFY row_number() OVER (PARTITION BY tile, y, x ORDER BY day, seq) = 1),
+    n AS (SELECT *, (nir - red) / (nir + red + 1e-8) AS ndvi, ((swir + blue) - (nir + red)) / ((swir + blue) + (nir + red) + 1e-8) AS bsi FROM c),
+    g AS (SELECT *, max(green) OVER w AS mg, max(red) OVER w AS mr, max(ndvi) OVER w AS mx, min(ndvi) OVER w AS mn FROM n WINDOW w AS (PARTITION BY chunk)),
+    f AS (SELECT chunk, y, x, CAST(floor(least(255, 100 * sqrt((ndvi - mn) / (mx - mn + 1e-8) * sqrt(sqrt((mg - green) * (mr - red)) * abs(bsi))))) AS INT) AS fcd FROM g),
+    k AS (SELECT *, CASE WHEN fcd > 75 THEN 4 WHEN fcd > 50 THEN 3 WHEN fcd > 25 THEN 2 WHEN fcd > 0 THEN 1 ELSE 0 END AS class FROM f) """
+
+
+def _fcd(spark, sf_dir):
+    return composite.canopy_density(composite.first_valid(load(spark, sf_dir, "pixels"), ["tile", "y", "x"], BANDS).withColumnRenamed("tile", "chunk"))
+
+
+@query(FCD + "SELECT chunk, y, x, fcd FROM f")
+def fcd_chunk_relative(spark, sf_dir):
+    return _fcd(spark, sf_dir)
+
+
+@query(FCD + "SELECT chunk, class, count(*) AS n FROM k GROUP BY 1, 2")
+def fcd_classes(spark, sf_dir):
+    return composite.classify(_fcd(spark, sf_dir), "RJ", "fcd").groupBy("chunk", "class").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {ctes('layers', 'mask')}, m AS (SELECT y, x, coalesce(arg_min(value, chunk) FILTER (value <> 0), 0) AS v FROM layers GROUP BY 1, 2)
+    SELECT y, x, CASE WHEN forest <> 1 THEN 0 WHEN v > 75 THEN 4 WHEN v > 50 THEN 3 WHEN v > 25 THEN 2 WHEN v > 0 THEN 1 ELSE 0 END AS class FROM m JOIN mask USING (y, x)""")
+def canopy_masked(spark, sf_dir):
+    return composite.masked(composite.classify(composite.ordered_mosaic(load(spark, sf_dir, "layers")), "RJ"), load(spark, sf_dir, "mask"))
+
+
+FILLED = f"""WITH {ctes('series')}, q AS (SELECT *, last_value(CASE WHEN ndvi IS NOT NULL THEN step END IGNORE NULLS) OVER b AS ps, last_value(ndvi IGNORE NULLS) OVER b AS pv, first_value(CASE WHEN ndvi IS NOT NULL THEN step END IGNORE NULLS) OVER a AS ns,
+        first_value(ndvi IGNORE NULLS) OVER a AS nv FROM series WINDOW b AS (PARTITION BY pixel ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY pixel ORDER BY step ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+    filled AS (SELECT pixel, step, lulc, CASE WHEN ps = ns THEN pv WHEN ps IS NULL THEN nv WHEN ns IS NULL THEN pv ELSE pv + (nv - pv) * (step - ps) / CAST(ns - ps AS DOUBLE) END AS v FROM q),
+    hi0 AS (SELECT *, max(greatest(v, 0.123e0)) OVER (PARTITION BY pixel ORDER BY step ROWS 2 PRECEDING) AS h0 FROM filled), hi AS (SELECT *, CASE WHEN step < 2 THEN max(CASE WHEN step = 2 THEN h0 END) OVER (PARTITION BY pixel) ELSE h0 END AS high FROM hi0),
+    sm0 AS (SELECT *, avg(high) OVER (PARTITION BY pixel ORDER BY step ROWS 2 PRECEDING) AS s0 FROM hi), sm AS (SELECT *, CASE WHEN step < 2 THEN max(CASE WHEN step = 2 THEN s0 END) OVER (PARTITION BY pixel) ELSE s0 END AS smooth FROM sm0),
+    meds AS (SELECT pixel, any_value(lulc) AS lulc, count(*) FILTER (v > 0.20) AS n_green, median(smooth) FILTER (step BETWEEN 18 AND 26) AS l, median(smooth) FILTER (step BETWEEN 13 AND 17) AS c, median(smooth) FILTER (step BETWEEN 7 AND 12) AS r FROM sm GROUP BY 1),
+    isl AS (SELECT pixel, step - row_number() OVER (PARTITION BY pixel ORDER BY step) AS k FROM sm WHERE smooth > 0.25), runs AS (SELECT pixel, max(n) AS run FROM (SELECT pixel, k, count(*) AS n FROM isl GROUP BY 1, 2) GROUP BY 1),
+    green AS (SELECT pixel, lulc, CASE WHEN n_green > 3 AND NOT coalesce(c <= l AND c <= r AND c <= 0.32, FALSE) THEN coalesce(run, 0) ELSE 0 END AS green_steps FROM meds LEFT JOIN runs USING (pixel)) """
+
+
+def _series(spark, sf_dir):
+    return series.gather(load(spark, sf_dir, "series"), ["pixel", "lulc"])
+
+
+@query(FILLED + "SELECT pixel, step, round(v, 6) AS value FROM filled")
+def series_interpolate(spark, sf_dir):
+    return r6(series.spread(_series(spark, sf_dir).withColumn("filled", series.interpolate(F.col("a"))), ["pixel"], "filled"), "value")
+
+
+@query(f"""WITH {ctes('series')} SELECT pixel, step, round(CASE WHEN step >= 2 THEN max(ndvi) OVER w END, 6) AS high, round(CASE WHEN step >= 2 THEN avg(ndvi) OVER w END, 6) AS mean FROM series WINDOW w AS (PARTITION BY pixel ORDER BY step ROWS 2 PRECEDING)""")
+def series_rolling_max_mean(spark, sf_dir):
+    return r6(series.rolling_long(load(spark, sf_dir, "series"), ["pixel"], 3), "high", "mean")
+
+
+@query(FILLED + "SELECT pixel, round(l, 6) AS left_med, round(c, 6) AS centre_med, round(r, 6) AS right_med FROM meds WHERE n_green > 0")
+def series_window_medians(spark, sf_dir):
+    rows = series.green_stages(_series(spark, sf_dir)).filter("exists(a, v -> v is not null) and exists(filled, v -> v > 0.2)")
+    return r6(rows.select("pixel", "left_med", "centre_med", "right_med"), "left_med", "centre_med", "right_med")
+
+
+@query(FILLED + "SELECT pixel, CAST(green_steps AS INT) AS green_steps FROM green")
+def green_run_length(spark, sf_dir):
+    return series.green_stages(_series(spark, sf_dir)).select("pixel", "green_steps")
+
+
+@query(FILLED + "SELECT pixel, lulc, CASE WHEN (CASE WHEN lulc IN (5, 6, 7, 8, 1) AND green_steps <= 35 THEN 0 ELSE green_steps END) >= 18 THEN 1 ELSE 0 END AS forest FROM green")
+def forest_mask(spark, sf_dir):
+    return series.forest_mask(series.green_stages(_series(spark, sf_dir))).select("pixel", "lulc", "forest")
+
+
+@query(f"""WITH {ctes('scenes')} SELECT pixel, CAST(g AS INT) AS step, round(ndvi, 6) AS ndvi FROM (SELECT s.*, g, row_number() OVER (PARTITION BY pixel, g ORDER BY abs(day - g * 10), day) AS rn FROM scenes s, (SELECT unnest(range(18)) AS g)) WHERE rn = 1""")
+def nearest_time_resample(spark, sf_dir):
+    return r6(series.nearest_in_time(load(spark, sf_dir, "scenes"), ["pixel"], 18, 10), "ndvi")
+
+
+@query(f"""WITH RECURSIVE {ctes('scenes')}, n AS (SELECT *, lead(ndvi) OVER w AS nx, lead(day) OVER w - day AS dn, day - lag(day) OVER w AS dp, lead(step) OVER w IS NULL AS fin FROM scenes WINDOW w AS (PARTITION BY pixel ORDER BY day)),
+    f AS (SELECT pixel, step, CASE WHEN ndvi IS NOT NULL THEN ndvi WHEN fin THEN NULL ELSE nx END AS v FROM n WHERE step = 0
+        UNION ALL SELECT n.pixel, n.step, CASE WHEN n.ndvi IS NOT NULL THEN n.ndvi WHEN n.fin THEN NULL WHEN n.dp < n.dn THEN f.v ELSE n.nx END FROM f JOIN n ON n.pixel = f.pixel AND n.step = f.step + 1)
+    SELECT pixel, step, round(v, 6) AS value FROM f""")
+def gap_fill_sequential(spark, sf_dir):
+    rows = load(spark, sf_dir, "scenes").groupBy("pixel").agg(F.array_sort(F.collect_list(F.struct("day", "ndvi"))).alias("a"))
+    return r6(series.spread(series.fill_gaps(rows), ["pixel"], "filled"), "value")
+
+
+@query(f"""WITH {ctes('mask', 'layers')}, c AS (SELECT y, x, max(value) AS value FROM layers WHERE y < 21 AND x < 21 GROUP BY 1, 2)
+    SELECT m.y, m.x, m.forest, c.value FROM mask m JOIN c ON c.y = CAST(floor(m.y / 3.0 + 0.5) AS INT) AND c.x = CAST(floor(m.x / 3.0 + 0.5) AS INT)""")
+def nearest_grid_align(spark, sf_dir):
+    coarse = load(spark, sf_dir, "layers").filter("y < 21 and x < 21").groupBy("y", "x").agg(F.max("value").alias("value"))
+    return series.align_nearest(load(spark, sf_dir, "mask"), coarse, 3.0)
+
+
+ITEMS = f"""WITH {ctes('items')}, c AS (SELECT *, split_part(id, '_', 2) AS tile, greatest(0, least(fx1, 1) - greatest(fx0, 0)) * greatest(0, least(fy1, 1) - greatest(fy0, 0)) AS coverage FROM items),
+    l AS (SELECT c.*, rung FROM c, (SELECT unnest([20, 40, 60, 80, 100]) AS rung) WHERE degraded < 5 AND cloud < rung AND coverage > 0),
+    o AS (SELECT *, row_number() OVER (PARTITION BY tile ORDER BY rung, seq) AS rn FROM l), hit AS (SELECT tile, min(rn) AS rn FROM o WHERE coverage > 0.60 GROUP BY 1),
+    best AS (SELECT tile, arg_min(rn, (-coverage, rn)) AS rn FROM o GROUP BY 1), pr AS (SELECT o.tile, o.seq, o.coverage FROM o JOIN best USING (tile) LEFT JOIN hit USING (tile) WHERE o.rn = coalesce(hit.rn, best.rn)) """
+
+
+@query(ITEMS + "SELECT tile, seq, round(coverage, 6) AS coverage FROM pr")
+def scene_pick_primary(spark, sf_dir):
+    return r6(scenes.primary(load(spark, sf_dir, "items")), "coverage")
+
+
+@query()
+def scene_complement(spark, sf_dir):
+    items = load(spark, sf_dir, "items")
+    return scenes.complement(items, scenes.primary(items))
+
+
+@query()
+def scene_set_cover(spark, sf_dir):
+    p = load(spark, sf_dir, "pixels").filter(~F.col("scl").isin(*indices.CLOUDY_COMPOSITE))
+    return composite.covering_scenes(p.select(F.col("tile").alias("chunk"), (F.col("seq") % 23).alias("scene"), (F.col("y") * 100 + F.col("x")).cast("long").alias("pixel")))
+
+
+@query(ITEMS + ", m AS (SELECT *, max(coverage) OVER (PARTITION BY tile) AS most FROM c) SELECT tile, seq, round(coverage, 6) AS coverage, cloud FROM m WHERE coverage >= 0.9 * most QUALIFY row_number() OVER (PARTITION BY tile ORDER BY cloud, seq) = 1")
+def best_candidate(spark, sf_dir):
+    return r6(scenes.best_candidate(load(spark, sf_dir, "items")), "coverage")
+
+
+@query(ITEMS + ", t AS (SELECT *, min(CASE WHEN cloud < 20 THEN 0 ELSE 1 END) OVER (PARTITION BY tile) AS ft FROM c WHERE degraded < 2 AND cloud < 50) SELECT tile, seq FROM t WHERE (CASE WHEN cloud < 20 THEN 0 ELSE 1 END) = ft")
+def scene_two_tier(spark, sf_dir):
+    return scenes.two_tier(load(spark, sf_dir, "items")).select("tile", "seq")
+
+
+@query(ITEMS + "SELECT CASE WHEN coverage >= 0.95 THEN '95-100%' WHEN coverage >= 0.80 THEN '80-95%' WHEN coverage >= 0.60 THEN '60-80%' ELSE '<60%' END AS bucket, count(*) AS tiles FROM pr GROUP BY 1")
+def coverage_buckets(spark, sf_dir):
+    return scenes.coverage_buckets(scenes.primary(load(spark, sf_dir, "items")))
+
+
+@query(f"""WITH {ctes('band_files')}, s AS (SELECT split_part(file, '-', 2) AS tile, split_part(file, '-', 3) AS date, split_part(file, '-', 4) AS band FROM band_files)
+    SELECT tile, date, CAST(count(DISTINCT band) AS INT) AS bands, bool_or(band = 'red') AND bool_or(band = 'nir') AS complete FROM s GROUP BY 1, 2""")
+def band_pair_completeness(spark, sf_dir):
+    return scenes.complete_pairs(load(spark, sf_dir, "band_files"))
+
+
+@query(ITEMS + "SELECT DISTINCT tile FROM c WHERE tile NOT IN (SELECT tile FROM c WHERE coverage > 0.72 AND cloud < 20 AND degraded < 1)")
+def tile_set_difference(spark, sf_dir):
+    rows = scenes.with_coverage(load(spark, sf_dir, "items"))
+    return scenes.tiles_left(rows, rows.filter("coverage > 0.72 and cloud < 20 and degraded < 1"))
+
+
+@query(f"""WITH {ctes('regions')}, g AS (SELECT code, x0, x1, y0, y1, unnest(range(CAST(ceil((x1 - x0) / 0.8e0) AS BIGINT))) AS i FROM regions WHERE NOT no_geom AND NOT notched), h AS (SELECT *, unnest(range(CAST(ceil((y1 - y0) / 0.8e0) AS BIGINT))) AS j FROM g),
+    e AS (SELECT *, x0 + i * 0.8e0 - 1e-4 AS a, y0 + j * 0.8e0 - 1e-4 AS b, x0 + (i + 1) * 0.8e0 + 1e-4 AS c, y0 + (j + 1) * 0.8e0 + 1e-4 AS d FROM h)
+    SELECT code, CAST(i AS INT) AS i, CAST(j AS INT) AS j, round((least(x1, c) - greatest(x0, a)) * (least(y1, d) - greatest(y0, b)) / ((c - a) * (d - b)), 6) AS share FROM e""")
+def aoi_grid_cells(spark, sf_dir):
+    return r6(tiles.aoi_grid(with_rings(spark, sf_dir).filter("not notched"), 0.8), "share")
+
+
+@query(f"WITH {ctes('points')} SELECT id, CAST(CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + floor((lon + 180) / 6) + 1 AS INT) AS epsg FROM points")
+def utm_zone(spark, sf_dir):
+    return load(spark, sf_dir, "points").select("id", geo.utm_epsg(F.col("lon"), F.col("lat")).alias("epsg"))
+
+
+_STOPS = ", ".join(f"({a[0]}, {b[0]}, {a[1]}, {b[1]}, {a[2]}, {b[2]}, {a[3]}, {b[3]})" for a, b in zip(tiles.RAMP, tiles.RAMP[1:]))
+_LERP = lambda c: f"CAST(floor({c}a + (value - lo) / CAST(hi - lo AS DOUBLE) * ({c}b - {c}a) + 0.5) AS INT)"
+
+
+@query(f"""WITH {ctes('layers')}, m AS (SELECT y, x, max(value) AS value FROM layers GROUP BY 1, 2), s AS (SELECT * FROM (VALUES {_STOPS}) AS t(lo, hi, ra, rb, ga, gb, ba, bb))
+    SELECT y, x, value, {_LERP('r')} AS red, {_LERP('g')} AS green, {_LERP('b')} AS blue, CASE WHEN value = 0 THEN 0 ELSE 255 END AS alpha FROM m JOIN s ON (value > lo AND value <= hi) OR (value = 0 AND lo = 0)""")
+def colour_ramp(spark, sf_dir):
+    return tiles.colour(load(spark, sf_dir, "layers").groupBy("y", "x").agg(F.max("value").alias("value")))
+
+
+_TX = "CAST(least((1 << z) - 1, greatest(0, floor((lon + 180) / 360 * (1 << z)))) AS INT)"
+_TY = "CAST(least((1 << z) - 1, greatest(0, floor((1 - ln(tan(radians(lat)) + 1 / cos(radians(lat))) / pi()) / 2 * (1 << z)))) AS INT)"
+
+
+@query(f"WITH {ctes('points')} SELECT CAST(z AS INT) AS z, {_TX} AS tx, {_TY} AS ty, count(*) AS n, max(value) AS value FROM points, (SELECT unnest([0, 3, 8]) AS z) GROUP BY 1, 2, 3")
+def web_tile_keys(spark, sf_dir):
+    return tiles.web_tiles(load(spark, sf_dir, "points"), (0, 3, 8))
