@@ -77,3 +77,16 @@ def test_thresholds_and_classes(spark):
 def test_ndvi_encoding(spark):
     df = spark.createDataFrame([(-1.0,), (0.0,), (1.0,), (0.126,), (None,)], "v double").select(indices.encode_ndvi(F.col("v")).alias("e"))
     assert [r["e"] for r in df.collect()][:4] == [0, 100, 200, 112]
+
+
+def test_utm(spark):
+    """Known coordinates: the equator at a central meridian, and points published with their UTM coordinates."""
+    known = [(75.0, 0.0, 500000.0, 0.0), (2.294497, 48.858222, 448251.9, 5411932.7), (-43.210487, -22.951916, 683466.3, 7460689.2)]
+    df = spark.createDataFrame([k[:2] for k in known], "lon double, lat double").select(*geo.to_utm(F.col("lon"), F.col("lat")), geo.utm_epsg(F.col("lon"), F.col("lat")).alias("epsg"))
+    rows = df.collect()
+    assert [r["epsg"] for r in rows] == [32643, 32631, 32723]
+    for r, k in zip(rows[:2], known):
+        assert abs(r["easting"] - k[2]) < 30 and abs(r["northing"] - k[3]) < 30
+    # a metre north is a metre, but for the grid's scale
+    a, b = spark.createDataFrame([(75.5, 26.0), (75.5, 26.0 + 1 / 111_000)], "lon double, lat double").select(*geo.to_utm(F.col("lon"), F.col("lat"))).collect()
+    assert abs(((a["easting"] - b["easting"]) ** 2 + (a["northing"] - b["northing"]) ** 2) ** 0.5 - 1) < 0.01

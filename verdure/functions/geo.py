@@ -98,6 +98,30 @@ def utm_epsg(lon: Column, lat: Column) -> Column:
     return F.when(lat >= 0, 32600 + zone).otherwise(32700 + zone)
 
 
+#: Fixed values of the WGS 84 ellipsoid and of the UTM grid.
+_A, _F, _K0, _EAST = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0
+_N = _F / (2 - _F)
+_R = _A / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
+_ALPHA = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16, 13 * _N**2 / 48 - 3 * _N**3 / 5, 61 * _N**3 / 240)
+
+
+def to_utm(lon: Column, lat: Column) -> list[Column]:
+    """Easting and northing in the point's own UTM zone, by Krueger's series to third order (under a millimetre inside a zone)."""
+    zone = F.floor((lon + 180) / 6) + 1
+    dl, phi = F.radians(lon - (zone * 6 - 183)), F.radians(lat)
+    e = 2 * math.sqrt(_N) / (1 + _N)
+    t = F.sinh(F.atanh(F.sin(phi)) - e * F.atanh(e * F.sin(phi)))
+    xi, eta = F.atan2(t, F.cos(dl)), F.atanh(F.sin(dl) / F.sqrt(1 + t * t))
+    east = eta + sum((a * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, a in enumerate(_ALPHA, start=1)), F.lit(0.0))
+    north = xi + sum((a * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, a in enumerate(_ALPHA, start=1)), F.lit(0.0))
+    return [(F.lit(_EAST) + _K0 * _R * east).alias("easting"), (_K0 * _R * north + F.when(lat < 0, 10_000_000.0).otherwise(0.0)).alias("northing")]
+
+
+def to_grid(east: Column, north: Column, x0: float, y0: float, pixel: float) -> list[Column]:
+    """Row and column of the pixel whose centre is nearest, on a grid with its corner at (x0, y0) and rows going down: resampling by nearest neighbour."""
+    return [F.floor((y0 - north) / pixel).cast("int").alias("row"), F.floor((east - x0) / pixel).cast("int").alias("column")]
+
+
 def tile_key(lon: Column, lat: Column, zoom: int) -> list[Column]:
     """Web Mercator tile column and row."""
     n = float(1 << zoom)

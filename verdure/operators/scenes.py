@@ -93,3 +93,28 @@ def complete_pairs(files: DataFrame) -> DataFrame:
 
 def tiles_left(wanted: DataFrame, found: DataFrame) -> DataFrame:
     return wanted.select("tile").distinct().join(found.select("tile"), "tile", "left_anti")
+
+
+def accepted(items: DataFrame, best_available: bool = False, least: float = ACCEPT) -> DataFrame:
+    """``accepted``: whether a scene covers enough of its tile; with ``best_available`` each tile's best scene is, whatever it covers."""
+    rows = with_coverage(items)
+    if not best_available:
+        return rows.withColumn("accepted", F.col("coverage") >= least)
+    first = F.row_number().over(Window.partitionBy("tile").orderBy(F.desc("coverage"), "seq"))
+    return rows.withColumn("accepted", (F.col("coverage") >= least) | (first == 1))
+
+
+def uncovered(items: DataFrame, grid: int = 50, buffer: float = 0.01, least: int = 3) -> DataFrame:
+    """(tile, points, share): of a grid of points over each tile those outside every chosen footprint widened by ``buffer``; tiles with fewer than ``least`` such points are covered."""
+    rows = tile_of(items)
+    boxes = rows.groupBy("tile").agg(F.collect_list(F.struct("fx0", "fx1", "fy0", "fy1")).alias("boxes"))
+    steps = F.sequence(F.lit(0), F.lit(grid - 1))
+    points = boxes.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps)).withColumns({"px": (F.col("i") + 0.5) / grid, "py": (F.col("j") + 0.5) / grid})
+    inside = lambda b: (F.col("px") >= b["fx0"] - buffer) & (F.col("px") < b["fx1"] + buffer) & (F.col("py") >= b["fy0"] - buffer) & (F.col("py") < b["fy1"] + buffer)
+    left = points.filter(~F.exists("boxes", inside)).groupBy("tile").agg(F.count("*").alias("points"))
+    return left.filter(F.col("points") >= least).select("tile", "points", (F.col("points") / float(grid * grid)).alias("share"))
+
+
+def search_key(*columns: str):
+    """A name for a search by its parameters: the same parameters give the same name."""
+    return F.md5(F.concat_ws("|", *columns))

@@ -456,6 +456,23 @@ def scene_two_tier(spark, sf_dir):
     return scenes.two_tier(load(spark, sf_dir, "items")).select("tile", "seq")
 
 
+@query(ITEMS + "SELECT tile, seq, coverage >= 0.60 OR row_number() OVER (PARTITION BY tile ORDER BY coverage DESC, seq) = 1 AS accepted FROM c")
+def scene_accepted(spark, sf_dir):
+    return scenes.accepted(load(spark, sf_dir, "items"), best_available=True).select("tile", "seq", "accepted")
+
+
+@query(ITEMS + """, b AS (SELECT * FROM c WHERE seq % 13 = 0), g AS (SELECT DISTINCT tile, (i + 0.5e0) / 50 AS px, (j + 0.5e0) / 50 AS py FROM b, (SELECT unnest(range(50)) AS i), (SELECT unnest(range(50)) AS j)),
+    u AS (SELECT tile, px, py FROM g WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.tile = g.tile AND px >= fx0 - 0.01e0 AND px < fx1 + 0.01e0 AND py >= fy0 - 0.01e0 AND py < fy1 + 0.01e0))
+    SELECT tile, count(*) AS points, count(*) / 2500e0 AS share FROM u GROUP BY 1 HAVING count(*) >= 3""")
+def tile_uncovered(spark, sf_dir):
+    return scenes.uncovered(load(spark, sf_dir, "items").filter("seq % 13 = 0"))
+
+
+@query(ITEMS + "SELECT seq, md5(tile || '|' || CAST(day AS VARCHAR)) AS key FROM c")
+def search_cache_key(spark, sf_dir):
+    return scenes.tile_of(load(spark, sf_dir, "items")).select("seq", scenes.search_key("tile", "day").alias("key"))
+
+
 @query(ITEMS + "SELECT CASE WHEN coverage >= 0.95 THEN '95-100%' WHEN coverage >= 0.80 THEN '80-95%' WHEN coverage >= 0.60 THEN '60-80%' ELSE '<60%' END AS bucket, count(*) AS tiles FROM pr GROUP BY 1")
 def coverage_buckets(spark, sf_dir):
     return scenes.coverage_buckets(scenes.primary(load(spark, sf_dir, "items")))
