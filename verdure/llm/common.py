@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +45,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def long_id(c: str) -> Column:
     return F.col(c).cast("long").alias(c)
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """Batches of whole texts, ``rows`` at a time: what a task holds as Python objects stays small beside Spark's own batch size.
+
+    At the end freed memory goes back to the system: a worker lives on, and the next stage's task may run beside it.
+    """
+    for b in batches:
+        for at in range(0, max(1, b.num_rows), rows):
+            yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)

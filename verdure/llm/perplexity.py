@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_id, stored
+from .common import long_id, small, stored
 from .words import mix, run_hashes, word_bounds, word_hashes
 
 BOS, EOS, ORDER = 2, 3, 4
 SYMBOLS = "#*$%&|<>"
 BLANK = " \t\n\x0b\x0c\r"
-SLICE = 1_500_000
+SLICE = 500_000
 
 
 def units(text: str | None) -> np.ndarray:
@@ -70,7 +70,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
             keys, at = np.unique(np.concatenate([k for k, _ in held[lang]]), return_inverse=True)
             return keys, np.bincount(at, weights=np.concatenate([c for _, c in held[lang]])).astype(np.int64)
 
-        for b in batches:
+        for b in small(batches):
             for lang, _, g, _ in _slices(b.column(1).to_pylist(), b.column(0).to_pylist()):
                 held.setdefault(lang, []).append(np.unique(g, return_counts=True))
                 if sum(len(k) for k, _ in held[lang]) > 2_000_000:
@@ -217,7 +217,7 @@ def _score(docs: DataFrame, keep: list[str], models) -> DataFrame:
     shared = spark.sparkContext.broadcast(models) if models is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             langs, texts = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
             numbers = np.array([base_numbers(t) for t in texts], np.int64).reshape(-1, 5)
             ppl = np.full(len(texts), np.nan)
@@ -239,7 +239,7 @@ def _joined_scores(docs: DataFrame, model: DataFrame) -> DataFrame:
     keyed = docs.select(F.xxhash64("lang", "text").alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             for h, lang, text in zip(*(c.to_pylist() for c in b.columns)):
                 g, n = np.unique(grams(units(text)), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), h)), pa.array([lang] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(n)], names=["h", "lang", "g", "n"])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_id
+from .common import long_id, small
 
 SPACE = "▁"
 
@@ -139,7 +139,7 @@ def encode_documents(docs: DataFrame, model: str, check: bool = True) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = _loaded(shared.value)
-        for b in batches:
+        for b in small(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
             ids = [p.encode(t) for t in texts]
             flat = pa.array(np.frombuffer(b"".join(ids), "<u4").view(np.int32))
@@ -149,6 +149,7 @@ def encode_documents(docs: DataFrame, model: str, check: bool = True) -> DataFra
                 [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(np.diff(ends), pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(exact, pa.bool_())],
                 names=["doc_id", "pieces", "n_pieces", "ids_crc32", "exact"],
             )
+        p.words.clear()
 
     return docs.select(long_id("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, pieces array<int>, n_pieces long, ids_crc32 long, exact boolean")
 
@@ -160,7 +161,7 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = _loaded(shared.value)
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([p.decode(x) for x in b.column(1).to_pylist()], pa.string())], names=["doc_id", "text"])
 
     return encoded.select(long_id("doc_id"), "pieces").mapInArrow(run, "doc_id long, text string")

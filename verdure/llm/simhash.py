@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_id, shared_dir, stored
+from .common import long_id, shared_dir, small, stored
 
 SEED = 42
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -73,7 +73,7 @@ def with_fingerprints(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, fp) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             fp = fingerprints(b.column(1).to_pylist(), k)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
