@@ -91,6 +91,16 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        w AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
+        r AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50),
+        s AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS run FROM r),
+        m AS (SELECT run, min(doc_id) AS least FROM s GROUP BY run),
+        h AS (SELECT doc_id, i, 1 AS hit FROM s JOIN m USING (run) WHERE least < doc_id),
+        c AS (SELECT w.doc_id, word, w.i, max(hit) OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS 49 PRECEDING) AS gone FROM w LEFT JOIN h ON w.doc_id = h.doc_id AND w.i = h.i),
+        k AS (SELECT doc_id, count(*) AS n_words, count(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone IS NULL) AS kept FROM c GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
     "op5_line_dedup": r"""
         WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS piece, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
         l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos
