@@ -29,8 +29,16 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert {r["doc_id"]: r["text"] for r in after} == {d: t for (d, _), t in want.items() if t is not None}
 
     before, after = seen["near dedup"]
-    comps = simhash.brute([(r["doc_id"], r["text"]) for r in before], 5)
-    assert {r["doc_id"] for r in after} == {c for _, _, c in comps} and len(after) == len({c for _, _, c in comps})
+    grams = {r["doc_id"]: set(simhash.shingle_hashes(r["text"], 5)) for r in before}
+    alike = lambda x, y: len(x & y) / len(x | y) if x or y else 1.0
+    kept = {r["doc_id"] for r in after}
+    assert len(after) == len(kept) and set(map(tuple, after)) <= set(map(tuple, before))
+    ids = sorted(grams)
+    for d in ids:  # what goes has a partner that is much alike, and of equal texts only the first can stay
+        near = [e for e in ids if e != d and alike(grams[d], grams[e]) >= 0.5]
+        assert d in kept or near
+        assert d not in kept or not any(grams[e] == grams[d] for e in ids if e < d)
+    assert all(d not in kept or e not in kept for d in ids for e in ids if d < e and alike(grams[d], grams[e]) >= 0.9)
 
     before, after = seen["source mixing"]
     words = lambda r: perplexity.brute_numbers(r["text"])[0]
