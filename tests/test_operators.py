@@ -99,3 +99,23 @@ def test_carbon_periods_and_harvest(spark):
     c = carbon.cumulative(carbon.deltas(sp, volume="0.001 * D * D")).toPandas()
     assert len(c) == 62 and np.allclose(c[c.name == "a"].sort_values("no").running.iloc[8:], a.stock.iloc[-1] / 1e6)
     assert isinstance(c, pd.DataFrame)
+
+
+def test_calculator(spark):
+    from verdure.plans.calculator import Calculator
+
+    rows = [(1, "a", "1", "0.6", "0.4", "0.5", None, "0.2", 10, None, None, 6, 2020), (2, "b", "1", "0.5", "0.3", "0.47", "3.5", "0.25", 5, None, None, 12, 2021)]
+    sp = spark.createDataFrame(rows, SPECIES)
+    calc = Calculator(sp.filter("id = 1"), "0.001 * D").add(sp.filter("id = 2"))
+    assert {r["name"] for r in calc.cumulative().collect()} == {"a", "b"}
+    assert {r["name"] for r in calc.remove("a").sequestration().collect()} == {"b"}
+    chart = calc.chart(years=[1, 99]).filter("survival = 40").orderBy("asked").collect()
+    assert [r["asked"] for r in chart] == [1, 99] and chart[1]["co2"] > chart[0]["co2"] > 0
+    assert abs(calc.co2("a", 10, 50.0).first()["co2"] / 1000 / 2 - calc.co2_per_hectare("a", 2.0, 10, 50.0).first()["tonnes_per_ha"]) < 1e-12
+
+
+def test_cloud_free(spark):
+    rows = [(1, s, p, 4 if (s + p) % 2 else 8, s * 10 + p) for s in range(4) for p in range(6)]
+    got = composite.cloud_free(spark.createDataFrame(rows, "chunk long, scene long, pixel long, scl int, red int"), ["red"]).collect()
+    assert {r["pixel"] for r in got} == set(range(6))
+    assert all((r["scene"] + r["pixel"]) % 2 and r["red"] == r["scene"] * 10 + r["pixel"] for r in got)

@@ -65,3 +65,12 @@ def test_stream_of_incidents(spark, tmp_path):
         stream.start(s, out, chk).awaitTermination()
     got = {r["incident_id"]: r["status"] for r in stream.current(spark, out, stream.SCHEMA).collect()}
     assert got == {"rescue_1": "new", "rescue_2": "closed", "rescue_4": "new"}
+
+
+def test_csv_names_and_digests(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "w.csv").write_text("Sr. No,State Name (LGD),state name  lgd\n1,RJ,x\n")
+    df = grids.read_wide_csv(spark, str(tmp_path / "w.csv"))
+    assert df.columns == ["sr_no", "state_name_lgd", "state_name_lgd_1"] and df.first()["state_name_lgd"] == "RJ"
+    assert grids.file_digests(spark, str(tmp_path / "w.csv")).first()["sha1"] == hashlib.sha1((tmp_path / "w.csv").read_bytes()).hexdigest()

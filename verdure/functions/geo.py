@@ -130,3 +130,33 @@ def tile_key(lon: Column, lat: Column, zoom: int) -> list[Column]:
     ty = F.floor((1 - F.log(F.tan(rad) + 1 / F.cos(rad)) / math.pi) / 2 * n)
     clamp = lambda t: F.least(F.lit(int(n) - 1), F.greatest(F.lit(0), t.cast("int")))
     return [clamp(tx).alias("tx"), clamp(ty).alias("ty")]
+
+
+def to_wkt(ring: Column) -> Column:
+    """POLYGON text of a ring, closed."""
+    point = lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))
+    return F.when(ring.isNotNull(), F.concat(F.lit("POLYGON (("), F.array_join(F.transform(F.concat(ring, F.slice(ring, 1, 1)), point), ", "), F.lit("))")))
+
+
+def centroid(ring: Column) -> Column:
+    """struct<x, y> of a ring's area."""
+    n = F.size(ring)
+
+    def step(acc: Column, i: Column) -> Column:
+        a, b = F.get(ring, i), F.get(ring, (i + 1) % n)
+        cross = a["x"] * b["y"] - b["x"] * a["y"]
+        return F.struct((acc["w"] + cross).alias("w"), (acc["x"] + (a["x"] + b["x"]) * cross).alias("x"), (acc["y"] + (a["y"] + b["y"]) * cross).alias("y"))
+
+    zero = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    return F.aggregate(F.sequence(F.lit(0), n - 1), zero, step, lambda s: F.struct((s["x"] / (3 * F.nullif(s["w"], F.lit(0.0)))).alias("x"), (s["y"] / (3 * F.nullif(s["w"], F.lit(0.0)))).alias("y")))
+
+
+def box_tiles(regions: DataFrame, tiles: DataFrame, keep: list[str], size: float = 2.0) -> DataFrame:
+    """(keep, tile, share): tile boxes (tile, tx0, ty0, tx1, ty1) that a region touches, and the share of the tile inside it. Boxes meet on squares, then rings are clipped."""
+    r = regions.filter("ring is not null").select(*keep, "ring", *box(F.col("ring")))
+    cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size)))
+    r = r.withColumn("sx", cells("bx0", "bx1")).withColumn("sy", cells("by0", "by1"))
+    t = tiles.withColumn("sx", cells("tx0", "tx1")).withColumn("sy", cells("ty0", "ty1"))
+    meet = (F.col("bx0") < F.col("tx1")) & (F.col("bx1") > F.col("tx0")) & (F.col("by0") < F.col("ty1")) & (F.col("by1") > F.col("ty0"))
+    pairs = r.join(t, ["sx", "sy"]).filter(meet).drop("sx", "sy").dropDuplicates([*keep, "tile"])
+    return pairs.withColumn("share", box_coverage("ring", "tx0", "ty0", "tx1", "ty1")).filter("share > 0").select(*keep, "tile", "share")

@@ -80,3 +80,22 @@ def covering_scenes(pixels: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["chunk", "scene", "covers"])
 
     return pixels.select("chunk", "scene", "pixel").distinct().groupBy("chunk").applyInPandas(pick, "chunk long, scene long, covers long")
+
+
+def by_solar_day(pixels: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
+    """Scenes of one day of a pixel as one: each band's first value that isn't null, in order of ``seq``."""
+    first = [F.min_by(b, F.when(F.col(b).isNotNull(), F.col("seq"))).alias(b) for b in bands]
+    return pixels.groupBy(*keys, "day").agg(*first)
+
+
+def annual_cover(slices: DataFrame, year: int, keys: list[str]) -> DataFrame:
+    """Land cover of a year that begins in May: the first slice from 1 May on and before the next."""
+    own = slices.filter(F.col("day").between(F.make_date(F.lit(year), F.lit(5), F.lit(1)), F.date_sub(F.make_date(F.lit(year + 1), F.lit(5), F.lit(1)), 1)))
+    return own.groupBy(*keys).agg(F.min_by("value", "day").alias("value"))
+
+
+def cloud_free(pixels: DataFrame, bands: list[str]) -> DataFrame:
+    """(chunk, pixel, scene, bands): each pixel from the covering scenes that are clear at it, the highest scene number first."""
+    clear = pixels.filter(~F.col("scl").isin(*indices.CLOUDY_COMPOSITE))
+    chosen = covering_scenes(clear).select("chunk", "scene")
+    return clear.join(chosen, ["chunk", "scene"]).groupBy("chunk", "pixel").agg(F.max(F.struct("scene", *bands)).alias("b")).select("chunk", "pixel", "b.*")

@@ -45,3 +45,25 @@ def facets(incidents: DataFrame) -> DataFrame:
     month = F.date_format("rescue_date", "yyyy-MM")
     rows = incidents.select(F.inline(F.array(*(F.struct(F.lit(n).alias("facet"), c.alias("key")) for n, c in (("category", F.col("category")), ("species", F.col("species")), ("status", F.col("status")), ("month", month), ("total", F.lit("all")))))))
     return rows.groupBy("facet", "key").agg(F.count("*").alias("n"))
+
+
+def statistics(stored: DataFrame, start: str, end: str, region_id: int | None = None, with_deleted: bool = False, overlap: bool = False) -> DataFrame:
+    """Facets of the incidents between two dates that are in yearly snapshots; a snapshot counts if its year lies wholly between them, or, ``overlap``, if any of it does. Deleted
+    incidents are left out unless asked for."""
+    year = F.year("rescue_date")
+    first, last = F.make_date(year, F.lit(1), F.lit(1)), F.make_date(year, F.lit(12), F.lit(31))
+    a, b = F.to_date(F.lit(start)), F.to_date(F.lit(end))
+    inside = (last >= a) & (first <= b) if overlap else (first >= a) & (last <= b)
+    rows = stored.filter(F.col("rescue_date").between(a, b) & inside)
+    rows = rows if region_id is None else rows.filter(F.col("region_id") == region_id)
+    return facets(rows if with_deleted else rows.filter("deleted_at is null"))
+
+
+def product_rows(incidents: DataFrame, snapshots: DataFrame, product_id: int) -> DataFrame:
+    """(label, snapshot_id, incident_id, region_id, value): incidents as JSON under their year's snapshot, which is made if it isn't there."""
+    from verdure.operators import publish
+
+    wanted = incidents.select(F.lit(product_id).alias("product_id"), "label").distinct()
+    ids = publish.get_or_create(wanted, snapshots).select("label", F.col("id").alias("snapshot_id"))
+    value = F.to_json(F.struct(*(F.col(c) for c in ("latitude", "longitude", "category", "species", "status", "village", "rescue_date", "description"))))
+    return incidents.join(ids, "label").select("label", "snapshot_id", "incident_id", "region_id", value.alias("value"))

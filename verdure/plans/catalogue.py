@@ -225,6 +225,20 @@ def incident_stats_facets(spark, sf_dir):
     return incidents.facets(_incidents(spark, sf_dir))
 
 
+@query(INCIDENTS + """, s AS (SELECT * FROM incidents WHERE form_id % 7 <> 0 AND rescue_date BETWEEN DATE '2024-01-01' AND DATE '2024-12-31' AND region_id < 9)
+    SELECT 'category' AS facet, category AS key, count(*) AS n FROM s GROUP BY 2 UNION ALL SELECT 'species', species, count(*) FROM s GROUP BY 2 UNION ALL SELECT 'status', status, count(*) FROM s GROUP BY 2
+    UNION ALL SELECT 'month', strftime(rescue_date, '%Y-%m'), count(*) FROM s GROUP BY 2 UNION ALL SELECT 'total', 'all', count(*) FROM s""")
+def incident_statistics(spark, sf_dir):
+    rows = _incidents(spark, sf_dir).filter("region_id < 9").withColumn("deleted_at", F.when(F.col("form_id") % 7 == 0, F.to_date(F.lit("2024-02-01"))))
+    return incidents.statistics(rows, "2024-01-01", "2024-12-31")
+
+
+@query(INCIDENTS + """SELECT label, incident_id, region_id, category, species FROM incidents""")
+def incident_product_rows(spark, sf_dir):
+    rows = incidents.product_rows(_incidents(spark, sf_dir), load(spark, sf_dir, "snapshots"), 2)
+    return rows.select("label", "incident_id", "region_id", *(F.get_json_object("value", f"$.{c}").alias(c) for c in ("category", "species")))
+
+
 VOLUME = "0.0005 * D ** 2 + Math.max(0.01, 0.002 * D)"
 _NUM = lambda c, default="0e0": f"coalesce(TRY_CAST({c} AS DOUBLE), {default})"
 
@@ -346,6 +360,24 @@ def _fcd(spark, sf_dir):
     return composite.canopy_density(composite.first_valid(load(spark, sf_dir, "pixels"), ["tile", "y", "x"], BANDS).withColumnRenamed("tile", "chunk"))
 
 
+@query(f"WITH {ctes('pixels')} SELECT tile, y, x, day, arg_min(red, seq) AS red, arg_min(nir, seq) AS nir FROM pixels GROUP BY 1, 2, 3, 4")
+def solar_day_scenes(spark, sf_dir):
+    return composite.by_solar_day(load(spark, sf_dir, "pixels"), ["tile", "y", "x"], ["red", "nir"])
+
+
+@query(f"WITH {ctes('pixels')} SELECT y, x, arg_min(scl, (day, seq)) AS value FROM pixels WHERE day >= DATE '1997-05-01' AND day < DATE '1998-05-01' GROUP BY 1, 2")
+def annual_land_cover(spark, sf_dir):
+    rows = load(spark, sf_dir, "pixels").select("y", "x", F.struct("day", "seq").alias("at"), "day", F.col("scl").alias("value"))
+    firsts = rows.groupBy("y", "x", "day").agg(F.min_by("value", "at").alias("value"))
+    return composite.annual_cover(firsts, 1997, ["y", "x"])
+
+
+@query()
+def cloud_free_composite(spark, sf_dir):
+    p = load(spark, sf_dir, "pixels").select(F.col("tile").alias("chunk"), (F.col("seq") % 23).alias("scene"), (F.col("y") * 100 + F.col("x")).cast("long").alias("pixel"), "scl", "red", "nir")
+    return composite.cloud_free(p, ["red", "nir"])
+
+
 @query(FCD + "SELECT chunk, y, x, fcd FROM f")
 def fcd_chunk_relative(spark, sf_dir):
     return _fcd(spark, sf_dir)
@@ -497,6 +529,20 @@ def aoi_grid_cells(spark, sf_dir):
     return r6(tiles.aoi_grid(with_rings(spark, sf_dir).filter("not notched"), 0.8), "share")
 
 
+@query(f"""WITH {ctes('regions')}, t AS (SELECT i * 7 + j AS tile, 66 + i * 5e0 AS tx0, 71 + i * 5e0 AS tx1, 6 + j * 5e0 AS ty0, 11 + j * 5e0 AS ty1 FROM (SELECT unnest(range(7)) AS i), (SELECT unnest(range(7)) AS j))
+    SELECT code, tile, round((least(x1, tx1) - greatest(x0, tx0)) * (least(y1, ty1) - greatest(y0, ty0)) / 25, 6) AS share FROM regions, t WHERE NOT no_geom AND NOT notched AND x0 < tx1 AND x1 > tx0 AND y0 < ty1 AND y1 > ty0""")
+def tiles_in_regions(spark, sf_dir):
+    t = spark.range(7).select(F.col("id").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("j")).select((F.col("i") * 7 + F.col("j")).alias("tile"), *((F.lit(base) + F.col(c) * 5.0).alias(n) for n, base, c in (("tx0", 66, "i"), ("tx1", 71, "i"), ("ty0", 6, "j"), ("ty1", 11, "j"))))
+    return r6(geo.box_tiles(with_rings(spark, sf_dir).filter("not notched"), t, ["code"]), "share")
+
+
+@query(f"WITH {ctes('regions')} SELECT code, round((x0 + x1) / 2, 6) AS cx, round((y0 + y1) / 2, 6) AS cy, 'POLYGON' AS kind FROM regions WHERE NOT no_geom AND NOT notched")
+def region_centroids(spark, sf_dir):
+    c = geo.centroid(F.col("ring"))
+    rows = with_rings(spark, sf_dir).filter("not notched and ring is not null").select("code", c["x"].alias("cx"), c["y"].alias("cy"), F.split(geo.to_wkt(F.col("ring")), " ").getItem(0).alias("kind"))
+    return r6(rows, "cx", "cy")
+
+
 @query(f"WITH {ctes('points')} SELECT id, CAST(CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + floor((lon + 180) / 6) + 1 AS INT) AS epsg FROM points")
 def utm_zone(spark, sf_dir):
     return load(spark, sf_dir, "points").select("id", geo.utm_epsg(F.col("lon"), F.col("lat")).alias("epsg"))

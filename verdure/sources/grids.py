@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,3 +80,20 @@ def dated_files(spark: SparkSession, path: str, pattern: str, date_format: str =
 def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files that a manifest of earlier loads doesn't have: loading again does nothing."""
     return files.join(manifest.select("path"), "path", "left_anti")
+
+
+def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV with a header, all columns text, names in lower case with runs of anything but letters and digits as one underscore."""
+    df = spark.read.option("header", True).csv(path)
+    clean = [re.sub(r"[^0-9a-z]+", "_", c.strip().lower()).strip("_") for c in df.columns]
+    return df.toDF(*(c if clean[:n].count(c) == 0 else f"{c}_{clean[:n].count(c)}" for n, c in enumerate(clean)))
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(path, sha1): names for cached results by the content that they were made from."""
+    return spark.read.format("binaryFile").load(path).select("path", F.sha1("content").alias("sha1"))
+
+
+def georeferenced(layers: DataFrame) -> DataFrame:
+    """Layers whose metadata has a reference system and a transform with pixels of some size."""
+    return layers.filter("crs is not null and crs <> '' and pixel_width <> 0 and pixel_height <> 0")
