@@ -21,39 +21,41 @@ def spread(rows: DataFrame, keys: list[str], column: str = "a") -> DataFrame:
     return rows.select(*keys, F.posexplode(column).alias("step", "value"))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: inside a lambda a column's expression would be computed for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def interpolate(a: Column) -> Column:
     """Missing values on the line between their neighbours, constant before the first and after the last known one; all missing stays missing.
 
     A value knows the last known one before it and the next after it from one pass in each direction.
     """
-    n = F.size(a)
     none = F.lit(None).cast("struct<i:int,v:double>")
-    idx = F.transform(a, lambda v, i: F.when(v.isNotNull(), F.struct(i.cast("int").alias("i"), v.cast("double").alias("v"))))
     empty = F.array().cast("array<struct<i:int,v:double>>")
     scan = lambda arr: F.aggregate(arr, F.struct(none.alias("last"), empty.alias("out")), lambda acc, x: F.struct(F.coalesce(x, acc["last"]).alias("last"), F.concat(acc["out"], F.array(F.coalesce(x, acc["last"]))).alias("out")), lambda acc: acc["out"])
-    before, after = scan(idx), F.reverse(scan(F.reverse(idx)))
-    at = lambda i: F.struct(F.get(before, i).alias("p"), F.get(after, i).alias("q"))
 
     def value(x: Column, i: Column) -> Column:
         p, q = x["p"], x["q"]
         line = p["v"] + (q["v"] - p["v"]) * (i - p["i"]) / F.nullif(q["i"] - p["i"], F.lit(0))
         return F.when(p["i"] == q["i"], p["v"]).otherwise(F.coalesce(line, p["v"], q["v"]))
 
-    return F.transform(F.transform(F.sequence(F.lit(0), n - 1), at), value)
+    known = F.transform(a, lambda v, i: F.when(v.isNotNull(), F.struct(i.cast("int").alias("i"), v.cast("double").alias("v"))))
+    both = lambda idx: F.zip_with(scan(idx), F.reverse(scan(F.reverse(idx))), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    return let(known, lambda idx: F.transform(both(idx), value))
 
 
 def rolling(a: Column, width: int, how: str) -> Column:
     """Trailing maximum or mean; the first width - 1 values are the first full window's."""
-    window = lambda i: F.slice(a, F.greatest(i - width + 1, F.lit(0)) + 1, width)
     one = (lambda w: F.array_max(w)) if how == "max" else (lambda w: F.aggregate(w, F.lit(0.0), lambda s, v: s + v) / width)
-    return F.transform(F.sequence(F.lit(0), F.size(a) - 1), lambda i: one(window(i)))
+    return let(a, lambda arr: F.transform(F.sequence(F.lit(0), F.size(arr) - 1), lambda i: one(F.slice(arr, F.greatest(i - width + 1, F.lit(0)) + 1, width))))
 
 
 def median(a: Column, bounds: tuple[int, int]) -> Column:
     """Median of the known values at positions ``bounds``, both ends included."""
-    s = F.array_sort(F.filter(F.slice(a, bounds[0] + 1, bounds[1] - bounds[0] + 1), lambda v: v.isNotNull()))
-    n = F.size(s)
-    return F.when(n > 0, (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2)
+    known = F.array_sort(F.filter(F.slice(a, bounds[0] + 1, bounds[1] - bounds[0] + 1), lambda v: v.isNotNull()))
+    middle = lambda s, n: F.when(n > 0, (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2)
+    return let(known, lambda s: middle(s, F.size(s)))
 
 
 def longest_run(a: Column, above: float) -> Column:
