@@ -164,7 +164,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     hashed = docs.withColumn("verdure_h", F.xxhash64(F.col("doc_id").cast("long"), "source", "text"))
     if taken.filter("rows > 1").limit(1).count():
         hashed = hashed.dropDuplicates(["verdure_h"])
-    joined = hashed.join(taken.filter("times > 0").select("verdure_h", F.col("times").alias("verdure_times")), "verdure_h")
+    joined = hashed.join(taken.filter("times > 0").select("verdure_h", F.col("times").alias("verdure_times")).hint("shuffle_hash"), "verdure_h")  # grows with the documents: shuffled at every size
     return joined.withColumn("verdure_k", F.explode(F.array_repeat(F.lit(1), F.col("verdure_times")))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

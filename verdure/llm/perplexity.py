@@ -270,6 +270,7 @@ def with_verdict(scored: DataFrame, width: float = 3.0, least: float = 0.01, sho
     bands = scored.filter(~F.col("verdure_base_failed")).groupBy(lang.alias("verdure_band")).agg(q.alias("q"))
     reach = F.lit(width) * F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(least))
     bands = bands.select("verdure_band", F.col("q")[0].alias("verdure_q1"), F.col("q")[1].alias("verdure_q3"), reach.alias("verdure_reach"))
+    bands = stored(bands, "bands")  # a row for each language; with its size known, rows with texts aren't shuffled by language
     more = F.col("verdure_reach") * F.sqrt(1 + F.lit(short) / (F.col("verdure_word_chars") + F.col("verdure_n_words") + 1))
     rows = scored.join(bands, lang == bands["verdure_band"], "left").withColumns({"verdure_low": F.col("verdure_q1") - more, "verdure_high": F.col("verdure_q3") + more})
     kept = ~F.col("verdure_base_failed") & F.col("verdure_logppl").between(F.col("verdure_low"), F.col("verdure_high"))

@@ -136,11 +136,14 @@ def near_duplicates(docs: DataFrame, k: int = 3, bucket: int = 32) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents that are the least of their component; rows of one doc_id are one document, of which one row stays."""
-    kept = found.filter("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    extra = kept.filter("rows > 1").limit(1).count() > 0
-    kept = kept.select(F.col("doc_id").alias("kept_id"))
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """The documents that are the least of their component; rows of one doc_id are one document, of which one row stays.
+
+    What goes is written as a table first: it is mostly small, and then its known size lets the join do without a shuffle of texts.
+    """
+    by_id = stored(found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("first")), "kept")
+    extra = by_id.filter("first and rows > 1").limit(1).count() > 0
+    gone = stored(by_id.filter("not first").select(F.col("doc_id").alias("gone_id")), "gone")
+    out = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
     return out.dropDuplicates(["doc_id"]) if extra else out
 
 
