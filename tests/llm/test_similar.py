@@ -102,3 +102,11 @@ def test_crowded_links_connect_what_is_near(spark, monkeypatch):
             assert links.count() < 6 * len(rows)
             roots = {r["a"]: r["root"] for r in S.components(links).collect()}
             assert {i: roots.get(i, i) for i in rows} == near
+
+
+def test_crowded_links_compare_wide_members_when_a_round_empties_the_key(spark):
+    """A is the pivot, B is near A, C is near B but not near A: C must not stay alone."""
+    rows = [(0, 0), (1, 0b1111), (2, 0b1111_1111), (3, 0), (4, 1 << 40), (5, 1 << 41)]  # A, B, C and near copies of A
+    df = spark.createDataFrame([(0, c, f) for c, f in rows], "key long, c long, f0 long")
+    roots = {r["a"]: r["root"] for r in S.components(S.crowded_links(df, ["f0"], 4)).collect()}
+    assert {c: roots.get(c, c) for c, _ in rows} == {c: 0 for c, _ in rows}

@@ -110,7 +110,9 @@ def crowded_links(members: DataFrame, names: list[str], most: int, rounds: int =
         wide.append(seen.filter((F.col("away") > most) & (F.col("away") <= 2 * most)).select("key", "c", *names))
         left = seen.filter(F.col("away") > most).select("key", "c", *names)
         if left.isEmpty():
-            return links.distinct()
+            if turn == 0:
+                return links.distinct()
+            break  # what was gathered in 'wide' is still open
     opened = left
     for w in wide:
         opened = opened.unionByName(w)
