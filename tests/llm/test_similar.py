@@ -110,3 +110,39 @@ def test_crowded_links_compare_wide_members_when_a_round_empties_the_key(spark):
     df = spark.createDataFrame([(0, c, f) for c, f in rows], "key long, c long, f0 long")
     roots = {r["a"]: r["root"] for r in S.components(S.crowded_links(df, ["f0"], 4)).collect()}
     assert {c: roots.get(c, c) for c, _ in rows} == {c: 0 for c, _ in rows}
+
+
+@pytest.mark.parametrize("rows", [200, 10_000, 200_000, 1_000_000, 12_000_000, 10**9])
+def test_meeting_does_not_fall_with_size(rows):
+    b = S.width(rows)
+    assert S.meeting(0.8, b, S.words_for(0.8, b, 0.97)) >= 0.97
+
+
+def test_alike_equals_all_pairs(spark, monkeypatch):
+    """Chains, near copies, empty sets and far members of keys against all pairs."""
+    rnd = random.Random(5)
+    monkeypatch.setattr(S, "SETS", 4)
+    sets = {0: [], 1: []}
+    for g in range(3):
+        for n in range(14):  # each is near the next ones only
+            sets[10 + g * 20 + n] = range(g * 1000 + n * 6, g * 1000 + n * 6 + 100)
+    for n in range(12):
+        sets[100 + n] = sorted(rnd.sample(range(5000, 5130), 110))
+    alike = lambda x, y: not x and not y or len({*x} & {*y}) >= 0.8 * len({*x} | {*y})
+    df = spark.createDataFrame([(1, c, list(s)) for c, s in sets.items()], "key long, c long, s array<long>")
+    for rounds in (1, 3):
+        roots = {r["a"]: r["root"] for r in S.components(S.alike(df, 0.8, rounds)).collect()}
+        assert {c: roots.get(c, c) for c in sets} == least(list(sets), lambda i, j: alike(sets[i], sets[j]))
+
+
+def test_only_pairs_of_the_set_similarity_are_linked(spark):
+    """Texts of 0.7 stay apart, those of 0.83 go together."""
+    rnd = random.Random(6)
+    rows, want = [], {}
+    for g in range(40):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(300)]
+        for n, tail in ((0, 0), (1, 27), (2, 55)):
+            rows.append((g * 10 + n, " ".join(base[: 300 - tail] + [f"t{n}_{g}_{i}" for i in range(tail)]), "x"))
+            want[g * 10 + n] = g * 10 + (n if n == 2 else 0)
+    got = {r["doc_id"]: r["component_id"] for r in S.similar_documents(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(got[i] == i for i in want if i % 10 == 2) and sum(got[i] == want[i] for i in want) >= 0.95 * len(want)

@@ -1,11 +1,14 @@
 """SimHash near-dedup at a set similarity: multi-index hashing over wide fingerprints.
 
 Two sets of shingles of similarity s (shared over all) differ in about arccos(2s / (1 + s)) / pi of their SimHash bits: 15 of 100 at 0.8, which is far more than two bits of 64. So
-fingerprints here have ``words`` times 64 bits, and documents are linked where the share that differs is at most that of ``similarity`` and one standard deviation more.
+fingerprints here have several words of 64 bits. They only find candidates: these may differ by three standard deviations more than is expected at ``similarity``.
 
-Fingerprints are split into segments of b bits, three or more than log2 of the number of distinct fingerprints, so that a segment's chance matches stay few at every size. A table
-holds each fingerprint under each segment; lookups enumerate the ball of radius one around each segment, of which only bits that are 0 have to be set: of two segments one bit apart
-one has the 0. Matches are verified by their complete distance. Two documents of similarity 0.8 meet in some segment with a probability of about 0.9, of 0.9 with about 0.98.
+Fingerprints are split into segments of b bits, three or more than log2 of the number of rows, so that a segment's chance matches stay few at every size. A table holds each fingerprint
+under each segment; lookups enumerate the ball of radius one around each segment, of which only bits that are 0 have to be set: of two segments one bit apart one has the 0. Longer
+segments meet more seldom, so the number of words grows with b: two documents of the set similarity meet in some segment with a probability of ``meet`` at least, whatever the number of
+rows (5 words at 10,000, 8 at 200,000, 15 at 1 million, 25 at 12 million).
+
+Candidates' components are then settled exactly (``alike``): documents are linked where the Jaccard similarity of their sets of shingles is ``similarity`` or more, and only such links count.
 
 Keys that more than ``bucket`` fingerprints share, and keys that these look up, are crowded: their members are linked to a pivot of the key, one link each, and only what a pivot can't
 settle is compared in blocks, each pair of blocks giving a spanning forest of its links (see ``crowded_links``). No pairs of a group are written out and no group has to fit one task.
@@ -30,6 +33,7 @@ from .simhash import components, shingle_hashes
 from .words import mix
 
 BLOCK = 1024
+SETS = 128
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -60,10 +64,34 @@ def wide_fingerprints(texts: list[str | None], k: int, words: int) -> np.ndarray
     return out
 
 
+def _share(similarity: float) -> float:
+    """The expected share of bits that differ."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
 def limit(similarity: float, bits: int) -> int:
-    """Most bits that may differ: the expected number and one standard deviation."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * p + math.sqrt(bits * p * (1 - p)))
+    """Most bits that may differ: the expected number and three standard deviations."""
+    p = _share(similarity)
+    return int(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
+
+
+def meeting(similarity: float, b: int, words: int) -> float:
+    """The probability that two fingerprints of this similarity are at most one bit apart in some segment of b bits."""
+    p = _share(similarity)
+    return 1 - (1 - (1 - p) ** b - b * p * (1 - p) ** (b - 1)) ** (words * (64 // b))
+
+
+def width(rows: int) -> int:
+    """Bits of a segment."""
+    return min(32, max(12, math.ceil(math.log2(max(2, rows))) + 3))
+
+
+def words_for(similarity: float, b: int, meet: float) -> int:
+    """The least number of words, four or more, with which fingerprints meet with a probability of ``meet``."""
+    words = 4
+    while meeting(similarity, b, words) < meet:
+        words += 1
+    return words
 
 
 def forest(ca: np.ndarray, a: np.ndarray, cb: np.ndarray, b: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -162,20 +190,85 @@ def near_links(fps: DataFrame, words: int, b: int, most: int, bucket: int = 8) -
     return links.unionByName(crowded_links(stored(inside.join(fps, "c").select("key", "c", *names), "inside"), names, most))
 
 
-def similar_documents(docs: DataFrame, k: int = 5, similarity: float = 0.8, words: int = 4, bucket: int = 8) -> DataFrame:
-    """(doc_id, component_id): component_id is the least doc_id that is reached over links."""
+def alike(members: DataFrame, similarity: float, rounds: int = 3) -> DataFrame:
+    """Links (a, b) that connect the rows of (key, c, s), s a sorted array of distinct hashes, whose sets are of this Jaccard similarity, in each key.
+
+    As ``crowded_links``, with Jaccard distances, for which the triangle inequality holds as well. Two empty sets are equal.
+    """
+    far = 1 - similarity
+    left, links, wide = members, None, []
+    for turn in range(rounds):
+        pivot = left.groupBy("key").agg(F.min("c").alias("p"))
+        pivot = pivot.join(left.select("key", F.col("c").alias("p"), F.col("s").alias("ps")), ["key", "p"])
+        both = F.size(F.array_intersect("s", "ps"))
+        seen = left.join(pivot, "key").select("key", "c", "p", both.alias("both"), (F.size("s") + F.size("ps") - both).alias("all"))
+        seen = stored(seen.select("key", "c", "p", F.when(F.col("all") == 0, F.lit(1.0)).otherwise(F.col("both") / F.col("all")).alias("jaccard")), f"alike-{turn}")
+        own = seen.filter((F.col("jaccard") >= similarity) & (F.col("c") != F.col("p"))).select(F.col("c").alias("a"), F.col("p").alias("b"))
+        links = own if links is None else links.unionByName(own)
+        rest = seen.filter(F.col("jaccard") < similarity).select("key", "c", "jaccard")
+        wide.append(rest.filter(F.col("jaccard") >= 1 - 2 * far - 1e-9).select("key", "c"))
+        left = members.join(rest.select("key", "c"), ["key", "c"], "left_semi")
+        if rest.isEmpty():
+            if turn == 0:
+                return links
+            break
+    opened = rest.select("key", "c")
+    for w in wide:
+        opened = opened.unionByName(w)
+    opened = stored(opened.distinct(), "alike-open")
+    counts = opened.groupBy("key").agg(F.count("*").alias("n_open")).join(members.groupBy("key").agg(F.count("*").alias("n_all")), "key")
+    parts = lambda n: F.ceil(F.col(n) / SETS).cast("int")
+    counts = stored(counts.select("key", parts("n_open").alias("parts_a"), parts("n_all").alias("parts_b")), "alike-keys")
+
+    def dealt(rows: DataFrame, side: str, other: str) -> DataFrame:
+        own = F.pmod(F.xxhash64("c", F.lit(7)), F.col(f"parts_{side}")).cast("int").alias(side)
+        return rows.join(counts, "key").select("key", "c", "s", F.lit(side).alias("side"), own, F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1)).alias(other))
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = (list(zip(own["c"], own["s"])) for own in (pdf[pdf["side"] == "a"], pdf[pdf["side"] == "b"]))
+        out = []
+        for c, s in a:
+            for d, t in b:
+                if c != d and min(len(s), len(t)) >= similarity * max(len(s), len(t)):
+                    n = len(np.intersect1d(s, t, assume_unique=True))
+                    if n >= similarity * (len(s) + len(t) - n):
+                        out.append((c, d))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    blocks = dealt(members.join(opened, ["key", "c"], "left_semi"), "a", "b").unionByName(dealt(members, "b", "a"))
+    return links.unionByName(blocks.groupBy("key", "a", "b").applyInPandas(link, "a long, b long"))
+
+
+def similar_documents(docs: DataFrame, k: int = 5, similarity: float = 0.8, words: int | None = None, bucket: int = 8, meet: float = 0.97) -> DataFrame:
+    """(doc_id, component_id): component_id is the least doc_id that is reached over links; ``words`` are chosen by the number of rows unless given."""
+    b = width(docs.count())
+    words = words or words_for(similarity, b, meet)
     names = [f"f{w}" for w in range(words)]
+    texts = docs.select(long_id("doc_id"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            fp = wide_fingerprints(b.column(1).to_pylist(), k, words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(fp[:, w])) for w in range(words))], names=["doc_id", *names])
+            fp = wide_fingerprints(b.column(2).to_pylist(), k, words).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(np.ascontiguousarray(fp[:, w])) for w in range(words))], names=["doc_id", "t", *names])
 
-    rows = docs.select(long_id("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    rows = texts.mapInArrow(run, "doc_id long, t long, " + ", ".join(f"{n} long" for n in names))
     rows = stored(rows.withColumn("c", F.xxhash64(*names)), "wide-fingerprints")
-    fps = stored(rows.groupBy("c", *names).agg(F.min("doc_id").alias("least")), "classes")
-    b = min(32, max(12, math.ceil(math.log2(max(2, fps.count()))) + 3))
-    roots = components(near_links(fps.select("c", *names), words, b, limit(similarity, 64 * words), bucket))
-    named = fps.join(roots, fps["c"] == roots["a"], "left").select("c", "least", F.coalesce("root", "c").alias("root"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.select("doc_id", "c").join(named.join(ids, "root").select("c", "component_id"), "c").select("doc_id", "component_id")
+    fps = stored(rows.select("c", *names).distinct(), "classes")
+    roots = components(near_links(fps, words, b, limit(similarity, 64 * words), bucket))
+    # copies of a text are one node; what shares a component with another text is compared with it
+    nodes = rows.groupBy("t", "c").agg(F.min("doc_id").alias("least"))
+    nodes = stored(nodes.join(roots, nodes["c"] == roots["a"], "left").select("t", "least", F.coalesce("root", "c").alias("key")), "nodes")
+    several = nodes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    asked = stored(nodes.join(several, "key"), "asked")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            own = [np.unique(np.array(shingle_hashes(x, k), np.uint64).view(np.int64)) for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.list_(pa.int64()))], names=["key", "c", "s"])
+
+    ids = asked.select("key", F.col("t").alias("u"), "least")
+    found = texts.join(ids, (F.col("t") == F.col("u")) & F.col("doc_id").eqNullSafe(F.col("least"))).select("key", F.col("t").alias("c"), "text").mapInArrow(sets, "key long, c long, s array<long>")
+    linked = components(alike(stored(found.dropDuplicates(["c"]), "sets"), similarity))
+    named = nodes.join(linked, nodes["t"] == linked["a"], "left").select("t", "least", F.coalesce("root", "t").alias("root"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.select("doc_id", "t").join(named.join(least, "root").select("t", "component_id"), "t").select("doc_id", "component_id")
