@@ -66,3 +66,13 @@ def test_ranks_are_in_order(spark):
 
 def test_empty(spark):
     assert L.dedup_lines(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_long_lines_go_alone(spark):
+    """A passage on one line between different neighbours is a later copy from 50 words on; a shorter one stays."""
+    long, short = " ".join(f"w{i}" for i in range(50)), " ".join(f"w{i}" for i in range(49))
+    rows = [(1, f"a\n{long}\nb\n{short}", "x", "y"), (2, f"c\n{long}\nd\n{short}\ne", "x", "y"), (3, long, "x", "y"), (4, f"f\n{long}\n{long}", "x", "y"), (5, f"c\n{long}", "x", "y"), (6, short, "x", "y")]
+    got = {r["doc_id"]: r["text"] for r in L.dedup_lines(spark.createDataFrame(rows, DOCS), 2, alone=50).collect()}
+    assert got == {1: rows[0][1], 2: f"c\nd\n{short}\ne", 4: "f", 6: short}
+    assert got == {d: t for (d, _), t in L.brute([r[:2] for r in rows], 2, 50).items() if t is not None}
+    assert L.dedup_lines(spark.createDataFrame(rows, DOCS), 2).count() == 5

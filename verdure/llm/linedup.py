@@ -9,7 +9,8 @@ Suffixes of one rank at level j are a longest-common-prefix interval of at least
 walking the levels down; such runs that can't be lengthened at either end are the maximal repeated runs.
 
 A run of ``lines`` lines or more that occurs earlier (in a smaller doc_id, or further up in the same document without overlap) is a later copy and its lines are deleted: every
-line that such a copy covers goes, the first copy stays.
+line that such a copy covers goes, the first copy stays. With ``alone``, later copies of a single line of that many words or more go as well, by the ranks of level 0; so passages
+that stand on one line between different neighbours are caught, and short lines of clean documents stay.
 
 Cases: a null or blank text has no lines and stays as it is; rows of one doc_id and text are one document and get one result; a null doc_id counts as smaller than any
 other; a document that loses all its lines is a copy as a whole and is not returned; an empty table gives an empty result; all columns of the input are kept.
@@ -37,21 +38,24 @@ def lines_of(text: str | None) -> list[tuple[int, str]]:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """(d, h, pos, id): the numbered lines of each document; d is doc_id, h a hash of the text."""
+    """(d, h, pos, id, words): the numbered lines of each document; d is doc_id, h a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            d, h, pos, ids = [], [], [], []
+            d, h, pos, ids, words = [], [], [], [], []
             for doc, key, text in zip(*(c.to_pylist() for c in b.columns)):
-                own = [xxhash.xxh64_intdigest(s.encode()) - (1 << 63) for _, s in lines_of(text)]
+                lines = [s.encode() for _, s in lines_of(text)]
+                own = [xxhash.xxh64_intdigest(s) - (1 << 63) for s in lines]
                 d += [doc] * len(own)
                 h += [key] * len(own)
                 pos += range(len(own))
                 ids += own
-            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(h, pa.int64()), pa.array(pos, pa.int32()), pa.array(ids, pa.int64())], names=["d", "h", "pos", "id"])
+                words += [len(s.split()) for s in lines]
+            cols = [pa.array(d, pa.int64()), pa.array(h, pa.int64()), pa.array(pos, pa.int32()), pa.array(ids, pa.int64()), pa.array(words, pa.int32())]
+            yield pa.RecordBatch.from_arrays(cols, names=["d", "h", "pos", "id", "words"])
 
     keyed = docs.select(F.coalesce(long_id("doc_id"), F.lit(NULL_ID)).alias("d"), F.xxhash64("text").alias("h"), F.col("text").cast("string").alias("text"))
-    return keyed.mapInArrow(run, "d long, h long, pos int, id long")
+    return keyed.mapInArrow(run, "d long, h long, pos int, id long, words int")
 
 
 def ranked(pairs: DataFrame) -> DataFrame:
@@ -73,9 +77,14 @@ def ranked(pairs: DataFrame) -> DataFrame:
     return placed.join(F.broadcast(base), "part").select("a", "b", (F.col("base") + F.col("n")).alias("rank"))
 
 
-def repeated_suffixes(docs: DataFrame, most_levels: int = 40) -> list[DataFrame]:
+def numbered(docs: DataFrame) -> DataFrame:
+    """The stored line rows; repeated rows are one document."""
+    return stored(line_rows(docs).distinct(), "lines")
+
+
+def repeated_suffixes(docs: DataFrame, most_levels: int = 40, lines: DataFrame | None = None) -> list[DataFrame]:
     """For j = 0, 1, ...: (d, h, pos, rank) of the suffixes that share their first 2**j lines with another one; the last level is where none is left."""
-    lines = stored(line_rows(docs).distinct(), "lines")  # repeated rows are one document
+    lines = numbered(docs) if lines is None else lines
     one = lines.select("d", "h", "pos", F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
     levels = [stored(one.join(ranked(one), ["a", "b"]).select("d", "h", "pos", "rank"), "level-0")]
     while len(levels) < most_levels and not levels[-1].isEmpty():
@@ -117,27 +126,32 @@ def maximal_runs(docs: DataFrame, lines: int = 2) -> DataFrame:
     return runs.filter(F.col("lines") >= lines).join(before, ["d", "h", "pos", "to_d", "to_h", "to_pos"], "left_anti")
 
 
-def later_copies(docs: DataFrame, lines: int = 2) -> DataFrame:
-    """(d, h, pos): starts of runs of ``lines`` lines, a power of two, that occur earlier without overlap.
+def later_copies(docs: DataFrame, lines: int = 2, alone: int | None = None) -> DataFrame:
+    """(d, h, pos, n): starts of runs of n lines that occur earlier without overlap: n is ``lines``, a power of two, or 1 for a line of ``alone`` words or more.
 
     Runs of more lines are covered by theirs. Doubling stops at the level of ``lines``. The first place of a rank is its least (d, h, pos), with a map-side combine.
     """
     level = lines.bit_length() - 1
     if lines != 1 << level:
         raise ValueError("lines must be a power of two")
-    levels = repeated_suffixes(docs, level + 1)
-    if len(levels) <= level:
-        return levels[-1].select("d", "h", "pos").limit(0)
-    last = levels[level]
-    first = last.groupBy("rank").agg(F.min(F.struct("d", "h", "pos")).alias("first"))
-    same = (F.col("d") == F.col("first.d")) & (F.col("h") == F.col("first.h"))
-    return last.join(first, "rank").filter(~same | (F.col("pos") >= F.col("first.pos") + lines)).select("d", "h", "pos")
+    rows = numbered(docs)
+    levels = repeated_suffixes(docs, level + 1, rows)
+
+    def later(suffixes: DataFrame, n: int) -> DataFrame:
+        first = suffixes.groupBy("rank").agg(F.min(F.struct("d", "h", "pos")).alias("first"))
+        same = (F.col("d") == F.col("first.d")) & (F.col("h") == F.col("first.h"))
+        return suffixes.join(first, "rank").filter(~same | (F.col("pos") >= F.col("first.pos") + n)).select("d", "h", "pos", F.lit(n).alias("n"))
 
+    out = later(levels[level], lines) if len(levels) > level else later(levels[-1], lines).limit(0)
+    if alone is None or lines == 1:
+        return out
+    return out.unionByName(later(levels[0].join(rows.filter(F.col("words") >= alone).select("d", "h", "pos"), ["d", "h", "pos"], "left_semi"), 1))
 
-def dedup_lines(docs: DataFrame, lines: int = 2) -> DataFrame:
+
+def dedup_lines(docs: DataFrame, lines: int = 2, alone: int | None = None) -> DataFrame:
     """The documents without later copies of repeated line runs; all columns are kept."""
-    found = later_copies(docs, lines)
-    cuts = found.groupBy("d", "h").agg(F.sort_array(F.collect_list("pos")).alias("verdure_cuts")).withColumnsRenamed({"d": "verdure_cd", "h": "verdure_ch"})
+    found = later_copies(docs, lines, alone)
+    cuts = found.groupBy("d", "h").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("verdure_cuts")).withColumnsRenamed({"d": "verdure_cd", "h": "verdure_ch"})
     keyed = docs.withColumns({"verdure_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "verdure_h": F.xxhash64("text")})
     joined = keyed.join(cuts, (F.col("verdure_d") == F.col("verdure_cd")) & (F.col("verdure_h") == F.col("verdure_ch")), "left")
     at = docs.columns.index("text")
@@ -146,7 +160,7 @@ def dedup_lines(docs: DataFrame, lines: int = 2) -> DataFrame:
         for b in small(batches):
             texts, keep = [], []
             for text, cuts in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
-                text = cut(text, cuts, lines) if cuts else text
+                text = cut(text, [(c["pos"], c["n"]) for c in cuts]) if cuts else text
                 keep.append(not cuts or text is not None)
                 texts.append(text)
             cols = [pa.array(texts, b.schema.field(k).type) if k == at else c for k, c in enumerate(b.columns[:-1])]
@@ -155,28 +169,34 @@ def dedup_lines(docs: DataFrame, lines: int = 2) -> DataFrame:
     return joined.select(*(joined[f"`{c}`"] for c in docs.columns), "verdure_cuts").mapInArrow(run, docs.schema)
 
 
-def cut(text: str, starts: list[int], lines: int) -> str | None:
-    """The text without the lines that runs from ``starts`` cover; None if no line is left."""
+def cut(text: str, runs: list[tuple[int, int]]) -> str | None:
+    """The text without the lines that runs (start, lines) cover; None if no line is left."""
     own, pieces = lines_of(text), text.split("\n")
-    gone = {own[p][0] for s in starts for p in range(s, min(len(own), s + lines))}
+    gone = {own[p][0] for s, n in runs for p in range(s, min(len(own), s + n))}
     if len(gone) == len(own):
         return None
     return "\n".join(x for i, x in enumerate(pieces) if i not in gone)
 
 
-def brute(rows: list[tuple[int | None, str | None]], lines: int) -> dict:
+def brute(rows: list[tuple[int | None, str | None]], lines: int, alone: int | None = None) -> dict:
     """(doc_id, text) to the cut text, for tests."""
     keyed = sorted({(NULL_ID if d is None else d, t) for d, t in rows if t}, key=lambda r: (r[0], _h(r[1])))
     first: dict[tuple, tuple] = {}
     out = {}
+
+    def runs(own: list[str]) -> Iterator[tuple[int, int]]:
+        yield from ((i, lines) for i in range(len(own) - lines + 1))
+        if alone is not None and lines > 1:
+            yield from ((i, 1) for i, s in enumerate(own) if len(s.encode().split()) >= alone)
+
     for d, t in keyed:
         own = [s for _, s in lines_of(t)]
-        for i in range(len(own) - lines + 1):
-            first.setdefault(tuple(own[i : i + lines]), (d, t, i))
+        for i, n in runs(own):
+            first.setdefault(tuple(own[i : i + n]), (d, t, i))
     for d, t in keyed:
         own = [s for _, s in lines_of(t)]
-        starts = [i for i in range(len(own) - lines + 1) for f in [first[tuple(own[i : i + lines])]] if f[:2] != (d, t) or i >= f[2] + lines]
-        out[d, t] = cut(t, starts, lines) if starts else t
+        cuts = [(i, n) for i, n in runs(own) for f in [first[tuple(own[i : i + n])]] if f[:2] != (d, t) or i >= f[2] + n]
+        out[d, t] = cut(t, cuts) if cuts else t
     return out
 
 
