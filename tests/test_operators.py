@@ -67,6 +67,22 @@ def test_complement(spark):
     assert both == [(3, 0.9), (4, 1.0)]
 
 
+def test_complement_groups_hold_each_footprint_once(spark, monkeypatch):
+    rows = [(n, f"S_T1_x_{n}", 1.0, 1.0, *[(0.0, 0.7), (0.6, 0.72), (0.7, 0.9), (0.7, 1.0)][n % 4], 0.0, 1.0) for n in range(400)]
+    items = spark.createDataFrame(rows, "seq long, id string, cloud double, degraded double, fx0 double, fx1 double, fy0 double, fy1 double")
+    first, held, plain = scenes.primary(items), [], type(items).groupBy
+
+    def watched(self, *cols):
+        held.extend([self] if cols == ("tile",) else [])
+        return plain(self, *cols)
+
+    monkeypatch.setattr(type(items), "groupBy", watched)
+    found = scenes.complement(items, first)
+    monkeypatch.undo()
+    assert held[-1].count() == 4
+    assert [(r["seq"], round(r["coverage"], 2)) for r in found.orderBy("place").collect()] == [(2, 0.9), (3, 1.0)]
+
+
 def test_upsert_delete_and_snapshots(spark):
     stored = spark.createDataFrame([("a", None, None), ("b", "2020-01-01", None)], "k string, deleted_at string, updated_at string").select("k", F.to_date("deleted_at").alias("deleted_at"), F.to_date("updated_at").alias("updated_at"))
     out = {r["k"]: (str(r["deleted_at"]), str(r["updated_at"])) for r in publish.soft_delete(stored, stored.select("k"), "k", "2024-05-05").collect()}

@@ -39,15 +39,17 @@ def complement(items: DataFrame, chosen: DataFrame, cumulative: bool = False, gr
     """(tile, seq, place, coverage): scenes added to tiles between 60 and 95 %: in catalog order each that raises the coverage by over 5 points, until 95 % is passed.
 
     Coverage of several footprints is counted on a grid of ``grid`` by ``grid`` points. Each scene is measured against the first one alone, or, ``cumulative``, against all chosen. The order
-    matters, so a tile's scenes are one group: as many as a season has of one tile.
+    matters, so a tile's scenes are one group. Of equal footprints of a tile only the first in the order can raise the coverage, so the others leave before: a group has a row for each different footprint.
     """
     first = with_coverage(items).join(chosen.select("tile", F.col("seq").alias("first"), F.col("coverage").alias("start")), "tile").filter((F.col("start") > ACCEPT) & (F.col("start") <= GOOD))
 
+    first = first.groupBy("tile", "fx0", "fx1", "fy0", "fy1").agg(F.min("seq").alias("seq"), F.max(F.col("seq") == F.col("first")).alias("is_first"))
+
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         centres = [(i + 0.5) / grid for i in range(grid)]
         points = lambda r: {(x, y) for x in centres if r.fx0 <= x < r.fx1 for y in centres if r.fy0 <= y < r.fy1}
         rows = sorted(pdf.itertuples(), key=lambda r: r.seq)
-        covered = points(next(r for r in rows if r.seq == r.first))
+        covered = points(next(r for r in rows if r.is_first))
         best, out = len(covered) / grid**2, []
         for r in rows:
             union = covered | points(r)
