@@ -90,3 +90,33 @@ def test_utm(spark):
     # a metre north is a metre, but for the grid's scale
     a, b = spark.createDataFrame([(75.5, 26.0), (75.5, 26.0 + 1 / 111_000)], "lon double, lat double").select(*geo.to_utm(F.col("lon"), F.col("lat"))).collect()
     assert abs(((a["easting"] - b["easting"]) ** 2 + (a["northing"] - b["northing"]) ** 2) ** 0.5 - 1) < 0.01
+
+
+def test_exact_sums_and_halves(spark):
+    """Sums don't depend on order, NaN counts for nothing, and noise in the last bits doesn't move a half."""
+    from verdure.functions import exact
+
+    rnd = np.random.default_rng(5)
+    v = np.round(rnd.uniform(-1, 1, 3000) * 10.0 ** rnd.integers(-3, 6, 3000), 6)
+    for seed in range(3):
+        df = spark.createDataFrame([(float(x),) for x in np.random.default_rng(seed).permutation(v)] + [(float("nan"),), (None,)], "v double").repartition(1 + 3 * seed)
+        got = df.select(exact.total(F.col("v")).alias("s"), exact.mean(F.col("v")).alias("m")).first()
+        want = sum(round(x * 10**6) for x in v) / 10**6
+        assert got["s"] == want and got["m"] == want / 3000
+    halves = spark.createDataFrame([(8.825,), (8.825 - 2e-15,), (-0.125,), (2.675,), (None,), (-0.0001,)], "v double").select(exact.half_up(F.col("v"), 2).alias("r"))
+    assert [r["r"] for r in halves.collect()] == [8.83, 8.83, -0.13, 2.68, None, 0.0]
+
+
+def test_star_ring_within_and_coverage(spark):
+    """A ring of many sides on small squares: points of inner, border and outer squares, and areas, against plain loops."""
+    rnd = np.random.default_rng(8)
+    angle = np.sort(rnd.uniform(0, 2 * np.pi, 300))
+    ring = [(3 + r * np.cos(a), -2 + r * np.sin(a)) for a, r in zip(angle, rnd.uniform(1.0, 4.0, 300))]
+    regions = spark.createDataFrame([("s", [{"x": float(x), "y": float(y)} for x, y in ring])], "code string, ring array<struct<x:double,y:double>>")
+    pts = rnd.uniform(-8, 8, (1500, 2))
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "id int, px double, py double")
+    plain = {r["id"] for r in points.join(regions).filter(geo.in_ring(F.col("px"), F.col("py"), F.col("ring"))).collect()}
+    for size in (0.1, 0.5, 3.0):
+        assert {r["id"] for r in geo.within(points, regions, "px", "py", ["code"], size=size).collect()} == plain
+    w = geo.coverage_weights(regions, 0.25, ["code"]).collect()
+    assert abs(sum(r["c"] for r in w) * 0.0625 - geo.ring_area(np.array(ring))) < 1e-9 and {r["c"] for r in w} >= {1.0}

@@ -113,7 +113,7 @@ def test_carbon_periods_and_harvest(spark):
     assert abs(a.stock.iloc[-1] - v * 0.6 * (1 + 0.2 + 0.4) * 0.5 * 0.6 * 3.67 * 10 * 0.2) < 1e-9
     assert abs(a.delta.sum() - a.stock.iloc[-1]) < 1e-9
     c = carbon.cumulative(carbon.deltas(sp, volume="0.001 * D * D")).toPandas()
-    assert len(c) == 62 and np.allclose(c[c.name == "a"].sort_values("no").running.iloc[8:], a.stock.iloc[-1] / 1e6)
+    assert len(c) == 93 and set(c.name) == {"a", "b", "Total"} and np.allclose(c[c.name == "Total"].sort_values("no").running, c[c.name != "Total"].groupby("no").running.sum()) and np.allclose(c[c.name == "a"].sort_values("no").running.iloc[8:], a.stock.iloc[-1] / 1e6)
     assert isinstance(c, pd.DataFrame)
 
 
@@ -123,7 +123,7 @@ def test_calculator(spark):
     rows = [(1, "a", "1", "0.6", "0.4", "0.5", None, "0.2", 10, None, None, 6, 2020), (2, "b", "1", "0.5", "0.3", "0.47", "3.5", "0.25", 5, None, None, 12, 2021)]
     sp = spark.createDataFrame(rows, SPECIES)
     calc = Calculator(sp.filter("id = 1"), "0.001 * D").add(sp.filter("id = 2"))
-    assert {r["name"] for r in calc.cumulative().collect()} == {"a", "b"}
+    assert {r["name"] for r in calc.cumulative().collect()} == {"a", "b", "Total"}
     assert {r["name"] for r in calc.remove("a").sequestration().collect()} == {"b"}
     chart = calc.chart(years=[1, 99]).filter("survival = 40").orderBy("asked").collect()
     assert [r["asked"] for r in chart] == [1, 99] and chart[1]["co2"] > chart[0]["co2"] > 0
@@ -135,3 +135,49 @@ def test_cloud_free(spark):
     got = composite.cloud_free(spark.createDataFrame(rows, "chunk long, scene long, pixel long, scl int, red int"), ["red"]).collect()
     assert {r["pixel"] for r in got} == set(range(6))
     assert all((r["scene"] + r["pixel"]) % 2 and r["red"] == r["scene"] * 10 + r["pixel"] for r in got)
+
+
+def test_formula_of_each_species(spark):
+    """Each row's own formula; no growth and formulas that can't be read give no volume."""
+    from verdure.functions import formula
+
+    rows = [(1, "0.001 * D", "2"), (2, "Math.max(0.5, D) ** 2", "1"), (3, "alert(1)", "1"), (4, "0.5", "0"), (5, "0.5", "-1"), (6, None, "1"), (7, "1 / (D - D)", "1")]
+    df = spark.createDataFrame(rows, "id int, formula string, increment string").select("id", carbon.tree_volume(carbon.number(F.col("increment")), None).alias("v"))
+    got = {r["id"]: r["v"] for r in df.collect()}
+    assert got == {1: 0.002, 2: 1.0, 3: 0.0, 4: 0.0, 5: 0.0, 6: 0.0, 7: None}
+    assert spark.range(1).select(carbon.tree_volume(F.lit(-1.0), "Math.max(0.01, D)").alias("v")).first()["v"] == 0.0
+    assert formula.parse("D", F.lit(1.0)) is not None
+
+
+def test_upsert_takes_the_last_change(spark):
+    stored = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], "k string, at int, v string")
+    changes = spark.createDataFrame([("a", 3, "new"), ("a", 2, "old"), ("c", 1, "p"), ("c", 1, "q")], "k string, at int, v string").repartition(3)
+    assert sorted(tuple(r) for r in publish.upsert(stored, changes, "k", "at").collect()) == [("a", 3, "new"), ("b", 1, "y"), ("c", 1, "q")]
+
+
+def test_new_snapshot_ids_avoid_taken_ones(spark):
+    wanted = spark.createDataFrame([(7, "y")], "product_id long, label string")
+    none = spark.createDataFrame([], "id long, product_id long, label string, deleted_at string")
+    own = publish.get_or_create(wanted, none).first()["id"]
+    taken = spark.createDataFrame([(own, 1, "other", "2020-01-01")], none.schema)
+    again = publish.get_or_create(wanted, taken).first()["id"]
+    assert again != own and again == publish.get_or_create(wanted, taken).first()["id"]
+
+
+def test_best_candidate_and_uncovered(spark):
+    names = "seq long, id string, cloud double, degraded double, fx0 double, fx1 double, fy0 double, fy1 double"
+    box = lambda i, cloud, a, b, tile="T1": (i, f"S_{tile}_x_{i}", cloud, 1.0, a, b, 0.0, 1.0)
+    items = spark.createDataFrame([box(1, 5.0, 0.0, 0.7), box(2, 1.0, 0.0, 0.7), box(3, 15.0, 0.7, 1.0), box(4, 10.0, 0.72, 1.0), box(5, 2.0, 0.8, 1.0), box(6, 30.0, 0.0, 0.7, "T2"), box(7, 45.0, 0.5, 0.8, "T2")], names)
+    first = spark.createDataFrame([("T1", 1), ("T2", 6)], "tile string, seq long")
+    got = {r["tile"]: (r["seq"], round(r["coverage"], 4)) for r in scenes.best_candidate(items, first).collect()}
+    assert got == {"T1": (4, 0.9333), "T2": (7, 0.3333)}  # a copy of the chosen one adds nothing; the second limit counts where the first finds none
+    left = {r["tile"]: r["points"] for r in scenes.uncovered(items.join(first.select("seq"), "seq", "left_semi"), buffer=0.0).collect()}
+    assert left == {"T1": 15 * 50, "T2": 15 * 50}
+    none = scenes.uncovered(spark.createDataFrame([box(1, 1.0, 2.0, 3.0)], names)).collect()
+    assert [r["points"] for r in none] == [2500]
+
+
+def test_band_rows(spark):
+    files = spark.createDataFrame([(f"S-T1-{d}-{b}",) for d, bands in (("1", "red nir scl blue"), ("2", "red scl"), ("3", "nir red")) for b in bands.split()], "file string")
+    got = sorted((r["date"], r["scl"] is not None) for r in scenes.band_rows(files).collect())
+    assert got == [("1", True), ("3", False)]

@@ -74,3 +74,24 @@ def test_csv_names_and_digests(spark, tmp_path):
     df = grids.read_wide_csv(spark, str(tmp_path / "w.csv"))
     assert df.columns == ["sr_no", "state_name_lgd", "state_name_lgd_1"] and df.first()["state_name_lgd"] == "RJ"
     assert grids.file_digests(spark, str(tmp_path / "w.csv")).first()["sha1"] == hashlib.sha1((tmp_path / "w.csv").read_bytes()).hexdigest()
+
+
+def test_replace_table_and_georeferenced(spark):
+    rows = spark.createDataFrame([(1, "EPSG:4326", 0.1, 0.1), (2, "", 0.1, 0.1), (3, "EPSG:4326", 0.0, 0.1), (4, None, 0.1, 0.1)], "id int, crs string, pixel_width double, pixel_height double")
+    assert [r["id"] for r in grids.georeferenced(rows).collect()] == [1]
+    for part in (rows, rows.filter("id = 2")):
+        sinks.replace_table(part, "replaced_rows")
+    assert [r["id"] for r in spark.table("replaced_rows").collect()] == [2]
+    spark.sql("DROP TABLE replaced_rows")
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    names = "form_id long, region_id int, reporting_date date, " + ", ".join(f"{n} string" for n in incidents.NAMES)
+    row = lambda i, day, status: (i, 1, day, "1.5", "70.5", "7", "Mammal", "Deer", status, "V", None, "05-Jan-24")
+    frame = lambda rows: spark.createDataFrame(rows, names.replace("reporting_date date", "reporting_date string")).withColumn("reporting_date", F.to_date("reporting_date"))
+    path, run = str(tmp_path / "t"), stream.upsert_batch(str(tmp_path / "t"))
+    first, second = frame([row(1, "2024-01-01", "new"), row(2, "2024-01-02", "b"), row(2, "2024-01-02", "a"), row(2, "2024-01-01", "c")]), frame([row(1, "2024-01-01", "closed")])
+    assert stream.current(spark, path).count() == 0
+    for n, batch in ((0, first), (1, second), (1, second)):
+        run(batch, n)
+    assert {r["form_id"]: (r["status"], r["request_id"]) for r in stream.current(spark, path).collect()} == {1: ("closed", 7.0), 2: ("b", 7.0)}

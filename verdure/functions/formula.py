@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import math
 import re
+from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 class FormulaError(ValueError):
@@ -15,9 +19,29 @@ class FormulaError(ValueError):
 
 _TOKEN = re.compile(r"\s*(?:(\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+)|(Math\.\w+|D\b)|(\*\*|[-+*/(),]))")
 _FUNCTIONS = {"pow": F.pow, "sqrt": F.sqrt, "log": F.log, "exp": F.exp, "abs": F.abs, "min": F.least, "max": F.greatest}
+_ARRAYS = {"pow": np.power, "sqrt": np.sqrt, "log": np.log, "exp": np.exp, "abs": np.abs, "min": lambda *x: np.minimum.reduce(np.broadcast_arrays(*x)), "max": lambda *x: np.maximum.reduce(np.broadcast_arrays(*x))}
 
 
 def parse(text: str, d: Column) -> Column:
+    """The formula as a Column over the Column ``d``."""
+    return _read(text, d, F.lit, F.try_divide, _FUNCTIONS)
+
+
+@F.pandas_udf(DoubleType())
+def evaluate(text: pd.Series, d: pd.Series) -> pd.Series:
+    """Each row's own formula at its ``d``, one formula's rows together; a formula that can't be read gives 0, a value that isn't finite null."""
+    out = np.zeros(len(d))
+    x = d.to_numpy(float)
+    for formula, at in text.groupby(text, dropna=True).indices.items():
+        try:
+            with np.errstate(all="ignore"):
+                out[at] = _read(formula, x[at], np.float64, np.divide, _ARRAYS)
+        except FormulaError:
+            out[at] = 0.0
+    return pd.Series(out).where(np.isfinite(out))
+
+
+def _read(text: str, d: Any, number, divide, functions: dict) -> Any:
     tokens, at = [], 0
     text = text.strip()
     while at < len(text):
@@ -46,7 +70,7 @@ def parse(text: str, d: Column) -> Column:
     def multiply() -> Column:
         out = unary()
         while tokens[pos] in ("*", "/"):
-            out = out * unary() if take() == "*" else F.try_divide(out, unary())
+            out = out * unary() if take() == "*" else divide(out, unary())
         return out
 
     def unary() -> Column:
@@ -59,7 +83,7 @@ def parse(text: str, d: Column) -> Column:
         base = atom()
         if tokens[pos] == "**":
             take()
-            return F.pow(base, unary())
+            return functions["pow"](base, unary())
         return base
 
     def atom() -> Column:
@@ -73,8 +97,8 @@ def parse(text: str, d: Column) -> Column:
         if token.startswith("Math."):
             name = token[5:]
             if name == "PI":
-                return F.lit(math.pi)
-            if name not in _FUNCTIONS:
+                return number(math.pi)
+            if name not in functions:
                 raise FormulaError(f"{token} isn't allowed in formula {text!r}")
             take("(")
             args = [add()]
@@ -82,9 +106,9 @@ def parse(text: str, d: Column) -> Column:
                 take()
                 args.append(add())
             take(")")
-            return _FUNCTIONS[name](*args)
+            return functions[name](*args)
         if token[:1].isdigit() or token[:1] == ".":
-            return F.lit(float(token))
+            return number(float(token))
         raise FormulaError(f"unexpected {token or 'end'!r} in formula {text!r}")
 
     out = add()

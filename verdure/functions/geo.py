@@ -29,30 +29,60 @@ def box(ring: Column) -> list[Column]:
     return [F.array_min(xs).alias("bx0"), F.array_min(ys).alias("by0"), F.array_max(xs).alias("bx1"), F.array_max(ys).alias("by1")]
 
 
-def within(points: DataFrame, regions: DataFrame, x: str, y: str, keep: list[str], size: float = 2.0) -> DataFrame:
-    """Points with the columns ``keep`` of each region whose ``ring`` holds them. Both sides meet on squares of ``size``, so this is an equi-join; box and ring decide."""
-    r = regions.filter("ring is not null").select(*keep, "ring", *box(F.col("ring")))
+def edges(ring: Column) -> Column:
+    """The ring's sides, array of struct<ax, ay, bx, by>."""
+    side = lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by"))
+    return F.zip_with(ring, F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)), side)
+
+
+def odd_crossings(x: Column, y: Column, sides: Column) -> Column:
+    """Even-odd rule over sides, half open as in ``in_ring``: of a ring all that reach the height of the point, and lie right of it, must be among them."""
+    crosses = lambda e: ((e["ay"] > y) != (e["by"] > y)) & (x < (e["bx"] - e["ax"]) * (y - e["ay"]) / F.nullif(e["by"] - e["ay"], F.lit(0.0)) + e["ax"])
+    return F.size(F.filter(sides, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
+
+
+def _meets(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether a side's box touches a box."""
+    return (F.least(e["ax"], e["bx"]) <= x1) & (F.greatest(e["ax"], e["bx"]) >= x0) & (F.least(e["ay"], e["by"]) <= y1) & (F.greatest(e["ay"], e["by"]) >= y0)
+
+
+def squares(regions: DataFrame, keep: list[str], size: float) -> DataFrame:
+    """(keep, sx, sy, ring, sides, border, inside): the squares of ``size`` of each region's box. A square that no side touches is inside as a whole or outside as a whole, which its
+    centre decides once; a border square keeps the ring and the sides at its height and right of its left edge, the only ones that a point in it has to be held against."""
+    r = regions.filter("ring is not null").select(*keep, "ring", edges(F.col("ring")).alias("all"), *box(F.col("ring")))
     cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size)))
-    r = r.withColumn("sx", cells("bx0", "bx1")).withColumn("sy", cells("by0", "by1"))
+    far = F.lit(float("inf"))
+    r = r.withColumn("sy", cells("by0", "by1"))
+    y0, y1 = F.col("sy") * size, (F.col("sy") + 1) * size
+    r = r.withColumn("row", F.filter("all", lambda e: _meets(e, -far, y0, far, y1)))  # of the height first, so that squares look at short lists
+    r = r.drop("all").withColumn("sx", cells("bx0", "bx1"))
+    x0, x1 = F.col("sx") * size, (F.col("sx") + 1) * size
+    r = r.withColumn("border", F.exists("row", lambda e: _meets(e, x0, y0, x1, y1)))
+    r = r.withColumn("inside", odd_crossings(x0 + size / 2, y0 + size / 2, F.col("row")))
+    right = F.filter("row", lambda e: F.greatest(e["ax"], e["bx"]) >= x0)
+    return r.filter("border or inside").select(*keep, "sx", "sy", F.when(F.col("border"), F.col("ring")).alias("ring"), F.when(F.col("border"), right).alias("sides"), "border", "inside")
+
+
+def within(points: DataFrame, regions: DataFrame, x: str, y: str, keep: list[str], size: float = 0.5) -> DataFrame:
+    """Points with the columns ``keep`` of each region whose ``ring`` holds them. Both sides meet on squares of ``size``, so this is an equi-join. Points of squares inside need no test;
+    those of border squares are held against the sides of that square."""
+    s = squares(regions, keep, size).drop("ring")
     p = points.withColumns({"sx": F.floor(F.col(x) / size), "sy": F.floor(F.col(y) / size)})
-    px, py = F.col(x), F.col(y)
-    inside = (px >= F.col("bx0")) & (px <= F.col("bx1")) & (py >= F.col("by0")) & (py <= F.col("by1"))
-    return p.join(r, ["sx", "sy"]).filter(inside).filter(in_ring(px, py, F.col("ring"))).drop("sx", "sy", "ring", "bx0", "by0", "bx1", "by1")
+    hit = ~F.col("border") | odd_crossings(F.col(x), F.col(y), F.col("sides"))
+    return p.join(s, ["sx", "sy"]).filter(hit).drop("sx", "sy", "sides", "border", "inside")
 
 
 def clip_to_box(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.ndarray:
-    """Sutherland-Hodgman: the part of a ring inside a box."""
+    """Sutherland-Hodgman: the part of a ring inside a box, a half plane at a time over all sides together."""
     for axis, bound, keep_low in ((0, x0, False), (0, x1, True), (1, y0, False), (1, y1, True)):
-        out = []
-        for a, b in zip(ring, np.roll(ring, -1, axis=0)):
-            ia, ib = (a[axis] <= bound, b[axis] <= bound) if keep_low else (a[axis] >= bound, b[axis] >= bound)
-            if ia:
-                out.append(a)
-            if ia != ib:
-                out.append(a + (b - a) * ((bound - a[axis]) / (b[axis] - a[axis])))
-        ring = np.array(out)
         if not len(ring):
             return np.zeros((0, 2))
+        nxt = np.roll(ring, -1, axis=0)
+        here, there = ((v <= bound) if keep_low else (v >= bound) for v in (ring[:, axis], nxt[:, axis]))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            at = ring + (nxt - ring) * ((bound - ring[:, axis]) / (nxt[:, axis] - ring[:, axis]))[:, None]
+        both = np.stack([ring, at], axis=1).reshape(-1, 2)
+        ring = both[np.stack([here, here != there], axis=1).ravel()]
     return ring
 
 
@@ -64,21 +94,26 @@ def ring_area(ring: np.ndarray) -> float:
 
 
 @F.pandas_udf(DoubleType())
-def box_coverage(ring: pd.Series, x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.Series:
-    """The share of each box that its ring covers; exact for simple polygons."""
-    out = []
-    for r, *b in zip(ring, x0, y0, x1, y1):
-        pts = np.array([(p["x"], p["y"]) for p in r])
-        out.append(ring_area(clip_to_box(pts, *b)) / ((b[2] - b[0]) * (b[3] - b[1])))
-    return pd.Series(out, dtype="float64")
+def _clipped_share(xs: pd.Series, ys: pd.Series, x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.Series:
+    out = np.full(len(xs), np.nan)
+    for i, (x, y, *b) in enumerate(zip(xs, ys, x0, y0, x1, y1)):
+        if x is not None:
+            out[i] = ring_area(clip_to_box(np.column_stack([x, y]), *b)) / ((b[2] - b[0]) * (b[3] - b[1]))
+    return pd.Series(out)
+
+
+def box_coverage(ring: Column | str, *bounds: Column | str) -> Column:
+    """The share of the box (x0, y0, x1, y1) that the ring covers; exact for simple polygons."""
+    return _clipped_share(F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"]), *bounds)
 
 
 def coverage_weights(regions: DataFrame, step: float, keep: list[str]) -> DataFrame:
-    """(keep, gx, gy, c): for each region the cells of a grid of ``step`` that it covers, and how much of each. Computed once for a region set and grid."""
-    r = regions.filter("ring is not null").select(*keep, "ring", *box(F.col("ring")))
-    cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / step), F.ceil(F.col(b) / step) - 1))
-    c = r.withColumn("gx", cells("bx0", "bx1")).withColumn("gy", cells("by0", "by1"))
-    return c.select(*keep, "gx", "gy", box_coverage("ring", F.col("gx") * step, F.col("gy") * step, (F.col("gx") + 1) * step, (F.col("gy") + 1) * step).alias("c")).filter("c > 0")
+    """(keep, gx, gy, c): for each region the cells of a grid of ``step`` that it covers, and how much of each. Computed once for a region set and grid; only border cells are clipped."""
+    cells = squares(regions, keep, step).withColumnsRenamed({"sx": "gx", "sy": "gy"})
+    whole = cells.filter("not border").select(*keep, "gx", "gy", F.lit(1.0).alias("c"))
+    gx, gy = F.col("gx"), F.col("gy")
+    part = cells.filter("border").select(*keep, "gx", "gy", box_coverage("ring", gx * step, gy * step, (gx + 1) * step, (gy + 1) * step).alias("c"))
+    return whole.unionByName(part.filter("c > 0"))
 
 
 def overlap(a: tuple[str, str], b: tuple[str, str]) -> Column:

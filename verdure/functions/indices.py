@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Scene classes of each rule.
 CLOUDY_SERIES = (8, 9, 10)  # scene classes left out of pixel series
 CLOUDY_COMPOSITE = (0, 3, 8, 9, 10)  # and of composites
 CLEAR_MOSAIC = (4, 5, 6)  # those that count in mosaics

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdure.functions import calendar, formula
+from verdure.functions import calendar, exact, formula
 
 #: Fixed default of a blank CO2 factor.
 CO2_FACTOR = 3.67
@@ -17,20 +17,24 @@ def number(c: Column, default: float = 0.0) -> Column:
     return F.coalesce(F.trim(F.regexp_extract(c, PREFIX, 0)).try_cast("double"), F.lit(default))
 
 
-def stock_per_tree(months: Column, survival: Column, volume: str) -> Column:
+def tree_volume(d: Column, volume: str | None) -> Column:
+    """Volume at a diameter by one formula for all, or, without one, by each row's ``formula``; 0 without growth."""
+    return F.when(d > 0, formula.parse(volume, d) if volume else formula.evaluate(F.col("formula"), d)).otherwise(F.lit(0.0))
+
+
+def stock_per_tree(months: Column, survival: Column, volume: str | None) -> Column:
     """kg of CO2 in a tree of this age: diameter, volume, biomass above and below ground and in branches, carbon, CO2."""
-    d = number(F.col("increment")) * months / 12
-    above = formula.parse(volume, d) * number(F.col("wood_density"))
+    above = tree_volume(number(F.col("increment")) * months / 12, volume) * number(F.col("wood_density"))
     biomass = above + above * number(F.col("root_shoot")) + above * number(F.col("bef"))
     return biomass * number(F.col("carbon_fraction")) * survival / 100 * number(F.col("co2_factor"), CO2_FACTOR)
 
 
-def at_year(species: DataFrame, year: int, survival: float, volume: str) -> DataFrame:
+def at_year(species: DataFrame, year: int, survival: float, volume: str | None = None) -> DataFrame:
     """(id, co2): kg for all trees."""
     return species.select("id", (stock_per_tree(F.lit(12.0 * year), F.lit(survival), volume) * F.col("num_trees")).alias("co2"))
 
 
-def per_hectare(species: DataFrame, area: float, year: int, survival: float, volume: str) -> DataFrame:
+def per_hectare(species: DataFrame, area: float, year: int, survival: float, volume: str | None = None) -> DataFrame:
     """(id, tonnes_per_ha)."""
     return at_year(species, year, survival, volume).select("id", (F.col("co2") / 1000 / area).alias("tonnes_per_ha"))
 
@@ -49,15 +53,14 @@ def periods(species: DataFrame, horizon: int = 30) -> DataFrame:
     )
 
 
-def deltas(species: DataFrame, horizon: int = 30, survival: tuple[int, ...] = (60,), volume: str = "0.0005 * D * D") -> DataFrame:
+def deltas(species: DataFrame, horizon: int = 30, survival: tuple[int, ...] = (60,), volume: str | None = None) -> DataFrame:
     """(id, name, survival, no, label, months, stock, delta, harvested): kg of CO2 gained in each period, to the first harvest. Species without a planting date have no rows.
 
     The number of periods is fixed by the horizon, so each species and rate is a short run of rows.
     """
     planted = species.filter("plant_year is not null and plant_month is not null").withColumn("grown_from", F.add_months(F.make_date("plant_year", "plant_month", F.lit(1)), 1))
     rows = planted.join(F.broadcast(periods(planted, horizon)), F.col("end") > F.col("grown_from"))  # horizon + 1 periods
-    rows = rows.withColumn("survival", F.explode(F.array(*map(F.lit, survival))))
-    run = Window.partitionBy("id", "survival").orderBy("no")
+    run = Window.partitionBy("id").orderBy("no")
     in_slice = F.floor(F.months_between("end", F.greatest("start", "grown_from"))).cast("int")
     rows = rows.withColumn("in_slice", in_slice).withColumn("months", F.sum("in_slice").over(run)).withColumn("before", F.col("months") - F.col("in_slice"))
     cycle = F.col("harvest_cycle")
@@ -66,30 +69,40 @@ def deltas(species: DataFrame, horizon: int = 30, survival: tuple[int, ...] = (6
     rows = rows.withColumn("earlier", earlier).filter("earlier = 0")
     age = F.when(F.col("harvested"), cycle * 12).otherwise(F.col("months"))
     left = F.when(F.col("harvested"), F.coalesce("retention", F.lit(0.0)) / 100).otherwise(1.0)
-    rows = rows.withColumn("stock", stock_per_tree(age.cast("double"), F.col("survival").cast("double"), volume) * F.col("num_trees") * left)
-    rows = rows.withColumn("delta", F.col("stock") - F.coalesce(F.lag("stock").over(run), F.lit(0.0)))
-    return rows.select("id", "name", "survival", "no", "label", "months", "stock", "delta", "harvested")
+    rows = rows.withColumn("full", stock_per_tree(age.cast("double"), F.lit(100.0), volume) * F.col("num_trees") * left)
+    rows = rows.withColumn("gained", F.col("full") - F.coalesce(F.lag("full").over(run), F.lit(0.0)))
+    rows = rows.withColumn("survival", F.explode(F.array(*map(F.lit, survival))))  # stocks are in proportion to the rate
+    part = lambda c: (F.col(c) * F.col("survival") / 100).alias({"full": "stock", "gained": "delta"}[c])
+    return rows.select("id", "name", "survival", "no", "label", "months", part("full"), part("gained"), "harvested")
+
+
+TOTAL = "Total"
+
+
+def annual(delta: DataFrame) -> DataFrame:
+    """(name, no, label, annual) in millions of kg of each species and of all as ``Total``, in one pass."""
+    rows = delta.select(F.explode(F.array("name", F.lit(TOTAL))).alias("name"), "no", "label", "delta")
+    return rows.groupBy("name", "no", "label").agg((exact.total(F.col("delta")) / 1e6).alias("annual"))
 
 
 def cumulative(delta: DataFrame) -> DataFrame:
-    """(name, no, annual, running) in millions of kg; a species that ended keeps its sum in later periods."""
-    sums = delta.groupBy("name", "no").agg((F.sum("delta") / 1e6).alias("annual"))
-    names = delta.groupBy("name").agg(F.max("no").alias("own")).withColumn("last", F.max("own").over(Window.partitionBy(F.lit(1))))  # a row for each species
+    """(name, no, annual, running) in millions of kg, with the series ``Total``; a species that ended keeps its sum in later periods."""
+    sums = annual(delta).drop("label")
+    names = sums.groupBy("name").agg(F.max("no").alias("own")).withColumn("last", F.max("own").over(Window.partitionBy(F.lit(1))))  # a row for each species
     grid = names.select("name", F.explode(F.sequence(F.lit(1), F.col("last"))).alias("no"))
     rows = grid.join(sums, ["name", "no"], "left").withColumn("annual", F.coalesce("annual", F.lit(0.0)))
     return rows.withColumn("running", F.sum("annual").over(Window.partitionBy("name").orderBy("no")))
 
 
 def pivot_total(delta: DataFrame, names: list[str]) -> DataFrame:
-    """(no, label, a column for each name, total)."""
-    wide = delta.groupBy("no", "label").pivot("name", names).agg(F.sum(F.col("delta") / 1e6))
-    each = [F.coalesce(F.col(f"`{n}`"), F.lit(0.0)) for n in names]
-    return wide.select("no", "label", *(c.alias(n) for c, n in zip(each, names)), sum(each[1:], each[0]).alias("total"))
+    """(no, label, a column for each name, total): total is that of all species, named or not."""
+    wide = annual(delta).groupBy("no", "label").pivot("name", [*names, TOTAL]).agg(F.sum("annual"))
+    return wide.select("no", "label", *(F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(n) for n in names), F.coalesce(F.col(TOTAL), F.lit(0.0)).alias("total"))
 
 
 def survival_chart(delta: DataFrame) -> DataFrame:
     """(survival, year, label, co2): running total in kg over all species."""
-    sums = delta.groupBy("survival", "no", "label").agg(F.sum("delta").alias("d"))
+    sums = delta.groupBy("survival", "no", "label").agg(exact.total(F.col("delta")).alias("d"))
     return sums.select("survival", F.col("no").alias("year"), "label", F.sum("d").over(Window.partitionBy("survival").orderBy("no")).alias("co2"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,19 +69,25 @@ def masked(classes: DataFrame, mask: DataFrame) -> DataFrame:
 def covering_scenes(pixels: DataFrame) -> DataFrame:
     """(chunk, scene, covers): few scenes of which one is clear at every pixel that any is clear at. Greedy: the scene that is clear at most uncovered pixels, the lowest number of equals.
 
-    Each step needs the one before, so a chunk is one group; it holds the clear (scene, pixel) pairs of one grid cell.
+    Pixels that are clear in the same scenes count as one kind, so Spark counts kinds first. Each step needs the one before, so the kinds of a chunk are one group: not more than the
+    different sets of clear scenes, and no pixels.
     """
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        left = {s: set(g) for s, g in pdf.groupby("scene")["pixel"]}
         out, chunk = [], pdf["chunk"].iloc[0]
-        while left and (best := min(left, key=lambda s: (-len(left[s]), s))) is not None and left[best]:
-            got = left.pop(best)
-            out.append((chunk, best, len(got)))
-            left = {s: p - got for s, p in left.items()}
+        kinds = [(set(s), int(n)) for s, n in zip(pdf["scenes"], pdf["n"])]
+        while kinds:
+            gain: Counter[int] = Counter()
+            for scenes, n in kinds:
+                for s in scenes:
+                    gain[s] += n
+            best = min(gain, key=lambda s: (-gain[s], s))
+            out.append((chunk, best, gain[best]))
+            kinds = [k for k in kinds if best not in k[0]]
         return pd.DataFrame(out, columns=["chunk", "scene", "covers"])
 
-    return pixels.select("chunk", "scene", "pixel").distinct().groupBy("chunk").applyInPandas(pick, "chunk long, scene long, covers long")
+    sets = pixels.groupBy("chunk", "pixel").agg(F.array_sort(F.collect_set("scene")).alias("scenes"))
+    return sets.groupBy("chunk", "scenes").agg(F.count("*").alias("n")).groupBy("chunk").applyInPandas(pick, "chunk long, scene long, covers long")
 
 
 def by_solar_day(pixels: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:

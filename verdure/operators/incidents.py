@@ -10,8 +10,8 @@ MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct",
 
 
 def rescue_date(text: Column) -> Column:
-    """DD-MMM-YY or DD-MMM-YYYY; months are case-sensitive, two-digit years are after 2000, and days that a month doesn't have are null."""
-    part = lambda i: F.regexp_extract(text, r"^(\d{1,2})-([A-Z][a-z]{2})-(\d{4}|\d{2})$", i)
+    """DD-MMM-YY or DD-MMM-YYYY, white space around it left out; months are case-sensitive, two-digit years are after 2000, and days that a month doesn't have are null."""
+    part = lambda i: F.regexp_extract(F.btrim(text, F.lit(" \t\r\n")), r"^(\d{1,2})-([A-Z][a-z]{2})-(\d{4}|\d{2})$", i)
     month = F.array_position(F.array(*map(F.lit, MONTHS)), part(2))
     year = part(3).try_cast("int")
     year = F.when(year < 100, year + 2000).otherwise(year)
@@ -27,17 +27,22 @@ def form_attributes(forms: DataFrame, values: DataFrame, template: str, region_i
 
 
 def extract(attributes: DataFrame) -> DataFrame:
-    """Incidents: forms with numeric non-zero coordinates, a category, a species and a valid date."""
+    """Incidents: forms with numeric coordinates other than 0 and NaN, a category, a species and a valid date. Category, species and status are lower case; the description has them as
+    they were written, and the request's number if it has one."""
     text = lambda c: F.nullif(F.trim(F.coalesce(c, F.lit(""))), F.lit(""))
     number = lambda c: F.col(c).try_cast("double")
+    request = F.nanvl(F.coalesce(number("request_id"), F.lit(0.0)), F.lit(0.0))
+    shown = F.when(request == F.floor(request), request.cast("long").cast("string")).otherwise(request.cast("string"))
+    written = F.concat(text("animal_category"), F.lit(" - "), text("animal_species"), F.lit(" rescue"), F.when(request != 0, F.concat(F.lit(" (Request: "), shown, F.lit(")"))).otherwise(""))
     rows = attributes.select(
         F.format_string("rescue_%d", "form_id").alias("incident_id"), "form_id", "region_id", number("latitude").alias("latitude"), number("longitude").alias("longitude"),
-        F.lower(text("animal_category")).alias("category"), text("animal_species").alias("species"), F.coalesce(F.lower(text("process_status")), F.lit("unknown")).alias("status"),
-        text("village_town").alias("village"), rescue_date(F.col("date_of_reporting")).alias("rescue_date"),
+        F.when(request > 0, request).alias("request_id"), F.lower(text("animal_category")).alias("category"), F.lower(text("animal_species")).alias("species"),
+        F.coalesce(F.lower(text("process_status")), F.lit("unknown")).alias("status"), text("village_town").alias("village"), text("beat_naka").alias("beat_naka"),
+        rescue_date(F.col("date_of_reporting")).alias("rescue_date"), written.alias("description"),
     )
-    rows = rows.filter("latitude <> 0 and longitude <> 0 and category is not null and species is not null and rescue_date is not null")
-    description = F.concat(F.col("species"), F.lit(" rescue"), F.when(F.col("village").isNotNull(), F.concat(F.lit(" in "), F.col("village"))).otherwise(""))
-    return rows.withColumns({"description": description, "label": F.format_string("animal_rescue_%d", F.year("rescue_date"))})
+    placed = "latitude <> 0 and longitude <> 0 and not isnan(latitude) and not isnan(longitude)"
+    rows = rows.filter(f"{placed} and category is not null and species is not null and rescue_date is not null")
+    return rows.withColumn("label", F.format_string("animal_rescue_%d", F.year("rescue_date")))
 
 
 def facets(incidents: DataFrame) -> DataFrame:
@@ -59,11 +64,26 @@ def statistics(stored: DataFrame, start: str, end: str, region_id: int | None =
     return facets(rows if with_deleted else rows.filter("deleted_at is null"))
 
 
+#: Fixed names of a stored incident's fields and the columns that they come from; coordinates are a field of two.
+STORED = {"incidentKey": "incident_id", "formId": "form_id", "rescueDate": "rescue_date", "requestId": "request_id", "animalCategory": "category", "animalSpecies": "species", "processStatus": "status", "villageTown": "village", "beatNaka": "beat_naka", "description": "description"}
+
+
 def product_rows(incidents: DataFrame, snapshots: DataFrame, product_id: int) -> DataFrame:
     """(label, snapshot_id, incident_id, region_id, value): incidents as JSON under their year's snapshot, which is made if it isn't there."""
     from verdure.operators import publish
 
     wanted = incidents.select(F.lit(product_id).alias("product_id"), "label").distinct()
     ids = publish.get_or_create(wanted, snapshots).select("label", F.col("id").alias("snapshot_id"))
-    value = F.to_json(F.struct(*(F.col(c) for c in ("latitude", "longitude", "category", "species", "status", "village", "rescue_date", "description"))))
+    value = F.to_json(F.struct(*(F.col(c).alias(n) for n, c in STORED.items()), F.struct("latitude", "longitude").alias("coordinates")))
     return incidents.join(ids, "label").select("label", "snapshot_id", "incident_id", "region_id", value.alias("value"))
+
+
+def store_rows(stored: DataFrame, rows: DataFrame, when: str) -> DataFrame:
+    """(snapshot_id, region_id, value, created_at, updated_at) after ``rows`` are stored: one row for each snapshot, region and incidentKey of the JSON. A known one's value and updated_at
+    change, an unknown one is added. Rows of one key in ``rows`` must be one."""
+    keyed = lambda df: df.withColumn("key", F.get_json_object("value", "$.incidentKey"))
+    old = keyed(stored).withColumnsRenamed({"value": "old_value", "updated_at": "old_at"})
+    both = keyed(rows.select("snapshot_id", "region_id", "value")).join(old, ["snapshot_id", "region_id", "key"], "full")
+    at = F.to_date(F.lit(when))
+    changed = F.col("value").isNotNull()
+    return both.select("snapshot_id", "region_id", F.coalesce("value", "old_value").alias("value"), F.coalesce("created_at", at).alias("created_at"), F.when(changed, at).otherwise(F.col("old_at")).alias("updated_at"))

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verdure.functions import exact
+
 
 def publish(raw: DataFrame, region_codes: DataFrame, snapshots: DataFrame, products: DataFrame, product: str | None = None) -> DataFrame:
     """(snapshot_id, region_id, value): rows that find a region and a live snapshot of a live product."""
     live = products.filter("deleted_at is null")
     live = live.filter(F.col("name") == product) if product else live
     snaps = snapshots.filter("deleted_at is null").join(live.select(F.col("id").alias("product_id")), "product_id").select(F.col("id").alias("snapshot_id"), "label")
-    return raw.filter("value is not null").join(region_codes, "code").join(snaps, "label").select("snapshot_id", "region_id", F.to_json(F.struct(F.round("value", 2).alias("value"))).alias("value"))
+    return raw.filter("value is not null").join(region_codes, "code").join(snaps, "label").select("snapshot_id", "region_id", F.to_json(F.struct(exact.half_up(F.col("value"), 2).alias("value"))).alias("value"))
 
 
 def rejects(raw: DataFrame, region_codes: DataFrame, snapshots: DataFrame, products: DataFrame) -> DataFrame:
@@ -29,9 +31,12 @@ def snapshots_to_create(wanted: DataFrame, snapshots: DataFrame) -> DataFrame:
 
 
 def get_or_create(wanted: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """(product_id, label, id, created) of every wanted snapshot; a new one's id is a hash of product and label, so asking again gives the same."""
-    live = snapshots.filter("deleted_at is null").select("product_id", "label", "id", F.lit(False).alias("created"))
-    new = snapshots_to_create(wanted, snapshots).withColumns({"id": F.crc32(F.concat_ws("/", "product_id", "label").cast("binary")), "created": F.lit(True)})
+    """(product_id, label, id, created) of every wanted snapshot; a new one's id is a 64-bit hash of product and label, so asking again gives the same. A hash that some snapshot has as
+    its id, live or deleted, is hashed again."""
+    live = snapshots.filter("deleted_at is null").select("product_id", "label", F.col("id").cast("long").alias("id"), F.lit(False).alias("created"))
+    taken = snapshots.select(F.col("id").cast("long").alias("taken")).distinct()
+    new = snapshots_to_create(wanted, snapshots).withColumn("hash", F.xxhash64("product_id", "label")).join(taken, F.col("hash") == F.col("taken"), "left")
+    new = new.select("product_id", "label", F.when(F.col("taken").isNull(), F.col("hash")).otherwise(F.xxhash64("hash", "product_id", "label")).alias("id"), F.lit(True).alias("created"))
     return wanted.select("product_id", "label").distinct().join(live.unionByName(new), ["product_id", "label"])
 
 
@@ -39,9 +44,13 @@ def of_snapshots(data: DataFrame, snapshots: DataFrame) -> DataFrame:
     return data.join(snapshots.select(F.col("id").alias("snapshot_id")), "snapshot_id", "left_semi")
 
 
-def upsert(stored: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """The stored rows with changed ones replaced and new ones added: a new version of the table."""
-    return stored.join(changes.select(key), key, "left_anti").unionByName(changes)
+def upsert(stored: DataFrame, changes: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """The stored rows with changed ones replaced and new ones added: a new version of the table. Of several changes of a key the one with the largest ``order`` counts, of equals, or
+    without an order, the largest row."""
+    rest = [c for c in changes.columns if c != key]
+    first = [order] if order else []
+    last = changes.groupBy(key).agg(F.max(F.struct(*first, *(c for c in rest if c not in first))).alias("r")).select(key, *(F.col("r")[c].alias(c) for c in rest))
+    return stored.join(last.select(key), key, "left_anti").unionByName(last.select(*stored.columns))
 
 
 def soft_delete(stored: DataFrame, gone: DataFrame, key: str, when: str) -> DataFrame:

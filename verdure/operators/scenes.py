@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from verdure.functions import geo
 
+#: Cloud limits in the order they are tried; the coverage that is accepted, that is good, and that another scene has to add.
 LADDER = (20, 40, 60, 80, 100)
 ACCEPT, GOOD, GAIN = 0.60, 0.95, 0.05
 
@@ -65,11 +66,19 @@ def complement(items: DataFrame, chosen: DataFrame, cumulative: bool = False, gr
     return first.groupBy("tile").applyInPandas(pick, "tile string, seq long, place long, coverage double")
 
 
-def best_candidate(items: DataFrame) -> DataFrame:
-    """(tile, seq, coverage, cloud): of the scenes with at least nine tenths of a tile's best coverage the least cloudy."""
-    rows = with_coverage(items).withColumn("most", F.max("coverage").over(Window.partitionBy("tile")))
-    near = rows.filter("coverage >= 0.9 * most")
-    return near.groupBy("tile").agg(F.min_by(F.struct("seq", "coverage", "cloud"), F.struct("cloud", "seq")).alias("b")).select("tile", "b.*")
+def best_candidate(items: DataFrame, chosen: DataFrame, limits: tuple[float, ...] = (20.0, 50.0)) -> DataFrame:
+    """(tile, seq, coverage, cloud): the best further scene for what each tile's chosen scene leaves uncovered: of the scenes with at least nine tenths of the best coverage of that area the
+    least cloudy. ``chosen`` has one scene (tile, seq) for each tile, which is no candidate. The second cloud limit is tried where the first gives no candidate."""
+    rows = with_coverage(items)
+    first = rows.join(chosen.select("tile", "seq"), ["tile", "seq"]).select("tile", F.col("seq").alias("own"), *(F.col(c).alias(f"c{c}") for c in ("fx0", "fx1", "fy0", "fy1")), F.col("coverage").alias("had"))
+    side = lambda a: F.greatest(F.lit(0.0), F.least(F.col(f"f{a}1"), F.col(f"cf{a}1"), F.lit(1.0)) - F.greatest(F.col(f"f{a}0"), F.col(f"cf{a}0"), F.lit(0.0)))
+    gain = (F.col("coverage") - side("x") * side("y")) / (1 - F.col("had"))
+    rows = rows.join(first.filter("had < 1"), "tile").filter((F.col("seq") != F.col("own")) & (F.col("cloud") < limits[-1])).withColumn("gain", gain).filter("gain > 1e-9")
+    tier = sum((F.when(F.col("cloud") >= x, 1).otherwise(0) for x in limits[:-1]), F.lit(0))
+    tile = Window.partitionBy("tile")
+    rows = rows.withColumn("tier", tier).withColumn("lowest", F.min("tier").over(tile)).filter("tier = lowest").withColumn("most", F.max("gain").over(tile))
+    best = F.min_by(F.struct("seq", F.col("gain").alias("coverage"), "cloud"), F.struct("cloud", "seq"))
+    return rows.filter("gain >= 0.9 * most").groupBy("tile").agg(best.alias("b")).select("tile", "b.*")
 
 
 def two_tier(items: DataFrame, limits: tuple[float, ...] = (20.0, 50.0), degraded: float = 2.0) -> DataFrame:
@@ -107,14 +116,31 @@ def accepted(items: DataFrame, best_available: bool = False, least: float = ACCE
 
 
 def uncovered(items: DataFrame, grid: int = 50, buffer: float = 0.01, least: int = 3) -> DataFrame:
-    """(tile, points, share): of a grid of points over each tile those outside every chosen footprint widened by ``buffer``; tiles with fewer than ``least`` such points are covered."""
-    rows = tile_of(items)
-    boxes = rows.groupBy("tile").agg(F.collect_list(F.struct("fx0", "fx1", "fy0", "fy1")).alias("boxes"))
-    steps = F.sequence(F.lit(0), F.lit(grid - 1))
-    points = boxes.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps)).withColumns({"px": (F.col("i") + 0.5) / grid, "py": (F.col("j") + 0.5) / grid})
-    inside = lambda b: (F.col("px") >= b["fx0"] - buffer) & (F.col("px") < b["fx1"] + buffer) & (F.col("py") >= b["fy0"] - buffer) & (F.col("py") < b["fy1"] + buffer)
-    left = points.filter(~F.exists("boxes", inside)).groupBy("tile").agg(F.count("*").alias("points"))
-    return left.filter(F.col("points") >= least).select("tile", "points", (F.col("points") / float(grid * grid)).alias("share"))
+    """(tile, points, share): how many of a grid of points over each tile are outside every chosen footprint widened by ``buffer``; tiles with fewer than ``least`` such points are covered.
+
+    Each different footprint of a tile becomes the grid points inside it, and a tile's different points are counted: no tile's footprints are gathered anywhere.
+    """
+    boxes = tile_of(items).select("tile", "fx0", "fx1", "fy0", "fy1").distinct()
+
+    def inside(rows: DataFrame, n: str, lo: str, hi: str) -> DataFrame:
+        a = F.greatest(F.floor((F.col(lo) - buffer) * grid) - 1, F.lit(0))
+        b = F.least(F.floor((F.col(hi) + buffer) * grid) + 1, F.lit(grid - 1))
+        at = (F.col(n) + 0.5) / grid
+        return rows.withColumn(n, F.explode(F.when(a <= b, F.sequence(a, b)))).filter((at >= F.col(lo) - buffer) & (at < F.col(hi) + buffer))
+
+    points = inside(inside(boxes, "i", "fx0", "fx1"), "j", "fy0", "fy1").select("tile", "i", "j").distinct()
+    seen = points.groupBy("tile").agg(F.count("*").alias("seen"))
+    left = F.lit(grid * grid).cast("long") - F.coalesce("seen", F.lit(0))
+    rows = boxes.select("tile").distinct().join(seen, "tile", "left").select("tile", left.alias("points"))
+    return rows.filter(F.col("points") >= least).select("tile", "points", (F.col("points") / float(grid * grid)).alias("share"))
+
+
+def band_rows(files: DataFrame) -> DataFrame:
+    """(tile, date, red, nir, scl): the band files of one tile and date in a row, the first by name of each band; tiles and dates without red or without nir have none."""
+    p = F.split("file", "-")
+    rows = files.select("file", p.getItem(1).alias("tile"), p.getItem(2).alias("date"), p.getItem(3).alias("band"))
+    wide = rows.groupBy("tile", "date").agg(*(F.min(F.when(F.col("band") == b, F.col("file"))).alias(b) for b in ("red", "nir", "scl")))
+    return wide.filter("red is not null and nir is not null")
 
 
 def search_key(*columns: str):

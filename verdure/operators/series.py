@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Fixed values of the forest rule: steps are ten days.
+#: Fixed values of the forest rule: steps are ten days, and season bounds are places from the series' end (both ends included).
 GREEN, DIP, FLOOR = 0.25, 0.32, 0.123
-LEFT, CENTRE, RIGHT = (18, 26), (13, 17), (7, 12)
+LEFT, CENTRE, RIGHT = (19, 11), (24, 20), (30, 25)
 FOREST_STEPS, OVERRIDE_STEPS, OVERRIDE_CLASSES = 18, 35, (5, 6, 7, 8, 1)
 
 
@@ -52,8 +52,9 @@ def rolling(a: Column, width: int, how: str) -> Column:
 
 
 def median(a: Column, bounds: tuple[int, int]) -> Column:
-    """Median of the known values at positions ``bounds``, both ends included."""
-    known = F.array_sort(F.filter(F.slice(a, bounds[0] + 1, bounds[1] - bounds[0] + 1), lambda v: v.isNotNull()))
+    """Median of the known values from the ``bounds[0]``-th to the ``bounds[1]``-th from the end; a shorter series has fewer."""
+    first, n = F.greatest(F.size(a) - bounds[0], F.lit(0)), F.least(F.lit(bounds[0]), F.size(a)) - bounds[1] + 1
+    known = F.array_sort(F.filter(F.slice(a, first + 1, F.greatest(n, F.lit(0))), lambda v: v.isNotNull()))
     middle = lambda s, n: F.when(n > 0, (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2)
     return let(known, lambda s: middle(s, F.size(s)))
 

@@ -8,9 +8,9 @@ from verdure.operators import carbon
 
 
 class Calculator:
-    """Species rows in the shape that ``carbon`` reads; each change gives a new calculator."""
+    """Species rows in the shape that ``carbon`` reads; each change gives a new calculator. Without ``volume`` each species has its own formula."""
 
-    def __init__(self, species: DataFrame, volume: str):
+    def __init__(self, species: DataFrame, volume: str | None = None):
         self.species, self.volume = species, volume
 
     def add(self, more: DataFrame) -> Calculator:

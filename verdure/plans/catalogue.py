@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdure.fixtures import PERIODS, ctes, load
-from verdure.functions import geo, indices
+from verdure.functions import exact, geo, indices
 from verdure.operators import carbon, climate, composite, incidents, publish, scenes, series, tiles
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
+def half_up(sql: str) -> str:
+    """``round(x, places)`` as in ``exact.half_up``: in decimals, with three more places looked at."""
+    m = re.search(r"(?<![\w])round\(", sql)
+    if not m:
+        return sql
+    depth, end, comma = 1, m.end(), None
+    while depth:
+        depth += {"(": 1, "[": 1, ")": -1, "]": -1}.get(sql[end], 0)
+        comma = end if sql[end] == "," and depth == 1 else comma
+        end += 1
+    x, places = sql[m.end() : comma], int(sql[comma + 1 : end - 1])
+    return f"{sql[: m.start()]}CAST(ROUND(CAST({half_up(x)} AS DECIMAL(28,{places + 3})), {places}) AS DOUBLE){half_up(sql[end:])}"
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLES[f.__name__] = sql
+            ORACLES[f.__name__] = half_up(sql)
         return f
 
     return add
@@ -25,7 +41,7 @@ def query(sql: str | None = None):
 
 def r6(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     """Floating sums depend on their order; both sides are compared to ``places`` places."""
-    return df.withColumns({c: F.round(c, places) + F.lit(0.0) for c in columns})
+    return df.withColumns({c: exact.half_up(F.col(c), places) for c in columns})
 
 
 def with_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +65,21 @@ SHORT = "['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec
 LONG = "['january','february','march','april','may','june','july','august','september','october','november','december']"
 
 
+def _region_area(p: str, q: str, b: str, d: str) -> str:
+    """SQL: the area that a region has in the box (p, b, q, d), which lies in the region's box. The top side of a notched one goes down to its middle: area above height h is the integral
+    of s * u - k where that is positive, u being the distance from the middle, on both sides of it."""
+    s, mid = "(1.37e0 / ((x1 - x0) / 2))", "((x0 + x1) / 2)"
+
+    def above(h: str) -> str:
+        k = f"(({h}) - (y1 - 1.37e0))"
+        g = lambda u: f"(CASE WHEN {s} * ({u}) > {k} THEN ({s} * ({u}) - {k}) * ({s} * ({u}) - {k}) / (2 * {s}) ELSE 0 END)"
+        left = f"CASE WHEN {p} < {mid} THEN {g(f'{mid} - ({p})')} - {g(f'{mid} - least({q}, {mid})')} ELSE 0 END"
+        right = f"CASE WHEN {q} > {mid} THEN {g(f'({q}) - {mid}')} - {g(f'greatest({p}, {mid}) - {mid}')} ELSE 0 END"
+        return f"({left} + {right})"
+
+    return f"(CASE WHEN notched THEN {above(b)} - {above(d)} ELSE (({q}) - ({p})) * (({d}) - ({b})) END)"
+
+
 def _daily_rain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return climate.rain_by_region_day(load(spark, sf_dir, "rain"), with_rings(spark, sf_dir))
 
@@ -113,7 +144,7 @@ def well_depth_unpivot(spark, sf_dir):
 @query(DEPTHS + f""", placed AS (SELECT well_id, name FROM (SELECT DISTINCT well_id, longitude, latitude FROM depths), edges WHERE type = 'range' GROUP BY well_id, code, name, longitude, latitude HAVING {INSIDE.format(x='longitude', y='latitude')})
     SELECT name, year, period, round(avg(depth), 6) AS depth, count(*) AS n FROM depths JOIN placed USING (well_id) WHERE depth IS NOT NULL GROUP BY 1, 2, 3""")
 def well_depth_region_period(spark, sf_dir):
-    return r6(climate.depth_by_region(climate.well_depths(load(spark, sf_dir, "wells")), with_rings(spark, sf_dir)), "depth")
+    return r6(climate.depth_by_region(load(spark, sf_dir, "wells"), with_rings(spark, sf_dir)), "depth")
 
 
 @query(f"""WITH {ctes('daily')}, f AS (SELECT *, CASE WHEN day(date) <= 15 THEN 1 ELSE 2 END AS fn FROM daily)
@@ -134,11 +165,12 @@ def zonal_self_weighted_mean(spark, sf_dir):
     return r6(climate.self_weighted_mean(load(spark, sf_dir, "stack"), load(spark, sf_dir, "weights"), ["year", "band"]), "mean")
 
 
-@query(f"""WITH {ctes('regions')}, g AS (SELECT code, x0, x1, y0, y1, unnest(range(CAST(floor(x0 / 0.5) AS BIGINT), CAST(ceil(x1 / 0.5) AS BIGINT))) AS gx FROM regions WHERE NOT no_geom AND NOT notched),
-    h AS (SELECT *, unnest(range(CAST(floor(y0 / 0.5) AS BIGINT), CAST(ceil(y1 / 0.5) AS BIGINT))) AS gy FROM g)
-    SELECT code, gx, gy, round((least(x1, (gx + 1) * 0.5e0) - greatest(x0, gx * 0.5e0)) * (least(y1, (gy + 1) * 0.5e0) - greatest(y0, gy * 0.5e0)) / 0.25e0, 6) AS c FROM h""")
+@query(f"""WITH {ctes('regions')}, g AS (SELECT *, unnest(range(CAST(floor(x0 / 0.5) AS BIGINT), CAST(ceil(x1 / 0.5) AS BIGINT))) AS gx FROM regions WHERE NOT no_geom),
+    h AS (SELECT *, unnest(range(CAST(floor(y0 / 0.5) AS BIGINT), CAST(ceil(y1 / 0.5) AS BIGINT))) AS gy FROM g),
+    b AS (SELECT *, greatest(x0, gx * 0.5e0) AS p, least(x1, (gx + 1) * 0.5e0) AS q, greatest(y0, gy * 0.5e0) AS b, least(y1, (gy + 1) * 0.5e0) AS d FROM h), a AS (SELECT code, gx, gy, {_region_area('p', 'q', 'b', 'd')} / 0.25e0 AS c FROM b)
+    SELECT code, gx, gy, round(c, 6) AS c FROM a WHERE c > 1e-9""")
 def zonal_exact_coverage(spark, sf_dir):
-    return r6(geo.coverage_weights(with_rings(spark, sf_dir).filter("not notched"), 0.5, ["code"]), "c")
+    return r6(geo.coverage_weights(with_rings(spark, sf_dir), 0.5, ["code"]).filter("c > 1e-9"), "c")
 
 
 @query(f"""WITH {ctes('stack', 'weights')}, m AS (SELECT code, year, band, sum(c * value) / sum(c) AS mean FROM weights JOIN stack USING (cell) GROUP BY 1, 2, 3)
@@ -188,12 +220,13 @@ _VALUE = lambda n: f"max_by(value, seq) FILTER (name = '{n}') AS {n}"  # noqa: E
 INCIDENTS = f"""WITH {ctes('forms', 'form_values')}, latest AS (SELECT form_id, name, value FROM form_values QUALIFY row_number() OVER (PARTITION BY form_id, name ORDER BY seq DESC) = 1),
     a AS (SELECT form_id, region_id, {', '.join(f"max(value) FILTER (name = '{n}') AS {n}" for n in incidents.NAMES)} FROM forms JOIN latest USING (form_id)
         WHERE status IN ('submitted', 'acknowledged') AND template = 'animal-rescue' AND reporting_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-25' GROUP BY 1, 2),
-    d AS (SELECT *, regexp_extract(date_of_reporting, '^(\\d{{1,2}})-(Jan|Feb)-(\\d{{4}}|\\d{{2}})$', ['d', 'm', 'y']) AS p FROM a),
+    d AS (SELECT *, regexp_extract(trim(date_of_reporting), '^(\\d{{1,2}})-(Jan|Feb)-(\\d{{4}}|\\d{{2}})$', ['d', 'm', 'y']) AS p, coalesce(TRY_CAST(request_id AS BIGINT), 0) AS request FROM a),
     e AS (SELECT *, CASE WHEN p.d <> '' AND p.m = 'Jan' AND CAST(p.d AS INT) BETWEEN 1 AND 31 THEN make_date(CAST(p.y AS INT) % 2000 + 2000, 1, CAST(p.d AS INT)) END AS rescue_date FROM d),
-    i AS (SELECT 'rescue_' || form_id AS incident_id, form_id, region_id, TRY_CAST(latitude AS DOUBLE) AS latitude, TRY_CAST(longitude AS DOUBLE) AS longitude, lower(nullif(trim(animal_category), '')) AS category,
-        nullif(trim(animal_species), '') AS species, coalesce(lower(nullif(trim(process_status), '')), 'unknown') AS status, nullif(trim(village_town), '') AS village, rescue_date FROM e),
-    incidents AS (SELECT *, species || ' rescue' || coalesce(' in ' || village, '') AS description, 'animal_rescue_' || year(rescue_date) AS label FROM i
-        WHERE latitude <> 0 AND longitude <> 0 AND category IS NOT NULL AND species IS NOT NULL AND rescue_date IS NOT NULL) """
+    i AS (SELECT 'rescue_' || form_id AS incident_id, form_id, region_id, TRY_CAST(latitude AS DOUBLE) AS latitude, TRY_CAST(longitude AS DOUBLE) AS longitude, CAST(CASE WHEN request > 0 THEN request END AS DOUBLE) AS request_id,
+        lower(nullif(trim(animal_category), '')) AS category, lower(nullif(trim(animal_species), '')) AS species, coalesce(lower(nullif(trim(process_status), '')), 'unknown') AS status, nullif(trim(village_town), '') AS village,
+        nullif(trim(beat_naka), '') AS beat_naka, rescue_date, trim(animal_category) || ' - ' || trim(animal_species) || ' rescue' || CASE WHEN request <> 0 THEN ' (Request: ' || request || ')' ELSE '' END AS description FROM e),
+    incidents AS (SELECT *, 'animal_rescue_' || year(rescue_date) AS label FROM i
+        WHERE latitude <> 0 AND longitude <> 0 AND NOT isnan(latitude) AND NOT isnan(longitude) AND category IS NOT NULL AND species IS NOT NULL AND rescue_date IS NOT NULL) """
 
 
 def _incidents(spark, sf_dir):
@@ -233,30 +266,45 @@ def incident_statistics(spark, sf_dir):
     return incidents.statistics(rows, "2024-01-01", "2024-12-31")
 
 
-@query(INCIDENTS + """SELECT label, incident_id, region_id, category, species FROM incidents""")
+STORED = {"key": "incidentKey", "form": "formId", "day": "rescueDate", "request": "requestId", "category": "animalCategory", "species": "animalSpecies", "status": "processStatus", "lat": "coordinates.latitude", "village": "villageTown", "naka": "beatNaka", "description": "description"}
+STORED_SQL = "incident_id AS key, CAST(form_id AS VARCHAR) AS form, CAST(rescue_date AS VARCHAR) AS day, CAST(request_id AS VARCHAR) AS request, category, species, status, CAST(latitude AS VARCHAR) AS lat, village, beat_naka AS naka, description"
+
+
+@query(INCIDENTS + f"SELECT label, region_id, {STORED_SQL} FROM incidents")
 def incident_product_rows(spark, sf_dir):
     rows = incidents.product_rows(_incidents(spark, sf_dir), load(spark, sf_dir, "snapshots"), 2)
-    return rows.select("label", "incident_id", "region_id", *(F.get_json_object("value", f"$.{c}").alias(c) for c in ("category", "species")))
+    return rows.select("label", "region_id", *(F.get_json_object("value", f"$.{c}").alias(n) for n, c in STORED.items()))
+
+
+@query(INCIDENTS + """SELECT incident_id AS key, region_id, CASE WHEN form_id % 3 = 0 THEN 'closed' ELSE status END AS status, CASE WHEN form_id % 2 = 0 THEN DATE '2024-01-31' ELSE DATE '2024-02-05' END AS created_at,
+    CASE WHEN form_id % 3 = 0 THEN DATE '2024-02-05' ELSE DATE '2024-01-31' END AS updated_at FROM incidents WHERE form_id % 2 = 0 OR form_id % 3 = 0""")
+def incident_product_upsert(spark, sf_dir):
+    rows, snapshots = _incidents(spark, sf_dir), load(spark, sf_dir, "snapshots")
+    day = F.to_date(F.lit("2024-01-31"))
+    stored = incidents.product_rows(rows.filter("form_id % 2 = 0"), snapshots, 2).select("snapshot_id", "region_id", "value", day.alias("created_at"), day.alias("updated_at"))
+    changes = incidents.product_rows(rows.filter("form_id % 3 = 0").withColumn("status", F.lit("closed")), snapshots, 2)
+    out = incidents.store_rows(stored, changes, "2024-02-05")
+    return out.select(F.get_json_object("value", "$.incidentKey").alias("key"), "region_id", F.get_json_object("value", "$.processStatus").alias("status"), "created_at", "updated_at")
 
 
-VOLUME = "0.0005 * D ** 2 + Math.max(0.01, 0.002 * D)"
 _NUM = lambda c, default="0e0": f"coalesce(TRY_CAST({c} AS DOUBLE), {default})"
 
 
 def _stock(months: str, survival: str) -> str:
     d = f"({_NUM('increment')} * ({months}) / 12)"
-    above = f"((0.0005e0 * {d} * {d} + greatest(0.01e0, 0.002e0 * {d})) * {_NUM('wood_density')})"
+    volume = f"(CASE WHEN {d} <= 0 THEN 0 ELSE CASE id % 3 WHEN 0 THEN 0.0005e0 * {d} * {d} + greatest(0.01e0, 0.002e0 * {d}) WHEN 1 THEN 0.001e0 * {d} ELSE sqrt({d}) * 0.003e0 END END)"
+    above = f"({volume} * {_NUM('wood_density')})"
     return f"({above} * (1 + {_NUM('root_shoot')} + {_NUM('bef')}) * {_NUM('carbon_fraction')} * {survival} / 100e0 * {_NUM('co2_factor', '3.67e0')})"
 
 
 @query(f"WITH {ctes('species')} SELECT id, round({_stock('120e0', '60e0')} * num_trees, 6) AS co2 FROM species")
 def carbon_at_year(spark, sf_dir):
-    return r6(carbon.at_year(load(spark, sf_dir, "species"), 10, 60.0, VOLUME), "co2")
+    return r6(carbon.at_year(load(spark, sf_dir, "species"), 10, 60.0), "co2")
 
 
 @query(f"WITH {ctes('species')} SELECT id, round({_stock('180e0', '80e0')} * num_trees / 1000 / 2.5e0, 6) AS tonnes_per_ha FROM species")
 def carbon_per_hectare(spark, sf_dir):
-    return r6(carbon.per_hectare(load(spark, sf_dir, "species"), 2.5, 15, 80.0, VOLUME), "tonnes_per_ha")
+    return r6(carbon.per_hectare(load(spark, sf_dir, "species"), 2.5, 15, 80.0), "tonnes_per_ha")
 
 
 def _carbon_sql(rates: str) -> str:
@@ -273,7 +321,7 @@ def _carbon_sql(rates: str) -> str:
 
 
 def _deltas(spark, sf_dir, survival=(60,)):
-    return carbon.deltas(load(spark, sf_dir, "species"), survival=survival, volume=VOLUME)
+    return carbon.deltas(load(spark, sf_dir, "species"), survival=survival)
 
 
 @query(_carbon_sql("60") + "SELECT id, name, CAST(survival AS INT) AS survival, CAST(no AS INT) AS no, label, CAST(months AS BIGINT) AS months, round(stock, 4) AS stock, round(delta, 4) AS delta, harvested FROM d")
@@ -281,8 +329,11 @@ def carbon_period_deltas(spark, sf_dir):
     return r6(_deltas(spark, sf_dir), "stock", "delta", places=4)
 
 
-@query(_carbon_sql("60") + """, g AS (SELECT * FROM (SELECT DISTINCT name FROM d), (SELECT DISTINCT no FROM d)), a AS (SELECT g.name, g.no, coalesce(sum(delta), 0) / 1e6 AS annual FROM g LEFT JOIN d ON g.name = d.name AND g.no = d.no GROUP BY 1, 2)
-    SELECT name, CAST(no AS INT) AS no, round(annual, 6) + 0e0 AS annual, round(sum(annual) OVER (PARTITION BY name ORDER BY no), 6) + 0e0 AS running FROM a""")
+SUMMED = "CAST(sum(CAST(delta AS DECIMAL(27,9))) AS DOUBLE)"
+
+
+@query(_carbon_sql("60") + f""", u AS (SELECT name, no, delta FROM d UNION ALL SELECT 'Total', no, delta FROM d), g AS (SELECT * FROM (SELECT DISTINCT name FROM u), (SELECT DISTINCT no FROM u)), a AS (SELECT g.name, g.no, coalesce({SUMMED}, 0) / 1e6 AS annual FROM g LEFT JOIN u ON g.name = u.name AND g.no = u.no GROUP BY 1, 2)
+    SELECT name, CAST(no AS INT) AS no, round(annual, 6) AS annual, round(sum(annual) OVER (PARTITION BY name ORDER BY no), 6) AS running FROM a""")
 def carbon_cumulative(spark, sf_dir):
     return r6(carbon.cumulative(_deltas(spark, sf_dir)), "annual", "running")
 
@@ -290,14 +341,14 @@ def carbon_cumulative(spark, sf_dir):
 NAMES = ["Brand#11", "Brand#12", "Brand#21"]
 
 
-@query(_carbon_sql("60") + f"""SELECT CAST(no AS INT) AS no, label, {', '.join(f'round(coalesce(sum(delta) FILTER (name = {chr(39)}{n}{chr(39)}), 0) / 1e6, 6) AS "{n}"' for n in NAMES)},
-    round(coalesce(sum(delta) FILTER (name IN ({', '.join(chr(39) + n + chr(39) for n in NAMES)})), 0) / 1e6, 6) AS total FROM d GROUP BY 1, 2""")
+@query(_carbon_sql("60") + f"""SELECT CAST(no AS INT) AS no, label, {', '.join(f'round(coalesce({SUMMED[:-11]} FILTER (name = {chr(39)}{n}{chr(39)}) AS DOUBLE), 0) / 1e6, 6) AS "{n}"' for n in NAMES)},
+    round({SUMMED} / 1e6, 6) AS total FROM d GROUP BY 1, 2""")
 def carbon_pivot_total(spark, sf_dir):
     out = carbon.pivot_total(_deltas(spark, sf_dir), NAMES)
-    return out.select("no", "label", *(F.round(F.col(f"`{c}`"), 6).alias(c) for c in [*NAMES, "total"]))
+    return out.select("no", "label", *(exact.half_up(F.col(f"`{c}`"), 6).alias(c) for c in [*NAMES, "total"]))
 
 
-CHART = _carbon_sql("40, 60, 80, 100") + ", c AS (SELECT CAST(survival AS INT) AS survival, CAST(no AS INT) AS year, label, sum(sum(delta)) OVER (PARTITION BY survival ORDER BY no) AS co2 FROM d GROUP BY survival, no, label) "
+CHART = _carbon_sql("40, 60, 80, 100") + f", e AS (SELECT CAST(survival AS INT) AS survival, CAST(no AS INT) AS year, label, {SUMMED} AS d FROM d GROUP BY 1, 2, 3), c AS (SELECT survival, year, label, sum(d) OVER (PARTITION BY survival ORDER BY year) AS co2 FROM e) "
 
 
 @query(CHART + "SELECT survival, year, label, round(co2, 3) AS co2 FROM c")
@@ -448,10 +499,10 @@ def gap_fill_sequential(spark, sf_dir):
     return r6(series.spread(series.fill_gaps(rows), ["pixel"], "filled"), "value")
 
 
-@query(f"""WITH {ctes('mask', 'layers')}, c AS (SELECT y, x, max(value) AS value FROM layers WHERE y < 21 AND x < 21 GROUP BY 1, 2)
+@query(f"""WITH {ctes('mask', 'layers')}, c AS (SELECT y, x, max(value) AS value FROM layers GROUP BY 1, 2)
     SELECT m.y, m.x, m.forest, c.value FROM mask m JOIN c ON c.y = CAST(floor(m.y / 3.0 + 0.5) AS INT) AND c.x = CAST(floor(m.x / 3.0 + 0.5) AS INT)""")
 def nearest_grid_align(spark, sf_dir):
-    coarse = load(spark, sf_dir, "layers").filter("y < 21 and x < 21").groupBy("y", "x").agg(F.max("value").alias("value"))
+    coarse = load(spark, sf_dir, "layers").groupBy("y", "x").agg(F.max("value").alias("value"))
     return series.align_nearest(load(spark, sf_dir, "mask"), coarse, 3.0)
 
 
@@ -478,9 +529,13 @@ def scene_set_cover(spark, sf_dir):
     return composite.covering_scenes(p.select(F.col("tile").alias("chunk"), (F.col("seq") % 23).alias("scene"), (F.col("y") * 100 + F.col("x")).cast("long").alias("pixel")))
 
 
-@query(ITEMS + ", m AS (SELECT *, max(coverage) OVER (PARTITION BY tile) AS most FROM c) SELECT tile, seq, round(coverage, 6) AS coverage, cloud FROM m WHERE coverage >= 0.9 * most QUALIFY row_number() OVER (PARTITION BY tile ORDER BY cloud, seq) = 1")
+@query(ITEMS + """, f AS (SELECT c.tile, c.seq AS own, c.fx0 AS x0, c.fx1 AS x1, c.fy0 AS y0, c.fy1 AS y1, c.coverage AS had FROM c JOIN pr USING (tile, seq) WHERE c.coverage < 1),
+    q AS (SELECT tile, seq, cloud, (coverage - greatest(0, least(fx1, x1, 1) - greatest(fx0, x0, 0)) * greatest(0, least(fy1, y1, 1) - greatest(fy0, y0, 0))) / (1 - had) AS gain, CASE WHEN cloud < 20 THEN 0 ELSE 1 END AS tier FROM c JOIN f USING (tile) WHERE seq <> own AND cloud < 50),
+    m AS (SELECT *, min(tier) OVER (PARTITION BY tile) AS lowest FROM q WHERE gain > 1e-9), n AS (SELECT *, max(gain) OVER (PARTITION BY tile) AS most FROM m WHERE tier = lowest)
+    SELECT tile, seq, round(gain, 6) AS coverage, cloud FROM n WHERE gain >= 0.9 * most QUALIFY row_number() OVER (PARTITION BY tile ORDER BY cloud, seq) = 1""")
 def best_candidate(spark, sf_dir):
-    return r6(scenes.best_candidate(load(spark, sf_dir, "items")), "coverage")
+    items = load(spark, sf_dir, "items")
+    return r6(scenes.best_candidate(items, scenes.primary(items)), "coverage")
 
 
 @query(ITEMS + ", t AS (SELECT *, min(CASE WHEN cloud < 20 THEN 0 ELSE 1 END) OVER (PARTITION BY tile) AS ft FROM c WHERE degraded < 2 AND cloud < 50) SELECT tile, seq FROM t WHERE (CASE WHEN cloud < 20 THEN 0 ELSE 1 END) = ft")
@@ -493,11 +548,13 @@ def scene_accepted(spark, sf_dir):
     return scenes.accepted(load(spark, sf_dir, "items"), best_available=True).select("tile", "seq", "accepted")
 
 
-@query(ITEMS + """, b AS (SELECT * FROM c WHERE seq % 13 = 0), g AS (SELECT DISTINCT tile, (i + 0.5e0) / 50 AS px, (j + 0.5e0) / 50 AS py FROM b, (SELECT unnest(range(50)) AS i), (SELECT unnest(range(50)) AS j)),
+@query(ITEMS + """, b AS (SELECT c.* FROM c JOIN pr USING (tile, seq)), g AS (SELECT DISTINCT tile, (i + 0.5e0) / 50 AS px, (j + 0.5e0) / 50 AS py FROM b, (SELECT unnest(range(50)) AS i), (SELECT unnest(range(50)) AS j)),
     u AS (SELECT tile, px, py FROM g WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.tile = g.tile AND px >= fx0 - 0.01e0 AND px < fx1 + 0.01e0 AND py >= fy0 - 0.01e0 AND py < fy1 + 0.01e0))
     SELECT tile, count(*) AS points, count(*) / 2500e0 AS share FROM u GROUP BY 1 HAVING count(*) >= 3""")
 def tile_uncovered(spark, sf_dir):
-    return scenes.uncovered(load(spark, sf_dir, "items").filter("seq % 13 = 0"))
+    """What the primary scenes leave uncovered."""
+    items = load(spark, sf_dir, "items")
+    return scenes.uncovered(items.join(scenes.primary(items).select("seq"), "seq", "left_semi"))
 
 
 @query(ITEMS + "SELECT seq, md5(tile || '|' || CAST(day AS VARCHAR)) AS key FROM c")
@@ -516,31 +573,45 @@ def band_pair_completeness(spark, sf_dir):
     return scenes.complete_pairs(load(spark, sf_dir, "band_files"))
 
 
+@query(f"""WITH {ctes('band_files')}, s AS (SELECT file, split_part(file, '-', 2) AS tile, split_part(file, '-', 3) AS date, split_part(file, '-', 4) AS band FROM band_files)
+    SELECT r.tile, r.date, r.file AS red, n.file AS nir, c.file AS scl FROM (SELECT DISTINCT * FROM s WHERE band = 'red') r JOIN (SELECT DISTINCT * FROM s WHERE band = 'nir') n ON r.tile = n.tile AND r.date = n.date
+    LEFT JOIN (SELECT DISTINCT * FROM s WHERE band = 'scl') c ON r.tile = c.tile AND r.date = c.date""")
+def band_file_join(spark, sf_dir):
+    return scenes.band_rows(load(spark, sf_dir, "band_files"))
+
+
 @query(ITEMS + "SELECT DISTINCT tile FROM c WHERE tile NOT IN (SELECT tile FROM c WHERE coverage > 0.72 AND cloud < 20 AND degraded < 1)")
 def tile_set_difference(spark, sf_dir):
     rows = scenes.with_coverage(load(spark, sf_dir, "items"))
     return scenes.tiles_left(rows, rows.filter("coverage > 0.72 and cloud < 20 and degraded < 1"))
 
 
-@query(f"""WITH {ctes('regions')}, g AS (SELECT code, x0, x1, y0, y1, unnest(range(CAST(ceil((x1 - x0) / 0.8e0) AS BIGINT))) AS i FROM regions WHERE NOT no_geom AND NOT notched), h AS (SELECT *, unnest(range(CAST(ceil((y1 - y0) / 0.8e0) AS BIGINT))) AS j FROM g),
-    e AS (SELECT *, x0 + i * 0.8e0 - 1e-4 AS a, y0 + j * 0.8e0 - 1e-4 AS b, x0 + (i + 1) * 0.8e0 + 1e-4 AS c, y0 + (j + 1) * 0.8e0 + 1e-4 AS d FROM h)
-    SELECT code, CAST(i AS INT) AS i, CAST(j AS INT) AS j, round((least(x1, c) - greatest(x0, a)) * (least(y1, d) - greatest(y0, b)) / ((c - a) * (d - b)), 6) AS share FROM e""")
+@query(f"""WITH {ctes('regions')}, g AS (SELECT *, unnest(range(CAST(ceil((x1 - x0) / 0.8e0) AS BIGINT))) AS i FROM regions WHERE NOT no_geom), h AS (SELECT *, unnest(range(CAST(ceil((y1 - y0) / 0.8e0) AS BIGINT))) AS j FROM g),
+    e AS (SELECT *, x0 + i * 0.8e0 - 1e-4 AS ca, y0 + j * 0.8e0 - 1e-4 AS cb, x0 + (i + 1) * 0.8e0 + 1e-4 AS cc, y0 + (j + 1) * 0.8e0 + 1e-4 AS cd FROM h),
+    b AS (SELECT *, greatest(x0, ca) AS p, least(x1, cc) AS q, greatest(y0, cb) AS b, least(y1, cd) AS d FROM e), a AS (SELECT code, i, j, {_region_area('p', 'q', 'b', 'd')} / ((cc - ca) * (cd - cb)) AS share FROM b)
+    SELECT code, CAST(i AS INT) AS i, CAST(j AS INT) AS j, round(share, 6) AS share FROM a WHERE share > 1e-9""")
 def aoi_grid_cells(spark, sf_dir):
-    return r6(tiles.aoi_grid(with_rings(spark, sf_dir).filter("not notched"), 0.8), "share")
+    return r6(tiles.aoi_grid(with_rings(spark, sf_dir), 0.8).filter("share > 1e-9"), "share")
 
 
-@query(f"""WITH {ctes('regions')}, t AS (SELECT i * 7 + j AS tile, 66 + i * 5e0 AS tx0, 71 + i * 5e0 AS tx1, 6 + j * 5e0 AS ty0, 11 + j * 5e0 AS ty1 FROM (SELECT unnest(range(7)) AS i), (SELECT unnest(range(7)) AS j))
-    SELECT code, tile, round((least(x1, tx1) - greatest(x0, tx0)) * (least(y1, ty1) - greatest(y0, ty0)) / 25, 6) AS share FROM regions, t WHERE NOT no_geom AND NOT notched AND x0 < tx1 AND x1 > tx0 AND y0 < ty1 AND y1 > ty0""")
+@query(f"""WITH {ctes('regions')}, t AS (SELECT i * 7 + j AS tile, 66 + i * 5e0 AS tx0, 71 + i * 5e0 AS tx1, 6 + j * 5e0 AS ty0, 11 + j * 5e0 AS ty1 FROM (SELECT unnest(range(7)) AS i), (SELECT unnest(range(7)) AS j)),
+    b AS (SELECT *, greatest(x0, tx0) AS p, least(x1, tx1) AS q, greatest(y0, ty0) AS b, least(y1, ty1) AS d FROM regions, t WHERE NOT no_geom AND x0 < tx1 AND x1 > tx0 AND y0 < ty1 AND y1 > ty0),
+    a AS (SELECT code, tile, {_region_area('p', 'q', 'b', 'd')} / 25 AS share FROM b) SELECT code, tile, round(share, 6) AS share FROM a WHERE share > 1e-9""")
 def tiles_in_regions(spark, sf_dir):
     t = spark.range(7).select(F.col("id").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("j")).select((F.col("i") * 7 + F.col("j")).alias("tile"), *((F.lit(base) + F.col(c) * 5.0).alias(n) for n, base, c in (("tx0", 66, "i"), ("tx1", 71, "i"), ("ty0", 6, "j"), ("ty1", 11, "j"))))
-    return r6(geo.box_tiles(with_rings(spark, sf_dir).filter("not notched"), t, ["code"]), "share")
+    return r6(geo.box_tiles(with_rings(spark, sf_dir), t, ["code"]).filter("share > 1e-9"), "share")
 
 
-@query(f"WITH {ctes('regions')} SELECT code, round((x0 + x1) / 2, 6) AS cx, round((y0 + y1) / 2, 6) AS cy, 'POLYGON' AS kind FROM regions WHERE NOT no_geom AND NOT notched")
+@query(f"""WITH {ctes('regions')}, r AS (SELECT *, CASE WHEN notched THEN (x1 - x0) * 1.37e0 / 2 ELSE 0 END AS cut FROM regions WHERE NOT no_geom)
+    SELECT code, round((x0 + x1) / 2, 6) AS cx, round(((x1 - x0) * (y1 - y0) * (y0 + y1) / 2 - cut * (y1 - 1.37e0 / 3)) / ((x1 - x0) * (y1 - y0) - cut), 6) AS cy, CASE WHEN notched THEN 6 ELSE 5 END AS corners,
+        round(x0, 6) AS first_x, round(y0, 6) AS last_y FROM r""")
 def region_centroids(spark, sf_dir):
+    """The centre of each ring, and its WKT read again: the number of points, of the first one x and of the last one y."""
     c = geo.centroid(F.col("ring"))
-    rows = with_rings(spark, sf_dir).filter("not notched and ring is not null").select("code", c["x"].alias("cx"), c["y"].alias("cy"), F.split(geo.to_wkt(F.col("ring")), " ").getItem(0).alias("kind"))
-    return r6(rows, "cx", "cy")
+    points = F.split(F.regexp_extract(geo.to_wkt(F.col("ring")), r"^POLYGON \(\((.*)\)\)$", 1), ", ")
+    number = lambda at, k: F.split(F.element_at(points, at), " ").getItem(k).cast("double")
+    rows = with_rings(spark, sf_dir).filter("ring is not null").select("code", c["x"].alias("cx"), c["y"].alias("cy"), F.size(points).alias("corners"), number(1, 0).alias("first_x"), number(-1, 1).alias("last_y"))
+    return r6(rows, "cx", "cy", "first_x", "last_y")
 
 
 @query(f"WITH {ctes('points')} SELECT id, CAST(CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + floor((lon + 180) / 6) + 1 AS INT) AS epsg FROM points")

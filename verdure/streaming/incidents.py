@@ -1,4 +1,4 @@
-"""Incidents from a stream of submitted forms: each micro-batch is a keyed upsert into versioned folders."""
+"""Incidents from a stream of submitted forms: each micro-batch adds its changes, and the newest change of an incident counts."""
 
 from __future__ import annotations
 
@@ -7,39 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdure.operators import incidents, publish
+from verdure.operators import incidents
 
+SCHEMA = "incident_id string, form_id long, region_id int, latitude double, longitude double, request_id double, category string, species string, status string, village string, beat_naka string, rescue_date date, description string, label string"
 
-def current(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The newest version of the incident table; empty before the first."""
-    versions = _versions(spark, path)
-    return spark.read.schema(schema).parquet(f"{path}/version={versions[-1]}") if versions else spark.createDataFrame([], schema)
 
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Finished versions, by the folders that Hadoop's file system lists: a version counts once its _SUCCESS is there."""
+def current(spark: SparkSession, path: str, schema: str = SCHEMA) -> DataFrame:
+    """The incident table: of each incident the row of its last batch. ``path`` holds a folder ``batch=n`` of changes for each batch that had any."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    done = [s.getPath() for s in fs.listStatus(root) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return sorted(int(p.getName().split("=")[1]) for p in done if "=" in p.getName())
-
-
-SCHEMA = "incident_id string, form_id long, region_id int, latitude double, longitude double, category string, species string, status string, village string, rescue_date date, description string, label string"
+    if not root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, batch long").parquet(path)
+    columns = [c for c in rows.columns if c not in ("incident_id", "batch")]
+    last = rows.groupBy("incident_id").agg(F.max(F.struct("batch", *columns)).alias("r"))
+    return last.select("incident_id", *(F.col("r")[c].alias(c) for c in columns))
 
 
 def upsert_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: a batch of form attributes replaces or adds its incidents. A batch that runs again after a failure writes the same version again."""
+    """A foreachBatch function: it writes the batch's incidents only, whatever is stored, so a batch costs what it holds. A batch that runs again after a failure replaces its own folder.
+    Of several rows of a form the last by reporting date counts, of one date the largest row."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = [v for v in _versions(spark, path) if v < batch_id]
-        stored = spark.read.schema(SCHEMA).parquet(f"{path}/version={before[-1]}") if before else spark.createDataFrame([], SCHEMA)
-        last = batch.groupBy("form_id").agg(F.max_by(F.struct(*batch.columns), "reporting_date").alias("r")).select("r.*")
-        changed = incidents.extract(last).select(stored.columns)
-        publish.upsert(stored, changed, "incident_id").write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        others = [c for c in batch.columns if c not in ("form_id", "reporting_date")]
+        last = batch.groupBy("form_id").agg(F.max(F.struct("reporting_date", *others)).alias("r")).select("form_id", "r.*")
+        incidents.extract(last).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return run
 
