@@ -21,10 +21,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir, or a new one where it is unset."""
+    """The folder that driver and executors share: the session's spark.checkpoint.dir. Where it is unset a local master gets a new folder; on a cluster that is an error."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="verdure-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
@@ -43,6 +45,45 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df`` as a table in the shared folder with its rows in buckets by ``key``, so that a join on it shuffles the other side only. The catalog's entry goes at once: no name is left
+    behind, and the DataFrame reads the files."""
+    spark, table = df.sparkSession, f"verdure_{uuid.uuid4().hex[:12]}"
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.write.bucketBy(n, key).option("path", workspace(spark, name)).option("compression", "zstd").saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
+def only(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns alone, told by their exact spelling from others that differ in case only; without an exact one, the one that Spark would take."""
+    own = numbered_columns(df)
+    at = lambda n: df.columns.index(n) if n in df.columns else [c.lower() for c in df.columns].index(n.lower())
+    return own.select(*(F.col(f"c{at(n)}").alias(n) for n in names))
+
+
+def numbered_columns(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ...: no name that an operator adds clashes with them. ``toDF(*df.columns)`` gives the names back."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+#: A key with more than this part of all rows is split off.
+HOT = 10_000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """``rows``, written already, joined with ``groups``: one row for each of the keys, with the number ``n`` of its rows. Keys that hold over a ten-thousandth of the rows, of which there
+    are fewer than ten thousand, are broadcast and their rows stay where they are; the others are shuffled. So no task gets all rows of a frequent key, and what is broadcast is bounded."""
+    groups = stored(groups, "groups")
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    hot = groups.filter(F.col(n) * HOT > F.lit(total))
+    cold = groups.filter(F.col(n) * HOT <= F.lit(total))
+    own = rows.join(F.broadcast(hot), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return own.unionByName(rest)
+
+
 def long_id(c: str) -> Column:
     return F.col(c).cast("long").alias(c)
 

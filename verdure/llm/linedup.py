@@ -8,12 +8,16 @@ the count of those before it. Suffixes alone in their rank are done: their longe
 Suffixes of one rank at level j are a longest-common-prefix interval of at least 2**j lines. A suffix's common prefix with the first suffix of its deepest interval is found by
 walking the levels down; such runs that can't be lengthened at either end are the maximal repeated runs.
 
-A run of ``lines`` lines or more that occurs earlier (in a smaller doc_id, or further up in the same document without overlap) is a later copy and its lines are deleted: every
-line that such a copy covers goes, the first copy stays. With ``alone``, later copies of a single line of that many words or more go as well, by the ranks of level 0; so passages
-that stand on one line between different neighbours are caught, and short lines of clean documents stay.
+A run of ``lines`` lines or more that occurs earlier (in a smaller doc_id, or further up in the same document) is a later copy: the lines of the maximal runs are deleted, the first
+copy stays. Of a pattern that repeats inside one document, with a period shorter than ``lines``, the first whole periods that hold ``lines`` lines stay. With ``alone``, later copies of a
+single line of that many words or more go as well, by the ranks of level 0; so passages that stand on one line between different neighbours are caught, and short lines of clean
+documents stay.
+
+Ranks that many suffixes share are joined by broadcast (``join_groups``), so a line of a third of all documents fills no task.
 
 Cases: a null or blank text has no lines and stays as it is; rows of one doc_id and text are one document and get one result; a null doc_id counts as smaller than any
-other; a document that loses all its lines is a copy as a whole and is not returned; an empty table gives an empty result; all columns of the input are kept.
+other; a document that loses all its lines is a copy as a whole and is not returned; an empty table gives an empty result; all columns of the input are kept, whatever their names. A
+very long text is a list of line hashes in its task, and its repeats are doubled as often as the longest of them needs.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_id, small, stored
+from .common import join_groups, long_id, numbered_columns, only, small, stored
 
 NULL_ID = -(1 << 63)
 
@@ -54,13 +58,18 @@ def line_rows(docs: DataFrame) -> DataFrame:
             cols = [pa.array(d, pa.int64()), pa.array(h, pa.int64()), pa.array(pos, pa.int32()), pa.array(ids, pa.int64()), pa.array(words, pa.int32())]
             yield pa.RecordBatch.from_arrays(cols, names=["d", "h", "pos", "id", "words"])
 
-    keyed = docs.select(F.coalesce(long_id("doc_id"), F.lit(NULL_ID)).alias("d"), F.xxhash64("text").alias("h"), F.col("text").cast("string").alias("text"))
+    keyed = only(docs, "doc_id", "text").select(F.coalesce(long_id("doc_id"), F.lit(NULL_ID)).alias("d"), F.xxhash64("text").alias("h"), F.col("text").cast("string").alias("text"))
     return keyed.mapInArrow(run, "d long, h long, pos int, id long, words int")
 
 
+AT = ["d", "h", "pos"]
+
+
 def ranked(pairs: DataFrame) -> DataFrame:
-    """(a, b, rank): distinct pairs that two or more suffixes share, ranked by (a, b) from 1, whatever their number."""
-    distinct = pairs.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")
+    """(a, b, n, first, rank): distinct pairs that two or more suffixes share, ranked by (a, b) from 1, whatever their number. With the suffixes' places (d, h, pos), ``first`` is the least."""
+    first = F.min(F.struct(*AT)) if "pos" in pairs.columns else F.lit(None).cast("struct<d:long,h:long,pos:int>")
+    groups = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("n"), first.alias("first")).filter("n > 1"), "groups")
+    distinct = groups.select("a", "b")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
@@ -74,7 +83,8 @@ def ranked(pairs: DataFrame) -> DataFrame:
     for part, n in sizes:
         before[part], total = total, total + n
     base = placed.sparkSession.createDataFrame(list(before.items()), "part int, base long")
-    return placed.join(F.broadcast(base), "part").select("a", "b", (F.col("base") + F.col("n")).alias("rank"))
+    ranks = placed.join(F.broadcast(base), "part").select("a", "b", (F.col("base") + F.col("n")).alias("rank"))
+    return groups.join(ranks, ["a", "b"])
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -83,78 +93,78 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def repeated_suffixes(docs: DataFrame, most_levels: int = 40, lines: DataFrame | None = None) -> list[DataFrame]:
-    """For j = 0, 1, ...: (d, h, pos, rank) of the suffixes that share their first 2**j lines with another one; the last level is where none is left."""
+    """For j = 0, 1, ...: (d, h, pos, rank, first) of the suffixes that share their first 2**j lines with another one, and the first suffix that does; the last level is where none is left."""
     lines = numbered(docs) if lines is None else lines
-    one = lines.select("d", "h", "pos", F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
-    levels = [stored(one.join(ranked(one), ["a", "b"]).select("d", "h", "pos", "rank"), "level-0")]
+    one = lines.select(*AT, F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
+    level = lambda pairs, j: stored(join_groups(pairs, ranked(pairs), ["a", "b"]).select(*AT, "rank", "first"), f"level-{j}")
+    levels = [level(one, 0)]
     while len(levels) < most_levels and not levels[-1].isEmpty():
         last, step = levels[-1], 1 << (len(levels) - 1)
         ahead = last.select("d", "h", (F.col("pos") - step).alias("pos"), F.col("rank").alias("b"))
-        both = last.withColumnRenamed("rank", "a").join(ahead, ["d", "h", "pos"])  # what has no rank 2**(j-1) lines on has no repeat of 2**j lines
-        both = stored(both.select("d", "h", "pos", "a", "b"), f"pairs-{len(levels)}")
-        levels.append(stored(both.join(ranked(both), ["a", "b"]).select("d", "h", "pos", "rank"), f"level-{len(levels)}"))
+        both = last.select(*AT, F.col("rank").alias("a")).join(ahead, AT)  # what has no rank 2**(j-1) lines on has no repeat of 2**j lines
+        levels.append(level(stored(both.select(*AT, "a", "b"), f"pairs-{len(levels)}"), len(levels)))
     return levels
 
 
-def earlier_runs(docs: DataFrame) -> DataFrame:
-    """(d, h, pos, to_d, to_h, to_pos, lines): for each suffix that repeats an earlier one, the first suffix of its deepest interval and their longest common prefix.
+def earlier_runs(docs: DataFrame, least: int = 1, levels: list[DataFrame] | None = None) -> DataFrame:
+    """(d, h, pos, to_d, to_h, to_pos, lines): for each suffix that repeats an earlier one in ``least`` lines or more, the first suffix of its deepest interval and their longest common prefix.
 
     The interval says that it has 2**j lines at least and fewer than twice as many; walking the levels below j down, pair by pair, finds the rest.
     """
-    levels = repeated_suffixes(docs)
-    at = ["d", "h", "pos"]
+    levels = repeated_suffixes(docs) if levels is None else levels
     found = None
     for j, level in enumerate(levels):
-        first = level.groupBy("rank").agg(F.min(F.struct(*at)).alias("to"))
-        rows = level.join(first, "rank").filter(~F.struct(*at).eqNullSafe(F.col("to"))).select(*at, F.lit(j).alias("j"), "to")
-        found = rows if found is None else found.unionByName(rows)
-    deep = found.groupBy(*at).agg(F.max("j").alias("j"), F.max_by("to", "j").alias("to"))
-    out = stored(deep.select(*at, F.col("to.d").alias("to_d"), F.col("to.h").alias("to_h"), F.col("to.pos").alias("to_pos"), "j", F.expr("shiftleft(1, j)").alias("lines")), "deep")
+        if 2 << j > least or level is levels[-1]:
+            rows = level.filter(~F.struct(*AT).eqNullSafe(F.col("first"))).select(*AT, F.lit(j).alias("j"), "first")
+            found = rows if found is None else found.unionByName(rows)
+    deep = found.groupBy(*AT).agg(F.max_by(F.struct("j", "first"), "j").alias("x"))
+    out = deep.select(*AT, F.col("x.first.d").alias("to_d"), F.col("x.first.h").alias("to_h"), F.col("x.first.pos").alias("to_pos"), F.col("x.j").alias("j"), F.expr("shiftleft(1, x.j)").alias("lines"))
+    out = stored(out, "deep")
     for i in range(len(levels) - 2, -1, -1):
+        # of the intervals above level i the lines that follow, on both sides; one first copy can have many later ones, so its rank is looked up once
+        ahead = out.filter(F.col("j") > i).withColumn("q", F.col("to_pos") + F.col("lines"))
+        if ahead.isEmpty():
+            continue
         own = levels[i].select("d", "h", F.col("pos").alias("p"), F.col("rank").alias("r"))
+        here = ahead.withColumn("p", F.col("pos") + F.col("lines")).join(own, ["d", "h", "p"], "left").drop("p")
+        here = stored(here, "ahead")
+        target = ["to_d", "to_h", "q"]
         other = levels[i].select(F.col("d").alias("to_d"), F.col("h").alias("to_h"), F.col("pos").alias("q"), F.col("rank").alias("s"))
-        here = out.withColumns({"p": F.col("pos") + F.col("lines"), "q": F.col("to_pos") + F.col("lines")}).join(own, ["d", "h", "p"], "left").join(other, ["to_d", "to_h", "q"], "left")
-        more = F.when((F.col("j") > i) & (F.col("r") == F.col("s")), F.col("lines") + (1 << i)).otherwise(F.col("lines"))
-        out = stored(here.withColumn("lines", more).select(out.columns), "walked")
-    return out.drop("j")
+        there = here.groupBy(*target).agg(F.count("*").alias("n")).join(other, target, "left")
+        more = F.when(F.col("r") == F.col("s"), F.col("lines") + (1 << i)).otherwise(F.col("lines"))
+        walked = join_groups(here, there, target).withColumn("lines", more).select(out.columns)
+        out = stored(walked.unionByName(out.filter(F.col("j") <= i)), "walked")
+    return out.filter(F.col("lines") >= least).drop("j")
 
 
-def maximal_runs(docs: DataFrame, lines: int = 2) -> DataFrame:
+def maximal_runs(docs: DataFrame, lines: int = 2, levels: list[DataFrame] | None = None) -> DataFrame:
     """The runs of ``earlier_runs`` of at least ``lines`` lines that the run from the line before, to the line before, doesn't hold."""
-    runs = earlier_runs(docs)
+    runs = earlier_runs(docs, lines, levels)
     before = runs.select("d", "h", (F.col("pos") + 1).alias("pos"), "to_d", "to_h", (F.col("to_pos") + 1).alias("to_pos"))
-    return runs.filter(F.col("lines") >= lines).join(before, ["d", "h", "pos", "to_d", "to_h", "to_pos"], "left_anti")
+    return runs.join(before, [*AT, "to_d", "to_h", "to_pos"], "left_anti")
 
 
 def later_copies(docs: DataFrame, lines: int = 2, alone: int | None = None) -> DataFrame:
-    """(d, h, pos, n): starts of runs of n lines that occur earlier without overlap: n is ``lines``, a power of two, or 1 for a line of ``alone`` words or more.
-
-    Runs of more lines are covered by theirs. Doubling stops at the level of ``lines``. The first place of a rank is its least (d, h, pos), with a map-side combine.
-    """
-    level = lines.bit_length() - 1
-    if lines != 1 << level:
-        raise ValueError("lines must be a power of two")
+    """(d, h, pos, n): the lines that are later copies, n from pos on: the spans of the maximal runs, and lines of ``alone`` words or more."""
     rows = numbered(docs)
-    levels = repeated_suffixes(docs, level + 1, rows)
-
-    def later(suffixes: DataFrame, n: int) -> DataFrame:
-        first = suffixes.groupBy("rank").agg(F.min(F.struct("d", "h", "pos")).alias("first"))
-        same = (F.col("d") == F.col("first.d")) & (F.col("h") == F.col("first.h"))
-        return suffixes.join(first, "rank").filter(~same | (F.col("pos") >= F.col("first.pos") + n)).select("d", "h", "pos", F.lit(n).alias("n"))
-
-    out = later(levels[level], lines) if len(levels) > level else later(levels[-1], lines).limit(0)
+    levels = repeated_suffixes(docs, lines=rows)
+    runs = maximal_runs(docs, lines, levels)
+    period = F.when((F.col("d") == F.col("to_d")) & (F.col("h") == F.col("to_h")), F.col("pos") - F.col("to_pos")).otherwise(F.lit(lines))
+    start = F.when(period < lines, F.col("to_pos") + F.ceil(F.lit(lines) / period) * period).otherwise(F.col("pos")).cast("int")
+    spans = runs.select("d", "h", start.alias("pos"), (F.col("pos") + F.col("lines") - start).alias("n")).filter(F.col("n") >= lines)
     if alone is None or lines == 1:
-        return out
-    return out.unionByName(later(levels[0].join(rows.filter(F.col("words") >= alone).select("d", "h", "pos"), ["d", "h", "pos"], "left_semi"), 1))
+        return spans
+    single = levels[0].filter(~F.struct(*AT).eqNullSafe(F.col("first"))).join(rows.filter(F.col("words") >= alone).select(*AT), AT, "left_semi")
+    return spans.unionByName(single.select(*AT, F.lit(1).alias("n")))
 
 
 def dedup_lines(docs: DataFrame, lines: int = 2, alone: int | None = None) -> DataFrame:
     """The documents without later copies of repeated line runs; all columns are kept."""
     found = later_copies(docs, lines, alone)
-    cuts = found.groupBy("d", "h").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("verdure_cuts")).withColumnsRenamed({"d": "verdure_cd", "h": "verdure_ch"})
-    keyed = docs.withColumns({"verdure_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "verdure_h": F.xxhash64("text")})
-    joined = keyed.join(cuts, (F.col("verdure_d") == F.col("verdure_cd")) & (F.col("verdure_h") == F.col("verdure_ch")), "left")
-    at = docs.columns.index("text")
+    cuts = found.groupBy("d", "h").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("cuts"))
+    at, plain = docs.columns.index("text"), numbered_columns(docs)
+    d, text = F.coalesce(F.col(f"c{docs.columns.index('doc_id')}").cast("long"), F.lit(NULL_ID)), F.col(f"c{at}")
+    joined = plain.join(cuts, (d == F.col("d")) & (F.xxhash64(text) == F.col("h")), "left").select(*plain.columns, "cuts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -166,7 +176,7 @@ def dedup_lines(docs: DataFrame, lines: int = 2, alone: int | None = None) -> Da
             cols = [pa.array(texts, b.schema.field(k).type) if k == at else c for k, c in enumerate(b.columns[:-1])]
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select(*(joined[f"`{c}`"] for c in docs.columns), "verdure_cuts").mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def cut(text: str, runs: list[tuple[int, int]]) -> str | None:
