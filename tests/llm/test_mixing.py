@@ -30,6 +30,28 @@ def test_flight_is_unbiased():
     assert np.abs(mean - 0.3).max() < 0.05
 
 
+@given(st.lists(st.tuples(st.floats(0.01, 0.99), st.integers(1, 20_000)), min_size=1, max_size=80), st.integers(0, 99))
+@settings(max_examples=100, deadline=None)
+def test_long_first_keeps_sizes(units, seed):
+    pi, size = np.array([u[0] for u in units]), np.array([u[1] for u in units], float)
+    p = M.fly(pi, size, seed)
+    assert ((p > 1e-9) & (p < 1 - 1e-9)).sum() <= 2 and p.min() >= 0 and p.max() <= 1
+    assert np.isclose(p @ size, pi @ size, rtol=1e-5, atol=1e-3)
+
+
+def test_inclusion_is_the_probability():
+    """Flight and landing keep every document's probability, long ones' too; the sums stay near what is expected."""
+    size = np.sort(np.random.default_rng(1).pareto(1.1, 300) * 20 + 1).round().clip(max=500)
+    pi, runs = np.full(300, 0.3), 600
+    got = np.array([M.landing(M.fly(pi, size, s), size, s + 10**6) for s in range(runs)])
+    assert set(np.unique(got)) == {0.0, 1.0}
+    assert np.abs(got.mean(axis=0).reshape(6, 50).mean(axis=1) - 0.3).max() < 0.01
+    assert np.abs(got.mean(axis=0) - 0.3).max() < 0.08  # four standard deviations of one document
+    assert np.abs(got @ size - 0.3 * size.sum()).max() < 0.01 * size.sum()
+    decided = np.array([1.0, 0.0, 0.4, 1.0])
+    assert {tuple(M.landing(decided, np.array([9.0, 9, 2, 9]), s)[[0, 1, 3]]) for s in range(20)} == {(1.0, 0.0, 1.0)}
+
+
 @pytest.mark.parametrize("sizes", [{"a": 100, "b": 100, "c": 100, None: 7}, {"a": 1, "b": 5000, "c": 3, "d": 40, "é": 9}, {"x": 10}, {"a": 0, "b": 3}])
 def test_targets(spark, sizes):
     df = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(3)
@@ -81,3 +103,14 @@ def test_mix(spark, block):
 def test_empty(spark):
     df = spark.createDataFrame([], DOCS)
     assert M.mix(df).collect() == [] and M.mixed_documents(df).collect() == []
+
+
+def test_names_and_long_texts(spark):
+    """Columns that differ in case, or have names of our own, stay as they are; a text of 50,000 words is a size."""
+    names = ["doc_id", "DOC_ID", "text", "source", "h", "times", "c0", "verdure_h"]
+    rows = [(i, "x", "w " * (50_000 if i == 3 else 5), "a", i, 1, "c", "v") for i in range(40)]
+    df = spark.createDataFrame(rows, "a long, b string, c string, d string, e long, f int, g string, i string").toDF(*names)
+    out = M.mixed_documents(df)
+    assert out.columns == names and {tuple(r) for r in out.collect()} <= set(rows)
+    got = {r["doc_id"]: r for r in M.mix(df).collect()}
+    assert got[3]["size"] == 50_000 and len(got) == 40 and all(r["taken"] % r["size"] == 0 for r in got.values())

@@ -4,15 +4,17 @@ A source's target is its share of the mix. Shares go by weight, stop at ``most``
 sources below. All documents of a source are taken target/size times on average: the whole part always, the rest by a balanced sample in which every
 document has this rest as its inclusion probability.
 
-The sample is drawn by the cube method. Flight: of a few documents at a time the probabilities move along a vector in the null space of the balancing
-constraints (their size and their number over the probability), at random in one of its two directions, until one of them is 0 or 1; so the sums of sizes and
-documents do not change. In each block of a source all but at most two documents and twelve that are held back are decided; what remains of all blocks is dealt into new blocks, until one
-block for each source holds it. Landing: its last documents, at most two, are rounded to what misses both sums least, and a long one's error is made up for by short ones.
+The sample is drawn by the cube method. Flight: the probabilities of undecided documents move along a vector in the null space of the balancing constraints (their size and their
+number over the probability), at random in one of its two directions, until one of them is 0 or 1; so the sums of sizes and documents do not change, and every document's expectation
+is its probability. The longest undecided document goes first, against all shorter ones, each moved a little; so long documents are decided while there is enough to make up for them, and
+what is left at the end is short. In each block of a source all but at most two documents are decided; what remains of all blocks is dealt into new blocks, until one block for each
+source holds it. Landing draws its last documents, at most two, so that they keep their expectation as well.
 
 Blocks are a hash of the document and hold about ``block`` documents, however large a source is. All choices come from hashes, so reruns agree.
 
 Cases: a null text has size 0; sources are in code point order, null last, and null is a source of its own; a source of size 0 has target 0; repeated rows are
-documents of their own; an empty table gives an empty result; columns other than doc_id, text and source are ignored.
+documents of their own; an empty table gives an empty result; columns other than doc_id, text and source are ignored, whatever their names. A very long
+text is a size; one that is longer than all that its source takes, or leaves, is left, or taken, so that the target is met.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, long_id, stored
+from .common import WORD, long_id, numbered_columns, only, stored
 
 
 def targets(totals: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
@@ -83,23 +85,86 @@ def flight(pi: np.ndarray, a: np.ndarray, rnd: np.random.Generator) -> np.ndarra
         active = rest
 
 
-def landing(pi: np.ndarray, size: np.ndarray, want: float) -> np.ndarray:
-    """Round the few documents that are left to what misses their expected size, then number, least; ties to fewer. One of them can be long. So then,
-    from the longest document to the shortest, one is taken or dropped where that brings the size nearer to ``want``: few changes, each at most half as far off."""
-    left = np.flatnonzero((pi > 1e-9) & (pi < 1 - 1e-9))
-    rest, n = float((pi[left] * size[left]).sum()), float(pi[left].sum())
-    best = min(range(1 << len(left)), key=lambda m: (abs(sum(size[q] for b, q in enumerate(left) if m >> b & 1) - rest), abs(bin(m).count("1") - n), m))
-    out = np.round(pi)
-    for b, q in enumerate(left):
-        out[q] = best >> b & 1
-    off = float((out * size).sum()) - want
-    for q in np.argsort(-size, kind="stable").tolist():
-        by = size[q] if out[q] == 0 else -size[q]
-        if abs(off + by) <= abs(off) / 2:
-            out[q], off = 1 - out[q], off + by
+def long_first(pi: np.ndarray, size: np.ndarray, rnd: np.random.Generator, rest: int = 8) -> np.ndarray:
+    """Flight steps that each decide the longest undecided document and move all shorter ones, these in proportion to what room they have, until ``rest`` documents are undecided. One of over a
+    hundredth of the sizes' expected sum that the others can't make up for both ways doesn't keep its probability: it goes the way that keeps the sum."""
+    eps, out = 1e-9, pi.copy()
+    at = np.argsort(-size, kind="stable")
+    at = at[(pi[at] > eps) & (pi[at] < 1 - eps)]
+    p, s = pi[at], size[at].astype(float)
+    slack = 0.01 * float(pi @ size)
+
+    def reach(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The step's vector, and how far it can go up and down before each document is decided."""
+        u = np.concatenate([[1.0], w])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return u, np.where(u > 0, (1 - p) / u, np.where(u < 0, -p / u, np.inf)), np.where(u > 0, p / u, np.where(u < 0, (p - 1) / u, np.inf))
+
+    while len(at) > rest:
+        room, o = np.minimum(p[1:], 1 - p[1:]), s[1:]
+        n, m, v = room.sum(), room @ o, room @ (o * o)
+        det = n * v - m * m
+        both = done = False
+        if det > 1e-9 * n * v:  # sizes and number of the others add up to the longest one's, turned round
+            b = (m - s[0] * n) / det
+            kept = u, ups, downs = reach(room * ((-1 - b * m) / n + b * o))
+            both, done = True, ups.min() == ups[0] and downs.min() == downs[0]
+        if not done:  # documents of one size, or one so long that the number has to give way: sizes alone, each with all the room that the longest one's two ways leave it
+            room = np.minimum((1 - p[1:]) / p[0], p[1:] / (1 - p[0]))
+            u, ups, downs = reach(-s[0] * room / (room @ o))
+            done = ups.min() >= ups[0] * (1 - 1e-9) and downs.min() >= downs[0] * (1 - 1e-9)
+        if done:
+            if both and len(at) > 8 * rest:  # the number is kept as well, if another document is decided first
+                u, ups, downs = kept
+            up, down = ups.min(), downs.min()
+            rises = rnd.random() * (up + down) < down
+            q = int((ups if rises else downs).argmin())
+            p = np.clip(p + (up if rises else -down) * u, 0.0, 1.0)
+            p[q] = np.round(p[q])
+        else:  # too long for that: it goes a way that the others can make up for, if there are two as its probability says
+            down, up = (1 - p[1:]) @ o >= p[0] * s[0], p[1:] @ o >= (1 - p[0]) * s[0]
+            if s[0] <= slack or not (up or down):
+                break  # short enough for the rest of the flight and for landing
+            if both:
+                u, ups, downs = kept
+            rises = up and (not down or rnd.random() < p[0])
+            way = ups if rises else downs
+            if both and (len(at) > 8 * rest or way.min() == way[0]):  # as far as goes with the number kept
+                q = int(way.argmin())
+                p = np.clip(p + (way[q] if rises else -way[q]) * u, 0.0, 1.0)
+                p[q] = np.round(p[q])
+            else:
+                room = p[1:] if rises else 1 - p[1:]
+                p = np.clip(p + ((1 - p[0]) if rises else -p[0]) * np.concatenate([[1.0], -s[0] * room / (room @ o)]), 0.0, 1.0)
+                p[0] = float(rises)
+        left = (p > eps) & (p < 1 - eps)
+        out[at[~left]] = np.round(p[~left])
+        at, p, s = at[left], p[left], s[left]
+    out[at] = p
     return out
 
 
+def landing(pi: np.ndarray, size: np.ndarray, seed: float) -> np.ndarray:
+    """Decide the few documents that are left so that each keeps its expectation; decided ones stay. As long as two are open, the two nearest in size are moved against each other: the
+    number stays, the size moves by their difference at most. The last one is drawn."""
+    rnd, out = np.random.default_rng(int(abs(seed))), pi.copy()
+    opened = lambda: [q for q in np.argsort(size, kind="stable").tolist() if 1e-9 < out[q] < 1 - 1e-9]
+    while len(left := opened()) > 1:
+        a, b = min(zip(left, left[1:]), key=lambda x: size[x[1]] - size[x[0]])
+        up, down = min(1 - out[a], out[b]), min(out[a], 1 - out[b])
+        by = up if rnd.random() * (up + down) < down else -down
+        out[a], out[b] = out[a] + by, out[b] - by
+    for q in left:
+        out[q] = float(rnd.random() < out[q])
+    return np.round(out)
+
+
+def fly(pi: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+    """The whole flight of a block: at most two documents stay between 0 and 1."""
+    rnd = np.random.default_rng(seed)
+    return flight(long_first(pi, size, rnd), np.column_stack([size, np.ones(len(pi))]), rnd)
+
+
 def _round(units: DataFrame, last: bool) -> DataFrame:
     """One round of flights; the last one lands."""
 
@@ -107,19 +172,14 @@ def _round(units: DataFrame, last: bool) -> DataFrame:
         pdf = pdf.sort_values(["size", "doc_id", "h", "nth"], ascending=[False, True, True, True], kind="stable", na_position="first").reset_index(drop=True)
         size = pdf["size"].to_numpy(float)
         seed = int(np.bitwise_xor.reduce(pdf["h"].to_numpy(np.int64)) & 0x7FFFFFFF) + len(pdf)
-        before = pdf["pi"].to_numpy(float)
-        fly = np.ones(len(pdf), bool)
-        if not last:  # some of every size stay as they are, for the last landing
-            fly[np.linspace(0, len(pdf) - 1, min(len(pdf), 12)).astype(int)] = False
-        pi = before.copy()
-        pi[fly] = flight(before[fly], np.column_stack([size, np.ones(len(pdf))])[fly], np.random.default_rng(seed))
-        return pdf.assign(pi=landing(pi, size, float((before * size).sum())) if last else pi)
+        pi = fly(pdf["pi"].to_numpy(float), size, seed)
+        return pdf.assign(pi=landing(pi, size, seed + 1) if last else pi)
 
     return units.groupBy("source_no", "blk").applyInPandas(run, units.schema)
 
 
 def balanced_sample(units: DataFrame, block: int = 8192) -> DataFrame:
-    """With blocks of 28 or more, fourteen documents of a block go on. ``pi`` of units (source_no, doc_id, h, nth, size, pi) becomes 0 or 1, balanced in each source; written between the rounds."""
+    """With blocks of three or more, two documents of a block go on. ``pi`` of units (source_no, doc_id, h, nth, size, pi) becomes 0 or 1, balanced in each source; written between the rounds."""
     decided = None
     left = stored(units.filter("pi > 1e-9 and pi < 1 - 1e-9").withColumn("blk", F.lit(0)), "units")
     sure = units.filter("not (pi > 1e-9 and pi < 1 - 1e-9)").withColumn("pi", F.round("pi"))
@@ -142,7 +202,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     """(doc_id, size, source_size, target, taken, h, nth): ``taken`` is in words; a document is taken taken / size times. h and nth tell rows of one doc_id apart."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     # rows that are alike but for their place can't be told apart: they are one row with a count, then numbered
-    rows = docs.select(long_id("doc_id"), F.xxhash64("doc_id", "source", "text").alias("h"), F.col("source").cast("string").alias("source"), size.alias("size"))
+    rows = only(docs, "doc_id", "text", "source").select(long_id("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), "source", "text").alias("h"), F.col("source").cast("string").alias("source"), size.alias("size"))
     rows = rows.groupBy("doc_id", "h", "source", "size").agg(F.count("*").cast("int").alias("n"))
     rows = stored(rows.select("doc_id", "h", "source", "size", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("nth")), "sizes")
     totals = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
@@ -160,12 +220,14 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents themselves, each as often as it is taken. Documents without words are in no mix. Rows that are alike in all columns but
     for their place are one row that is repeated as often as they are taken together."""
     taken = mix(docs, **how).filter("size > 0").groupBy("h").agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("times"), F.count("*").alias("rows"))
-    taken = stored(taken.withColumnRenamed("h", "verdure_h"), "taken")
-    hashed = docs.withColumn("verdure_h", F.xxhash64(F.col("doc_id").cast("long"), "source", "text"))
+    taken = stored(taken, "taken")
+    at = lambda n: F.col(f"c{docs.columns.index(n)}")
+    plain = numbered_columns(docs)
+    hashed = plain.withColumn("h", F.xxhash64(at("doc_id").cast("long"), at("source").cast("string"), at("text")))
     if taken.filter("rows > 1").limit(1).count():
-        hashed = hashed.dropDuplicates(["verdure_h"])
-    joined = hashed.join(taken.filter("times > 0").select("verdure_h", F.col("times").alias("verdure_times")).hint("shuffle_hash"), "verdure_h")  # grows with the documents: shuffled at every size
-    return joined.withColumn("verdure_k", F.explode(F.array_repeat(F.lit(1), F.col("verdure_times")))).select(*(F.col(f"`{c}`") for c in docs.columns))
+        hashed = hashed.dropDuplicates(["h"])
+    joined = hashed.join(taken.filter("times > 0").select("h", "times").hint("shuffle_hash"), "h")  # grows with the documents: shuffled at every size
+    return joined.withColumn("k", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select(*plain.columns).toDF(*docs.columns)
 
 
 def brute_targets(sizes: dict, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0) -> dict:
