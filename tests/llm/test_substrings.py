@@ -40,7 +40,7 @@ def corpus(seed, length):
     return rows
 
 
-@pytest.mark.parametrize("seed,length,gram,group", [(1, 10, 5, 4000), (2, 10, 5, 1), (3, 12, 4, 2), (4, 50, 25, 4000)])
+@pytest.mark.parametrize("seed,length,gram,group", [(1, 10, 5, 4000), (2, 10, 5, 1), (3, 12, 4, 2), (4, 50, 25, 4000), (5, 10, 4, 6)])
 def test_equals_brute_force(spark, seed, length, gram, group):
     rows = corpus(seed, length)
     df = spark.createDataFrame(rows, "doc_id long, text string, own string").repartition(3)
@@ -53,3 +53,37 @@ def test_equals_brute_force(spark, seed, length, gram, group):
 
 def test_empty(spark):
     assert S.dedup_substrings(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("group", [4000, 3])
+def test_maximal_repeats(spark, group):
+    """Runs of windows with one least document, against all windows of all documents; however prefixes grow."""
+    length = 10
+    rows = [(r[0], r[1]) for r in {r[0]: r for r in corpus(6, length) if r[0] is not None}.values()]
+    words = {d: (t or "").split() for d, t in rows}
+    least = {}
+    for d in sorted(words):
+        for i in range(len(words[d]) - length + 1):
+            least.setdefault(tuple(words[d][i : i + length]), d)
+    want = []
+    for d, w in words.items():
+        for i in range(len(w) - length + 1):
+            v = least[tuple(w[i : i + length])]
+            if v < d:
+                if want and want[-1][0] == d and want[-1][3] == v and want[-1][1] + want[-1][2] - length + 1 == i:
+                    want[-1][2] += 1
+                else:
+                    want.append([d, i, length, v])
+    got = S.maximal_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), length, 5, group).collect()
+    assert sorted((r["doc_id"], r["first"], r["n_words"], r["least_id"]) for r in got) == sorted(map(tuple, want)) and len(want) > 20
+
+
+def test_long_text_and_names(spark):
+    """A text of 30,000 words that another one holds in part, and columns that differ in case."""
+    long = " ".join(f"w{i * i % 9973}x{i}" for i in range(30_000))
+    rows = [(1, "t", long, "T"), (2, "t", " ".join(long.split()[20_000:20_120]) + " end", "T")]
+    df = spark.createDataFrame(rows, "a long, b string, c string, e string").toDF("doc_id", "DOC_ID", "text", "Text")
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in S.dedup_substrings(df).collect()}
+    assert got == {1: (30_000, 0, long), 2: (121, 120, "end")}
+    assert [tuple(r)[2:] for r in S.maximal_repeats(df).collect()] == [(0, 120, 1)]
+    assert not spark.catalog.listTables()

@@ -8,21 +8,24 @@ segment. The anchor's words are the prefix that splits suffixes into groups:
 
 1. anchors found in one document only go, with all their segments (counted per anchor with a map-side combine);
 2. equal segments are one class, with the least doc_id of its members; a member with a larger doc_id repeats as a whole;
-3. the classes of an anchor are a group. Groups of at most ``group`` classes are sorted into a suffix array of the suffixes that start a window;
+3. the strings of an anchor are a group. A group of at most ``group`` strings fits in memory: its suffixes that start a window are sorted into the leaves of its subtree;
    neighbours that share ``length`` words or more are under one deep internal node, and the least doc_id under it tells which of the suffixes repeat;
-4. a larger group is split by longer prefixes, of ``length`` words: all suffixes of such a prefix are under one deep node, whose least doc_id
-   Spark sums up before and after the shuffle. So no group has to fit one task however often a passage occurs.
+4. a larger group is split by longer prefixes: its strings are cut into segments again, by anchors of more words (25, then 33, 41 and at last all 50 words of a window), and each new
+   group is judged in the same way. With anchors as long as a window a group is all suffixes of one deep node, whose least doc_id Spark finds before and after the shuffle. So prefixes
+   grow just where a passage is frequent, and no group has to fit one task however often it occurs.
 
-Texts are written once into a table bucketed by doc_id; both later joins with texts read its buckets and shuffle no text.
+Consecutive windows under nodes of one least doc_id are a maximal repeat (``maximal_repeats``); its words are what a later document loses.
 
-Cases: a null text has no words; a null doc_id counts as smaller than any other; rows of one doc_id never remove each other's words and are each
-judged on their own; texts shorter than a window keep all; an empty table gives an empty result; columns other than doc_id and text are ignored.
+Texts are written once into files bucketed by doc_id in the shared folder; both later joins with texts read their buckets and shuffle no text.
+
+Cases: a null text has no words; a null doc_id counts as smaller than any other; rows of one doc_id never remove each other's words and are each judged on their own; texts shorter than a
+window keep all; an empty table gives an empty result; columns other than doc_id and text are ignored, whatever their names. A very long text is an array of word hashes in its task; only
+its segments that are shared go on.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_id, shared_dir, stored
+from .common import bucketed, join_groups, long_id, only, small, stored
 from .words import mix, run_hashes, window_min, word_bounds, word_hashes
 
 NULL_ID = -(1 << 63)
@@ -65,7 +68,7 @@ def _segment_rows(docs: DataFrame, length: int, gram: int, full: bool) -> DataFr
     """A row for each segment; with ``full`` off just (g, d), once for each anchor of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 500):
             out: list[list] = [[], [], [], [], [], []]
             for d, h, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 g, r, a, n = segments(hashes_of(text), length, gram)
@@ -83,20 +86,40 @@ def _segment_rows(docs: DataFrame, length: int, gram: int, full: bool) -> DataFr
     return docs.select("d", "h", "text").mapInArrow(run, "g long, d long, r long, h long, a long, n long" if full else "g long, d long")
 
 
+STRINGS = "g long, d long, g0 long, r0 long, off long, n long, words binary"
+
+
 def _class_words(reps: DataFrame, length: int) -> DataFrame:
-    """Rows (d, h, text, list of (h, g, r, a, n)) to the word hashes of each class: (g, r, d, n, words)."""
+    """Rows (d, h, text, list of (h, g, r, a, n)) to the strings of each class: its anchor g, the word hashes of its n windows, and where they come from: class (g0, r0), window ``off``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 500):
             rows = []
             for d, h, text, own in zip(*(c.to_pylist() for c in b.columns)):
                 own = [x for x in own if x["h"] == h]
                 words = hashes_of(text) if own else None
-                rows += [(x["g"], x["r"], d, x["n"], words[x["a"] : x["a"] + x["n"] + length - 1].tobytes()) for x in own]
+                rows += [(x["g"], d, x["g"], x["r"], 0, x["n"], words[x["a"] : x["a"] + x["n"] + length - 1].tobytes()) for x in own]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(),) * 4 + (pa.binary(),))], names=["g", "r", "d", "n", "words"])
+                yield _string_batch(rows)
+
+    return reps.select("d", "h", "text", "own").mapInArrow(run, STRINGS)
+
+
+def _string_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(),) * 6 + (pa.binary(),))], names=["g", "d", "g0", "r0", "off", "n", "words"])
+
+
+def _longer_prefixes(strings: DataFrame, length: int, gram: int) -> DataFrame:
+    """The strings cut into segments by anchors of ``gram`` words, which are longer than those that they had."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, d, g0, r0, off, _, words in zip(*(c.to_pylist() for c in b.columns)):
+                w = np.frombuffer(words, np.uint64)
+                g, _, first, n = segments(w, length, gram)
+                yield _string_batch([(k, d, g0, r0, off + f, m, w[f : f + m + length - 1].tobytes()) for k, f, m in zip(g.view(np.int64).tolist(), first.tolist(), n.tolist())])
 
-    return reps.select("d", "h", "text", "own").mapInArrow(run, "g long, r long, d long, n long, words binary")
+    return strings.mapInArrow(run, STRINGS)
 
 
 def deep_nodes(words: list[np.ndarray], ids: np.ndarray, starts: list[int], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,16 +150,19 @@ def deep_nodes(words: list[np.ndarray], ids: np.ndarray, starts: list[int], leng
     return string, offset, out
 
 
-def _subtrees(classes: DataFrame, length: int, symbols: int = 1_500_000) -> DataFrame:
-    """(g, r, flags): the windows of a class, by offset, that also start in a document with a smaller id than the class's least."""
+FLAGS = "g0 long, r0 long, i long, least long"
+
+
+def _subtrees(strings: DataFrame, length: int, symbols: int = 1_500_000) -> DataFrame:
+    """(g0, r0, i, least): the windows i of a class that also start in a document with a smaller id, and the least such id."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
         # suffixes of two groups never share a prefix of ``length`` words: their anchors differ; so one array holds many groups
-        string, offset, least = deep_nodes([np.frombuffer(x[4], np.uint64) for x in rows], np.array([x[2] for x in rows], np.int64), [x[3] for x in rows], length)
-        hit = least < np.array([x[2] for x in rows], np.int64)[string]
-        which, n = np.unique(string[hit], return_counts=True)
-        flags = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(offset[hit], pa.int32()))
-        return pa.RecordBatch.from_arrays([pa.array([rows[k][0] for k in which], pa.int64()), pa.array([rows[k][1] for k in which], pa.int64()), flags], names=["g", "r", "flags"])
+        ids, g0, r0, off = (np.array([x[k] for x in rows], np.int64) for k in (1, 2, 3, 4))
+        string, offset, least = deep_nodes([np.frombuffer(x[6], np.uint64) for x in rows], ids, [x[5] for x in rows], length)
+        hit = least < ids[string]
+        at = string[hit]
+        return pa.RecordBatch.from_arrays([_i64(c) for c in (g0[at], r0[at], off[at] + offset[hit], least[hit])], names=["g0", "r0", "i", "least"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -146,53 +172,91 @@ def _subtrees(classes: DataFrame, length: int, symbols: int = 1_500_000) -> Data
                     yield solve(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4]) // 8
+                size += len(row[6]) // 8
         if held:
             yield solve(held)
 
-    return classes.repartition("g").sortWithinPartitions("g").select("g", "r", "d", "n", "words").mapInArrow(run, "g long, r long, flags array<int>")
+    return strings.repartition("g").sortWithinPartitions("g").mapInArrow(run, FLAGS)
 
 
-def _long_prefixes(classes: DataFrame, length: int) -> DataFrame:
-    """The same for large groups: a row for each suffix, keyed by two hashes of its first ``length`` words."""
+def _whole_windows(strings: DataFrame, length: int) -> DataFrame:
+    """The same for prefixes of ``length`` words: a row for each suffix, keyed by two hashes of its prefix. All of a key are under one deep node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for g, r, d, n, words in zip(*(c.to_pylist() for c in b.columns)):
+            for _, d, g0, r0, off, n, words in zip(*(c.to_pylist() for c in b.columns)):
                 w = np.frombuffer(words, np.uint64)
-                cols = (np.full(n, g), np.full(n, r), np.full(n, d), np.arange(n), run_hashes(w, length), run_hashes(mix(w), length))
-                yield pa.RecordBatch.from_arrays([_i64(c) for c in cols], names=["g", "r", "d", "i", "k1", "k2"])
-
-    rows = classes.select("g", "r", "d", "n", "words").mapInArrow(run, "g long, r long, d long, i long, k1 long, k2 long")
-    least = rows.groupBy("k1", "k2").agg(F.min("d").alias("least"))
-    return rows.join(least, ["k1", "k2"]).filter("least < d").groupBy("g", "r").agg(F.collect_list(F.col("i").cast("int")).alias("flags"))
+                cols = (np.full(n, g0), np.full(n, r0), np.full(n, d), off + np.arange(n), run_hashes(w, length), run_hashes(mix(w), length))
+                yield pa.RecordBatch.from_arrays([_i64(c) for c in cols], names=["g0", "r0", "d", "i", "k1", "k2"])
+
+    rows = stored(strings.mapInArrow(run, "g0 long, r0 long, d long, i long, k1 long, k2 long"), "windows")
+    nodes = rows.groupBy("k1", "k2").agg(F.min("d").alias("least"), F.count("*").alias("n"))
+    return join_groups(rows, nodes, ["k1", "k2"]).filter("least < d").select("g0", "r0", "i", "least")
+
+
+def _flags(strings: DataFrame, length: int, gram: int, group: int) -> DataFrame:
+    """Groups that fit become subtrees, larger ones get longer prefixes, until all fit or prefixes are windows."""
+    out, ladder = None, [gram + (length - gram) * k // 3 for k in (1, 2)]
+    while True:
+        strings = stored(strings, "strings")
+        large = stored(strings.groupBy("g").agg(F.count("*").alias("c")).filter(F.col("c") > group).select("g"), "large")
+        more = not large.isEmpty()
+        one = _subtrees(strings.join(large, "g", "left_anti") if more else strings, length)
+        out = one if out is None else out.unionByName(one)
+        if not more:
+            return out
+        left = strings.join(large, "g", "left_semi").select(strings.columns)
+        if not ladder:
+            return out.unionByName(_whole_windows(left, length))
+        strings = _longer_prefixes(left, length, ladder.pop(0))
 
 
 def repeated_windows(docs: DataFrame, length: int = 50, gram: int = 25, group: int = 4000) -> tuple[DataFrame, DataFrame]:
-    """The bucketed texts (d, h, text), and for each doc_id d that has any the repeated windows: own = list of (h, first, n)."""
-    spark = docs.sparkSession
-    shared_dir(spark)
-    rows = docs.select(F.coalesce(long_id("doc_id"), F.lit(NULL_ID)).alias("d"), F.xxhash64("text").alias("h"), F.col("text").cast("string").alias("text"))
-    name = f"verdure_texts_{uuid.uuid4().hex[:12]}"
-    rows.write.bucketBy(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "d").option("compression", "zstd").saveAsTable(name)
-    texts = spark.table(name)
+    """The bucketed texts (d, h, text), and for each doc_id d that has any the repeated windows: own = list of (h, first, n, least)."""
+    rows = only(docs, "doc_id", "text").select(F.coalesce(long_id("doc_id"), F.lit(NULL_ID)).alias("d"), F.col("text").cast("string").alias("text"))
+    rows = rows.select("d", F.xxhash64("text").alias("h"), "text")
+    texts = bucketed(rows, "texts", "d")
 
     shared = _segment_rows(rows, length, gram, False).groupBy("g").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo < hi").select("g")
     members = stored(_segment_rows(rows, length, gram, True).join(shared, "g", "left_semi"), "segments")
 
-    classes = members.groupBy("g", "r").agg(F.min(F.struct("d", "h", "a", "n")).alias("rep"))
-    classes = stored(classes.select("g", "r", "rep.*"), "classes")
-    many = classes.groupBy("g").agg(F.count("*").alias("c")).filter("c > 1")
-    own = classes.join(many, "g").groupBy("d").agg(F.collect_list(F.struct("h", "g", "r", "a", "n", "c")).alias("own"))
-    words = stored(_class_words(texts.join(own.hint("shuffle_hash"), "d"), length).join(many, "g"), "class-words")
-    flags = _subtrees(words.filter(F.col("c") <= group), length).unionByName(_long_prefixes(words.filter(F.col("c") > group), length))
+    classes = members.groupBy("g", "r").agg(F.min(F.struct("d", "h", "a", "n")).alias("rep"), F.count("*").alias("size"))
+    classes = stored(classes.select("g", "r", "rep.*", "size"), "classes")
+    many = classes.groupBy("g").agg(F.count("*").alias("c")).filter("c > 1").select("g")
+    own = classes.join(many, "g", "left_semi").groupBy("d").agg(F.collect_list(F.struct("h", "g", "r", "a", "n")).alias("own"))
+    flags = _flags(_class_words(texts.join(own.hint("shuffle_hash"), "d"), length), length, gram, group)
+
+    window = F.struct(F.col("i").alias("at"), F.lit(1).cast("long").alias("n"), "least")
+    flags = flags.groupBy(F.col("g0").alias("g"), F.col("r0").alias("r")).agg(F.collect_list(window).alias("flags"))  # not more than a class's windows
+    known = classes.select("g", "r", F.col("d").alias("first_d"), "size").join(flags, ["g", "r"], "left")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("at"), "n", F.col("first_d").alias("least")))
+    # of a member with a larger doc_id every window repeats; where a flag names a still smaller one, that counts
+    spans = F.concat(F.coalesce("flags", F.array().cast("array<struct<at:long,n:long,least:long>>")), F.when(F.col("d") > F.col("first_d"), whole).otherwise(F.array().cast("array<struct<at:long,n:long,least:long>>")))
+    found = join_groups(members, known, ["g", "r"], "size").select("d", "h", "a", F.explode(spans).alias("s"))
+    return texts, found.groupBy("d").agg(F.collect_list(F.struct("h", (F.col("a") + F.col("s.at")).alias("first"), F.col("s.n").alias("n"), F.col("s.least").alias("least"))).alias("own"))
 
-    known = classes.select("g", "r", F.col("d").alias("least")).join(flags, ["g", "r"], "left")
-    spans = F.when(F.col("d") > F.col("least"), F.array(F.struct(F.col("a").alias("first"), F.col("n").alias("n")))).otherwise(
-        F.transform(F.coalesce("flags", F.array().cast("array<int>")), lambda i: F.struct((F.col("a") + i).alias("first"), F.lit(1).cast("long").alias("n")))
-    )
-    found = members.join(known, ["g", "r"]).select("d", "h", F.explode(spans).alias("s"))
-    return texts, found.groupBy("d").agg(F.collect_list(F.struct("h", F.col("s.first").alias("first"), F.col("s.n").alias("n"))).alias("own"))
+
+def maximal_repeats(docs: DataFrame, length: int = 50, gram: int = 25, group: int = 4000) -> DataFrame:
+    """(doc_id, h, first, n_words, least_id): the maximal runs of windows of a document that start in one document of a smaller id, the least of each window; h is a hash of the text."""
+    texts, own = repeated_windows(docs, length, gram, group)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for d, own in zip(*(c.to_pylist() for c in b.columns)):
+                least: dict[tuple[int, int], int] = {}
+                for x in own:
+                    for w in range(x["first"], x["first"] + x["n"]):
+                        least[x["h"], w] = min(least.get((x["h"], w), x["least"]), x["least"])
+                for (h, w), v in sorted(least.items()):
+                    if out and out[-1][:2] == [d, h] and out[-1][4] == v and out[-1][2] + out[-1][3] - length + 1 == w:
+                        out[-1][3] += 1
+                    else:
+                        out.append([d, h, w, length, v])
+            ids = lambda k: pa.array([None if r[k] == NULL_ID else r[k] for r in out], pa.int64())
+            yield pa.RecordBatch.from_arrays([ids(0), *(pa.array([r[k] for r in out], pa.int64()) for k in (1, 2, 3)), ids(4)], names=["doc_id", "h", "first", "n_words", "least_id"])
+
+    return own.select("d", "own").mapInArrow(run, "doc_id long, h long, first long, n_words long, least_id long")
 
 
 def dedup_substrings(docs: DataFrame, length: int = 50, gram: int = 25, group: int = 4000) -> DataFrame:
@@ -200,7 +264,7 @@ def dedup_substrings(docs: DataFrame, length: int = 50, gram: int = 25, group: i
     texts, own = repeated_windows(docs, length, gram, group)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 500):
             ns, gone, kept = [], [], []
             for h, text, own in zip(*(c.to_pylist() for c in b.columns[1:])):
                 words = (text or "").encode().split()
