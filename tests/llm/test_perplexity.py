@@ -38,11 +38,11 @@ def test_scores_equal_formulas(spark):
     rows = corpus()
     df = spark.createDataFrame(rows, DOCS).repartition(3)
     want = dict(zip(((r[0], r[1]) for r in rows), P.brute_logppl([(r[2], r[1]) for r in rows])))
-    for most in (3_000_000, 0):
-        got = P.score_documents(df, ["doc_id", "text"], most).collect()
+    for units in (P.BLOCK_UNITS, 2000, 0):  # one block a task, some, one for each document: equal scores
+        got = P.score_documents(df, ["doc_id", "text"], units).collect()
         assert len(got) == len(rows)
         for r in got:
-            assert math.isclose(r["verdure_logppl"], want[r["doc_id"], r["text"]], rel_tol=1e-5, abs_tol=1e-5)
+            assert math.isclose(r["verdure_logppl"], want[r["doc_id"], r["text"]], rel_tol=1e-8, abs_tol=1e-8)
 
 
 def test_verdicts(spark):
@@ -74,6 +74,20 @@ def test_unseen_grams_back_off(spark):
     assert math.isclose(total, 1.0, rel_tol=1e-4)
 
 
-@pytest.mark.parametrize("most", [3_000_000, 0])
-def test_empty(spark, most):
-    assert P.quality(spark.createDataFrame([], DOCS), most_entries=most).collect() == []
+@pytest.mark.parametrize("units", [P.BLOCK_UNITS, 0])
+def test_empty(spark, units):
+    assert P.quality(spark.createDataFrame([], DOCS), block_units=units).collect() == []
+
+
+def test_names_and_languages(spark):
+    """Columns that differ in case, or have names of our own, stay; null and a text of one zero byte are two languages."""
+    names = ["doc_id", "DOC_ID", "text", "lang", "verdure_l", "k0", "block"]
+    rows = [(i, "x", " ".join(f"{'ab' if i % 2 else 'yz'}{j}" for j in range(i, i + 40)), None if i % 2 else "\0", "v", i, "b") for i in range(30)]
+    df = spark.createDataFrame(rows, "a long, b string, c string, d string, e string, f int, g string").toDF(*names)
+    out = P.filter_documents(df, width=50.0)
+    assert out.columns == names
+    kept = {tuple(r) for r in out.collect()}
+    assert kept <= set(rows) and len(kept) > 20
+    want = P.brute_logppl([(r[3], r[2]) for r in rows])
+    got = {r["doc_id"]: r["logppl"] for r in P.quality(df).collect()}
+    assert all(math.isclose(got[r[0]], w, abs_tol=1e-8) for r, w in zip(rows, want))

@@ -1,15 +1,18 @@
 """Quality rules with n-gram perplexity bands.
 
 The model is one modified Kneser-Ney model for each language, over the UTF-16 units of a text's words in lower case, joined by one space, with ``order`` units to a gram (4: a
-gram is one 64-bit number). Spark counts the grams of all whole documents and derives continuation counts, discounts and interpolated probabilities order by order, with joins. The
-result is stored as sorted hash arrays: a gram's key is a bijective 64-bit hash, keys are sorted, and the hash's top bits say where to look. A model of at most ``most_entries``
-entries goes to all tasks; a larger one stays a table, and the documents' grams are joined with it.
+gram is one 64-bit number). Spark counts the grams of all whole documents and derives continuation counts, discounts and interpolated probabilities order by order, with joins.
+
+There is one way at every size. Documents are written once in blocks of about ``block_units`` units, with each block's distinct grams and their counts; the counts of all blocks are the
+model's. Each block then asks the model for the grams that it has: a join on (language, gram), for which both sides are dealt by hash and sorted, so a task holds a range of the model at
+most. What a block gets back is its sorted hash array: keys are 64-bit hashes (a bijection of grams), sorted, and the hash's top bits say where to look. A task holds one block and its
+array, never the model. All numbers are doubles, and logarithms of perplexities are rounded to nine places.
 
 A document's perplexity is judged against its language's bands, ``width`` quartile ranges below the lower and above the upper quartile of the logarithm over all documents of the
 language that pass the base rules. Three ranges are the usual fence for far-out values. A short text's mean varies more, so its bands are wider, by sqrt(1 + short / units). Base rules: a document fails with fewer than ten words, or if over a fifth of its words are in five-word windows found twice or more in it.
 
 Cases: a null text has no words and fails; a null language is a language of its own; rows of one doc_id are each judged on their own; an empty table gives an empty result; other
-columns are ignored, or kept by ``filter_documents``.
+columns are ignored, or kept by ``filter_documents``, whatever their names. A very long text is a block of its own.
 """
 
 from __future__ import annotations
@@ -20,16 +23,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_id, small, stored
+from .common import bucketed, long_id, numbered_columns, only, small, stored
 from .words import mix, run_hashes, word_bounds, word_hashes
 
 BOS, EOS, ORDER = 2, 3, 4
 SYMBOLS = "#*$%&|<>"
 BLANK = " \t\n\x0b\x0c\r"
 SLICE = 500_000
+BLOCK_UNITS = 8_000_000
+
+
+def lang_key(lang: Column) -> Column:
+    """A language as a text that is never null, so that null is joined on as a language of its own."""
+    return F.coalesce(F.concat(F.lit("="), lang), F.lit(""))
 
 
 def units(text: str | None) -> np.ndarray:
@@ -60,31 +70,63 @@ def _slices(texts: list[str | None], langs: list[str | None]) -> Iterator[tuple[
             yield lang, at, np.concatenate(held), np.cumsum([0] + [len(x) for x in held])[:-1]
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """(lang, g, c): how often each gram of ORDER units occurs in all documents; tasks add up before the shuffle."""
+BLOCK = "block long, payload binary, grams array<struct<lang:string,g:array<long>,c:array<long>>>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str | None, list] = {}
 
-        def total(lang) -> tuple[np.ndarray, np.ndarray]:
-            keys, at = np.unique(np.concatenate([k for k, _ in held[lang]]), return_inverse=True)
-            return keys, np.bincount(at, weights=np.concatenate([c for _, c in held[lang]])).astype(np.int64)
+def blocks_of(rows: DataFrame, block_units: int) -> DataFrame:
+    """(block, payload, grams) of rows that end with lang and text: some documents together as compressed Arrow data, and each language's distinct grams with their counts in them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def block() -> pa.RecordBatch:
+            found: dict[str | None, list] = {}
+            for b in held:
+                for lang, _, g, _ in _slices(b.column(b.num_columns - 1).to_pylist(), b.column(b.num_columns - 2).to_pylist()):
+                    found.setdefault(lang, []).append(np.unique(g, return_counts=True))
+            keys, counts = [], []
+            for own in found.values():
+                k, at = np.unique(np.concatenate([k for k, _ in own]), return_inverse=True)
+                keys.append(k.view(np.int64))
+                counts.append(np.bincount(at, weights=np.concatenate([c for _, c in own])).astype(np.int64))
+            ends = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (keys, counts)]
+            grams = pa.StructArray.from_arrays([pa.array(list(found), pa.string()), *lists], ["lang", "g", "c"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                for b in held:
+                    out.write_batch(b)
+            cols = [pa.array([part << 32 | n], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), grams)]
+            return pa.RecordBatch.from_arrays(cols, names=["block", "payload", "grams"])
 
         for b in small(batches):
-            for lang, _, g, _ in _slices(b.column(1).to_pylist(), b.column(0).to_pylist()):
-                held.setdefault(lang, []).append(np.unique(g, return_counts=True))
-                if sum(len(k) for k, _ in held[lang]) > 2_000_000:
-                    held[lang] = [total(lang)]
-                    if len(held[lang][0][0]) > 1_000_000:  # memory is bounded; the shuffle adds up the rest
-                        yield batch(lang, *held.pop(lang)[0])
-        for lang in list(held):
-            yield batch(lang, *total(lang))
+            at = 0
+            for i, x in enumerate(b.column(b.num_columns - 1).to_pylist()):
+                size += len(x or "") + ORDER
+                if size >= block_units:
+                    held.append(b.slice(at, i + 1 - at))
+                    yield block()
+                    n, held, size, at = n + 1, [], 0, i + 1
+            if at < b.num_rows:
+                held.append(b.slice(at))
+        if held:
+            yield block()
+
+    return rows.mapInArrow(run, BLOCK)
+
+
+def _gram_counts(blocks: DataFrame) -> DataFrame:
+    each = blocks.select(F.inline("grams")).select("lang", F.inline(F.arrays_zip("g", "c")))
+    return each.groupBy("lang", "g").agg(F.sum("c").alias("c"))
 
-    def batch(lang, keys, counts) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(pa.array(np.zeros(len(keys), np.int64))), pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())], names=["lang", "g", "c"])
 
-    rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(run, "lang string, g long, c long")
-    return rows.groupBy("lang", "g").agg(F.sum("c").alias("c"))
+def count_grams(docs: DataFrame, block_units: int = BLOCK_UNITS) -> DataFrame:
+    """(lang, g, c): how often each gram of ORDER units occurs in all documents; blocks add up before the shuffle."""
+    return _gram_counts(blocks_of(_texts(docs), block_units))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return only(docs, "lang", "text").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
@@ -93,7 +135,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
 
     Below the top order a gram's count is the number of different units found before it.
     """
-    counts = counts.withColumn("lang", F.coalesce("lang", F.lit("\0")))  # joined on as a language of its own
+    counts = counts.withColumn("lang", lang_key(F.col("lang")))
     tables = {ORDER: counts}
     for k in range(ORDER - 1, 0, -1):
         tables[k] = tables[k + 1].groupBy("lang", F.col("g").bitwiseAND(F.lit((1 << 16 * k) - 1)).alias("g")).agg(F.count("*").alias("c"))
@@ -110,7 +152,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         discount = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         ctx = rows.groupBy("lang", "ctx").agg(F.sum("c").alias("total"), F.sum(discount).alias("left"))
         ctx = stored(ctx.select("lang", "ctx", "total", (F.col("left") / F.col("total")).alias("gamma")), f"contexts-{k}")
-        rows = rows.withColumn("disc", discount).join(ctx, ["lang", "ctx"])
+        rows = rows.withColumn("disc", discount).join(F.broadcast(ctx) if k == 1 else ctx, ["lang", "ctx"])  # the empty context: a row for each language
         if k == 1:
             rows = rows.join(vocab, "lang")
         else:
@@ -121,7 +163,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         own = lower.select("lang", F.lit(k).alias("k"), "g", F.log("p").alias("logp"), F.lit(None).cast("double").alias("loggamma"))
         own = own.unionByName(ctx.select("lang", F.lit(k).alias("k"), F.col("ctx").alias("g"), F.lit(None).cast("double").alias("logp"), F.log("gamma").alias("loggamma")))
         out = own if out is None else out.unionByName(own)
-    return out.withColumn("lang", F.when(F.col("lang") != "\0", F.col("lang")))
+    return out.withColumn("lang", F.when(F.col("lang") != "", F.expr("substring(lang, 2)")))
 
 
 class HashArray:
@@ -130,7 +172,7 @@ class HashArray:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         h = mix(keys.view(np.uint64))
         order = np.argsort(h)
-        self.h, self.v = np.append(h[order], np.uint64(0)), np.append(values[order].astype(np.float32), np.float32(np.nan))
+        self.h, self.v = np.append(h[order], np.uint64(0)), np.append(values[order].astype(np.float64), np.nan)
         self.bits = max(1, int(len(h)).bit_length())
         top = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
         self.at = np.append(np.searchsorted(h[order], top), len(h)).astype(np.int64)
@@ -141,7 +183,7 @@ class HashArray:
         top = (h >> np.uint64(64 - self.bits)).astype(np.int64)
         pos, end = self.at[top], self.at[top + 1]
         hit = (self.h[pos] == h) & (pos < end)
-        out = np.where(hit, self.v[pos], np.float32(np.nan))
+        out = np.where(hit, self.v[pos], np.nan)
         rest = np.flatnonzero(~hit & (pos + 1 < end))
         while len(rest):
             pos[rest] += 1
@@ -179,13 +221,13 @@ class Model:
 
 
 def load(model: DataFrame) -> dict[str | None, Model]:
-    """The arrays of each language, on the driver; the caller has checked the size."""
-    rows = model.withColumn("lang", F.coalesce("lang", F.lit("\0"))).toArrow()
+    """The arrays of each language, on the driver, for texts that aren't in the corpus; the caller has checked the size."""
+    rows = model.withColumn("lang", lang_key(F.col("lang"))).toArrow()
     names = rows["lang"].combine_chunks().dictionary_encode()
     code = names.indices.to_numpy()
     cols = [rows[c].to_numpy() for c in ("k", "g", "logp", "loggamma")]
     own = lambda n: Model(*(c[code == n] for c in cols))
-    return {None if x == "\0" else x: own(n) for n, x in enumerate(names.dictionary.to_pylist())}
+    return {x[1:] if x else None: own(n) for n, x in enumerate(names.dictionary.to_pylist())}
 
 
 def base_numbers(text: str | None) -> tuple[int, int, int, int, int]:
@@ -211,61 +253,56 @@ def base_numbers(text: str | None) -> tuple[int, int, int, int, int]:
 NUMBERS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _score(docs: DataFrame, keep: list[str], models) -> DataFrame:
-    """The columns ``keep`` with the base numbers and logppl, the mean negative logarithm of a unit's probability (null without ``models``)."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(models) if models is not None else None
+SCORES = [*(f"verdure_{x}" for x in NUMBERS), "verdure_logppl"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches):
-            langs, texts = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
-            numbers = np.array([base_numbers(t) for t in texts], np.int64).reshape(-1, 5)
-            ppl = np.full(len(texts), np.nan)
-            if shared is not None:
-                for lang, at, g, begin in _slices(texts, langs):
-                    sums = np.add.reduceat(shared.value[lang].logp(g), begin)
-                    ppl[at] = -sums / np.diff(np.append(begin, len(g)))
-            cols = [*b.columns[:-2], *(pa.array(numbers[:, k]) for k in range(5)), pa.array(ppl, mask=np.isnan(ppl))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:-2], *(f"verdure_{x}" for x in NUMBERS), "verdure_logppl"])
-
-    kinds = dict(docs.dtypes)
-    schema = "".join(f"`{c}` {kinds[c]}, " for c in keep) + "".join(f"verdure_{x} long, " for x in NUMBERS) + "verdure_logppl double"
-    picked = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("lang").cast("string").alias("verdure_lang"), F.col("text").cast("string").alias("verdure_text"))
-    return picked.mapInArrow(run, schema)
-
-
-def _joined_scores(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """(h, logppl) by a join of the documents' grams with the model's top order: the way for models too large for a task. h names lang and text."""
-    keyed = docs.select(F.xxhash64("lang", "text").alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+
+def _score(blocks: DataFrame, schema: str, columns: int) -> DataFrame:
+    """Rows of (payload, found) as documents again, without their text, if it isn't one of the ``columns`` to keep, and with their base numbers and logppl."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches):
-            for h, lang, text in zip(*(c.to_pylist() for c in b.columns)):
-                g, n = np.unique(grams(units(text)), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), h)), pa.array([lang] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(n)], names=["h", "lang", "g", "n"])
-
-    top = model.filter((F.col("k") == ORDER) & F.col("logp").isNotNull()).select(F.coalesce("lang", F.lit("\0")).alias("lang"), "g", "logp")
-    rows = keyed.mapInArrow(run, "h long, lang string, g long, n long").withColumn("lang", F.coalesce("lang", F.lit("\0")))
-    return rows.join(top, ["lang", "g"]).groupBy("h").agg((-F.sum(F.col("n") * F.col("logp")) / F.sum("n")).alias("logppl"))
-
-
-def score_documents(docs: DataFrame, keep: list[str], most_entries: int = 3_000_000) -> DataFrame:
-    """The columns ``keep`` and verdure_* columns: the base numbers, lang, logppl and base_failed, written and read again."""
-    model = stored(kneser_ney(stored(count_grams(docs), "grams")), "model")
-    both = docs.withColumns({"verdure_l": F.col("lang").cast("string"), "verdure_h": F.xxhash64("lang", "text")})
-    keep = [*keep, "verdure_l"]
-    if model.count() <= most_entries:
-        rows = _score(both, keep, load(model))
-    else:
-        plain = _score(both, [*keep, "verdure_h"], None).drop("verdure_logppl")
-        rows = plain.join(_joined_scores(docs, model).select(F.col("h").alias("verdure_h"), F.col("logppl").alias("verdure_logppl")), "verdure_h", "left").drop("verdure_h")
+        for rows in batches:
+            for i in range(rows.num_rows):
+                arrays = {}
+                for own in rows.column(1)[i]:  # a row for each language
+                    pairs = own["s"].values
+                    arrays[own["lang"].as_py()] = HashArray(pairs.field("g").to_numpy(), pairs.field("logp").to_numpy())
+                for b in pa.ipc.open_stream(rows.column(0)[i].as_buffer()):
+                    langs, texts = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
+                    numbers = np.array([base_numbers(t) for t in texts], np.int64).reshape(-1, 5)
+                    ppl = np.zeros(len(texts))
+                    for lang, at, g, begin in _slices(texts, langs):
+                        ppl[at] = -np.add.reduceat(arrays[lang].get(g), begin) / np.diff(np.append(begin, len(g)))
+                    cols = [*b.columns[:columns], *(pa.array(numbers[:, k]) for k in range(5)), pa.array(np.round(ppl, 9))]
+                    yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:columns], *SCORES])
+
+    return blocks.select("payload", "found").mapInArrow(run, schema)
+
+
+def _scored(docs: DataFrame, keep: list[int], block_units: int) -> DataFrame:
+    """The columns at the places ``keep`` as k0, k1, ..., then verdure_* columns: lang, the base numbers, logppl and base_failed, written and read again."""
+    plain, at = numbered_columns(docs), docs.columns.index
+    kept = plain.select(*(F.col(f"c{n}").alias(f"k{i}") for i, n in enumerate(keep)), F.col(f"c{at('lang')}").cast("string").alias("verdure_l"), F.col(f"c{at('text')}").cast("string").alias("verdure_text"))
+    blocks = bucketed(blocks_of(kept, block_units), "blocks", "block")
+    top = kneser_ney(stored(_gram_counts(blocks), "grams")).filter((F.col("k") == ORDER) & F.col("logp").isNotNull()).select(lang_key(F.col("lang")).alias("l"), "g", "logp")
+    asked = blocks.select("block", F.inline("grams")).select("block", lang_key(F.col("lang")).alias("l"), F.explode("g").alias("g"))
+    own = asked.join(top, ["l", "g"]).groupBy("block", "l").agg(F.collect_list(F.struct("g", "logp")).alias("s"))  # not more than a block's grams
+    lang = F.when(F.col("l") != "", F.expr("substring(l, 2)"))
+    found = own.groupBy("block").agg(F.collect_list(F.struct(lang.alias("lang"), "s")).alias("found"))
+    kinds = [f"`{n}` {k}" for n, k in kept.dtypes[:-1]]
+    rows = _score(blocks.join(found.hint("shuffle_hash"), "block"), ", ".join([*kinds, *(f"{c} long" for c in SCORES[:-1]), f"{SCORES[-1]} double"]), len(kinds))
     failed = (F.col("verdure_n_words") < 10) | (100 * F.col("verdure_n_repeat_words") > 20 * F.col("verdure_n_words"))
     return stored(rows.withColumn("verdure_base_failed", failed), "scores")
 
 
+def score_documents(docs: DataFrame, keep: list[str], block_units: int = BLOCK_UNITS) -> DataFrame:
+    """The columns ``keep`` and the verdure_* columns."""
+    rows = _scored(docs, [docs.columns.index(c) for c in keep], block_units)
+    return rows.toDF(*keep, *rows.columns[len(keep) :])
+
+
 def with_verdict(scored: DataFrame, width: float = 3.0, least: float = 0.01, short: float = 500.0) -> DataFrame:
     """verdure_low, verdure_high and verdure_kept. A quartile range under ``least`` counts as ``least``, so that few or equal documents don't make bands of no width."""
-    lang = F.coalesce("verdure_l", F.lit("\0"))
+    lang = lang_key(F.col("verdure_l"))
     q = F.percentile_approx("verdure_logppl", F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000))
     bands = scored.filter(~F.col("verdure_base_failed")).groupBy(lang.alias("verdure_band")).agg(q.alias("q"))
     reach = F.lit(width) * F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(least))
@@ -277,17 +314,16 @@ def with_verdict(scored: DataFrame, width: float = 3.0, least: float = 0.01, sho
     return rows.withColumn("verdure_kept", F.coalesce(kept, F.lit(False)))
 
 
-def quality(docs: DataFrame, **how) -> DataFrame:
+def quality(docs: DataFrame, block_units: int = BLOCK_UNITS, **how) -> DataFrame:
     """doc_id, the base numbers, base_failed, kept, and the logarithm of the perplexity with its band."""
-    most = {k: how.pop(k) for k in ("most_entries",) if k in how}
-    rows = with_verdict(score_documents(docs.withColumn("doc_id", long_id("doc_id")), ["doc_id"], **most), **how)
-    return rows.select("doc_id", *(F.col(f"verdure_{c}").alias(c) for c in [*NUMBERS, "base_failed", "kept", "logppl", "low", "high"]))
+    rows = with_verdict(_scored(only(docs, "doc_id", "lang", "text").withColumn("doc_id", long_id("doc_id")), [0], block_units), **how)
+    return rows.select(F.col("k0").alias("doc_id"), *(F.col(f"verdure_{c}").alias(c) for c in [*NUMBERS, "base_failed", "kept", "logppl", "low", "high"]))
 
 
-def filter_documents(docs: DataFrame, **how) -> DataFrame:
+def filter_documents(docs: DataFrame, block_units: int = BLOCK_UNITS, **how) -> DataFrame:
     """The documents that are kept, with all their columns."""
-    rows = with_verdict(score_documents(docs, docs.columns), **how)
-    return rows.filter("verdure_kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = with_verdict(_scored(docs, list(range(len(docs.columns))), block_units), **how)
+    return rows.filter("verdure_kept").select(*(f"k{n}" for n in range(len(docs.columns)))).toDF(*docs.columns)
 
 
 def brute_numbers(text: str | None) -> tuple[int, int, int, int, int]:
