@@ -3,7 +3,7 @@
 The model is one modified Kneser-Ney model for each language, over the UTF-16 units of a text's words in lower case, joined by one space, with ``order`` units to a gram (4: a
 gram is one 64-bit number). Spark counts the grams of all whole documents and derives continuation counts, discounts and interpolated probabilities order by order, with joins.
 
-There is one way at every size. Documents are written once in blocks of about ``block_units`` units, with each block's distinct grams and their counts; the counts of all blocks are the
+There is one way at every size. Documents are written once in blocks of one language and about ``block_units`` units, with each block's distinct grams and their counts; the counts of all blocks are the
 model's. Each block then asks the model for the grams that it has: a join on (language, gram), for which both sides are dealt by hash and sorted, so a task holds a range of the model at
 most. What a block gets back is its sorted hash array: keys are 64-bit hashes (a bijection of grams), sorted, and the hash's top bits say where to look. A task holds one block and its
 array, never the model. All numbers are doubles, and logarithms of perplexities are rounded to nine places.
@@ -70,54 +70,56 @@ def _slices(texts: list[str | None], langs: list[str | None]) -> Iterator[tuple[
             yield lang, at, np.concatenate(held), np.cumsum([0] + [len(x) for x in held])[:-1]
 
 
-BLOCK = "block long, payload binary, grams array<struct<lang:string,g:array<long>,c:array<long>>>"
+BLOCK = "block long, lang string, payload binary, g array<long>, c array<long>"
 
 
 def blocks_of(rows: DataFrame, block_units: int) -> DataFrame:
-    """(block, payload, grams) of rows that end with lang and text: some documents together as compressed Arrow data, and each language's distinct grams with their counts in them."""
+    """(block, lang, payload, g, c) of rows that end with lang and text: some documents of one language together as compressed Arrow data, and their distinct grams with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
-
-        def block() -> pa.RecordBatch:
-            found: dict[str | None, list] = {}
-            for b in held:
-                for lang, _, g, _ in _slices(b.column(b.num_columns - 1).to_pylist(), b.column(b.num_columns - 2).to_pylist()):
-                    found.setdefault(lang, []).append(np.unique(g, return_counts=True))
-            keys, counts = [], []
-            for own in found.values():
-                k, at = np.unique(np.concatenate([k for k, _ in own]), return_inverse=True)
-                keys.append(k.view(np.int64))
-                counts.append(np.bincount(at, weights=np.concatenate([c for _, c in own])).astype(np.int64))
-            ends = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (keys, counts)]
-            grams = pa.StructArray.from_arrays([pa.array(list(found), pa.string()), *lists], ["lang", "g", "c"])
+        part, n = TaskContext.get().partitionId(), 0
+        held: dict[str | None, list] = {}
+        sizes: Counter[str | None] = Counter()
+
+        def block(lang) -> pa.RecordBatch:
+            nonlocal n
+            own = held.pop(lang)
+            del sizes[lang]
+            parts = [np.unique(g, return_counts=True) for b in own for _, _, g, _ in _slices(b.column(b.num_columns - 1).to_pylist(), [lang] * b.num_rows)]
+            keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+            counts = np.bincount(at, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                for b in held:
+            with pa.ipc.new_stream(sink, own[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                for b in own:
                     out.write_batch(b)
-            cols = [pa.array([part << 32 | n], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), grams)]
-            return pa.RecordBatch.from_arrays(cols, names=["block", "payload", "grams"])
+            n += 1
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in (keys.view(np.int64), counts)]
+            cols = [pa.array([part << 32 | n - 1], pa.int64()), pa.array([lang], pa.string()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), *lists]
+            return pa.RecordBatch.from_arrays(cols, names=["block", "lang", "payload", "g", "c"])
 
         for b in small(batches):
-            at = 0
-            for i, x in enumerate(b.column(b.num_columns - 1).to_pylist()):
-                size += len(x or "") + ORDER
-                if size >= block_units:
-                    held.append(b.slice(at, i + 1 - at))
-                    yield block()
-                    n, held, size, at = n + 1, [], 0, i + 1
-            if at < b.num_rows:
-                held.append(b.slice(at))
-        if held:
-            yield block()
+            langs = np.array(b.column(b.num_columns - 2).to_pylist(), object)
+            for lang in dict.fromkeys(langs.tolist()):
+                own = b.take(pa.array(np.flatnonzero([x == lang for x in langs])))
+                at = 0
+                for i, x in enumerate(own.column(own.num_columns - 1).to_pylist()):
+                    sizes[lang] += len(x or "") + ORDER
+                    if sizes[lang] >= block_units:
+                        held.setdefault(lang, []).append(own.slice(at, i + 1 - at))
+                        yield block(lang)
+                        at = i + 1
+                if at < own.num_rows:
+                    held.setdefault(lang, []).append(own.slice(at))
+            while sum(sizes.values()) > 2 * block_units:  # many languages at once: the fullest block goes
+                yield block(max(sizes, key=sizes.get))
+        for lang in list(held):
+            yield block(lang)
 
     return rows.mapInArrow(run, BLOCK)
 
 
 def _gram_counts(blocks: DataFrame) -> DataFrame:
-    each = blocks.select(F.inline("grams")).select("lang", F.inline(F.arrays_zip("g", "c")))
-    return each.groupBy("lang", "g").agg(F.sum("c").alias("c"))
+    return blocks.select("lang", F.inline(F.arrays_zip("g", "c"))).groupBy("lang", "g").agg(F.sum("c").alias("c"))
 
 
 def count_grams(docs: DataFrame, block_units: int = BLOCK_UNITS) -> DataFrame:
@@ -148,13 +150,13 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
         cut = lambda i: F.least(F.lit(float(i)), F.greatest(F.lit(0.05), F.coalesce(i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")), F.lit(i / 2))))
         d = d.select("lang", *(cut(i).alias(f"d{i}") for i in (1, 2, 3)))
-        rows = tables[k].join(d, "lang").withColumn("ctx", F.shiftrightunsigned("g", 16) if k > 1 else F.lit(0).cast("long"))
+        rows = tables[k].join(F.broadcast(d), "lang").withColumn("ctx", F.shiftrightunsigned("g", 16) if k > 1 else F.lit(0).cast("long"))
         discount = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         ctx = rows.groupBy("lang", "ctx").agg(F.sum("c").alias("total"), F.sum(discount).alias("left"))
         ctx = stored(ctx.select("lang", "ctx", "total", (F.col("left") / F.col("total")).alias("gamma")), f"contexts-{k}")
         rows = rows.withColumn("disc", discount).join(F.broadcast(ctx) if k == 1 else ctx, ["lang", "ctx"])  # the empty context: a row for each language
         if k == 1:
-            rows = rows.join(vocab, "lang")
+            rows = rows.join(F.broadcast(vocab), "lang")
         else:
             suffix = F.col("g").bitwiseAND(F.lit((1 << 16 * (k - 1)) - 1))
             rows = rows.withColumn("suffix", suffix).join(lower.select("lang", F.col("g").alias("suffix"), F.col("p").alias("lower")), ["lang", "suffix"])
@@ -257,25 +259,23 @@ SCORES = [*(f"verdure_{x}" for x in NUMBERS), "verdure_logppl"]
 
 
 def _score(blocks: DataFrame, schema: str, columns: int) -> DataFrame:
-    """Rows of (payload, found) as documents again, without their text, if it isn't one of the ``columns`` to keep, and with their base numbers and logppl."""
+    """Rows of (lang, payload, g, logp) as documents again, without their text, if it isn't one of the ``columns`` to keep, and with their base numbers and logppl."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for i in range(rows.num_rows):
-                arrays = {}
-                for own in rows.column(1)[i]:  # a row for each language
-                    pairs = own["s"].values
-                    arrays[own["lang"].as_py()] = HashArray(pairs.field("g").to_numpy(), pairs.field("logp").to_numpy())
-                for b in pa.ipc.open_stream(rows.column(0)[i].as_buffer()):
-                    langs, texts = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
+                lang, payload, keys, logp = (rows.column(k)[i] for k in range(4))
+                array = HashArray(keys.values.to_numpy(), logp.values.to_numpy())
+                for b in pa.ipc.open_stream(payload.as_buffer()):
+                    texts = b.column(b.num_columns - 1).to_pylist()
                     numbers = np.array([base_numbers(t) for t in texts], np.int64).reshape(-1, 5)
                     ppl = np.zeros(len(texts))
-                    for lang, at, g, begin in _slices(texts, langs):
-                        ppl[at] = -np.add.reduceat(arrays[lang].get(g), begin) / np.diff(np.append(begin, len(g)))
+                    for _, at, g, begin in _slices(texts, [lang.as_py()] * len(texts)):
+                        ppl[at] = -np.add.reduceat(array.get(g), begin) / np.diff(np.append(begin, len(g)))
                     cols = [*b.columns[:columns], *(pa.array(numbers[:, k]) for k in range(5)), pa.array(np.round(ppl, 9))]
                     yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:columns], *SCORES])
 
-    return blocks.select("payload", "found").mapInArrow(run, schema)
+    return blocks.select("lang", "payload", "found.g", "found.logp").mapInArrow(run, schema)
 
 
 def _scored(docs: DataFrame, keep: list[int], block_units: int) -> DataFrame:
@@ -284,12 +284,10 @@ def _scored(docs: DataFrame, keep: list[int], block_units: int) -> DataFrame:
     kept = plain.select(*(F.col(f"c{n}").alias(f"k{i}") for i, n in enumerate(keep)), F.col(f"c{at('lang')}").cast("string").alias("verdure_l"), F.col(f"c{at('text')}").cast("string").alias("verdure_text"))
     blocks = bucketed(blocks_of(kept, block_units), "blocks", "block")
     top = kneser_ney(stored(_gram_counts(blocks), "grams")).filter((F.col("k") == ORDER) & F.col("logp").isNotNull()).select(lang_key(F.col("lang")).alias("l"), "g", "logp")
-    asked = blocks.select("block", F.inline("grams")).select("block", lang_key(F.col("lang")).alias("l"), F.explode("g").alias("g"))
-    own = asked.join(top, ["l", "g"]).groupBy("block", "l").agg(F.collect_list(F.struct("g", "logp")).alias("s"))  # not more than a block's grams
-    lang = F.when(F.col("l") != "", F.expr("substring(l, 2)"))
-    found = own.groupBy("block").agg(F.collect_list(F.struct(lang.alias("lang"), "s")).alias("found"))
+    asked = blocks.select("block", lang_key(F.col("lang")).alias("l"), F.explode("g").alias("g"))
+    found = asked.join(top, ["l", "g"]).groupBy("block").agg(F.struct(F.collect_list("g").alias("g"), F.collect_list("logp").alias("logp")).alias("found"))  # not more than a block's grams
     kinds = [f"`{n}` {k}" for n, k in kept.dtypes[:-1]]
-    rows = _score(blocks.join(found.hint("shuffle_hash"), "block"), ", ".join([*kinds, *(f"{c} long" for c in SCORES[:-1]), f"{SCORES[-1]} double"]), len(kinds))
+    rows = _score(blocks.select("block", "lang", "payload").join(found.hint("shuffle_hash"), "block"), ", ".join([*kinds, *(f"{c} long" for c in SCORES[:-1]), f"{SCORES[-1]} double"]), len(kinds))
     failed = (F.col("verdure_n_words") < 10) | (100 * F.col("verdure_n_repeat_words") > 20 * F.col("verdure_n_words"))
     return stored(rows.withColumn("verdure_base_failed", failed), "scores")
 
