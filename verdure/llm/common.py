@@ -84,6 +84,21 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], n: str = "n
     return own.unionByName(rest)
 
 
+#: Parts that a split key's rows are dealt into.
+SALTS = 64
+
+
+def semi_join_groups(rows: DataFrame, groups: DataFrame, key: str, spread: str, n: str = "n") -> DataFrame:
+    """The ``rows`` whose key is in ``groups`` (written already, a row for each key with the number ``n`` of its rows), in one pass: rows of keys with over a ten-thousandth of all, of which
+    there are fewer than ten thousand, are dealt by a hash of the column ``spread`` into parts that each have the key."""
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    frequent = F.col(n) * HOT > F.lit(total)
+    hot = groups.filter(frequent).select(key, F.lit(True).alias("hot"))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0)
+    keys = groups.select(key, F.explode(F.when(frequent, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    return rows.join(F.broadcast(hot), key, "left").withColumn("salt", salt).join(keys, [key, "salt"], "left_semi").select(rows.columns)
+
+
 def long_id(c: str) -> Column:
     return F.col(c).cast("long").alias(c)
 

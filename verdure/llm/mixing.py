@@ -175,7 +175,8 @@ def _round(units: DataFrame, last: bool) -> DataFrame:
         pi = fly(pdf["pi"].to_numpy(float), size, seed)
         return pdf.assign(pi=landing(pi, size, seed + 1) if last else pi)
 
-    return units.groupBy("source_no", "blk").applyInPandas(run, units.schema)
+    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # blocks are few bytes and much work: they aren't put together by their bytes
+    return units.repartition(parts, "source_no", "blk").groupBy("source_no", "blk").applyInPandas(run, units.schema)
 
 
 def balanced_sample(units: DataFrame, block: int = 8192) -> DataFrame:

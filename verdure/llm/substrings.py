@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucketed, join_groups, long_id, only, small, stored
+from .common import bucketed, join_groups, long_id, only, semi_join_groups, small, stored
 from .words import mix, run_hashes, window_min, word_bounds, word_hashes
 
 NULL_ID = -(1 << 63)
@@ -217,8 +217,8 @@ def repeated_windows(docs: DataFrame, length: int = 50, gram: int = 25, group: i
     rows = rows.select("d", F.xxhash64("text").alias("h"), "text")
     texts = bucketed(rows, "texts", "d")
 
-    shared = _segment_rows(rows, length, gram, False).groupBy("g").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo < hi").select("g")
-    members = stored(_segment_rows(rows, length, gram, True).join(shared, "g", "left_semi"), "segments")
+    shared = _segment_rows(rows, length, gram, False).groupBy("g").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("g", "n")
+    members = stored(semi_join_groups(_segment_rows(rows, length, gram, True), stored(shared, "anchors"), "g", "d"), "segments")
 
     classes = members.groupBy("g", "r").agg(F.min(F.struct("d", "h", "a", "n")).alias("rep"), F.count("*").alias("size"))
     classes = stored(classes.select("g", "r", "rep.*", "size"), "classes")
