@@ -34,7 +34,7 @@ BOS, EOS, ORDER = 2, 3, 4
 SYMBOLS = "#*$%&|<>"
 BLANK = " \t\n\x0b\x0c\r"
 SLICE = 500_000
-BLOCK_UNITS = 8_000_000
+BLOCK_UNITS = 4_000_000
 
 
 def lang_key(lang: Column) -> Column:
