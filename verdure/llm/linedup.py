@@ -163,8 +163,9 @@ def dedup_lines(docs: DataFrame, lines: int = 2, alone: int | None = None) -> Da
     found = later_copies(docs, lines, alone)
     cuts = found.groupBy("d", "h").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("cuts"))
     at, plain = docs.columns.index("text"), numbered_columns(docs)
+    # cuts grow with the documents, so texts are shuffled at every size
     d, text = F.coalesce(F.col(f"c{docs.columns.index('doc_id')}").cast("long"), F.lit(NULL_ID)), F.col(f"c{at}")
-    joined = plain.join(cuts, (d == F.col("d")) & (F.xxhash64(text) == F.col("h")), "left").select(*plain.columns, "cuts")
+    joined = plain.join(cuts.hint("shuffle_hash"), (d == F.col("d")) & (F.xxhash64(text) == F.col("h")), "left").select(*plain.columns, "cuts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):

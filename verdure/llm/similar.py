@@ -193,7 +193,7 @@ def near_links(fps: DataFrame, words: int, b: int, most: int, bucket: int = 8) -
 def alike(members: DataFrame, similarity: float, rounds: int = 3) -> DataFrame:
     """Links (a, b) that connect the rows of (key, c, s), s a sorted array of distinct hashes, whose sets are of this Jaccard similarity, in each key.
 
-    As ``crowded_links``, with Jaccard distances, for which the triangle inequality holds as well. Two empty sets are equal.
+    As ``crowded_links``, with Jaccard distances, for which the triangle inequality holds as well; a pair of blocks gives a spanning forest. Two empty sets are equal.
     """
     far = 1 - similarity
     left, links, wide = members, None, []
@@ -225,13 +225,22 @@ def alike(members: DataFrame, similarity: float, rounds: int = 3) -> DataFrame:
         return rows.join(counts, "key").select("key", "c", "s", F.lit(side).alias("side"), own, F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1)).alias(other))
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("c")  # forests of many blocks then share their links
         a, b = (list(zip(own["c"], own["s"])) for own in (pdf[pdf["side"] == "a"], pdf[pdf["side"] == "b"]))
-        out = []
+        out, parent = [], {c: c for c, _ in [*a, *b]}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
         for c, s in a:
             for d, t in b:
-                if c != d and min(len(s), len(t)) >= similarity * max(len(s), len(t)):
+                if root(c) != root(d) and min(len(s), len(t)) >= similarity * max(len(s), len(t)):
                     n = len(np.intersect1d(s, t, assume_unique=True))
                     if n >= similarity * (len(s) + len(t) - n):
+                        parent[root(c)] = root(d)
                         out.append((c, d))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
