@@ -114,3 +114,27 @@ def test_names_and_long_texts(spark):
     assert out.columns == names and {tuple(r) for r in out.collect()} <= set(rows)
     got = {r["doc_id"]: r for r in M.mix(df).collect()}
     assert got[3]["size"] == 50_000 and len(got) == 40 and all(r["taken"] % r["size"] == 0 for r in got.values())
+
+
+@given(st.lists(st.tuples(st.floats(0.01, 0.99), st.integers(1, 3000)), min_size=1, max_size=M.REST), st.integers(0, 99))
+@settings(max_examples=60, deadline=None)
+def test_landing_meets_the_sum(units, seed):
+    """Against all subsets: the sum is as near as any subset's, but for a hundredth of what is expected."""
+    pi, size = np.array([u[0] for u in units]), np.array([u[1] for u in units], float)
+    best = min(abs(sum(s for i, s in enumerate(size) if c >> i & 1) - pi @ size) for c in range(2 ** len(units)))
+    p = M.landing(pi, size, seed)
+    assert set(np.unique(p)) <= {0.0, 1.0} and abs(p @ size - pi @ size) <= best + 0.01 * (pi @ size) + 1e-6
+
+
+def test_landing_keeps_probabilities():
+    """Where subsets near the sum allow it, twelve documents keep their probabilities."""
+    pi, size = np.tile([0.2, 0.4, 0.6, 0.8], 3), np.repeat([30.0, 20, 10], 4)
+    got = np.mean([M.landing(pi, size, s) for s in range(3000)], axis=0)
+    assert np.abs(got - pi).max() < 0.05
+
+
+def test_few_long_documents_meet_the_target():
+    size = np.array([2933.0, 933, 395, 330, 233, 233, 224, 136])
+    for seed in range(20):
+        p = M.landing(M.fly(np.full(8, 0.82), size, seed, M.REST), size, seed + 1)
+        assert abs(p @ size - 0.82 * size.sum()) <= 0.02 * size.sum()

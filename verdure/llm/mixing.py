@@ -8,7 +8,7 @@ The sample is drawn by the cube method. Flight: the probabilities of undecided d
 number over the probability), at random in one of its two directions, until one of them is 0 or 1; so the sums of sizes and documents do not change, and every document's expectation
 is its probability. The longest undecided document goes first, against all shorter ones, each moved a little; so long documents are decided while there is enough to make up for them, and
 what is left at the end is short. In each block of a source all but at most two documents are decided; what remains of all blocks is dealt into new blocks, until one block for each
-source holds it. Landing draws its last documents, at most two, so that they keep their expectation as well.
+source holds it. Its last documents, at most ``REST``, land by linear programming over their subsets (see ``landing``): they keep their expectation as well, as far as the target allows it.
 
 Blocks are a hash of the document and hold about ``block`` documents, however large a source is. All choices come from hashes, so reruns agree.
 
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, long_id, numbered_columns, only, stored
 
+REST = 12  # documents of a source that landing decides at once, by their 2 ** REST subsets
+
 
 def targets(totals: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
     """Rows (source, source_size) with target. A row for each source: summaries, so one task orders them.
@@ -48,18 +50,17 @@ def targets(totals: DataFrame, weights: tuple[float, ...], share: float, most: f
     return rows.select("source", "source_size", F.least("cap", F.coalesce(level * F.col("weight"), F.col("cap"))).alias("target"))
 
 
-def flight(pi: np.ndarray, a: np.ndarray, rnd: np.random.Generator) -> np.ndarray:
-    """The cube method's flight: the sums of the two columns of ``a`` over the probabilities are kept; documents move three at a time until at most two are between 0 and 1."""
+def flight(pi: np.ndarray, a: np.ndarray, rnd: np.random.Generator, rest: int = 2) -> np.ndarray:
+    """The cube method's flight: the sums of the two columns of ``a`` over the probabilities are kept; documents move three at a time until at most ``rest`` are between 0 and 1."""
     p, a = pi.tolist(), a.tolist()
     draws = rnd.random(len(p) + 3).tolist()
     eps, active, nxt, step = 1e-9, [], 0, 0
-    while True:
+    undecided = sum(eps < v < 1 - eps for v in p)
+    while undecided > rest:
         while len(active) < 3 and nxt < len(p):
             if eps < p[nxt] < 1 - eps:
                 active.append(nxt)
             nxt += 1
-        if len(active) < 3:
-            return np.array(p)
         i, j, k = active
         (a1, a2), (b1, b2), (c1, c2) = a[i], a[j], a[k]
         u = (b1 * c2 - b2 * c1, c1 * a2 - c2 * a1, a1 * b2 - a2 * b1)  # null vector of the 2 by 3 matrix
@@ -74,15 +75,17 @@ def flight(pi: np.ndarray, a: np.ndarray, rnd: np.random.Generator) -> np.ndarra
         step += 1
         for q, v in zip(active, u):
             p[q] = min(1.0, max(0.0, p[q] + by * v))
-        rest = [q for q in active if eps < p[q] < 1 - eps]
+        inside = [q for q in active if eps < p[q] < 1 - eps]
         for q in active:
-            if q not in rest:
+            if q not in inside:
                 p[q] = float(round(p[q]))
-        if len(rest) == 3:  # rounding kept all three inside: settle the nearest
-            q = min(rest, key=lambda q: min(p[q], 1 - p[q]))
+        if len(inside) == 3:  # rounding kept all three inside: settle the nearest
+            q = min(inside, key=lambda q: min(p[q], 1 - p[q]))
             p[q] = float(round(p[q]))
-            rest.remove(q)
-        active = rest
+            inside.remove(q)
+        undecided -= 3 - len(inside)
+        active = inside
+    return np.array(p)
 
 
 def long_first(pi: np.ndarray, size: np.ndarray, rnd: np.random.Generator, rest: int = 8) -> np.ndarray:
@@ -144,25 +147,50 @@ def long_first(pi: np.ndarray, size: np.ndarray, rnd: np.random.Generator, rest:
     return out
 
 
+def _nearest_design(pi: np.ndarray, cubes: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """(columns, weights): the distribution over the columns of ``cubes`` whose expectation is nearest to ``pi``, by the simplex method from column ``first``. A document's deviation is
+    an extra column each way, of cost 1; every basis on the way is a distribution."""
+    q, n = cubes.shape
+    table = np.hstack([np.vstack([cubes, np.ones(n)]), np.vstack([np.eye(q), np.zeros(q)]), np.vstack([-np.eye(q), np.zeros(q)])])
+    cost, right = np.concatenate([np.zeros(n), np.ones(2 * q)]), np.append(pi, 1.0)
+    basis = [first] + [n + i if pi[i] >= cubes[i, first] else n + q + i for i in range(q)]
+    for _ in range(100 * (q + 1)):
+        own = table[:, basis]
+        x = np.linalg.solve(own, right)
+        gain = cost - np.linalg.solve(own.T, cost[basis]) @ table
+        enter = int(gain.argmin())
+        if gain[enter] > -1e-9:
+            break
+        way = np.linalg.solve(own, table[:, enter])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            far = np.where(way > 1e-9, np.maximum(x, 0.0) / way, np.inf)
+        basis[int(far.argmin())] = enter
+    x = np.clip(np.linalg.solve(table[:, basis], right), 0.0, 1.0)
+    return np.array([c for c in basis if c < n]), np.array([v for c, v in zip(basis, x) if c < n])
+
+
 def landing(pi: np.ndarray, size: np.ndarray, seed: float) -> np.ndarray:
-    """Decide the few documents that are left so that each keeps its expectation; decided ones stay. As long as two are open, the two nearest in size are moved against each other: the
-    number stays, the size moves by their difference at most. The last one is drawn."""
+    """Decide the few documents that are left, ``REST`` at most, by linear programming; decided ones stay. Of all their subsets, those count whose sum of sizes is as near as any to what is
+    expected, or within a thousandth (a hundredth, if that isn't enough) of the block's expected sum more; one is drawn from the distribution over these that is nearest to the probabilities.
+    So every document keeps its expectation where the sum allows it, and the sum wins where a document is too long for both."""
     rnd, out = np.random.default_rng(int(abs(seed))), pi.copy()
-    opened = lambda: [q for q in np.argsort(size, kind="stable").tolist() if 1e-9 < out[q] < 1 - 1e-9]
-    while len(left := opened()) > 1:
-        a, b = min(zip(left, left[1:]), key=lambda x: size[x[1]] - size[x[0]])
-        up, down = min(1 - out[a], out[b]), min(out[a], 1 - out[b])
-        by = up if rnd.random() * (up + down) < down else -down
-        out[a], out[b] = out[a] + by, out[b] - by
-    for q in left:
-        out[q] = float(rnd.random() < out[q])
+    left = np.flatnonzero((out > 1e-9) & (out < 1 - 1e-9))
+    if len(left):
+        cubes = (np.arange(2 ** len(left)) >> np.arange(len(left))[:, None] & 1).astype(float)
+        off = np.abs(size[left].astype(float) @ cubes - out[left] @ size[left])
+        for slack in (0.001, 0.01):
+            near = np.flatnonzero(off <= off.min() + slack * float(pi @ size))
+            columns, weights = _nearest_design(out[left], cubes[:, near], int(off[near].argmin()))
+            if np.abs(cubes[:, near[columns]] @ weights - out[left]).max() < 1e-6:
+                break
+        out[left] = cubes[:, near[rnd.choice(columns, p=weights / weights.sum())]]
     return np.round(out)
 
 
-def fly(pi: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
-    """The whole flight of a block: at most two documents stay between 0 and 1."""
+def fly(pi: np.ndarray, size: np.ndarray, seed: int, rest: int = 2) -> np.ndarray:
+    """The whole flight of a block: at most ``rest`` documents, two or more, stay between 0 and 1."""
     rnd = np.random.default_rng(seed)
-    return flight(long_first(pi, size, rnd), np.column_stack([size, np.ones(len(pi))]), rnd)
+    return flight(long_first(pi, size, rnd, max(8, rest)), np.column_stack([size, np.ones(len(pi))]), rnd, rest)
 
 
 def _round(units: DataFrame, last: bool) -> DataFrame:
@@ -172,7 +200,7 @@ def _round(units: DataFrame, last: bool) -> DataFrame:
         pdf = pdf.sort_values(["size", "doc_id", "h", "nth"], ascending=[False, True, True, True], kind="stable", na_position="first").reset_index(drop=True)
         size = pdf["size"].to_numpy(float)
         seed = int(np.bitwise_xor.reduce(pdf["h"].to_numpy(np.int64)) & 0x7FFFFFFF) + len(pdf)
-        pi = fly(pdf["pi"].to_numpy(float), size, seed)
+        pi = fly(pdf["pi"].to_numpy(float), size, seed, REST if last else 2)
         return pdf.assign(pi=landing(pi, size, seed + 1) if last else pi)
 
     parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # blocks are few bytes and much work: they aren't put together by their bytes
