@@ -3,10 +3,10 @@
 Two sets of shingles of similarity s (shared over all) differ in about arccos(2s / (1 + s)) / pi of their SimHash bits: 15 of 100 at 0.8, which is far more than two bits of 64. So
 fingerprints here have several words of 64 bits. They only find candidates: these may differ by three standard deviations more than is expected at ``similarity``.
 
-Fingerprints are split into segments of b bits, three or more than log2 of the number of rows, so that a segment's chance matches stay few at every size. A table holds each fingerprint
-under each segment; lookups enumerate the ball of radius one around each segment, of which only bits that are 0 have to be set: of two segments one bit apart one has the 0. Longer
-segments meet more seldom, so the number of words grows with b: two documents of the set similarity meet in some segment with a probability of ``meet`` at least, whatever the number of
-rows (5 words at 10,000, 8 at 200,000, 15 at 1 million, 25 at 12 million).
+Fingerprints are split into segments of b bits, log2 of the number of rows, so that by chance a segment is shared by one other row or fewer at every size; the first word's distance drops
+chance matches where they meet. A table holds each fingerprint under each segment; lookups enumerate the ball of radius one around each segment, of which only bits that are 0 have to be set:
+of two segments one bit apart one has the 0. Longer segments meet more seldom, so the number of segments, and of words that hold them, grows with b: two documents of the set similarity meet
+in some segment with a probability of ``meet`` at least, whatever the number of rows (words: 4 at 10,000, 5 at 200,000, 7 at 1 million, 17 at 12 million).
 
 Candidates' components are then settled exactly (``alike``): documents are linked where the Jaccard similarity of their sets of shingles is ``similarity`` or more, and only such links count.
 
@@ -69,10 +69,10 @@ def _share(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def limit(similarity: float, bits: int) -> int:
+def limit(similarity: float, bits: int, deviations: float = 3) -> int:
     """Most bits that may differ: the expected number and three standard deviations."""
     p = _share(similarity)
-    return int(bits * p + 3 * math.sqrt(bits * p * (1 - p)))
+    return int(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
 
 
 def meeting(similarity: float, b: int, words: int) -> float:
@@ -83,15 +83,18 @@ def meeting(similarity: float, b: int, words: int) -> float:
 
 def width(rows: int) -> int:
     """Bits of a segment."""
-    return min(32, max(12, math.ceil(math.log2(max(2, rows))) + 3))
+    return min(32, max(12, math.ceil(math.log2(max(2, rows)))))
+
+
+def segments_for(similarity: float, b: int, meet: float) -> int:
+    """The least number of segments with which fingerprints meet with a probability of ``meet``."""
+    p = _share(similarity)
+    return math.ceil(math.log(1 - meet) / math.log(1 - (1 - p) ** b - b * p * (1 - p) ** (b - 1)))
 
 
 def words_for(similarity: float, b: int, meet: float) -> int:
     """The least number of words, four or more, with which fingerprints meet with a probability of ``meet``."""
-    words = 4
-    while meeting(similarity, b, words) < meet:
-        words += 1
-    return words
+    return max(4, math.ceil(segments_for(similarity, b, meet) / (64 // b)))
 
 
 def forest(ca: np.ndarray, a: np.ndarray, cb: np.ndarray, b: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -162,10 +165,11 @@ def crowded_links(members: DataFrame, names: list[str], most: int, rounds: int =
     return links.unionByName(blocks.groupBy("key", "a", "b").applyInPandas(link, "a long, b long")).distinct()
 
 
-def near_links(fps: DataFrame, words: int, b: int, most: int, bucket: int = 8) -> DataFrame:
-    """Links (a, b) between classes of fingerprints (c, f0, f1, ...)."""
+def near_links(fps: DataFrame, words: int, b: int, most: int, bucket: int = 8, segments: int | None = None, rough: int | None = None) -> DataFrame:
+    """Links (a, b) between classes of fingerprints (c, f0, f1, ...) that meet in one of the first ``segments`` (default: all) and differ in ``most`` bits or fewer; in keys that few hold, also
+    in ``rough`` bits of the first word or fewer (default: its share of ``most`` and four standard deviations)."""
     each, mask = 64 // b, (1 << b) - 1
-    keys = [F.shiftrightunsigned(f"f{w}", s * b).bitwiseAND(F.lit(mask)).bitwiseOR(F.lit((w * each + s) << 32)) for w in range(words) for s in range(each)]
+    keys = [F.shiftrightunsigned(f"f{w}", s * b).bitwiseAND(F.lit(mask)).bitwiseOR(F.lit((w * each + s) << 32)) for w in range(words) for s in range(each)][:segments]
     table = fps.select("c", "f0", F.explode(F.array(*keys)).alias("key"))
     looked_up = F.array_distinct(F.array("key", *(F.col("key").bitwiseOR(F.lit(1 << i)) for i in range(b))))
     probes = table.select(F.col("c").alias("p"), F.col("f0").alias("g"), F.explode(looked_up).alias("key"))
@@ -175,7 +179,7 @@ def near_links(fps: DataFrame, words: int, b: int, most: int, bucket: int = 8) -
 
     # one word's distance drops chance matches before pairs are gathered
     p = most / (64 * words)
-    rough = int(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
+    rough = int(64 * p + 4 * math.sqrt(64 * p * (1 - p))) if rough is None else rough
     cold = table.join(crowded, "key", "left_anti")
     met = probes.join(cold.hint("shuffle_hash"), (probes["key"] == cold["key"]) & (F.col("p") != F.col("c")) & (F.bit_count(F.col("g").bitwiseXOR(F.col("f0"))) <= rough))
     pairs = met.select(F.least("p", "c").alias("a"), F.greatest("p", "c").alias("b")).distinct()
@@ -263,7 +267,7 @@ def similar_documents(docs: DataFrame, k: int = 5, similarity: float = 0.8, word
     rows = texts.mapInArrow(run, "doc_id long, t long, " + ", ".join(f"{n} long" for n in names))
     rows = stored(rows.withColumn("c", F.xxhash64(*names)), "wide-fingerprints")
     fps = stored(rows.select("c", *names).distinct(), "classes")
-    roots = components(near_links(fps, words, b, limit(similarity, 64 * words), bucket))
+    roots = components(near_links(fps, words, b, limit(similarity, 64 * words), bucket, segments_for(similarity, b, meet), limit(similarity, 64, 4)))
     # copies of a text are one node; what shares a component with another text is compared with it
     nodes = rows.groupBy("t", "c").agg(F.min("doc_id").alias("least"))
     nodes = stored(nodes.join(roots, nodes["c"] == roots["a"], "left").select("t", "least", F.coalesce("root", "c").alias("key")), "nodes")
