@@ -72,11 +72,13 @@ def numbered_columns(df: DataFrame) -> DataFrame:
 HOT = 10_000
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], n: str = "n", total: int | None = None) -> DataFrame:
     """``rows``, written already, joined with ``groups``: one row for each of the keys, with the number ``n`` of its rows. Keys that hold over a ten-thousandth of the rows, of which there
-    are fewer than ten thousand, are broadcast and their rows stay where they are; the others are shuffled. So no task gets all rows of a frequent key, and what is broadcast is bounded."""
-    groups = stored(groups, "groups")
-    total = groups.agg(F.sum(n)).first()[0] or 0
+    are fewer than ten thousand, are broadcast and their rows stay where they are; the others are shuffled. So no task gets all rows of a frequent key, and what is broadcast is bounded.
+    With ``total``, the sum of ``n``, the groups are written already and aren't written again."""
+    if total is None:
+        groups = stored(groups, "groups")
+        total = groups.agg(F.sum(n)).first()[0] or 0
     hot = groups.filter(F.col(n) * HOT > F.lit(total))
     cold = groups.filter(F.col(n) * HOT <= F.lit(total))
     own = rows.join(F.broadcast(hot), keys)

@@ -66,25 +66,29 @@ AT = ["d", "h", "pos"]
 
 
 def ranked(pairs: DataFrame) -> DataFrame:
-    """(a, b, n, first, rank): distinct pairs that two or more suffixes share, ranked by (a, b) from 1, whatever their number. With the suffixes' places (d, h, pos), ``first`` is the least."""
+    """The ranks of ``ranks_and_total`` alone."""
+    return ranks_and_total(pairs)[0]
+
+
+def ranks_and_total(pairs: DataFrame) -> tuple[DataFrame, int]:
+    """(a, b, n, first, rank) and the sum of n: distinct pairs that two or more suffixes share, ranked by (a, b) from 1, whatever their number. With the suffixes' places (d, h, pos), ``first`` is the least."""
     first = F.min(F.struct(*AT)) if "pos" in pairs.columns else F.lit(None).cast("struct<d:long,h:long,pos:int>")
-    groups = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("n"), first.alias("first")).filter("n > 1"), "groups")
-    distinct = groups.select("a", "b")
+    groups = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), first.alias("first")).filter("n > 1")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(b.num_rows, part, np.int32)), pa.array(np.arange(n + 1, n + 1 + b.num_rows, dtype=np.int64))], names=["a", "b", "part", "n"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(b.num_rows, part, np.int32)), pa.array(np.arange(n + 1, n + 1 + b.num_rows, dtype=np.int64))], names=[*b.schema.names, "part", "at"])
             n += b.num_rows
 
-    placed = stored(distinct.repartitionByRange("a", "b").sortWithinPartitions("a", "b").mapInArrow(number, "a long, b long, part int, n long"), "ranks")
-    sizes = sorted((r["part"], r["n"]) for r in placed.groupBy("part").agg(F.max("n").alias("n")).collect())  # a row for each partition
-    before, total = {}, 0
-    for part, n in sizes:
-        before[part], total = total, total + n
-    base = placed.sparkSession.createDataFrame(list(before.items()), "part int, base long")
-    ranks = placed.join(F.broadcast(base), "part").select("a", "b", (F.col("base") + F.col("n")).alias("rank"))
-    return groups.join(ranks, ["a", "b"])
+    ordered = groups.repartitionByRange("a", "b").sortWithinPartitions("a", "b")
+    placed = stored(ordered.mapInArrow(number, "a long, b long, n long, first struct<d:long,h:long,pos:int>, part int, at long"), "ranks")
+    base, ranks, total = [], 0, 0
+    for r in sorted(placed.groupBy("part").agg(F.max("at").alias("at"), F.sum("n").alias("n")).collect()):  # a row for each partition
+        base.append((r["part"], ranks))
+        ranks, total = ranks + r["at"], total + r["n"]
+    base = placed.sparkSession.createDataFrame(base, "part int, base long")
+    return placed.join(F.broadcast(base), "part").select("a", "b", "n", "first", (F.col("base") + F.col("at")).alias("rank")), total
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -95,15 +99,16 @@ def numbered(docs: DataFrame) -> DataFrame:
 def repeated_suffixes(docs: DataFrame, most_levels: int = 40, lines: DataFrame | None = None) -> list[DataFrame]:
     """For j = 0, 1, ...: (d, h, pos, rank, first) of the suffixes that share their first 2**j lines with another one, and the first suffix that does; the last level is where none is left."""
     lines = numbered(docs) if lines is None else lines
-    one = lines.select(*AT, F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
-    level = lambda pairs, j: stored(join_groups(pairs, ranked(pairs), ["a", "b"]).select(*AT, "rank", "first"), f"level-{j}")
-    levels = [level(one, 0)]
-    while len(levels) < most_levels and not levels[-1].isEmpty():
+    pairs, levels = lines.select(*AT, F.col("id").alias("a"), F.lit(0).cast("long").alias("b")), []
+    while True:
+        ranks, total = ranks_and_total(pairs)
+        levels.append(stored(join_groups(pairs, ranks, ["a", "b"], total=total).select(*AT, "rank", "first"), f"level-{len(levels)}"))
+        if not total or len(levels) == most_levels:
+            return levels
         last, step = levels[-1], 1 << (len(levels) - 1)
         ahead = last.select("d", "h", (F.col("pos") - step).alias("pos"), F.col("rank").alias("b"))
         both = last.select(*AT, F.col("rank").alias("a")).join(ahead, AT)  # what has no rank 2**(j-1) lines on has no repeat of 2**j lines
-        levels.append(level(stored(both.select(*AT, "a", "b"), f"pairs-{len(levels)}"), len(levels)))
-    return levels
+        pairs = stored(both.select(*AT, "a", "b"), f"pairs-{len(levels)}")
 
 
 def earlier_runs(docs: DataFrame, least: int = 1, levels: list[DataFrame] | None = None) -> DataFrame:
@@ -123,7 +128,7 @@ def earlier_runs(docs: DataFrame, least: int = 1, levels: list[DataFrame] | None
     for i in range(len(levels) - 2, -1, -1):
         # of the intervals above level i the lines that follow, on both sides; one first copy can have many later ones, so its rank is looked up once
         ahead = out.filter(F.col("j") > i).withColumn("q", F.col("to_pos") + F.col("lines"))
-        if ahead.isEmpty():
+        if i == len(levels) - 2 and ahead.isEmpty():  # below, the rows of the deepest interval are there
             continue
         own = levels[i].select("d", "h", F.col("pos").alias("p"), F.col("rank").alias("r"))
         here = ahead.withColumn("p", F.col("pos") + F.col("lines")).join(own, ["d", "h", "p"], "left").drop("p")
