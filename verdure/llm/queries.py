@@ -77,6 +77,18 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(stored(chat.format_chats(turns, "conv_id"), "chats"), "conv_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import repair
+
+    return repair.report(repair.repair_conversations(repair.damaged(read(spark, sf_dir, "conversations")), "copies"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import merkle
+
+    return merkle.proof_digest(merkle.manifest(merkle.tampered(read(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_bitplane_token_files": op1_bitplane_token_files,
     "op2_substring_dedup": op2_substring_dedup,
@@ -88,9 +100,91 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_secret_scan": op9_secret_scan,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
+
+def _crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of an ASCII string, bit by bit."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda x: list_transform(range(8), lambda i: CAST(ascii(x) >> i & 1 AS BIGINT))))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"
+
+
+def _repair_sql() -> str:
+    """Edits as strings of a six-digit cost and the audit: the least string is the cheapest, then ASCII-least edit for each grammar state, row after row."""
+    more = lambda b, cost, letter: f"lpad(CAST(CAST(left({b}, 6) AS INT) + ({cost}) AS VARCHAR), 6, '0') || substr({b}, 7) || '{letter}'"
+    entered = f"b0, b1, least(b2, {more('b0', 3, 'I')}, {more('b1', 3, 'I')}, {more('b3', 3, 'I')}) AS b2, b3"
+    kept = lambda kind, *states: ", ".join(f"CASE WHEN ok AND kind = '{kind}' THEN {more(b, 'extra', 'K')} END" for b in states)
+    rerole = lambda *states: ", ".join(f"CASE WHEN ok THEN {more(b, '3 + extra', 'R')} END" for b in states)
+    return rf"""
+        WITH RECURSIVE o AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS k FROM conversations),
+        m AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+              FROM (SELECT *, unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM o)),
+        n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS kind,
+                  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM m),
+        f AS (SELECT *, CASE WHEN body = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2 WHEN right(body, 1) IN ('.', '!', '?') THEN 0 ELSE 3 END AS fault,
+                  lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS was FROM n),
+        r AS (SELECT conv_id, i, kind, fault NOT IN (1, 2) AS ok, CASE fault WHEN 3 THEN 3 ELSE 0 END AS extra FROM f),
+        c AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+                  count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (was IS NOT NULL AND was || kind NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv_id),
+        d AS (SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(n, 0) AS n
+              FROM (SELECT DISTINCT conv_id FROM o) o LEFT JOIN c ON o.conv_id IS NOT DISTINCT FROM c.conv_id),
+        w AS (
+            SELECT conv_id, n, CAST(0 AS BIGINT) AS i, '000000' AS b0, CAST(NULL AS VARCHAR) AS b1, CAST(NULL AS VARCHAR) AS b2, CAST(NULL AS VARCHAR) AS b3 FROM d
+            UNION ALL
+            SELECT conv_id, n, i, {more('b0', 4, 'D')}, least({more('b1', 4, 'D')}, {kept('s', 'b0')}), least({more('b2', 4, 'D')}, {kept('u', 'b0', 'b1', 'b3')}, {rerole('b0', 'b1', 'b3')}),
+                least({more('b3', 4, 'D')}, {kept('a', 'b2')}, {rerole('b2')})
+            FROM (SELECT x.conv_id, n, x.i + 1 AS i, b0, b1, b2, least(b3, {more('b2', 3, 'I')}) AS b3, kind, ok, extra
+                  FROM (SELECT conv_id, n, i, {entered} FROM w) x JOIN r ON x.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = x.i + 1)),
+        e AS (SELECT conv_id, least(b0, b3, {more('b2', 3, 'I')}) AS best FROM (SELECT conv_id, {entered} FROM w WHERE i = n)),
+        l AS (SELECT conv_id, best, unnest(string_split(substr(best, 7), '')) AS edit, unnest(range(length(best) - 6)) AS p FROM e WHERE length(best) > 6),
+        a AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i FROM l),
+        s AS (SELECT a.conv_id, p, edit, CASE edit WHEN 'I' THEN '' ELSE text END AS text, role, edit = 'K' AND kind = 's' AS system
+              FROM a LEFT JOIN f ON a.conv_id IS NOT DISTINCT FROM f.conv_id AND a.i = f.i WHERE edit <> 'D'),
+        t AS (SELECT conv_id, p, CASE WHEN edit = 'K' THEN role WHEN count(*) FILTER (NOT system) OVER (PARTITION BY conv_id ORDER BY p) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text AS line FROM s),
+        g AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY p) AS lines FROM t GROUP BY conv_id)
+        SELECT d.conv_id, d.gaps, d.blank, d.duplicate, d.truncated, d.illegal, CAST(left(best, 6) AS BIGINT) AS cost, substr(best, 7) AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+        FROM d JOIN e ON d.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN g ON d.conv_id IS NOT DISTINCT FROM g.conv_id"""
+
+
+def _merkle_sql() -> str:
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda n: " || ".join(map(field, ("doc_id", "source", "lang", n, "text")))
+    up = lambda name, key: f"""{name} AS (
+            SELECT {key}, 0 AS lvl, i, node, count(*) OVER (PARTITION BY {key}) AS m FROM {name}0
+            UNION ALL SELECT {key}, lvl + 1, i // 2, sha256(string_agg(node, '' ORDER BY i)), (m + 1) // 2 FROM {name} WHERE m > 1 GROUP BY {key}, lvl, i // 2, m)"""
+    return rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, coalesce('+' || lang, '') AS t, sha256({leaf('n_chars')}) AS leaf,
+                CASE WHEN doc_id IS NOT NULL AND {_crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} % 7 = 0 THEN sha256({leaf('n_chars + 1')}) ELSE sha256({leaf('n_chars')}) END AS again FROM documents),
+        k AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+        low0 AS (SELECT t, i, leaf AS node FROM k),
+        {up('low', 't')},
+        high0 AS (SELECT 1 AS one, row_number() OVER (ORDER BY encode(t)) - 1 AS i, t, node FROM low WHERE m = 1),
+        {up('high', 'one')},
+        heights AS (SELECT t, max(lvl) AS low_height FROM low GROUP BY t),
+        steps AS (
+            SELECT k.t, k.i, l.lvl, s.node AS sibling, (k.i >> l.lvl) & 1 = 1 AS leftward FROM k JOIN (SELECT DISTINCT t, lvl FROM low WHERE m > 1) l USING (t)
+            LEFT JOIN low s ON s.t = k.t AND s.lvl = l.lvl AND s.i = xor(k.i >> l.lvl, 1)
+            UNION ALL
+            SELECT k.t, k.i, low_height + l.lvl, s.node, (h.i >> l.lvl) & 1 = 1 FROM k JOIN heights USING (t) JOIN high0 h USING (t) CROSS JOIN (SELECT DISTINCT lvl FROM high WHERE m > 1) l
+            LEFT JOIN high s ON s.lvl = l.lvl AND s.i = xor(h.i >> l.lvl, 1)),
+        proofs AS (SELECT t, i, sha256(coalesce(string_agg(sibling, '' ORDER BY lvl), '')) AS proof_sha256, count(*) AS n FROM steps GROUP BY t, i),
+        folded AS (
+            SELECT t, i, 0 AS lvl, again AS node FROM k
+            UNION ALL SELECT f.t, f.i, f.lvl + 1, sha256(CASE WHEN leftward THEN coalesce(sibling, '') || node ELSE node || coalesce(sibling, '') END) FROM folded f JOIN steps s ON f.t = s.t AND f.i = s.i AND f.lvl = s.lvl),
+        ends AS (SELECT t, i, arg_max(node, lvl) AS folded_root FROM folded GROUP BY t, i),
+        root AS (SELECT node AS root FROM high WHERE m = 1)
+        SELECT doc_id, leaf, h.node AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+        FROM k JOIN ends USING (t, i) LEFT JOIN proofs USING (t, i) JOIN high0 h USING (t) CROSS JOIN root"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_conversation_repair": _repair_sql(),
+    "op12_merkle_manifest": _merkle_sql(),
     "op2_substring_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
         w AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
