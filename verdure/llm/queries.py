@@ -89,6 +89,13 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proof_digest(merkle.manifest(merkle.tampered(read(spark, sf_dir, "documents"))))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_bitplane_token_files": op1_bitplane_token_files,
     "op2_substring_dedup": op2_substring_dedup,
@@ -102,6 +109,7 @@ QUERIES = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_toxicity": op13_toxicity,
 }
 
 
