@@ -23,7 +23,7 @@ def test_risk_takes_the_positives_out_of_the_unlabelled():
     noise = lambda: [int(f) for f in rng.choice(np.arange(2, 12), 3, replace=False)]
     toxic = [[0, *noise()] for _ in range(300)]
     unlabelled = [[i % 2, *noise()] for i in range(1000)]
-    w, b = T.fit(toxic, unlabelled, 0.5, 12)
+    w, b = T.fit(T.Sets.of(toxic), T.Sets.of(unlabelled), 0.5, 12)
     p = lambda f: 1 / (1 + np.exp(-(b + w[f])))
     assert p(0) > 0.9 and p(1) < 0.1 and np.abs(w[2:]).max() < 1.5
 
@@ -31,7 +31,7 @@ def test_risk_takes_the_positives_out_of_the_unlabelled():
 def test_non_negative_risk():
     """With more features than rows the positives' part would make the negative part of the risk fall without bound."""
     toxic, unlabelled = [[i] for i in range(20)], [[i + 20] for i in range(20)]
-    w, b = T.fit(toxic, unlabelled, 0.3, 40, rounds=300)
+    w, b = T.fit(T.Sets.of(toxic), T.Sets.of(unlabelled), 0.3, 40, rounds=300)
     assert np.isfinite(w).all() and np.abs(w).max() < 50
 
 

@@ -86,32 +86,47 @@ def _loss(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own, -own * (1 - own)
 
 
-def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.array([f for r in rows for f in r], np.int64)
+@dataclass
+class Sets:
+    """Rows of features one after the other: row i has values[offsets[i]:offsets[i + 1]]."""
+
+    offsets: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[list[int]]) -> Sets:
+        return cls(np.cumsum([0, *map(len, rows)]), np.array([f for r in rows for f in r], np.int64))
+
+    def __len__(self) -> int:
+        return len(self.offsets) - 1
 
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place among ``rows``, feature) of these rows' features."""
+        n = self.offsets[rows + 1] - self.offsets[rows]
+        at = np.repeat(np.arange(len(rows)), n)
+        return at, self.values[np.arange(len(at)) + np.repeat(self.offsets[rows] - (np.cumsum(n) - n), n)]
 
-def fit(toxic: list[list[int]], unlabelled: list[list[int]], prior: float, n: int, rounds: int = 60, batches: int = 6, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights of the n features and the bias, by Adam on the non-negative risk; rows are lists of features."""
+
+def fit(toxic: Sets, unlabelled: Sets, prior: float, n: int, rounds: int = 60, batches: int = 6, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> tuple[np.ndarray, float]:
+    """Weights of the n features and the bias, by Adam on the non-negative risk."""
     rng = np.random.default_rng(seed)
     w = np.zeros(n + 1)  # the last one is the bias
     w[n] = np.log(prior / (1 - prior))
     m, v, step = np.zeros(n + 1), np.zeros(n + 1), 0
-    own, all_ = [np.array(r, np.int64) for r in toxic], [np.array(r, np.int64) for r in unlabelled]
 
-    def scored(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at, f = _flat(rows)
-        return np.bincount(at, w[f], len(rows)) + w[n], at, f
+    def scored(rows: Sets, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at, f = rows.take(part)
+        return np.bincount(at, w[f], len(part)) + w[n], at, f
 
     def gradient(slopes: np.ndarray, at: np.ndarray, f: np.ndarray) -> np.ndarray:
         return np.append(np.bincount(f, slopes[at], n), slopes.sum()) / len(slopes)
 
     for _ in range(rounds):
-        p_order, u_order = rng.permutation(len(own)), rng.permutation(len(all_))
-        for p_part, u_part in zip(np.array_split(p_order, batches), np.array_split(u_order, batches)):
+        for p_part, u_part in zip(np.array_split(rng.permutation(len(toxic)), batches), np.array_split(rng.permutation(len(unlabelled)), batches)):
             if not len(p_part) or not len(u_part):
                 continue
-            zp, ap, fp = scored([own[i] for i in p_part])
-            zu, au, fu = scored([all_[i] for i in u_part])
+            zp, ap, fp = scored(toxic, p_part)
+            zu, au, fu = scored(unlabelled, u_part)
             (_, up), (lp, down), (lu, rest) = _loss(zp), _loss(-zp), _loss(-zu)
             negative = lu.mean() - prior * lp.mean()
             g = gradient(-rest, au, fu) - prior * gradient(-down, ap, fp)
@@ -151,24 +166,25 @@ def _counted(rows: DataFrame) -> DataFrame:
 
 
 def _found(rows: DataFrame, known: dict[str, int]) -> DataFrame:
-    """(kind, found, n): of rows with a ``kind`` their features' numbers, and of all rows (kind null) in how many each feature is, summed in the tasks."""
+    """(kind, h, found, n): of rows with a ``kind`` their features' numbers and the hash ``h``, and of all rows (kind null) in how many each feature is, summed in the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, counts = Finder(known), np.zeros(len(known), np.int64)
-        schema = pa.schema([("kind", pa.string()), ("found", pa.list_(pa.int32())), ("n", pa.int64())])
+        schema = pa.schema([("kind", pa.string()), ("h", pa.int64()), ("found", pa.list_(pa.int32())), ("n", pa.int64())])
         for b in small(batches, 200):
-            kinds, found = [], []
-            for kind, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            kinds, hashes, found = [], [], []
+            for kind, h, text in zip(*(c.to_pylist() for c in b.columns)):
                 own = sorted(find(text))
                 counts[own] += 1
                 for k in kind or ():
                     kinds.append(k)
+                    hashes.append(h)
                     found.append(own)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(found, pa.list_(pa.int32())), pa.nulls(len(kinds), pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(hashes, pa.int64()), pa.array(found, pa.list_(pa.int32())), pa.nulls(len(kinds), pa.int64())], schema=schema)
         at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.string()), pa.array([[int(i)] for i in at], pa.list_(pa.int32())), pa.array(counts[at])], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.string()), pa.nulls(len(at), pa.int64()), pa.array([[int(i)] for i in at], pa.list_(pa.int32())), pa.array(counts[at])], schema=schema)
 
-    return rows.select("kind", "text").mapInArrow(run, "kind string, found array<int>, n long")
+    return rows.select("kind", F.xxhash64("doc_id", "text").alias("h"), "text").mapInArrow(run, "kind string, h long, found array<int>, n long")
 
 
 def learn(docs: DataFrame, labels: DataFrame, positives: int = 10_000, unlabelled: int = 20_000, features: int = 4096, candidates: int = 50_000, least: int = 3) -> Model | None:
@@ -188,7 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = 10_000, unlabelle
     among = np.array([r["n"] for r in counted], float)
     marked = docs.withColumn("u", _share(docs, unlabelled, 2)).join(F.broadcast(chosen.withColumn("p", F.lit(True))), "doc_id", "left")
     kinds = F.array_compact(F.array(F.when(F.col("p"), F.lit("p")), F.when(F.col("u"), F.lit("u"))))
-    seen = stored(_found(marked.select(kinds.alias("kind"), "text"), names), "found")
+    seen = stored(_found(marked.select(kinds.alias("kind"), "doc_id", "text"), names), "found")
     of_all, rows = np.zeros(len(names)), docs.count()
     for r in seen.filter("kind IS NULL").groupBy(F.col("found")[0].alias("f")).agg(F.sum("n").alias("n")).collect():  # a row for each candidate at most
         of_all[r["f"]] = r["n"]
@@ -197,12 +213,20 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = 10_000, unlabelle
     ratio = np.where(share > base, share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base)), 0)
     best = [i for i in np.lexsort((np.arange(len(ratio)), -ratio))[:features].tolist() if 2 * n * ratio[i] >= SURE]
     number = {i: k for k, i in enumerate(best)}
-    sets: dict[str, list[list[int]]] = {"p": [], "u": []}
-    for r in sorted(tuple(r) for r in seen.filter("kind IS NOT NULL").select("kind", "found").collect()):
-        sets[r[0]].append([number[i] for i in r[1] if i in number])
+    renamed = np.full(len(names), -1)
+    renamed[best] = np.arange(len(best))
+    mine = F.array(*(F.lit(i) for i in best)) if len(best) < 500 else F.from_json(F.lit(str(best)), "array<int>")
+
+    def sample(kind: str) -> Sets:
+        """The chosen rows' features that are the model's, in an order that doesn't depend on tasks."""
+        rows = seen.filter(F.col("kind") == kind).select("h", F.array_intersect("found", mine).alias("found")).toArrow().sort_by("h")
+        found = rows.column("found").combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.int32()))
+        return Sets(found.offsets.to_numpy().astype(np.int64) - found.offsets[0].as_py() if len(found) else np.zeros(1, np.int64), renamed[found.flatten().to_numpy()])
+
+    own, others = sample("p"), sample("u")
     texts = {i: f for f, i in names.items()}
     prior = min(max(rate, 0.001), 0.999)
-    weights, bias = fit(sets["p"], sets["u"], prior, len(best)) if sets["u"] else (np.zeros(len(best)), float(np.log(prior / (1 - prior))))
+    weights, bias = fit(own, others, prior, len(best)) if len(others) else (np.zeros(len(best)), float(np.log(prior / (1 - prior))))
     return Model({texts[i]: k for i, k in number.items()}, weights, bias)
 
 
