@@ -8,7 +8,8 @@ plane is a zstandard frame of its own. A block's row holds the frames, their siz
 Layout under a path: ``chunks/`` (shard, chunk, first, n, plane_bytes, payload, piece_*) and ``index/`` (the same without payload).
 
 Cases: a null text is empty and gets just the end id; a null doc_id sorts first; repeated rows stay apart, ordered by a hash
-of their text; an empty table gives empty files; columns other than doc_id and text are ignored.
+of their text; an empty table gives empty files; columns other than doc_id and text are ignored, whatever
+their names; a very long text is encoded in its task and its ids are cut into blocks like others.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import long_id
+from .common import long_id, only, small
 
 CHUNKS = (
     "shard int, chunk long, first long, n int, planes string, plane_bytes array<int>, payload binary, "
@@ -150,7 +151,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, block
             doc, o, at, n = zip(*own)
             return dict(shard=shard, chunk=chunk, first=chunk * block, n=len(data) // 4, planes=planes, plane_bytes=sizes, payload=payload, piece_doc=list(doc), piece_ord=list(o), piece_at=list(at), piece_n=list(n))
 
-        for b in batches:
+        for b in small(batches, 200):
             ids = b.column("doc_id").to_pylist()
             for doc, data in zip(ids, enc.encode(b.column("text").to_pylist())):
                 data, at = data + end, 0
@@ -170,7 +171,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, block
             yield pa.RecordBatch.from_pylist([row(b"".join(held), pieces)], schema=ARROW)
 
     ordered = (
-        docs.select(long_id("doc_id"), F.col("text").cast("string").alias("text"))
+        only(docs, "doc_id", "text").select(long_id("doc_id"), F.col("text").cast("string").alias("text"))
         .withColumn("h", F.xxhash64("text"))
         .repartitionByRange("doc_id", "h")
         .sortWithinPartitions("doc_id", "h", "text")

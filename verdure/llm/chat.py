@@ -7,7 +7,8 @@ with the spans under the loss mask; ``parse`` and ``loss_text`` undo both.
 
 Cases: a null text is empty, a null role is the empty role; turns are ordered by (turn, role, text), nulls first, and repeated
 rows stay; a null conv_id is a conversation of its own; a record of unknown layout has null turns, and its fingerprint says which
-layout is missing; an empty table gives an empty result; other columns are ignored.
+layout is missing; an empty table gives an empty result; other columns are ignored, whatever their names; a very long text is a
+text like others, held as often as its conversation's record is.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import only, small
+
 START, END = "<|im_start|>", "<|im_end|>"
 #: Both open with ``<|``, which in texts is written ``<\\|``.
 TURNS = "array<struct<role:string,text:string>>"
@@ -90,7 +93,7 @@ def canonical(records: DataFrame, key: str, record: str, layouts=None) -> DataFr
     known = registry(layouts)
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 500):
             prints, names, turns = [], [], []
             for text in b.column(1).to_pylist():
                 try:
@@ -111,6 +114,27 @@ def canonical(records: DataFrame, key: str, record: str, layouts=None) -> DataFr
 ARROW_TURNS = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
 
 
+def as_records(rows: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Turn rows (key, turn, role, text) as one JSON record for each conversation, in one of the layouts that can hold it, by a hash of the key: any conversation as messages, one without
+    roles of the from-value layout also in that, one of a user's and an assistant's turn also as a pair of fields, one with a system turn before as an instruction."""
+    own = only(rows, key, "turn", "role", "text")
+    turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
+    turns = own.groupBy(key).agg(F.array_sort(F.collect_list(turn)).alias("turns")).withColumn("names", F.transform("turns", lambda t: t["role"]))
+    text = lambda n: F.get("turns", F.lit(n))["content"]
+    pair = lambda a, b: F.to_json(F.struct(text(0).alias(a), text(1).alias(b)))
+    messages = F.to_json(F.struct(F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages")))
+    renamed = lambda r: F.when(r == "user", "human").when(r == "assistant", "gpt").otherwise(r)
+    values = F.to_json(F.struct(F.transform("turns", lambda t: F.struct(renamed(t["role"]).alias("from"), t["content"].alias("value"))).alias("conversations")))
+    instruction = F.to_json(F.struct(text(0).alias("instruction"), F.lit("").alias("input"), text(1).alias("output")))
+    system = F.to_json(F.struct(text(0).alias("system"), text(1).alias("instruction"), F.lit("").alias("input"), text(2).alias("output")))
+    is_ = lambda *names: F.col("names") == F.array(*map(F.lit, names))
+    any_ = F.when(F.arrays_overlap("names", F.array(F.lit("human"), F.lit("gpt"))), F.array(messages)).otherwise(F.array(messages, values))
+    two = F.array(pair("prompt", "response"), pair("prompt", "completion"), pair("instruction", "output"), pair("question", "answer"))
+    fits = F.when(is_("user", "assistant") & (text(0) != ""), F.concat(any_, two, F.array(instruction))).when(is_("user", "assistant"), F.concat(any_, two))
+    fits = fits.when(is_("system", "user", "assistant") & (text(0) != "") & (text(1) != ""), F.concat(any_, F.array(system))).otherwise(any_)
+    return turns.withColumn("fits", fits).select(key, F.col("fits")[F.pmod(F.xxhash64(key), F.size("fits")).cast("int")].alias("record"))
+
+
 def as_messages(rows: DataFrame, key: str = "conv_id") -> DataFrame:
     """Turn rows (key, turn, role, text) as one JSON record for each conversation, in the messages layout."""
     turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
@@ -163,7 +187,7 @@ def format_chats(turns: DataFrame, key: str, trained: str = "assistant") -> Data
     """(key, formatted, mask_start, mask_end) of rows (key, turns); unknown layouts give null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 500):
             done = [(None, None) if ts is None else write_turns([(t["role"], t["text"]) for t in ts], trained) for ts in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([f for f, _ in done], pa.string()), *(pa.array([m and [x[k] for x in m] if m is not None else None for _, m in done], pa.list_(pa.int64())) for k in (0, 1))],
@@ -175,12 +199,15 @@ def format_chats(turns: DataFrame, key: str, trained: str = "assistant") -> Data
 
 
 def chat_digests(chats: DataFrame, key: str) -> DataFrame:
-    """What can be read back from formatted chats: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
+    """What can be read back from formatted chats: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars; nulls where the layout is unknown."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches, 500):
             rows = []
             for k, text, a, e in zip(*(c.to_pylist() for c in b.columns)):
+                if text is None:
+                    rows.append((k, None, None, None, None, None))
+                    continue
                 ts, loss = parse(text), loss_text(text, list(zip(a, e)))
                 rows.append((k, len(ts), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in ts).encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
             cols = list(zip(*rows)) or [[]] * 6
@@ -189,4 +216,4 @@ def chat_digests(chats: DataFrame, key: str) -> DataFrame:
 
     kind = dict(chats.dtypes)[key]
     schema = f"`{key}` {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return chats.filter("formatted is not null").select(key, "formatted", "mask_start", "mask_end").mapInArrow(run, schema)
+    return chats.select(key, "formatted", "mask_start", "mask_end").mapInArrow(run, schema)

@@ -12,7 +12,8 @@ a window with a limit keeps each query's best of all blocks.
 Scores are inner products in double precision of the original vectors, summed by one routine in one order, so equal vectors score equally.
 
 Cases: vectors that are null, zero, of another length than most, or hold null or non-finite components take no part; equal ids are rows of their own, and a query's own id is no
-candidate of it; fewer candidates than k give fewer rows; an empty table gives an empty result; other columns are ignored.
+candidate of it; fewer candidates than k give fewer rows; an empty table gives an empty result; other columns are ignored, whatever their
+names; of vectors of several lengths only the commonest length can be compared in one space.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import long_id, stored
+from .common import join_groups, long_id, only, stored
 
 
 class Tree:
@@ -97,7 +98,7 @@ def scores(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 
 def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), "<f4").reshape(len(column), -1) if len(column) else np.zeros((0, 1), "<f4")
+    return np.frombuffer(b"".join(column), "<f8").reshape(len(column), -1) if len(column) else np.zeros((0, 1), "<f8")
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -109,20 +110,20 @@ def usable(vectors: DataFrame) -> DataFrame:
             for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if i is None or not v or None in v:
                     continue
-                a = np.array(v, "<f4")
+                a = np.array(v, "<f8")
                 if np.isfinite(a).all() and a.any():
                     ids.append(i)
                     out.append(a.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["vec_id", "vec"])
 
-    rows = stored(vectors.select(long_id("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")).mapInArrow(run, "vec_id long, vec binary"), "vectors")
+    rows = stored(only(vectors, "vec_id", "embedding").select(long_id("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(run, "vec_id long, vec binary"), "vectors")
     lengths = rows.groupBy(F.length("vec").alias("bytes")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "bytes").limit(1).collect()
     return rows.filter(F.length("vec") == (lengths[0]["bytes"] if lengths else 0))
 
 
 def exact(classes: DataFrame, queries: list[tuple[int, bytes]], k: int) -> dict[int, list[tuple[float, int]]]:
     """The true k nearest classes (score, cls) of a fixed number of queries, over all classes in blocks."""
-    q = np.array([np.frombuffer(v, "<f4") for _, v in queries], np.float64)
+    q = np.array([np.frombuffer(v, "<f8") for _, v in queries], np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [[] for _ in queries]
@@ -186,7 +187,7 @@ def search(
         for b in batches:
             q, v, leaf, part = [], [], [], []
             for i, vec in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for n in shared.value.best_bins(np.frombuffer(vec, "<f4").astype(np.float64), sizes, budget):
+                for n in shared.value.best_bins(np.frombuffer(vec, "<f8").astype(np.float64), sizes, budget):
                     if sizes[n]:
                         for p in range(parts[n]):
                             q.append(i), v.append(vec), leaf.append(n), part.append(p)
@@ -223,9 +224,11 @@ def search(
     listed = near.join(names, "cls").select("q", F.explode("ids").alias("vec_id"), "score")
     listed = listed.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") <= k + 1)
     lists = listed.groupBy("q").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("neg"), "vec_id"))).alias("near"))
-    askers = asked.join(classes.select("vh", "vec", F.col("cls").alias("q")), ["vh", "vec"]).select(F.col("vec_id").alias("query_id"), "q")
+    # queries of one vector share its list, however many they are
+    shared_lists = asked.groupBy("vh", "vec").agg(F.count("*").alias("n")).join(classes.select("vh", "vec", F.col("cls").alias("q")), ["vh", "vec"]).join(lists, "q")
+    askers = join_groups(asked.select(F.col("vec_id").alias("query_id"), "vh", "vec"), shared_lists, ["vh", "vec"])
     own = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
-    return askers.join(lists, "q").select("query_id", F.posexplode(own).alias("pos", "x")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.neg")).alias("score"))
+    return askers.select("query_id", F.posexplode(own).alias("pos", "x")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.neg")).alias("score"))
 
 
 def calibrate(tree: Tree, sizes: np.ndarray, picked: list[tuple[int, bytes]], truth: dict, placed: DataFrame, recall: float) -> float:
@@ -234,7 +237,7 @@ def calibrate(tree: Tree, sizes: np.ndarray, picked: list[tuple[int, bytes]], tr
     leaf_of = {r["cls"]: r["leaf"] for r in placed.filter(F.col("cls").isin(wanted)).select("cls", "leaf").collect()} if wanted else {}
     costs = []
     for n, (_, vec) in enumerate(picked):
-        order = tree.best_bins(np.frombuffer(vec, "<f4").astype(np.float64), sizes, float("inf"))
+        order = tree.best_bins(np.frombuffer(vec, "<f8").astype(np.float64), sizes, float("inf"))
         before = dict(zip(order, np.cumsum(sizes[order]) - sizes[order]))  # a leaf is opened if fewer than the budget are seen before it
         costs += [float(before[leaf_of[c]]) for _, c in truth.get(n, ())]
     if not costs:
@@ -244,7 +247,7 @@ def calibrate(tree: Tree, sizes: np.ndarray, picked: list[tuple[int, bytes]], tr
 
 def brute(rows: list[tuple], every: int, k: int) -> list[tuple]:
     """All pairs, for tests."""
-    good = [(i, np.array(v, "<f4").astype(np.float64)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v)]
+    good = [(i, np.array(v, "<f8").astype(np.float64)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v)]
     wide = max((len(v) for _, v in good), key=[len(v) for _, v in good].count, default=0)
     good, out = [(i, v) for i, v in good if len(v) == wide], []
     for i, q in good:

@@ -7,7 +7,8 @@ pieces and bytes again and is exact: a literal U+2581 in a text, which stands fo
 No piece holds the space mark after another character (checked when the model is loaded), so the best path of a text is the best paths of its marked words in turn, and words are
 remembered in a bounded memory; a model of which this isn't true is run over whole texts.
 
-Cases: a null text is empty and has no pieces; a null doc_id stays null; repeated rows stay; an empty table gives an empty result; other columns are ignored.
+Cases: a null text is empty and has no pieces; a null doc_id stays null; repeated rows stay; an empty table gives an empty result; other columns are ignored, whatever their names;
+a very long text is encoded whole, in one pass in its task.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_id, small
+from .common import long_id, only, small
 
 SPACE = "▁"
 
@@ -151,7 +152,7 @@ def encode_documents(docs: DataFrame, model: str, check: bool = True) -> DataFra
             )
         p.words.clear()
 
-    return docs.select(long_id("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, pieces array<int>, n_pieces long, ids_crc32 long, exact boolean")
+    return only(docs, "doc_id", "text").select(long_id("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, pieces array<int>, n_pieces long, ids_crc32 long, exact boolean")
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:

@@ -22,6 +22,8 @@ from re import _parser as P
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import only
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -172,7 +174,7 @@ def _spans(rule: Rule, order: int) -> Column:
 
 def scan(docs: DataFrame, rules=RULES) -> DataFrame:
     """(doc_id, spans) of every document, spans ordered by start, then by the rules' order."""
-    docs = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    docs = only(docs, "doc_id", "text").select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     found, full = candidates(docs, rules)
     if found is None:
         rows = docs.withColumn("kinds", F.lit(None).cast("array<string>"))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_id, shared_dir, small, stored
+from .common import join_groups, long_id, numbered_columns, only, shared_dir, small, stored
 
 SEED = 42
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -77,7 +77,7 @@ def with_fingerprints(docs: DataFrame, k: int) -> DataFrame:
             fp = fingerprints(b.column(1).to_pylist(), k)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(long_id("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return only(docs, "doc_id", "text").select(long_id("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
 def _distance(a: str, b: str) -> Column:
@@ -127,12 +127,12 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int = 3, bucket: int = 32) -> DataFrame:
     """(doc_id, fingerprint, component_id): component_id is the least doc_id that is reached over links of at most two differing bits."""
     prints = stored(with_fingerprints(docs, k), "fingerprints")
-    fps = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    fps = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     roots = components(near_pairs(fps.select("fp"), bucket))
-    named = fps.join(roots, fps["fp"] == roots["a"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = fps.join(roots, fps["fp"] == roots["a"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.join(ids, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = named.join(ids, "root").select("fp", "component_id", "n")
+    return join_groups(prints, classes, ["fp"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -143,8 +143,9 @@ def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
     by_id = stored(found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("first")), "kept")
     extra = by_id.filter("first and rows > 1").limit(1).count() > 0
     gone = stored(by_id.filter("not first").select(F.col("doc_id").alias("gone_id")), "gone")
-    out = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
-    return out.dropDuplicates(["doc_id"]) if extra else out
+    plain, at = numbered_columns(docs), f"c{docs.columns.index('doc_id')}"
+    out = plain.join(gone, F.col(at).cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
+    return (out.dropDuplicates([at]) if extra else out).toDF(*docs.columns)
 
 
 def brute(rows: list[tuple[int, str | None]], k: int = 3) -> list[tuple]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_id, small, stored
+from .common import join_groups, long_id, only, small, stored
 from .simhash import components, shingle_hashes
 from .words import mix
 
@@ -257,7 +257,7 @@ def similar_documents(docs: DataFrame, k: int = 5, similarity: float = 0.8, word
     b = width(docs.count())
     words = words or words_for(similarity, b, meet)
     names = [f"f{w}" for w in range(words)]
-    texts = docs.select(long_id("doc_id"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text"))
+    texts = only(docs, "doc_id", "text").select(long_id("doc_id"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
@@ -269,9 +269,9 @@ def similar_documents(docs: DataFrame, k: int = 5, similarity: float = 0.8, word
     fps = stored(rows.select("c", *names).distinct(), "classes")
     roots = components(near_links(fps, words, b, limit(similarity, 64 * words), bucket, segments_for(similarity, b, meet), limit(similarity, 64, 4)))
     # copies of a text are one node; what shares a component with another text is compared with it
-    nodes = rows.groupBy("t", "c").agg(F.min("doc_id").alias("least"))
-    nodes = stored(nodes.join(roots, nodes["c"] == roots["a"], "left").select("t", "least", F.coalesce("root", "c").alias("key")), "nodes")
-    several = nodes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    nodes = rows.groupBy("t", "c").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    nodes = stored(nodes.join(roots, nodes["c"] == roots["a"], "left").select("t", "least", "n", F.coalesce("root", "c").alias("key")), "nodes")
+    several = nodes.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1").select("key")
     asked = stored(nodes.join(several, "key"), "asked")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,6 +282,6 @@ def similar_documents(docs: DataFrame, k: int = 5, similarity: float = 0.8, word
     ids = asked.select("key", F.col("t").alias("u"), "least")
     found = texts.join(ids, (F.col("t") == F.col("u")) & F.col("doc_id").eqNullSafe(F.col("least"))).select("key", F.col("t").alias("c"), "text").mapInArrow(sets, "key long, c long, s array<long>")
     linked = components(alike(stored(found.dropDuplicates(["c"]), "sets"), similarity))
-    named = nodes.join(linked, nodes["t"] == linked["a"], "left").select("t", "least", F.coalesce("root", "t").alias("root"))
+    named = nodes.join(linked, nodes["t"] == linked["a"], "left").select("t", "least", "n", F.coalesce("root", "t").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.select("doc_id", "t").join(named.join(least, "root").select("t", "component_id"), "t").select("doc_id", "component_id")
+    return join_groups(rows.select("doc_id", "t"), named.join(least, "root").select("t", "component_id", "n"), ["t"]).select("doc_id", "component_id")
