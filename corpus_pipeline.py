@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of two lines or more are deleted."""
-    return linedup.dedup_lines(docs, lines=2)
+    """Later copies of repeated runs of two lines or more, and of single lines of 50 words or more, are deleted."""
+    return linedup.dedup_lines(docs, lines=2, alone=50)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert set(map(tuple, after)) <= set(map(tuple, before))
 
     before, after = seen["line dedup"]
-    want = linedup.brute([(r["doc_id"], r["text"]) for r in before], 2)
+    want = linedup.brute([(r["doc_id"], r["text"]) for r in before], 2, 50)
     assert {r["doc_id"]: r["text"] for r in after} == {d: t for (d, _), t in want.items() if t is not None}
 
     before, after = seen["near dedup"]

@@ -6,6 +6,8 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,14 +35,31 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/verdure-{uuid.uuid4().hex[:12]}/{name}"
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table in the shared folder: lineage ends here and a lost executor loses nothing."""
-    path = workspace(df.sparkSession, name)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A folder in the shared one that holds the tables written meanwhile and goes at the end; what has to stay is ``stored`` with ``keep``."""
+    path = f"{shared_dir(spark)}/verdure-{uuid.uuid4().hex[:12]}"
+    token = _SCRATCH.set(path)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def workspace(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A fresh path in the shared folder, in the scratch folder if there is one."""
+    own = _SCRATCH.get()
+    return f"{own}/{uuid.uuid4().hex[:8]}-{name}" if own and not keep else f"{shared_dir(spark)}/verdure-{uuid.uuid4().hex[:12]}/{name}"
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """``df`` as a written table in the shared folder: lineage ends here and a lost executor loses nothing. With ``keep`` it outlives the scratch folder."""
+    path = workspace(df.sparkSession, name, keep)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -5,13 +5,14 @@ A suffix starts at a line and ends with its document. Level 0 ranks suffixes by
 rank j-1 and the rank j-1 of the suffix 2**(j-1) lines on. Ranks are in the order of line ids: the distinct pairs are ordered by range partitions, and a partition's ranks begin after
 the count of those before it. Suffixes alone in their rank are done: their longest repeat is known to be shorter, and they leave; so only repeated lines are ever doubled.
 
-Suffixes of one rank at level j are a longest-common-prefix interval of at least 2**j lines. A suffix's common prefix with the first suffix of its deepest interval is found by
-walking the levels down; such runs that can't be lengthened at either end are the maximal repeated runs.
+Suffixes of one rank at level j are a longest-common-prefix interval of at least 2**j lines. To delete later copies of runs of ``lines`` lines or more, ranks are doubled up to that depth:
+a longer repeat is a chain of such intervals, each one line further on in both copies, so the common prefix of a suffix and its first copy is as long as the chain goes on, and the chains that
+go on at neither end are the maximal repeated runs (``later_copies``). That needs no level for each doubling of the longest repeat. ``earlier_runs`` and ``maximal_runs`` double to the longest
+repeat, for reports on repeats as such, in which runs may be shorter than ``lines`` or differ in which copy they name.
 
-A run of ``lines`` lines or more that occurs earlier (in a smaller doc_id, or further up in the same document) is a later copy: the lines of the maximal runs are deleted, the first
-copy stays. Of a pattern that repeats inside one document, with a period shorter than ``lines``, the first whole periods that hold ``lines`` lines stay. With ``alone``, later copies of a
-single line of that many words or more go as well, by the ranks of level 0; so passages that stand on one line between different neighbours are caught, and short lines of clean
-documents stay.
+A run of ``lines`` lines or more that occurs earlier (in a smaller doc_id, or further up in the same document) is a later copy: its lines are deleted, the first copy stays. Of a pattern that
+repeats inside one document, with a period shorter than ``lines``, the first whole periods that hold ``lines`` lines stay. With ``alone``, later copies of a single line of that many words or
+more go as well, by the ranks of level 0; so passages that stand on one line between different neighbours are caught, and short lines of clean documents stay.
 
 Ranks that many suffixes share are joined by broadcast (``join_groups``), so a line of a third of all documents fills no task.
 
@@ -28,10 +29,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_groups, long_id, numbered_columns, only, small, stored
+from .common import join_groups, long_id, numbered_columns, only, scratch, small, stored
 
 NULL_ID = -(1 << 63)
 
@@ -149,18 +150,71 @@ def maximal_runs(docs: DataFrame, lines: int = 2, levels: list[DataFrame] | None
     return runs.join(before, [*AT, "to_d", "to_h", "to_pos"], "left_anti")
 
 
+def sequences(docs: DataFrame) -> DataFrame:
+    """(d, h, s, ids, words): a row for each document with its line ids, s their hash, and the words of each line; repeated rows are one document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            ids, words, whole = [], [], []
+            for text in b.column(2).to_pylist():
+                lines = [s.encode() for _, s in lines_of(text)]
+                own = np.array([xxhash.xxh64_intdigest(s) for s in lines], np.uint64).view(np.int64)
+                ids.append(own)
+                words.append([len(s.split()) for s in lines])
+                whole.append(xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63))
+            cols = [b.column(0), b.column(1), pa.array(whole, pa.int64()), pa.array(ids, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["d", "h", "s", "ids", "words"])
+
+    keyed = only(docs, "doc_id", "text").select(F.coalesce(long_id("doc_id"), F.lit(NULL_ID)).alias("d"), F.xxhash64("text").alias("h"), F.col("text").cast("string").alias("text"))
+    return keyed.mapInArrow(run, "d long, h long, s long, ids array<long>, words array<int>").filter(F.size("ids") > 0)
+
+
+def _level(pairs: DataFrame, name: str) -> DataFrame:
+    """(d, h, pos, rank, first, words) of the suffixes of (d, h, pos, a, b, words) that share (a, b) with another one; ranks are in the order of (a, b)."""
+    groups = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct(*AT)).alias("first")).filter("n > 1")
+    ordered = groups.repartitionByRange("a", "b").sortWithinPartitions("a", "b").withColumn("rank", F.monotonically_increasing_id())
+    return stored(join_groups(pairs, stored(ordered, f"{name}-ranks"), ["a", "b"]).select(*AT, "rank", "first", "words"), name)
+
+
 def later_copies(docs: DataFrame, lines: int = 2, alone: int | None = None) -> DataFrame:
-    """(d, h, pos, n): the lines that are later copies, n from pos on: the spans of the maximal runs, and lines of ``alone`` words or more."""
-    rows = numbered(docs)
-    levels = repeated_suffixes(docs, lines=rows)
-    runs = maximal_runs(docs, lines, levels)
-    period = F.when((F.col("d") == F.col("to_d")) & (F.col("h") == F.col("to_h")), F.col("pos") - F.col("to_pos")).otherwise(F.lit(lines))
-    start = F.when(period < lines, F.col("to_pos") + F.ceil(F.lit(lines) / period) * period).otherwise(F.col("pos")).cast("int")
-    spans = runs.select("d", "h", start.alias("pos"), (F.col("pos") + F.col("lines") - start).alias("n")).filter(F.col("n") >= lines)
-    if alone is None or lines == 1:
-        return spans
-    single = levels[0].filter(~F.struct(*AT).eqNullSafe(F.col("first"))).join(rows.filter(F.col("words") >= alone).select(*AT), AT, "left_semi")
-    return spans.unionByName(single.select(*AT, F.lit(1).alias("n")))
+    """(d, h, pos, n): the lines that are later copies, n from pos on.
+
+    Ranks are doubled up to runs of ``lines`` lines, the last step overlapping where that is no power of two. A longer repeat is a chain of such intervals, one suffix further in both copies at
+    each step, so its length is how long the chain is; chains that can't be lengthened are the maximal runs, each a row here. Documents whose lines are all those of a smaller one are
+    deleted as a whole before that.
+    """
+    with scratch(docs.sparkSession):
+        rows = stored(sequences(docs), "sequences")
+        same = rows.groupBy("s").agg(F.min(F.struct("d", "h")).alias("least"), F.countDistinct("d", "h").alias("n")).filter("n > 1")
+        copies = join_groups(rows.select("d", "h", "s", F.size("ids").alias("lines"), "words"), same, ["s"]).filter(F.struct("d", "h") != F.col("least"))
+        copies = stored(copies.select("d", "h", "lines", "words"), "copies")
+        single = F.posexplode(F.transform("words", lambda w: w >= (alone or 0))).alias("pos", "long")
+        spans = copies.filter(F.col("lines") >= lines).select("d", "h", F.lit(0).alias("pos"), F.col("lines").alias("n"))
+        if alone is not None:
+            short = copies.filter(F.col("lines") < lines).select("d", "h", single).filter("long")
+            spans = spans.unionByName(short.select(*AT, F.lit(1).alias("n")))
+        firsts = rows.join(copies.select("d", "h"), ["d", "h"], "left_anti").dropDuplicates(["d", "h"])
+        each = firsts.select("d", "h", F.posexplode(F.arrays_zip("ids", "words")).alias("pos", "x")).select(*AT, F.col("x.ids").alias("a"), F.lit(0).cast("long").alias("b"), "x.words")
+        level, width = _level(stored(each, "lines"), "level-0"), 1
+        later = ~F.struct(*AT).eqNullSafe(F.col("first"))
+        if alone is not None and lines > 1:
+            spans = spans.unionByName(level.filter(later & (F.col("words") >= alone)).select(*AT, F.lit(1).alias("n")))
+        while width < lines:
+            step = min(width, lines - width)
+            ahead = F.max("rank").over(Window.partitionBy("d", "h").orderBy("pos").rangeBetween(step, step))
+            pairs = level.select(*AT, F.col("rank").alias("a"), ahead.alias("b"), "words").filter("b IS NOT NULL")
+            width += step
+            level = _level(stored(pairs, f"pairs-{width}"), f"level-{width}")
+        other = ~((F.col("d") == F.col("first.d")) & (F.col("h") == F.col("first.h")))
+        cut_ = level.filter(later & (other | (F.col("pos") >= F.col("first.pos") + lines)))
+        # one suffix further in both copies at each step: the same chain
+        order = Window.partitionBy("d", "h").orderBy("pos")
+        chain = cut_.select(*AT, F.col("first.d").alias("fd"), F.col("first.h").alias("fh"), F.col("first.pos").alias("fp"))
+        last = F.lag(F.struct("pos", "fd", "fh", "fp")).over(order)
+        goes_on = last.eqNullSafe(F.struct((F.col("pos") - 1).alias("pos"), "fd", "fh", (F.col("fp") - 1).alias("fp")))
+        runs = chain.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
+        runs = runs.groupBy("d", "h", "run").agg(F.min("pos").alias("pos"), (F.count("*") + lines - 1).cast("int").alias("n")).select(*AT, "n")
+        return stored(spans.unionByName(runs), "later-copies", keep=True)
 
 
 def dedup_lines(docs: DataFrame, lines: int = 2, alone: int | None = None) -> DataFrame:

@@ -40,7 +40,7 @@ def op4_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import linedup
 
-    return linedup.dedup_lines(read(spark, sf_dir, "documents"), lines=2)
+    return linedup.dedup_lines(read(spark, sf_dir, "documents"), lines=2, alone=50)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +210,8 @@ ORACLES: dict[str, str] = {
         w AS (SELECT *, lead(s) OVER (PARTITION BY doc_id ORDER BY pos) AS s2 FROM l),
         f AS (SELECT doc_id, pos, first_value(doc_id) OVER g AS fd, first_value(pos) OVER g AS fp FROM w WHERE s2 IS NOT NULL WINDOW g AS (PARTITION BY s, s2 ORDER BY doc_id, pos)),
         c AS (SELECT doc_id, pos FROM f WHERE doc_id <> fd OR pos >= fp + 2),
-        gone AS (SELECT doc_id, pos FROM c UNION SELECT doc_id, pos + 1 FROM c),
+        a AS (SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, pos) AS nth FROM l) WHERE nth > 1 AND len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) >= 50),
+        gone AS (SELECT doc_id, pos FROM c UNION SELECT doc_id, pos + 1 FROM c UNION SELECT doc_id, pos FROM a),
         kept AS (SELECT p.doc_id, string_agg(p.piece, chr(10) ORDER BY p.i) AS text
                  FROM p LEFT JOIN l ON p.doc_id = l.doc_id AND p.i = l.i LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.pos = gone.pos WHERE gone.doc_id IS NULL GROUP BY p.doc_id),
         n AS (SELECT l.doc_id, count(*) AS lines, count(gone.doc_id) AS lost FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.pos = gone.pos GROUP BY l.doc_id)

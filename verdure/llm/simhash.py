@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import join_groups, long_id, numbered_columns, only, shared_dir, small, stored
+from .common import join_groups, long_id, numbered_columns, only, small, stored
 
 SEED = 42
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -106,9 +106,8 @@ def near_pairs(fps: DataFrame, bucket: int = 32) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(a, root): of each node of the links (a, b) the least node it reaches. Large-star and small-star steps until nothing changes."""
-    shared_dir(links.sparkSession)
-    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
-    before = None
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges, before = stored(edges, "edges"), None
     while True:
         # large star: each node's larger neighbours go to the least of it and its neighbours
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -117,9 +116,11 @@ def components(links: DataFrame) -> DataFrame:
         # small star: each node's smaller neighbours and itself go to the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        edges = small.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct().checkpoint()
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("a")).first()
-        if now == before and now[0] == now[2]:
+        edges = small.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+        seen = Observation()
+        edges = stored(edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), "edges")
+        now = (seen.get["n"], seen.get["h"])
+        if now == before and (not now[0] or edges.agg(F.countDistinct("a")).first()[0] == now[0]):
             return edges.select("a", F.col("b").alias("root"))
         before = now
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, long_id, only, small, stored
+from .common import join_groups, long_id, only, scratch, small, stored
 from .simhash import components, shingle_hashes
 from .words import mix
 
@@ -97,9 +97,12 @@ def words_for(similarity: float, b: int, meet: float) -> int:
     return max(4, math.ceil(segments_for(similarity, b, meet) / (64 // b)))
 
 
-def forest(ca: np.ndarray, a: np.ndarray, cb: np.ndarray, b: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest between the fingerprints of two blocks, by their names ``ca`` and ``cb``; one that is in both is one node."""
-    ids, at = np.unique(np.concatenate([ca, cb]), return_inverse=True)
+def forest(ca: np.ndarray, a: np.ndarray, cb: np.ndarray, b: np.ndarray, most: int, ra: np.ndarray | None = None, rb: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links of a spanning forest between the fingerprints of two blocks, by their names ``ca`` and ``cb``; one that is in both is one node. ``ra`` and ``rb`` name what they are linked to
+    already; such links aren't made again."""
+    names = np.concatenate([ca, cb])
+    known = names if ra is None else np.concatenate([ra, rb])
+    ids, at = np.unique(np.concatenate([names, known]), return_inverse=True)
     parent, at = list(range(len(ids))), at.tolist()
 
     def root(i: int) -> int:
@@ -108,6 +111,8 @@ def forest(ca: np.ndarray, a: np.ndarray, cb: np.ndarray, b: np.ndarray, most: i
             i = parent[i]
         return i
 
+    for i, j in zip(at[: len(names)], at[len(names) :]):
+        parent[root(i)] = root(j)
     out = []
     for i, x in enumerate(a):
         near = np.flatnonzero(np.bitwise_count(b ^ x).sum(axis=1) <= most)
@@ -136,13 +141,13 @@ def crowded_links(members: DataFrame, names: list[str], most: int, rounds: int =
         pivot = left.groupBy("key").agg(F.min(F.struct("c", *names)).alias("pivot"))
         seen = left.join(pivot, "key").withColumn("away", _away(names, pivots))
         seen = stored(seen.select("key", "c", *names, F.col("pivot.c").alias("p"), "away"), f"pivots-{turn}")
-        own = seen.filter((F.col("away") <= most) & (F.col("c") != F.col("p"))).select(F.col("c").alias("a"), F.col("p").alias("b"))
+        own = seen.filter((F.col("away") <= most) & (F.col("c") != F.col("p"))).select("key", F.col("c").alias("a"), F.col("p").alias("b"))
         links = own if links is None else links.unionByName(own)
         wide.append(seen.filter((F.col("away") > most) & (F.col("away") <= 2 * most)).select("key", "c", *names))
         left = seen.filter(F.col("away") > most).select("key", "c", *names)
         if left.isEmpty():
             if turn == 0:
-                return links.distinct()
+                return links.select("a", "b").distinct()
             break  # what was gathered in 'wide' is still open
     opened = left
     for w in wide:
@@ -151,18 +156,19 @@ def crowded_links(members: DataFrame, names: list[str], most: int, rounds: int =
     both = opened.groupBy("key").agg(F.count("*").alias("n_open")).join(members.groupBy("key").agg(F.count("*").alias("n_all")), "key")
     parts = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     both = stored(both.select("key", parts("n_open").alias("parts_a"), parts("n_all").alias("parts_b")), "open-keys")
+    settled = links.select("key", F.col("a").alias("c"), F.col("b").alias("p"))  # a member has one pivot in a key at most
 
     def dealt(rows: DataFrame, side: str, other: str) -> DataFrame:
         own = F.pmod(F.xxhash64("c", F.lit(7)), F.col(f"parts_{side}")).cast("int").alias(side)
-        return rows.join(both, "key").select("key", "c", *names, F.lit(side).alias("side"), own, F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1)).alias(other))
+        return rows.join(both, "key").join(settled, ["key", "c"], "left").select("key", "c", F.coalesce("p", "c").alias("p"), *names, F.lit(side).alias("side"), own, F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1)).alias(other))
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("c")  # forests of many keys then share their links
-        (ca, a), (cb, b) = ((own["c"].to_numpy(), own[names].to_numpy(np.int64).view(np.uint64)) for own in (pdf[pdf["side"] == "a"], pdf[pdf["side"] == "b"]))
-        return pd.DataFrame(forest(ca, a, cb, b, most), columns=["a", "b"], dtype="int64")
+        (ca, a, ra), (cb, b, rb) = ((own["c"].to_numpy(), own[names].to_numpy(np.int64).view(np.uint64), own["p"].to_numpy()) for own in (pdf[pdf["side"] == "a"], pdf[pdf["side"] == "b"]))
+        return pd.DataFrame(forest(ca, a, cb, b, most, ra, rb), columns=["a", "b"], dtype="int64")
 
     blocks = dealt(opened, "a", "b").unionByName(dealt(members, "b", "a"))
-    return links.unionByName(blocks.groupBy("key", "a", "b").applyInPandas(link, "a long, b long")).distinct()
+    return links.select("a", "b").unionByName(blocks.groupBy("key", "a", "b").applyInPandas(link, "a long, b long")).distinct()
 
 
 def near_links(fps: DataFrame, words: int, b: int, most: int, bucket: int = 8, segments: int | None = None, rough: int | None = None) -> DataFrame:
@@ -188,6 +194,8 @@ def near_links(fps: DataFrame, words: int, b: int, most: int, bucket: int = 8, s
     away = _away([f"x{w}" for w in range(words)], [f"y{w}" for w in range(words)])
     links = pairs.join(left, "a").join(right, "b").filter(away <= most).select("a", "b")
 
+    if crowded.isEmpty():
+        return links
     # crowded keys: whoever holds or looks up the key
     names = [f"f{w}" for w in range(words)]
     inside = probes.join(crowded, "key").select("key", F.col("p").alias("c")).distinct()
@@ -207,14 +215,14 @@ def alike(members: DataFrame, similarity: float, rounds: int = 3) -> DataFrame:
         both = F.size(F.array_intersect("s", "ps"))
         seen = left.join(pivot, "key").select("key", "c", "p", both.alias("both"), (F.size("s") + F.size("ps") - both).alias("all"))
         seen = stored(seen.select("key", "c", "p", F.when(F.col("all") == 0, F.lit(1.0)).otherwise(F.col("both") / F.col("all")).alias("jaccard")), f"alike-{turn}")
-        own = seen.filter((F.col("jaccard") >= similarity) & (F.col("c") != F.col("p"))).select(F.col("c").alias("a"), F.col("p").alias("b"))
+        own = seen.filter((F.col("jaccard") >= similarity) & (F.col("c") != F.col("p"))).select("key", F.col("c").alias("a"), F.col("p").alias("b"))
         links = own if links is None else links.unionByName(own)
         rest = seen.filter(F.col("jaccard") < similarity).select("key", "c", "jaccard")
         wide.append(rest.filter(F.col("jaccard") >= 1 - 2 * far - 1e-9).select("key", "c"))
         left = members.join(rest.select("key", "c"), ["key", "c"], "left_semi")
         if rest.isEmpty():
             if turn == 0:
-                return links
+                return links.select("a", "b")
             break
     opened = rest.select("key", "c")
     for w in wide:
@@ -223,15 +231,16 @@ def alike(members: DataFrame, similarity: float, rounds: int = 3) -> DataFrame:
     counts = opened.groupBy("key").agg(F.count("*").alias("n_open")).join(members.groupBy("key").agg(F.count("*").alias("n_all")), "key")
     parts = lambda n: F.ceil(F.col(n) / SETS).cast("int")
     counts = stored(counts.select("key", parts("n_open").alias("parts_a"), parts("n_all").alias("parts_b")), "alike-keys")
+    settled = links.select("key", F.col("a").alias("c"), F.col("b").alias("p"))
 
     def dealt(rows: DataFrame, side: str, other: str) -> DataFrame:
         own = F.pmod(F.xxhash64("c", F.lit(7)), F.col(f"parts_{side}")).cast("int").alias(side)
-        return rows.join(counts, "key").select("key", "c", "s", F.lit(side).alias("side"), own, F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1)).alias(other))
+        return rows.join(counts, "key").join(settled, ["key", "c"], "left").select("key", "c", "s", F.coalesce("p", "c").alias("p"), F.lit(side).alias("side"), own, F.explode(F.sequence(F.lit(0), F.col(f"parts_{other}") - 1)).alias(other))
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("c")  # forests of many blocks then share their links
         a, b = (list(zip(own["c"], own["s"])) for own in (pdf[pdf["side"] == "a"], pdf[pdf["side"] == "b"]))
-        out, parent = [], {c: c for c, _ in [*a, *b]}
+        out, parent = [], {c: c for c in [*pdf["c"], *pdf["p"]]}
 
         def root(c: int) -> int:
             while parent[c] != c:
@@ -239,6 +248,8 @@ def alike(members: DataFrame, similarity: float, rounds: int = 3) -> DataFrame:
                 c = parent[c]
             return c
 
+        for c, p in zip(pdf["c"], pdf["p"]):  # what is linked already
+            parent[root(c)] = root(p)
         for c, s in a:
             for d, t in b:
                 if root(c) != root(d) and min(len(s), len(t)) >= similarity * max(len(s), len(t)):
@@ -249,11 +260,16 @@ def alike(members: DataFrame, similarity: float, rounds: int = 3) -> DataFrame:
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     blocks = dealt(members.join(opened, ["key", "c"], "left_semi"), "a", "b").unionByName(dealt(members, "b", "a"))
-    return links.unionByName(blocks.groupBy("key", "a", "b").applyInPandas(link, "a long, b long"))
+    return links.select("a", "b").unionByName(blocks.groupBy("key", "a", "b").applyInPandas(link, "a long, b long"))
 
 
 def similar_documents(docs: DataFrame, k: int = 5, similarity: float = 0.8, words: int | None = None, bucket: int = 8, meet: float = 0.97) -> DataFrame:
     """(doc_id, component_id): component_id is the least doc_id that is reached over links; ``words`` are chosen by the number of rows unless given."""
+    with scratch(docs.sparkSession):
+        return stored(_similar(docs, k, similarity, words, bucket, meet), "components", keep=True)
+
+
+def _similar(docs: DataFrame, k: int, similarity: float, words: int | None, bucket: int, meet: float) -> DataFrame:
     b = width(docs.count())
     words = words or words_for(similarity, b, meet)
     names = [f"f{w}" for w in range(words)]
