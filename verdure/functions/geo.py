@@ -152,6 +152,20 @@ def to_utm(lon: Column, lat: Column) -> list[Column]:
     return [(F.lit(_EAST) + _K0 * _R * east).alias("easting"), (_K0 * _R * north + F.when(lat < 0, 10_000_000.0).otherwise(0.0)).alias("northing")]
 
 
+_BETA = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96, _N**2 / 48 + _N**3 / 15, 17 * _N**3 / 480)
+_DELTA = (2 * _N - 2 * _N**2 / 3 - 2 * _N**3, 7 * _N**2 / 3 - 8 * _N**3 / 5, 56 * _N**3 / 15)
+
+
+def from_utm(east: Column, north: Column, zone: int, south: bool = False) -> tuple[Column, Column]:
+    """Longitude and latitude of a point of a UTM zone: the inverse of ``to_utm`` by the same series' inverse."""
+    xi, eta = (north - (10_000_000.0 if south else 0.0)) / (_K0 * _R), (east - _EAST) / (_K0 * _R)
+    x = xi - sum((b * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, b in enumerate(_BETA, start=1)), F.lit(0.0))
+    e = eta - sum((b * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, b in enumerate(_BETA, start=1)), F.lit(0.0))
+    chi = F.asin(F.sin(x) / F.cosh(e))
+    lat = chi + sum((d * F.sin(2 * j * chi) for j, d in enumerate(_DELTA, start=1)), F.lit(0.0))
+    return F.degrees(F.atan2(F.sinh(e), F.cos(x))) + (zone * 6 - 183), F.degrees(lat)
+
+
 def to_grid(east: Column, north: Column, x0: float, y0: float, pixel: float) -> list[Column]:
     """Row and column of the pixel whose centre is nearest, on a grid with its corner at (x0, y0) and rows going down: resampling by nearest neighbour."""
     return [F.floor((y0 - north) / pixel).cast("int").alias("row"), F.floor((east - x0) / pixel).cast("int").alias("column")]

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from verdure.fixtures import PERIODS, ctes, load
 from verdure.functions import exact, geo, indices
-from verdure.operators import carbon, climate, composite, incidents, publish, scenes, series, tiles
+from verdure.operators import carbon, climate, composite, incidents, publish, raster, scenes, series, tiles
+from verdure.session import work_folder
+from verdure.sources import geotiff
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -636,3 +638,61 @@ _TY = "CAST(least((1 << z) - 1, greatest(0, floor((1 - ln(tan(radians(lat)) + 1
 @query(f"WITH {ctes('points')} SELECT CAST(z AS INT) AS z, {_TX} AS tx, {_TY} AS ty, count(*) AS n, max(value) AS value FROM points, (SELECT unnest([0, 3, 8]) AS z) GROUP BY 1, 2, 3")
 def web_tile_keys(spark, sf_dir):
     return tiles.web_tiles(load(spark, sf_dir, "points"), (0, 3, 8))
+
+
+@query(f"WITH {ctes('layers')} SELECT chunk, y, x, CAST(value AS DOUBLE) AS value FROM layers")
+def geotiff_round_trip(spark, sf_dir):
+    """Layers written as GeoTIFF files, a file for each chunk, and read back by blocks."""
+    path = work_folder(spark, "layers")
+    geotiff.write_geotiff(load(spark, sf_dir, "layers").withColumn("band", F.lit(1)), path, "chunk", 60, 60, dtype="int32")
+    return geotiff.read_geotiff(spark, path).select(F.regexp_extract("path", r"(\d+)\.tif$", 1).cast("long").alias("chunk"), "y", "x", "value")
+
+
+@query(f"""WITH {ctes('pixels')}, b AS (SELECT tile, y, x, max(red) AS red, max(nir) AS nir FROM pixels GROUP BY 1, 2, 3), p AS (SELECT tile, 1 AS band, y, x, red AS value FROM b UNION ALL SELECT tile, 2, y, x, nir FROM b)
+    SELECT band, CAST(y + tile // 10 * 15 AS INT) AS "row", CAST(x + tile % 10 * 8 AS INT) AS "column", CAST(max(value) AS DOUBLE) AS value FROM p GROUP BY 1, 2, 3""")
+def geotiff_mosaic(spark, sf_dir):
+    """Two bands of overlapping tiles, each tile a file of its own transform, read back as one mosaic with the greatest value where tiles overlap."""
+    rows = load(spark, sf_dir, "pixels").groupBy("tile", "y", "x").agg(F.max("red").alias("red"), F.max("nir").alias("nir"))
+    band = lambda n, c: F.struct(F.lit(n).alias("band"), F.col(c).cast("double").alias("value"))
+    rows = rows.select("tile", "y", "x", F.inline(F.array(band(1, "red"), band(2, "nir"))))
+    rows = rows.withColumns({"x0": 300_000 + F.col("tile") % 10 * 80, "y0": 2_200_000 - F.floor(F.col("tile") / 10) * 150})
+    path = work_folder(spark, "tiles")
+    geotiff.write_geotiff(rows, path, "tile", 10, 20, 2, "int32", epsg=32643, transform=(0.0, 0.0, 10.0, 10.0))
+    return geotiff.read_mosaic(spark, path)
+
+
+CLIP = raster.Grid(66.47, 38.7, 0.541, 60, 60)
+CLIP_SQL = f"""{EDGES}, cells AS (SELECT DISTINCT y, x FROM layers),
+    inside AS (SELECT code, c.y, c.x FROM cells c, edges GROUP BY 1, 2, 3 HAVING {INSIDE.format(x="66.47e0 + (c.x + 0.5e0) * 0.541e0", y="(38.7e0 - (c.y + 0.5e0) * 0.541e0)")})"""
+
+
+@query(f"WITH {ctes('layers', 'regions')}, {CLIP_SQL} SELECT code, chunk, y, x, value FROM layers JOIN inside USING (y, x)")
+def raster_clip(spark, sf_dir):
+    return raster.clip(load(spark, sf_dir, "layers"), with_rings(spark, sf_dir), ["code"], CLIP, "y", "x")
+
+
+#: A grid of 1.5 km pixels in UTM zone 43 over a part of one in degrees.
+DEGREES, METRES = raster.Grid(74.7, 20.3, 0.01, 60, 60), raster.Grid(470_000.0, 2_244_000.0, 1_500.0, 46, 44)
+
+
+def _utm_sql() -> str:
+    """The inverse series and the four-neighbour stencil in SQL, from (row, column) ``cells`` and a source ``src`` (key, y, x, value)."""
+    xi, eta = f"((({METRES.y0!r}e0) - (r + 0.5e0) * 1500e0) / {geo._K0 * geo._R!r}e0)", f"((({METRES.x0!r}e0) + (c + 0.5e0) * 1500e0 - 500000e0) / {geo._K0 * geo._R!r}e0)"
+    term = lambda k, f, g: " + ".join(f"({v!r}) * {f}({2 * j} * {xi}) * {g}({2 * j} * {eta})" for j, v in enumerate(k, start=1))
+    delta = " + ".join(f"({v!r}) * sin({2 * j} * chi)" for j, v in enumerate(geo._DELTA, start=1))
+    return f"""cells AS (SELECT CAST(id // 44 AS INT) AS r, CAST(id % 44 AS INT) AS c FROM (SELECT unnest(range({46 * 44})) AS id)),
+        u AS (SELECT r, c, {xi} - ({term(geo._BETA, 'sin', 'cosh')}) AS xi, {eta} - ({term(geo._BETA, 'cos', 'sinh')}) AS eta FROM cells),
+        v AS (SELECT *, asin(sin(xi) / cosh(eta)) AS chi FROM u),
+        w AS (SELECT r, c, (degrees(atan2(sinh(eta), cos(xi))) + 75 - 74.7e0) / 0.01e0 - 0.5e0 AS fx, (20.3e0 - degrees(chi + {delta})) / 0.01e0 - 0.5e0 AS fy FROM v),
+        n AS (SELECT r, c, floor(fy) + di AS i, floor(fx) + dj AS j, (CASE di WHEN 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END) * (CASE dj WHEN 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) AS weight
+              FROM w, (SELECT unnest([0, 0, 1, 1]) AS di, unnest([0, 1, 0, 1]) AS dj)),
+        warped AS (SELECT key, r AS "row", c AS "column", sum(weight * value) / sum(weight) AS value FROM n JOIN src ON src.y = n.i AND src.x = n.j WHERE weight > 0 GROUP BY 1, 2, 3)"""
+
+
+@query(f"""WITH {ctes('layers')}, src AS (SELECT chunk AS key, y, x, value FROM layers WHERE value <> 0), {_utm_sql()} SELECT key AS chunk, "row", "column", round(value, 6) AS value FROM warped""")
+def bilinear_to_utm(spark, sf_dir):
+    """Layers on a grid of degrees, resampled onto one of a UTM zone."""
+    source = load(spark, sf_dir, "layers").filter("value <> 0").select("chunk", F.col("y").alias("row"), F.col("x").alias("column"), "value")
+    return r6(raster.resample(source, DEGREES, raster.cells(spark, METRES), METRES, lambda x, y: geo.from_utm(x, y, 43), ("chunk",)), "value")
+
+

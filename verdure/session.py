@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -14,3 +17,13 @@ def session(app: str = "verdure", master: str | None = None, **conf: str) -> Spa
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
     return b.getOrCreate()
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that driver and executors share, the session's spark.checkpoint.dir; where it is unset a local master gets a new folder, and on a cluster that is an error."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="verdure-")
+    return f"{base.rstrip('/')}/verdure-{uuid.uuid4().hex[:12]}/{name}"

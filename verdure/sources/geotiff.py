@@ -267,7 +267,7 @@ class Written(WriterCommitMessage):
 
 
 class GeoTiffWriter(DataSourceArrowWriter):
-    """Rows (file, band, y, x, value) in the order of ``file``; a task holds one file's tiles at a time."""
+    """Rows (file, band, y, x, value, x0, y0) in the order of ``file``, whose corner is (x0, y0) if these aren't null; a task holds one file's tiles at a time."""
 
     def __init__(self, options: dict[str, str], overwrite: bool):
         self.options, self.path = options, options["path"].rstrip("/")
@@ -280,10 +280,11 @@ class GeoTiffWriter(DataSourceArrowWriter):
         store, folder = file_system(self.path)
         store.create_dir(folder, recursive=True)
         width, height, bands = self.size
-        done, now, tiles = [], None, {}
+        done, now, corner, tiles = [], None, (None, None), {}
 
         def close() -> None:
-            data = encode(width, height, bands, self.dtype, tiles, self.no_data, self.epsg, self.transform)
+            transform = self.transform if corner[0] is None or not self.transform else (*corner, *self.transform[2:])
+            data = encode(width, height, bands, self.dtype, tiles, self.no_data, self.epsg, transform)
             temporary = f"{folder}/.{uuid.uuid4().hex}.part"
             with store.open_output_stream(temporary) as f:
                 f.write(data)
@@ -299,7 +300,7 @@ class GeoTiffWriter(DataSourceArrowWriter):
                     if names[a] != now:
                         if now is not None:
                             close()
-                        now = names[a]
+                        now, corner = names[a], tuple(b.column(b.schema.get_field_index(c))[a].as_py() for c in ("x0", "y0"))
                     own = slice(a, e)
                     if (y[own] >= height).any() or (x[own] >= width).any() or (band[own] > bands).any() or min(y[own].min(), x[own].min(), band[own].min() - 1) < 0:
                         raise ValueError(f"pixels of {now} outside {width} x {height} x {bands}")
@@ -353,9 +354,10 @@ def read_geotiff(spark: SparkSession, path: str, bands: list[int] | None = None,
 
 
 def write_geotiff(layer: DataFrame, path: str, file: str, width: int, height: int, bands: int = 1, dtype: str = "int16", no_data: float = -9999, epsg: int | None = None, transform: tuple | None = None) -> None:
-    """A file for each value of the column ``file`` of rows (file, band, y, x, value)."""
+    """A file for each value of the column ``file`` of rows (file, band, y, x, value); with columns x0 and y0 these are the file's corner instead of that of ``transform``."""
     layer.sparkSession.dataSource.register(GeoTiff)
-    rows = layer.select(F.col(file).cast("string").alias("file"), F.col("band").cast("int").alias("band"), F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), F.col("value").cast("double").alias("value"))
+    rows = layer.select(F.col(file).cast("string").alias("file"), F.col("band").cast("int").alias("band"), F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), F.col("value").cast("double").alias("value"),
+        *((F.col(c) if c in layer.columns else F.lit(None)).cast("double").alias(c) for c in ("x0", "y0")))
     w = rows.repartition("file").sortWithinPartitions("file", "y").write.format("geotiff").mode("append")
     for k, v in {"width": width, "height": height, "bands": bands, "dtype": dtype, "no_data": no_data, "epsg": epsg or "", "transform": ",".join(map(repr, transform)) if transform else ""}.items():
         w = w.option(k, str(v))
