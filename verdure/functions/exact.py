@@ -21,5 +21,5 @@ def mean(c: Column, places: int = 9) -> Column:
 
 
 def half_up(c: Column, places: int) -> Column:
-    """``c`` rounded to ``places``, halves away from zero. Three more places are looked at, so noise in the last bits doesn't move a half."""
-    return F.round(c.try_cast(f"decimal(28,{places + 3})"), places).cast("double")
+    """``c`` rounded to ``places``, halves away from zero. Nine more places are looked at: enough for noise in a sum's last bits not to move a half, and no value that is below one."""
+    return F.round(c.try_cast(f"decimal(38,{places + 9})"), places).cast("double")

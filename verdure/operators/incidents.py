@@ -29,7 +29,7 @@ def form_attributes(forms: DataFrame, values: DataFrame, template: str, region_i
 def extract(attributes: DataFrame) -> DataFrame:
     """Incidents: forms with numeric coordinates other than 0 and NaN, a category, a species and a valid date. Category, species and status are lower case; the description has them as
     they were written, and the request's number if it has one."""
-    text = lambda c: F.nullif(F.trim(F.coalesce(c, F.lit(""))), F.lit(""))
+    text = lambda c: F.nullif(F.btrim(F.coalesce(c, F.lit("")), F.lit(" \t\n\x0b\x0c\r")), F.lit(""))
     number = lambda c: F.col(c).try_cast("double")
     request = F.nanvl(F.coalesce(number("request_id"), F.lit(0.0)), F.lit(0.0))
     shown = F.when(request == F.floor(request), request.cast("long").cast("string")).otherwise(request.cast("string"))
@@ -79,11 +79,12 @@ def product_rows(incidents: DataFrame, snapshots: DataFrame, product_id: int) ->
 
 
 def store_rows(stored: DataFrame, rows: DataFrame, when: str) -> DataFrame:
-    """(snapshot_id, region_id, value, created_at, updated_at) after ``rows`` are stored: one row for each snapshot, region and incidentKey of the JSON. A known one's value and updated_at
-    change, an unknown one is added. Rows of one key in ``rows`` must be one."""
+    """The table ``stored`` after ``rows`` are stored: one row for each snapshot, region and incidentKey of the JSON. A known one's value and updated_at change and its other columns stay, so
+    a deleted one is still deleted; an unknown one is added. Rows of one key in ``rows`` must be one."""
     keyed = lambda df: df.withColumn("key", F.get_json_object("value", "$.incidentKey"))
     old = keyed(stored).withColumnsRenamed({"value": "old_value", "updated_at": "old_at"})
     both = keyed(rows.select("snapshot_id", "region_id", "value")).join(old, ["snapshot_id", "region_id", "key"], "full")
     at = F.to_date(F.lit(when))
     changed = F.col("value").isNotNull()
-    return both.select("snapshot_id", "region_id", F.coalesce("value", "old_value").alias("value"), F.coalesce("created_at", at).alias("created_at"), F.when(changed, at).otherwise(F.col("old_at")).alias("updated_at"))
+    new = {"value": F.coalesce("value", "old_value"), "created_at": F.coalesce("created_at", at), "updated_at": F.when(changed, at).otherwise(F.col("old_at"))}
+    return both.select(*(new.get(c, F.col(c)).alias(c) for c in stored.columns))

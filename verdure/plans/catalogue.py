@@ -18,7 +18,7 @@ ORACLES: dict = {}
 
 
 def half_up(sql: str) -> str:
-    """``round(x, places)`` as in ``exact.half_up``: in decimals, with three more places looked at."""
+    """``round(x, places)`` as in ``exact.half_up``: in decimals, with nine more places looked at."""
     m = re.search(r"(?<![\w])round\(", sql)
     if not m:
         return sql
@@ -28,7 +28,7 @@ def half_up(sql: str) -> str:
         comma = end if sql[end] == "," and depth == 1 else comma
         end += 1
     x, places = sql[m.end() : comma], int(sql[comma + 1 : end - 1])
-    return f"{sql[: m.start()]}CAST(ROUND(CAST({half_up(x)} AS DECIMAL(28,{places + 3})), {places}) AS DOUBLE){half_up(sql[end:])}"
+    return f"{sql[: m.start()]}CAST(ROUND(CAST({half_up(x)} AS DECIMAL(38,{places + 9})), {places}) AS DOUBLE){half_up(sql[end:])}"
 
 
 def query(sql: str | None = None):
@@ -289,6 +289,19 @@ def incident_product_upsert(spark, sf_dir):
     return out.select(F.get_json_object("value", "$.incidentKey").alias("key"), "region_id", F.get_json_object("value", "$.processStatus").alias("status"), "created_at", "updated_at")
 
 
+@query(INCIDENTS + """SELECT incident_id AS key, region_id, CASE WHEN form_id % 3 = 0 THEN 'closed' ELSE status END AS status, CASE WHEN region_id % 4 = 1 THEN DATE '2024-02-02' END AS deleted_at,
+    CASE WHEN form_id % 3 = 0 THEN DATE '2024-02-05' WHEN region_id % 4 = 1 THEN DATE '2024-02-02' ELSE DATE '2024-01-31' END AS updated_at FROM incidents""")
+def incident_delete_then_upsert(spark, sf_dir):
+    """Deleted incidents stay deleted when a later batch changes them."""
+    rows, snapshots = _incidents(spark, sf_dir), load(spark, sf_dir, "snapshots")
+    day = F.to_date(F.lit("2024-01-31"))
+    stored = incidents.product_rows(rows, snapshots, 2).select("snapshot_id", "region_id", "value", day.alias("created_at"), day.alias("updated_at"), F.lit(None).cast("date").alias("deleted_at"))
+    gone = stored.filter("region_id % 4 = 1").select("region_id").distinct()
+    changes = incidents.product_rows(rows.filter("form_id % 3 = 0").withColumn("status", F.lit("closed")), snapshots, 2)
+    out = incidents.store_rows(publish.soft_delete(stored, gone, "region_id", "2024-02-02"), changes, "2024-02-05")
+    return out.select(F.get_json_object("value", "$.incidentKey").alias("key"), "region_id", F.get_json_object("value", "$.processStatus").alias("status"), "deleted_at", "updated_at")
+
+
 _NUM = lambda c, default="0e0": f"coalesce(TRY_CAST({c} AS DOUBLE), {default})"
 
 
@@ -696,3 +709,21 @@ def bilinear_to_utm(spark, sf_dir):
     return r6(raster.resample(source, DEGREES, raster.cells(spark, METRES), METRES, lambda x, y: geo.from_utm(x, y, 43), ("chunk",)), "value")
 
 
+
+
+#: A notched outline in metres that the season product is clipped to.
+OUTLINE = [(475_000.0, 2_240_000.0), (500_000.0, 2_240_000.0), (500_000.0, 2_190_000.0), (489_000.0, 2_212_500.0), (475_000.0, 2_190_000.0)]
+_SEASON_SQL = ORACLES["season_mosaic_max"].split(" s AS (SELECT *, CASE", 1)[1]
+
+
+@query(f"""WITH {ctes('pixels')}, s AS (SELECT *, CASE{_SEASON_SQL.rsplit(") SELECT season", 1)[0]}), m AS (SELECT season, y, x, max(value) AS value FROM t GROUP BY 1, 2, 3),
+    src AS (SELECT season AS key, y + 15 AS y, x + 20 AS x, value FROM m WHERE value <> 0), {_utm_sql()},
+    e AS (SELECT * FROM (VALUES {", ".join(f"({a[0]!r}e0, {a[1]!r}e0, {b[0]!r}e0, {b[1]!r}e0)" for a, b in zip(OUTLINE, OUTLINE[1:] + OUTLINE[:1]))}) AS v(xa, ya, xb, yb)),
+    i AS (SELECT r, c FROM cells, e GROUP BY 1, 2 HAVING {INSIDE.format(x="470000e0 + (c + 0.5e0) * 1500e0", y="(2244000e0 - (r + 0.5e0) * 1500e0)")})
+    SELECT key AS season, "row", "column", round(value, 6) AS value FROM warped JOIN i ON i.r = warped."row" AND i.c = warped."column\"""")
+def season_mosaic_product(spark, sf_dir):
+    """From scene pixels to a season's product: highest clear index of each pixel and tile, mosaic, resampled from degrees to metres, clipped to an outline."""
+    mosaic = composite.season_mosaic(load(spark, sf_dir, "pixels")).filter("value <> 0").select("season", (F.col("y") + 15).alias("row"), (F.col("x") + 20).alias("column"), "value")
+    warped = raster.resample(mosaic, DEGREES, raster.cells(spark, METRES), METRES, lambda x, y: geo.from_utm(x, y, 43), ("season",))
+    outline = spark.createDataFrame([("outline", [{"x": x, "y": y} for x, y in OUTLINE])], "name string, ring array<struct<x:double,y:double>>")
+    return r6(raster.clip(warped, outline, ["name"], METRES), "value").drop("name")
