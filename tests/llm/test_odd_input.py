@@ -5,7 +5,7 @@ import pytest
 from verdure.llm import bitplanes, chat, kmtree, pieces, secrets, similar, simhash
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
-LONG = " ".join(f"w{i % 977} password=abcdef{i % 7}" for i in range(40_000))
+LONG = " ".join(f"w{i % 977} password=abcdef{i % 7}" for i in range(10_000))
 ROWS = [(1, "some words that stand here twice over", "a"), (2, "some words that stand here twice over", "b"), (3, None, None), (4, LONG, "a"), (None, "", "c")]
 
 
