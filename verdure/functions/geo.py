@@ -140,16 +140,17 @@ _R = _A / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
 _ALPHA = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16, 13 * _N**2 / 48 - 3 * _N**3 / 5, 61 * _N**3 / 240)
 
 
-def to_utm(lon: Column, lat: Column) -> list[Column]:
-    """Easting and northing in the point's own UTM zone, by Krueger's series to third order (under a millimetre inside a zone)."""
-    zone = F.floor((lon + 180) / 6) + 1
+def to_utm(lon: Column, lat: Column, zone: Column | None = None, south: Column | None = None) -> list[Column]:
+    """Easting and northing in the point's own UTM zone or in the one given, by Krueger's series to third order (under a millimetre inside a zone)."""
+    zone = F.floor((lon + 180) / 6) + 1 if zone is None else zone
+    south = lat < 0 if south is None else south
     dl, phi = F.radians(lon - (zone * 6 - 183)), F.radians(lat)
     e = 2 * math.sqrt(_N) / (1 + _N)
     t = F.sinh(F.atanh(F.sin(phi)) - e * F.atanh(e * F.sin(phi)))
     xi, eta = F.atan2(t, F.cos(dl)), F.atanh(F.sin(dl) / F.sqrt(1 + t * t))
     east = eta + sum((a * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, a in enumerate(_ALPHA, start=1)), F.lit(0.0))
     north = xi + sum((a * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, a in enumerate(_ALPHA, start=1)), F.lit(0.0))
-    return [(F.lit(_EAST) + _K0 * _R * east).alias("easting"), (_K0 * _R * north + F.when(lat < 0, 10_000_000.0).otherwise(0.0)).alias("northing")]
+    return [(F.lit(_EAST) + _K0 * _R * east).alias("easting"), (_K0 * _R * north + F.when(south, 10_000_000.0).otherwise(0.0)).alias("northing")]
 
 
 _BETA = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96, _N**2 / 48 + _N**3 / 15, 17 * _N**3 / 480)

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdure.functions import geo
+from verdure.functions import geo, overlay
 
 #: Cloud limits in the order they are tried; the coverage that is accepted, that is good, and that another scene has to add.
 LADDER = (20, 40, 60, 80, 100)
@@ -135,6 +135,74 @@ def uncovered(items: DataFrame, grid: int = 50, buffer: float = 0.01, least: int
     return rows.filter(F.col("points") >= least).select("tile", "points", (F.col("points") / float(grid * grid)).alias("share"))
 
 
+def footprint_coverage(items: DataFrame, tiles: DataFrame, keys: list[str], size: float, scale: float = 1e9) -> DataFrame:
+    """``items`` (keys, tile, ring) with ``coverage``: the share of their tile's ring (tile, ring) that the footprint covers, whatever the shapes of both; 0 where they don't meet. Keys and tile
+    name an item. A footprint or tile without a ring covers nothing or has null."""
+    by = [*keys, "tile"]
+    tile_rings = items.select(*by).join(tiles.select("tile", "ring"), "tile").select(*by, "ring")
+    met = overlay.area(overlay.overlay(overlay.sides(items, by, "a", scale=scale).unionByName(overlay.sides(tile_rings, by, "b", scale=scale)), by, "intersection", size, scale), by)
+    whole = tiles.select("tile", (F.abs(overlay._signed(F.col("ring"))) / 2).alias("whole"))
+    rows = items.join(met, by, "left").join(whole, "tile", "left")
+    return rows.select(*items.columns, (F.coalesce("area", F.lit(0.0)) / F.nullif("whole", F.lit(0.0))).alias("coverage"))
+
+
+def uncovered_parts(tiles: DataFrame, footprints: DataFrame, buffer: float = 1000.0, least: float = 1000.0, size: float = 10_000.0) -> DataFrame:
+    """(tile, part, holes, area, ring, inner): what the footprints of a tile, widened by ``buffer`` metres, leave of its ring, in parts of ``least`` square metres or more.
+
+    Rings of ``tiles`` (tile, ring) and ``footprints`` (tile, ring, several for each tile) are degrees; they are compared in the UTM zone of the centre of the tile's footprints, or of the tile
+    where it has none, and the parts' rings and areas are in its metres. Widening and difference are ``overlay``'s, so no tile's footprints are gathered anywhere; only what is left is.
+    """
+    centre = lambda rows, n: rows.filter("ring is not null").select("tile", geo.centroid(F.col("ring")).alias("c")).groupBy("tile").agg(F.avg("c.x").alias(n + "x"), F.avg("c.y").alias(n + "y"))
+    at = centre(tiles, "t").join(centre(footprints, "f"), "tile", "left").select("tile", F.coalesce("fx", "tx").alias("lon"), F.coalesce("fy", "ty").alias("lat"))
+    zones = at.select("tile", (F.floor((F.col("lon") + 180) / 6) + 1).alias("zone"), (F.col("lat") < 0).alias("south"))
+
+    def metres(rows: DataFrame) -> DataFrame:
+        east_north = lambda p: geo.to_utm(p["x"], p["y"], F.col("zone"), F.col("south"))
+        return rows.join(zones, "tile").select("tile", F.transform("ring", lambda p: F.struct(east_north(p)[0].alias("x"), east_north(p)[1].alias("y"))).alias("ring"))
+
+    scale = 1e6
+    rows = overlay.sides(metres(tiles), ["tile"], "a", scale=scale).unionByName(overlay.widened(metres(footprints), ["tile"], buffer, "b", scale=scale))
+    return overlay.parts(overlay.rings(overlay.overlay(rows, ["tile"], "difference", size, scale), ["tile"]), ["tile"]).filter(F.col("area") >= least)
+
+
+def selection(items: DataFrame, by: tuple[str, ...] = ("tile",)) -> DataFrame:
+    """(by, seq, place, coverage): the scenes chosen for each tile, or for each tile and period: the primary one (place 0), then, where it covers over 60 and up to 95 %, in catalog order each
+    that brings it and the primary to over 5 points more than what is reached, until that is over 95 %. ``coverage`` is what is reached with the scene; footprints are boxes in the unit tile.
+
+    A scene is measured against the primary alone, so what it reaches doesn't depend on the others, and it can only be taken if it reaches more than every one before it. Those few, found by a
+    running maximum, are all that a tile's choice looks at.
+    """
+    rows = with_coverage(items)
+    rungs = F.explode(F.filter(F.array(*map(F.lit, LADDER)), lambda t: F.col("cloud") < t))
+    tried = rows.filter("degraded < 5 and coverage > 0").withColumn("rung", rungs)
+    kept = F.struct("rung", "seq", "coverage", "fx0", "fx1", "fy0", "fy1")
+    passing = F.min(F.when(F.col("coverage") > ACCEPT, kept))
+    best = F.min_by(kept, F.struct(-F.col("coverage"), F.col("rung"), F.col("seq")))
+    first = tried.groupBy(*by).agg(F.coalesce(passing, best).alias("p"))
+    lone = first.select(*by, F.col("p.seq").alias("seq"), F.lit(0).cast("long").alias("place"), F.col("p.coverage").alias("coverage"))
+    some = rows.join(first.filter((F.col("p.coverage") > ACCEPT) & (F.col("p.coverage") <= GOOD)), list(by))
+    side = lambda a: F.greatest(F.lit(0.0), F.least(F.col(f"f{a}1"), F.col(f"p.f{a}1"), F.lit(1.0)) - F.greatest(F.col(f"f{a}0"), F.col(f"p.f{a}0"), F.lit(0.0)))
+    some = some.withColumn("reach", F.col("p.coverage") + F.col("coverage") - side("x") * side("y")).filter(F.col("reach") > F.col("p.coverage") + GAIN)
+    before = Window.partitionBy(*by).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    records = some.withColumn("before", F.max("reach").over(before)).filter("before is null or reach > before")
+    taken = F.aggregate(
+        F.array_sort(F.collect_list(F.struct("seq", "reach"))),
+        F.struct(F.first("p.coverage").alias("had"), F.array().cast("array<struct<seq:bigint,reach:double>>").alias("t")),
+        lambda s, r: F.when((s["had"] <= GOOD) & (r["reach"] > s["had"] + GAIN), F.struct(r["reach"].alias("had"), F.array_append(s["t"], F.struct(r["seq"].cast("long").alias("seq"), r["reach"].alias("reach"))).alias("t"))).otherwise(s),
+        lambda s: s["t"],
+    )
+    more = records.groupBy(*by).agg(taken.alias("t")).select(*by, F.posexplode("t").alias("n", "t"))
+    return lone.unionByName(more.select(*by, "t.seq", (F.col("n") + 1).cast("long").alias("place"), F.col("t.reach").alias("coverage")))
+
+
+def selection_summary(chosen: DataFrame, by: tuple[str, ...] = ("tile",), within: tuple[str, ...] = ()) -> DataFrame:
+    """(within, bucket, tiles, several, scenes): tiles by what their chosen scenes cover together, how many of them have more than one, and all scenes."""
+    tiles = chosen.groupBy(*by).agg(F.max_by("coverage", "place").alias("coverage"), F.count("*").alias("n"))
+    c = F.col("coverage")
+    bucket = F.when(c >= 0.95, "95-100%").when(c >= 0.80, "80-95%").when(c >= 0.60, "60-80%").otherwise("<60%")
+    return tiles.groupBy(*within, bucket.alias("bucket")).agg(F.count("*").alias("tiles"), F.count(F.when(F.col("n") > 1, 1)).alias("several"), F.sum("n").alias("scenes"))
+
+
 def band_rows(files: DataFrame) -> DataFrame:
     """(tile, date, red, nir, scl): the band files of one tile and date in a row, the first by name of each band; tiles and dates without red or without nir have none."""
     p = F.split("file", "-")

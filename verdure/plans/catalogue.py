@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdure.fixtures import PERIODS, ctes, load
-from verdure.functions import exact, geo, indices
+from verdure.functions import calendar, exact, geo, indices, overlay
 from verdure.operators import carbon, climate, composite, incidents, publish, raster, scenes, series, tiles
 from verdure.session import work_folder
 from verdure.sources import geotiff
@@ -572,6 +572,74 @@ def tile_uncovered(spark, sf_dir):
     return scenes.uncovered(items.join(scenes.primary(items).select("seq"), "seq", "left_semi"))
 
 
+def _tile_ring(x0, y0, x1, y1, x=lambda x, y: x, y=lambda x, y: y):
+    """A box's ring from columns or numbers; its corners may be moved by ``x`` and ``y``."""
+    corners = [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+    return F.array(*(F.struct(x(a, b).alias("x"), y(a, b).alias("y")) for a, b in corners))
+
+
+_CLAMPED = lambda u: f"(CASE WHEN {u} <= 0 THEN 0 WHEN {u} <= 1 THEN ({u}) * ({u}) / 2 ELSE ({u}) - 0.5e0 END)"
+_LEANING = lambda f: f"({_CLAMPED(f'({f} + 0.25e0 * d)')} - {_CLAMPED(f'({f} + 0.25e0 * b)')}) / 0.25e0"
+
+
+@query(ITEMS + f""", f AS (SELECT seq, tile, fx0, fx1, greatest(fy0, 0) AS b, least(fy1, 1) AS d FROM c) SELECT seq, tile, round({_LEANING("fx1")} - {_LEANING("fx0")}, 6) AS coverage FROM f""")
+def footprint_coverage(spark, sf_dir):
+    """Leaning footprints, moved right by a quarter of their height: what they cover of their tile."""
+    items = scenes.tile_of(load(spark, sf_dir, "items"))
+    lean = _tile_ring(*map(F.col, ("fx0", "fy0", "fx1", "fy1")), x=lambda a, b: a + 0.25 * b)
+    unit = items.select("tile").distinct().withColumn("ring", _tile_ring(*map(F.lit, (0.0, 0.0, 1.0, 1.0))))
+    return r6(scenes.footprint_coverage(items.select("seq", "tile", lean.alias("ring")), unit, ["seq"], 1.0), "coverage").select("seq", "tile", "coverage")
+
+
+#: Length to either side that a footprint has in the tile after widening by a hundredth, and the gaps beside it.
+_WIDE = lambda a: f"greatest(0, least(f{a}1 + 0.01e0, 1) - greatest(f{a}0 - 0.01e0, 0))"
+
+
+@query(ITEMS + f""", b AS (SELECT c.*, CAST(fx0 > 0 AS INT) AS l, CAST(fx1 < 1 AS INT) AS r, CAST(fy0 > 0 AS INT) AS u, CAST(fy1 < 1 AS INT) AS o FROM c JOIN pr USING (tile, seq)),
+    s AS (SELECT tile, CASE WHEN fx1 > fx0 THEN 1 - ({_WIDE("x")} * {_WIDE("y")} - (l + r) * (u + o) * (1e-4 - 8 * 1e-4 * sin(pi() / 32))) ELSE 1 END AS area,
+        CASE WHEN l + r + u + o = 0 THEN 0 WHEN (l + r = 2 AND u + o = 0) OR (l + r = 0 AND u + o = 2) THEN 2 ELSE 1 END AS parts FROM b)
+    SELECT tile, parts, round(area * 10000, 3) AS km2 FROM s WHERE parts > 0""")
+def tile_uncovered_metres(spark, sf_dir):
+    """What the primary scenes, widened by 1 km, leave of tiles of 100 km, whose rings are degrees."""
+    items = load(spark, sf_dir, "items")
+    chosen = scenes.tile_of(items.join(scenes.primary(items).select("seq"), "seq", "left_semi"))
+    degrees = {"x": lambda a, b: geo.from_utm(300_000 + a * 100_000, 2_200_000 + b * 100_000, 43)[0], "y": lambda a, b: geo.from_utm(300_000 + a * 100_000, 2_200_000 + b * 100_000, 43)[1]}
+    footprints = chosen.select("tile", _tile_ring(*map(F.col, ("fx0", "fy0", "fx1", "fy1")), **degrees).alias("ring"))
+    whole = chosen.select("tile").distinct().withColumn("ring", _tile_ring(*map(F.lit, (0.0, 0.0, 1.0, 1.0)), **degrees))
+    left = scenes.uncovered_parts(whole, footprints).groupBy("tile").agg(F.count("*").cast("int").alias("parts"), (F.sum("area") / 1e6).alias("km2"))
+    return r6(left, "km2", places=3)
+
+
+#: Scenes by season and tile: the primary one, and the complements, each the next in catalog order that reaches 5 points more than what is reached.
+SELECTION = f"""WITH RECURSIVE {ctes('items')}, c AS (SELECT *, split_part(id, '_', 2) AS tile, greatest(0, least(fx1, 1) - greatest(fx0, 0)) * greatest(0, least(fy1, 1) - greatest(fy0, 0)) AS coverage,
+        CASE WHEN month(day) IN (4, 5) THEN year(day) || '_apr_may' WHEN month(day) IN (11, 12) THEN year(day) || '_nov_dec' END AS season FROM items),
+    l AS (SELECT c.*, rung FROM c, (SELECT unnest([20, 40, 60, 80, 100]) AS rung) WHERE season IS NOT NULL AND degraded < 5 AND cloud < rung AND coverage > 0),
+    o AS (SELECT *, row_number() OVER (PARTITION BY season, tile ORDER BY rung, seq) AS rn FROM l),
+    k AS (SELECT season, tile, coalesce(min(rn) FILTER (coverage > 0.60), arg_min(rn, (-coverage, rn))) AS rn FROM o GROUP BY 1, 2), pr AS (SELECT o.* FROM o JOIN k USING (season, tile, rn)),
+    u AS (SELECT c.season, c.tile, c.seq, p.coverage + c.coverage - greatest(0, least(c.fx1, p.fx1, 1) - greatest(c.fx0, p.fx0, 0)) * greatest(0, least(c.fy1, p.fy1, 1) - greatest(c.fy0, p.fy0, 0)) AS reach
+        FROM c JOIN pr p ON c.season = p.season AND c.tile = p.tile),
+    s AS (SELECT season, tile, CAST(-1 AS BIGINT) AS seq, coverage, CAST(0 AS BIGINT) AS place FROM pr WHERE coverage > 0.60
+        UNION ALL SELECT season, tile, seq, reach, place + 1 FROM (SELECT u.season, u.tile, u.seq, u.reach, s.place, row_number() OVER (PARTITION BY u.season, u.tile ORDER BY u.seq) AS rn
+            FROM s JOIN u ON s.season = u.season AND s.tile = u.tile WHERE s.coverage <= 0.95 AND u.seq > s.seq AND u.reach > s.coverage + 0.05) WHERE rn = 1),
+    chosen AS (SELECT season, tile, seq, CAST(0 AS BIGINT) AS place, coverage FROM pr UNION ALL SELECT season, tile, seq, place, coverage FROM s WHERE place > 0) """
+
+
+def _selection(spark, sf_dir):
+    items = load(spark, sf_dir, "items").withColumn("season", calendar.season(F.col("day"))).filter("season is not null")
+    return scenes.selection(items, ("season", "tile"))
+
+
+@query(SELECTION + "SELECT season, tile, seq, place, round(coverage, 6) AS coverage FROM chosen")
+def scene_selection(spark, sf_dir):
+    return r6(_selection(spark, sf_dir), "coverage")
+
+
+@query(SELECTION + """, t AS (SELECT season, tile, arg_max(coverage, place) AS coverage, count(*) AS n FROM chosen GROUP BY 1, 2)
+    SELECT season, CASE WHEN coverage >= 0.95 THEN '95-100%' WHEN coverage >= 0.80 THEN '80-95%' WHEN coverage >= 0.60 THEN '60-80%' ELSE '<60%' END AS bucket, count(*) AS tiles, count(*) FILTER (n > 1) AS several, CAST(sum(n) AS BIGINT) AS scenes FROM t GROUP BY 1, 2""")
+def scene_selection_summary(spark, sf_dir):
+    return scenes.selection_summary(_selection(spark, sf_dir), ("season", "tile"), ("season",))
+
+
 @query(ITEMS + "SELECT seq, md5(tile || '|' || CAST(day AS VARCHAR)) AS key FROM c")
 def search_cache_key(spark, sf_dir):
     return scenes.tile_of(load(spark, sf_dir, "items")).select("seq", scenes.search_key("tile", "day").alias("key"))
@@ -609,6 +677,23 @@ def aoi_grid_cells(spark, sf_dir):
     return r6(tiles.aoi_grid(with_rings(spark, sf_dir), 0.8).filter("share > 1e-9"), "share")
 
 
+@query(f"""WITH {ctes('regions')}, g AS (SELECT *, unnest(range(CAST(floor(x0 / 0.8e0) AS BIGINT), CAST(floor(x1 / 0.8e0) AS BIGINT) + 1)) AS gx FROM regions WHERE NOT no_geom),
+    h AS (SELECT *, unnest(range(CAST(floor(y0 / 0.8e0) AS BIGINT), CAST(floor(y1 / 0.8e0) AS BIGINT) + 1)) AS gy FROM g),
+    b AS (SELECT *, greatest(x0, gx * 0.8e0) AS p, least(x1, (gx + 1) * 0.8e0) AS q, greatest(y0, gy * 0.8e0) AS b, least(y1, (gy + 1) * 0.8e0) AS d FROM h), a AS (SELECT code, gx, gy, {_region_area('p', 'q', 'b', 'd')} AS area FROM b)
+    SELECT code, gx, gy, round(area, 6) AS area FROM a WHERE area > 1e-6""")
+def region_cut_cells(spark, sf_dir):
+    """The polygons that a grid cuts regions into, by the areas of their rings."""
+    rows = tiles.cut_cells(with_rings(spark, sf_dir), 0.8, ["code"])
+    return r6(rows.groupBy("code", "gx", "gy").agg(F.sum("area").alias("area")).filter("area > 1e-6"), "area")
+
+
+@query(f"""WITH {ctes('regions')} SELECT type, round(sum((x1 - x0) * (y1 - y0) - CASE WHEN notched THEN (x1 - x0) * 1.37e0 / 2 ELSE 0 END), 6) AS area FROM regions WHERE NOT no_geom GROUP BY 1""")
+def region_union(spark, sf_dir):
+    """Regions of each type, which share borders, as one shape: the area of its parts without their holes."""
+    border = overlay.overlay(overlay.sides(with_rings(spark, sf_dir), ["type"]), ["type"], "union", 5.0)
+    return r6(overlay.parts(overlay.rings(border, ["type"]), ["type"]).groupBy("type").agg(F.sum("area").alias("area")), "area")
+
+
 @query(f"""WITH {ctes('regions')}, t AS (SELECT i * 7 + j AS tile, 66 + i * 5e0 AS tx0, 71 + i * 5e0 AS tx1, 6 + j * 5e0 AS ty0, 11 + j * 5e0 AS ty1 FROM (SELECT unnest(range(7)) AS i), (SELECT unnest(range(7)) AS j)),
     b AS (SELECT *, greatest(x0, tx0) AS p, least(x1, tx1) AS q, greatest(y0, ty0) AS b, least(y1, ty1) AS d FROM regions, t WHERE NOT no_geom AND x0 < tx1 AND x1 > tx0 AND y0 < ty1 AND y1 > ty0),
     a AS (SELECT code, tile, {_region_area('p', 'q', 'b', 'd')} / 25 AS share FROM b) SELECT code, tile, round(share, 6) AS share FROM a WHERE share > 1e-9""")

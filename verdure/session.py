@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "verdure", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,3 +27,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="verdure-")
     return f"{base.rstrip('/')}/verdure-{uuid.uuid4().hex[:12]}/{name}"
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """The rows from a table in a work folder: computed once, whatever reads them, and planned from there on."""
+    path = work_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
