@@ -208,7 +208,9 @@ def widened(polygons: DataFrame, keys: list[str], distance: float, layer: str =
     length = lambda p, q: F.hypot(q["x"] - p["x"], q["y"] - p["y"])
     normal = lambda p, q: (distance * (q["y"] - p["y"]) / length(p, q), distance * (p["x"] - q["x"]) / length(p, q))
     u, v, w = F.col("u"), F.col("v"), F.col("w")
-    (ax, ay), (bx, by) = normal(u, v), normal(v, w)
+    names = ("ax", "ay", "bx", "by")
+    corner = corner.withColumns(dict(zip(names, (*normal(u, v), *normal(v, w)))))
+    ax, ay, bx, by = map(F.col, names)
     point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     off = lambda p, x, y: point(p["x"] + x, p["y"] + y)
     turn = F.atan2(ax * by - ay * bx, ax * bx + ay * by)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdure.functions import geo, overlay
+from verdure.session import written
 
 #: (value, red, green, blue): a ramp from bare to dense.
 RAMP = [(0, 255, 255, 229), (25, 217, 240, 163), (50, 120, 198, 121), (75, 35, 132, 67), (100, 0, 69, 41)]
@@ -23,10 +24,10 @@ def aoi_grid(regions: DataFrame, size: float, buffer: float = 1e-4) -> DataFrame
 def cut_cells(regions: DataFrame, size: float, keep: list[str]) -> DataFrame:
     """(keep, gx, gy, part, holes, area, ring, inner): the parts of each region in the cells of a grid of ``size``, as polygons. Cells inside a region are boxes; only those that a side touches
     are cut, by the sides at their height and to their right alone, which is all that decides what is inside there. A cell may hold several parts."""
-    cells = geo.squares(regions.withColumn("ring", overlay.oriented(F.col("ring"))), keep, size).select(*keep, F.col("sx").alias("gx"), F.col("sy").alias("gy"), "sides", "border")
+    cells = geo.squares(regions.withColumn("ring", overlay.oriented(F.col("ring"))), keep, size).select(*keep, F.col("sx").alias("gx"), F.col("sy").alias("gy"), F.when(F.col("border"), F.col("sides")).alias("sides"), "border")
     x0, y0, x1, y1 = F.col("gx") * size, F.col("gy") * size, (F.col("gx") + 1) * size, (F.col("gy") + 1) * size
     point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    cells = cells.withColumn("box", F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1)))
+    cells = written(cells, "cells").withColumn("box", F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1)))
     whole = cells.filter("not border").select(*keep, "gx", "gy", F.lit(1).alias("part"), F.lit(0).cast("long").alias("holes"), F.lit(size * size).alias("area"), F.col("box").alias("ring"), F.array().cast("array<array<struct<x:double,y:double>>>").alias("inner"))
     by = [*keep, "gx", "gy"]
     border = cells.filter("border")
