@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdure.fixtures import PERIODS, ctes, load
-from verdure.functions import calendar, exact, geo, indices, overlay
+from verdure.functions import calendar, exact, geo, indices, overlay, wkb
 from verdure.operators import carbon, climate, composite, incidents, publish, raster, scenes, series, tiles
 from verdure.session import work_folder
-from verdure.sources import geotiff
+from verdure.sources import geotiff, shapefile
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -714,6 +714,30 @@ def region_centroids(spark, sf_dir):
     return r6(rows, "cx", "cy", "first_x", "last_y")
 
 
+_OUTLINES = f"""WITH {ctes('regions')}, r AS (SELECT *, CASE WHEN notched THEN (x1 - x0) * 1.37e0 / 2 ELSE 0 END AS cut, CASE WHEN notched THEN 5 ELSE 4 END AS corners FROM regions) """
+
+
+@query(_OUTLINES + """SELECT code, name, type, CASE WHEN no_geom THEN NULL ELSE corners END AS corners, CASE WHEN no_geom THEN NULL ELSE round((x0 + x1) / 2, 6) END AS cx,
+    CASE WHEN no_geom THEN NULL ELSE round((x1 - x0) * (y1 - y0) - cut, 6) END AS area FROM r""")
+def shapefile_round_trip(spark, sf_dir):
+    """Regions written as shapefiles and read back, a region without ring among them."""
+    path = work_folder(spark, "shapes")
+    shapefile.write_shapefile(with_rings(spark, sf_dir), path, ["code", "name", "type"])
+    ring = F.col("ring")
+    rows = shapefile.read_shapefile(spark, path).withColumn("ring", shapefile.largest_ring(F.col("rings")))
+    return r6(rows.select(*(F.col("properties")[c].alias(c) for c in ("code", "name", "type")), F.when(ring.isNotNull(), F.size("ring")).alias("corners"), geo.centroid(ring)["x"].alias("cx"), (overlay._signed(ring) / 2).alias("area")), "cx", "area")
+
+
+@query(_OUTLINES + """SELECT code, CAST(13 + 16 * (corners + 1) AS INT) AS bytes, code NOT IN ('R1', 'R3', 'R5', 'R7', 'R9') AS little, corners, round(x0, 6) AS first_x, round(y1, 6) AS last_y, round((x1 - x0) * (y1 - y0) - cut, 6) AS area FROM r WHERE NOT no_geom""")
+def wkb_round_trip(spark, sf_dir):
+    """Rings as well-known binary, some of the other byte order, and back."""
+    little = ~F.col("code").isin("R1", "R3", "R5", "R7", "R9")
+    rows = with_rings(spark, sf_dir).filter("ring is not null").select("code", wkb.to_wkb(F.col("ring"), little).alias("w"))
+    rows = rows.select("code", F.length("w").alias("bytes"), (F.hex(F.substring("w", 1, 1)) == "01").alias("little"), F.get(F.get(wkb.from_wkb("w"), F.lit(0)), F.lit(0)).alias("ring"))
+    ring = F.col("ring")
+    return r6(rows.select("code", "bytes", "little", F.size(ring).alias("corners"), F.get(ring, F.lit(0))["x"].alias("first_x"), F.element_at(ring, -1)["y"].alias("last_y"), (overlay._signed(ring) / 2).alias("area")), "first_x", "last_y", "area")
+
+
 @query(f"WITH {ctes('points')} SELECT id, CAST(CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + floor((lon + 180) / 6) + 1 AS INT) AS epsg FROM points")
 def utm_zone(spark, sf_dir):
     return load(spark, sf_dir, "points").select("id", geo.utm_epsg(F.col("lon"), F.col("lat")).alias("epsg"))
