@@ -107,3 +107,19 @@ def cloud_free(pixels: DataFrame, bands: list[str]) -> DataFrame:
     clear = pixels.filter(~F.col("scl").isin(*indices.CLOUDY_COMPOSITE))
     chosen = covering_scenes(clear).select("chunk", "scene")
     return clear.join(chosen, ["chunk", "scene"]).groupBy("chunk", "pixel").agg(F.max(F.struct("scene", *bands)).alias("b")).select("chunk", "pixel", "b.*")
+
+
+def placed(layers: DataFrame, corners: DataFrame) -> DataFrame:
+    """(chunk, y, x, value): layers' own rows and columns counted from their chunk's corner (chunk, y0, x0) in the mosaic. Chunks without a corner are an error in the data and leave."""
+    return layers.join(corners, "chunk").select("chunk", (F.col("y") + F.col("y0")).cast("int").alias("y"), (F.col("x") + F.col("x0")).cast("int").alias("x"), "value")
+
+
+def density_product(scenes: DataFrame, forest: DataFrame, corners: DataFrame, width: int, state: str) -> DataFrame:
+    """(y, x, class): canopy density from scene pixels (chunk, scene, y, x, scl, bands) to the masked mosaic: the cloud-free composite of each chunk's covering scenes, density by the chunk's
+    extrema, chunks placed at their ``corners`` and the lowest chunk first where they overlap, classes by the state's thresholds, 0 where ``forest`` (y, x, forest) isn't 1. Chunks have
+    ``width`` columns."""
+    bands = ["red", "green", "blue", "nir", "swir"]
+    pixels = scenes.select("chunk", "scene", (F.col("y") * width + F.col("x")).cast("long").alias("pixel"), "scl", *bands)
+    clear = cloud_free(pixels, bands).select("chunk", F.floor(F.col("pixel") / width).alias("y"), (F.col("pixel") % width).alias("x"), *bands)
+    density = canopy_density(clear).withColumnRenamed("fcd", "value")
+    return masked(classify(ordered_mosaic(placed(density, corners)), state), forest)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verdure.functions import indices
+from verdure.operators import composite
+
 #: Fixed values of the forest rule: steps are ten days, and season bounds are places from the series' end (both ends included).
 GREEN, DIP, FLOOR = 0.25, 0.32, 0.123
 LEFT, CENTRE, RIGHT = (19, 11), (24, 20), (30, 25)
@@ -118,3 +121,18 @@ def rolling_long(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy("step").rowsBetween(-(width - 1), 0)
     full = F.count("*").over(w) == width
     return rows.select(*keys, "step", F.when(full, F.max("ndvi").over(w)).alias("high"), F.when(full, F.avg("ndvi").over(w)).alias("mean"))
+
+
+def forest_product(scenes: DataFrame, cover: DataFrame, corners: DataFrame, first_day: str, steps: int, every: int) -> DataFrame:
+    """(y, x, forest): the forest mask from scene pixels (chunk, y, x, day, seq, scl, red, nir) to the mosaic: scenes of a day as one, the index where they are clear, the scene nearest to each
+    step of ``every`` days from ``first_day`` on, gaps filled, green steps counted, land cover (chunk, y, x, lulc) taken into account, chunks placed at their ``corners`` (chunk, y0, x0).
+
+    A pixel's values are one row from the resampling on; pixels without land cover are judged by their series alone.
+    """
+    keys = ["chunk", "y", "x"]
+    days = composite.by_solar_day(scenes, keys, ["red", "nir", "scl"])
+    index = indices.masked_series(F.col("scl"), indices.ndvi_series(F.col("red"), F.col("nir")))
+    rows = nearest_in_time(days.select(*keys, F.date_diff("day", F.lit(first_day).cast("date")).alias("day"), index.alias("ndvi")), keys, steps, every)
+    green = green_stages(gather(rows, keys)).join(cover.select(*keys, "lulc"), keys, "left")
+    layer = forest_mask(green).select(*keys, F.col("forest").alias("value"))
+    return composite.ordered_mosaic(composite.placed(layer, corners)).withColumnRenamed("value", "forest")

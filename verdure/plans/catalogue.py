@@ -836,3 +836,33 @@ def season_mosaic_product(spark, sf_dir):
     warped = raster.resample(mosaic, DEGREES, raster.cells(spark, METRES), METRES, lambda x, y: geo.from_utm(x, y, 43), ("season",))
     outline = spark.createDataFrame([("outline", [{"x": x, "y": y} for x, y in OUTLINE])], "name string, ring array<struct<x:double,y:double>>")
     return r6(raster.clip(warped, outline, ["name"], METRES), "value").drop("name")
+
+
+#: The forest mask's steps in SQL on a series of scene pixels: (tile, y, x) as one number, 37 steps of 70 days.
+_FOREST_SERIES = f"""{ctes('pixels')}, sd AS (SELECT (tile * 20 + y) * 10 + x AS pixel, day, arg_min(red, seq) AS red, arg_min(nir, seq) AS nir, arg_min(scl, seq) AS scl FROM pixels GROUP BY 1, 2),
+    sn AS (SELECT pixel, date_diff('day', DATE '1992-01-01', day) AS day, CASE WHEN scl NOT IN (8, 9, 10) AND nir <> red THEN (nir - red) / (CAST(nir AS DOUBLE) + red + 1e-3) END AS ndvi FROM sd),
+    lc AS (SELECT (tile * 20 + y) * 10 + x AS pixel, CAST(arg_min(scl, (day, seq)) % 9 AS INT) AS lulc FROM pixels WHERE day >= DATE '1995-05-01' AND day < DATE '1996-05-01' GROUP BY 1),
+    near AS (SELECT pixel, CAST(g AS INT) AS step, ndvi FROM sn, (SELECT unnest(range(37)) AS g) QUALIFY row_number() OVER (PARTITION BY pixel, g ORDER BY abs(day - g * 70), day) = 1),
+    series AS (SELECT near.*, lulc FROM near LEFT JOIN lc USING (pixel))"""
+
+
+def _corners(spark, sf_dir):
+    return load(spark, sf_dir, "pixels").select(F.col("tile").alias("chunk")).distinct().select("chunk", (F.floor(F.col("chunk") / 10) * 15).alias("y0"), (F.col("chunk") % 10 * 8).alias("x0"))
+
+
+@query(FILLED.replace(ctes("series"), _FOREST_SERIES) + """, fm AS (SELECT pixel, CASE WHEN (CASE WHEN coalesce(lulc IN (5, 6, 7, 8, 1), FALSE) AND green_steps <= 35 THEN 0 ELSE green_steps END) >= 18 THEN 1 ELSE 0 END AS forest FROM green),
+    pl AS (SELECT pixel // 200 AS tile, pixel // 200 // 10 * 15 + pixel // 10 % 20 AS y, pixel // 200 % 10 * 8 + pixel % 10 AS x, forest FROM fm)
+    SELECT CAST(y AS INT) AS y, CAST(x AS INT) AS x, CAST(coalesce(arg_min(forest, tile) FILTER (forest <> 0), 0) AS INT) AS forest FROM pl GROUP BY 1, 2""")
+def forest_mask_product(spark, sf_dir):
+    """From scene pixels and land cover to the forest mask's mosaic."""
+    pixels = load(spark, sf_dir, "pixels").withColumnRenamed("tile", "chunk")
+    days = pixels.groupBy("chunk", "y", "x", "day").agg(F.min_by("scl", "seq").alias("value"))
+    cover = composite.annual_cover(days, 1995, ["chunk", "y", "x"]).select("chunk", "y", "x", (F.col("value") % 9).alias("lulc"))
+    return series.forest_product(pixels, cover, _corners(spark, sf_dir), "1992-01-01", 37, 70)
+
+
+@query()
+def canopy_density_product(spark, sf_dir):
+    """From scene pixels and the forest mask's product to classes of canopy density."""
+    scenes_ = load(spark, sf_dir, "pixels").withColumn("scene", F.col("seq") % 23).withColumnRenamed("tile", "chunk")
+    return composite.density_product(scenes_, forest_mask_product(spark, sf_dir), _corners(spark, sf_dir), 10, "RJ")
