@@ -95,3 +95,25 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     for n, batch in ((0, first), (1, second), (1, second)):
         run(batch, n)
     assert {r["form_id"]: (r["status"], r["request_id"]) for r in stream.current(spark, path).collect()} == {1: ("closed", 7.0), 2: ("b", 7.0)}
+
+
+def test_ordered_export_and_features_by_period(spark, tmp_path):
+    """Files in order of their names make one sorted list, and each period's folder has its features."""
+    rows = spark.range(500).selectExpr("id * 37 % 501 as k", "cast(id as string) as v").repartition(7)
+    sinks.write_ordered(rows, str(tmp_path / "o"), ["k"])
+    lines = [line for f in sorted((tmp_path / "o").glob("part-*")) for line in f.read_text().splitlines()[1:]]
+    assert [int(x.split(",")[0]) for x in lines] == sorted(i * 37 % 501 for i in range(500))
+    sinks.write_ordered(rows.limit(0), str(tmp_path / "e"), ["k"])
+    shapes = spark.createDataFrame([(2020, 1, "a", [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]), (2020, 2, None, None)], "year int, period int, name string, ring array<struct<x:double,y:double>>")
+    sinks.write_periods(shapes, str(tmp_path / "g"), "geojson")
+    first = json.loads(next((tmp_path / "g/year=2020/period=1").glob("part-*")).read_text())
+    assert first["properties"] == {"year": 2020, "period": 1, "name": "a"} and first["geometry"]["coordinates"][0][0] == first["geometry"]["coordinates"][0][-1]
+    assert json.loads(next((tmp_path / "g/year=2020/period=2").glob("part-*")).read_text())["geometry"] is None
+
+
+def test_statements_find_ids_themselves(spark):
+    from verdure.operators import publish
+
+    raw = spark.createDataFrame([("b", "l'1", 2.345), ("a", "l'1", 1.0), ("c", "l'1", None), ("a", "m", 0.005)], "code string, label string, value double")
+    got = {(r.label, r.block): r.statement for r in publish.lookup_statements(raw, "It's", block=1).collect()}
+    assert set(got) == {("l'1", 0), ("l'1", 1), ("m", 0)} and "('b', 'l''1', 2.35)" in got["l'1", 1] and "p.name = 'It''s'" in got["m", 0] and "0.01" in got["m", 0] and "r.type" not in got["m", 0]

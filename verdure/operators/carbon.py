@@ -111,3 +111,14 @@ def of_years(chart: DataFrame, years: list[int]) -> DataFrame:
     last = chart.agg(F.max("year").alias("last"))
     asked = last.select(F.explode(F.array(*map(F.lit, years))).alias("asked"), "last").select("asked", F.least("asked", "last").alias("year"))
     return chart.join(asked, "year").select("survival", "asked", "year", "label", "co2")
+
+
+def species_breakdown(delta: DataFrame) -> DataFrame:
+    """(species_index, name, year, label, co2, last_period_co2) in millions of kg: each species' own sum in every period, 0 where it has none; species are numbered from 0 in the order of their
+    first id. ``last_period_co2`` is the sum over all species in the last period, the figure of the current year. No name means anything here, ``Total`` neither."""
+    sums = delta.groupBy("name", "no").agg((exact.total(F.col("delta")) / 1e6).alias("own"))
+    names = delta.groupBy("name").agg(F.min("id").alias("first")).select("name", (F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("first")) - 1).alias("species_index"))  # a row for each species
+    periods_ = delta.groupBy("no", "label").agg((exact.total(F.col("delta")) / 1e6).alias("all"))
+    last = periods_.agg(F.max_by("all", "no").alias("last_period_co2"), F.collect_list(F.struct("no", "label")).alias("periods"))  # one row, as many entries as periods
+    grid = names.join(F.broadcast(last)).select("species_index", "name", "last_period_co2", F.inline("periods"))
+    return grid.join(sums, ["name", "no"], "left").select("species_index", "name", F.col("no").alias("year"), "label", F.coalesce("own", F.lit(0.0)).alias("co2"), "last_period_co2")

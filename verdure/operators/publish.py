@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdure.functions import exact
@@ -63,3 +63,19 @@ def soft_delete(stored: DataFrame, gone: DataFrame, key: str, when: str) -> Data
 def insert_statements(published: DataFrame, table: str) -> DataFrame:
     """One SQL INSERT a row, for stores that take scripts."""
     return published.select(F.format_string(f"INSERT INTO {table} (data_product_snapshot_id, region_id, value) VALUES (%d, %d, '%s');", "snapshot_id", "region_id", F.replace("value", F.lit("'"), F.lit("''"))).alias("statement"))
+
+
+def lookup_statements(raw: DataFrame, product: str, region_type: str | None = None, block: int = 1000) -> DataFrame:
+    """(label, block, statement): scripts for a store that finds the ids itself: rows (code, label, value) by code among live regions, of a type if one is named, and by label among the live
+    snapshots of a live product. One INSERT for each label and ``block`` rows of it, rows by code; values have two places, and rows without a value are left out."""
+    text = lambda c: F.concat(F.lit("'"), F.replace(c, F.lit("'"), F.lit("''")), F.lit("'"))
+    quoted = lambda v: "'" + v.replace("'", "''") + "'"
+    at = F.row_number().over(Window.partitionBy("label").orderBy("code", "value")) - 1
+    rows = raw.filter("value is not null and code is not null and label is not null").withColumn("block", F.floor(at / block).cast("int"))
+    value = exact.half_up(F.col("value"), 2).cast("decimal(18,2)").cast("string")
+    row = F.concat(F.lit("("), text(F.col("code")), F.lit(", "), text(F.col("label")), F.lit(", "), value, F.lit(")"))
+    lines = rows.groupBy("label", "block").agg(F.array_sort(F.collect_list(F.struct("code", row.alias("row")))).alias("rows"))
+    kind = f" AND r.type = {quoted(region_type)}" if region_type else ""
+    head = "INSERT INTO data_product_snapshots_data (data_product_snapshot_id, region_id, value, created_at, updated_at) SELECT s.id, r.id, to_jsonb(v.value), now(), now() FROM (VALUES "
+    tail = f") AS v (code, label, value) JOIN regions AS r ON r.code = v.code AND r.deleted_at IS NULL{kind} JOIN data_product_snapshots AS s ON s.label = v.label AND s.deleted_at IS NULL JOIN data_products AS p ON p.id = s.data_product_id AND p.deleted_at IS NULL AND p.name = {quoted(product)};"
+    return lines.select("label", "block", F.concat(F.lit(head), F.array_join(F.transform("rows", lambda r: r["row"]), ", "), F.lit(tail)).alias("statement"))

@@ -193,6 +193,16 @@ def publish_join(spark, sf_dir):
     return _published(spark, sf_dir, publish.publish).withColumn("value", F.get_json_object("value", "$.value").cast("double"))
 
 
+_HEAD = "INSERT INTO data_product_snapshots_data (data_product_snapshot_id, region_id, value, created_at, updated_at) SELECT s.id, r.id, to_jsonb(v.value), now(), now() FROM (VALUES "
+_TAIL = ") AS v (code, label, value) JOIN regions AS r ON r.code = v.code AND r.deleted_at IS NULL AND r.type = 'range' JOIN data_product_snapshots AS s ON s.label = v.label AND s.deleted_at IS NULL JOIN data_products AS p ON p.id = s.data_product_id AND p.deleted_at IS NULL AND p.name = 'Soil moisture';"
+
+
+@query(PUBLISH + f""", b AS (SELECT *, chr(39) AS q, CAST((row_number() OVER (PARTITION BY label ORDER BY code) - 1) // 10 AS INT) AS block FROM raw_values WHERE value IS NOT NULL)
+    SELECT label, block, $${_HEAD}$$ || string_agg('(' || q || code || q || ', ' || q || label || q || ', ' || CAST(CAST(round(value, 2) AS DECIMAL(18,2)) AS VARCHAR) || ')', ', ' ORDER BY code) || $${_TAIL}$$ AS statement FROM b GROUP BY 1, 2""")
+def publish_statements(spark, sf_dir):
+    return publish.lookup_statements(load(spark, sf_dir, "raw_values"), "Soil moisture", "range", 10)
+
+
 @query(PUBLISH + """SELECT code, label, round(value, 6) AS value, CASE WHEN code NOT IN (SELECT code FROM region_codes) THEN 'no region' ELSE 'no snapshot' END AS reason FROM raw_values
     WHERE code NOT IN (SELECT code FROM region_codes) OR label NOT IN (SELECT label FROM live)""")
 def publish_rejects(spark, sf_dir):
@@ -353,6 +363,12 @@ def carbon_cumulative(spark, sf_dir):
     return r6(carbon.cumulative(_deltas(spark, sf_dir)), "annual", "running")
 
 
+@query(_carbon_sql("60") + f"""SELECT CAST(i AS INT) AS species_index, name, CAST(no AS INT) AS year, label, round(coalesce(own, 0) / 1e6, 6) AS co2, round(last / 1e6, 6) AS last_period_co2
+    FROM (SELECT * FROM (SELECT name, row_number() OVER (ORDER BY min(id)) - 1 AS i FROM d GROUP BY 1), (SELECT DISTINCT no, label FROM d), (SELECT {SUMMED} AS last FROM d WHERE no = (SELECT max(no) FROM d))) LEFT JOIN (SELECT name, no, {SUMMED} AS own FROM d GROUP BY 1, 2) USING (name, no)""")
+def carbon_species_breakdown(spark, sf_dir):
+    return r6(carbon.species_breakdown(_deltas(spark, sf_dir)), "co2", "last_period_co2")
+
+
 NAMES = ["Brand#11", "Brand#12", "Brand#21"]
 
 

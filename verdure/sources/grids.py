@@ -71,10 +71,11 @@ def _ring(geometry: Column) -> Column:
 
 
 def dated_files(spark: SparkSession, path: str, pattern: str, date_format: str = "yyyyMMdd", since: str | None = None) -> DataFrame:
-    """(path, date, length) of files whose name holds a date, from ``since`` on; contents aren't read."""
+    """(path, date, length) of files whose name holds a date, from ``since`` on, by date and path; contents aren't read."""
     files = spark.read.format("binaryFile").load(path).select("path", F.to_date(F.nullif(F.regexp_extract("path", pattern, 1), F.lit("")), date_format).alias("date"), "length")
     files = files.filter("date is not null")
-    return files if since is None else files.filter(F.col("date") >= F.to_date(F.lit(since)))
+    files = files if since is None else files.filter(F.col("date") >= F.to_date(F.lit(since)))
+    return files.orderBy("date", "path")
 
 
 def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
