@@ -198,8 +198,9 @@ _TAIL = ") AS v (code, label, value) JOIN regions AS r ON r.code = v.code AND r.
 
 
 @query(PUBLISH + f""", b AS (SELECT *, chr(39) AS q, CAST((row_number() OVER (PARTITION BY label ORDER BY code) - 1) // 10 AS INT) AS block FROM raw_values WHERE value IS NOT NULL)
-    SELECT label, block, $${_HEAD}$$ || string_agg('(' || q || code || q || ', ' || q || label || q || ', ' || CAST(CAST(round(value, 2) AS DECIMAL(18,2)) AS VARCHAR) || ')', ', ' ORDER BY code) || $${_TAIL}$$ AS statement FROM b GROUP BY 1, 2""")
+    SELECT label, block, $${_HEAD}$$ || string_agg('(' || q || code || q || ', ' || q || label || q || ', ' || CAST(CAST(round(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,11)), 2) AS DECIMAL(18,2)) AS VARCHAR) || ')', ', ' ORDER BY code) || $${_TAIL}$$ AS statement FROM b GROUP BY 1, 2""")
 def publish_statements(spark, sf_dir):
+    """Values are rounded as the decimals that they are written as: 327106.975 is a half, though its double lies a little under it."""
     return publish.lookup_statements(load(spark, sf_dir, "raw_values"), "Soil moisture", "range", 10)
 
 
