@@ -182,6 +182,68 @@ def tile_key(lon: Column, lat: Column, zoom: int) -> list[Column]:
     return [clamp(tx).alias("tx"), clamp(ty).alias("ty")]
 
 
+def curve_place(x: Column, y: Column, level: Column) -> Column:
+    """The place of cell (x, y) of a grid of 2^level by 2^level along the Hilbert curve: places next to each other are cells next to each other, and a cell's four children follow one another."""
+    long = lambda c: c.cast("long")
+    full = long(F.pow(F.lit(2.0), level)) - 1
+
+    def step(at: Column, half: Column) -> Column:
+        right, low = at["x"].bitwiseAND(half) > 0, at["y"].bitwiseAND(half) > 0
+        quarter = F.when(right, F.when(low, 2).otherwise(3)).otherwise(F.when(low, 1).otherwise(0))
+        flip = lambda c: F.when(right, full - c).otherwise(c)
+        turned = lambda own, other: long(F.when(low, own).otherwise(flip(other)))
+        return F.struct(turned(at["x"], at["y"]).alias("x"), turned(at["y"], at["x"]).alias("y"), long(at["d"] + half * half * quarter).alias("d"))
+
+    halves = F.when(level > 0, F.transform(F.sequence(level - 1, F.lit(0)), lambda n: long(F.pow(F.lit(2.0), n)))).otherwise(F.array().cast("array<bigint>"))
+    start = F.struct(long(x).alias("x"), long(y).alias("y"), F.lit(0).cast("long").alias("d"))
+    return F.aggregate(halves, start, step, lambda at: at["d"])
+
+
+def tile_id(z: Column, tx: Column, ty: Column) -> Column:
+    """A web tile's number over all zooms: those of lower zooms first, those of a zoom along the curve."""
+    return ((F.pow(F.lit(4.0), z).cast("long") - 1) / 3).cast("long") + curve_place(tx, ty, z.cast("int"))
+
+
+def place_of(x: int, y: int, level: int) -> int:
+    """``curve_place`` of one cell."""
+    d = 0
+    for n in range(level - 1, -1, -1):
+        right, low = x >> n & 1, y >> n & 1
+        d = d << 2 | (3 * right ^ low)
+        if not low:
+            full = (1 << level) - 1
+            x, y = (full - y, full - x) if right else (y, x)
+    return d
+
+
+def cell_at(place: int, level: int) -> tuple[int, int]:
+    """The cell (x, y) at a place of the curve."""
+    x = y = 0
+    for n in range(level):
+        right = place >> 1 & 1
+        low = (place ^ right) & 1
+        if not low:
+            side = (1 << n) - 1
+            x, y = (side - y, side - x) if right else (y, x)
+        x, y, place = x | right << n, y | low << n, place >> 2
+    return x, y
+
+
+def rings_meet(a: Column, b: Column) -> Column:
+    """Whether the areas of two rings have a point in common, borders included: two sides cross or touch, or one ring lies in the other. Null where a ring is."""
+    turn = lambda p, q, x, y: (q["x"] - p["x"]) * (y - p["y"]) - (q["y"] - p["y"]) * (x - p["x"])
+
+    def cross(e: Column, f: Column) -> Column:
+        spans = lambda c: (F.greatest(e[f"a{c}"], e[f"b{c}"]) >= F.least(f[f"a{c}"], f[f"b{c}"])) & (F.greatest(f[f"a{c}"], f[f"b{c}"]) >= F.least(e[f"a{c}"], e[f"b{c}"]))
+        ends = lambda s: ({"x": s["ax"], "y": s["ay"]}, {"x": s["bx"], "y": s["by"]})
+        apart = lambda s, o: F.signum(turn(*ends(s), o["ax"], o["ay"])) * F.signum(turn(*ends(s), o["bx"], o["by"])) <= 0
+        return spans("x") & spans("y") & apart(e, f) & apart(f, e)
+
+    touch = F.exists(edges(a), lambda e: F.exists(edges(b), lambda f: cross(e, f)))
+    first = lambda r: (F.get(r, F.lit(0))["x"], F.get(r, F.lit(0))["y"])
+    return touch | in_ring(*first(a), b) | in_ring(*first(b), a)
+
+
 def to_wkt(ring: Column) -> Column:
     """POLYGON text of a ring, closed."""
     point = lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))

@@ -54,3 +54,20 @@ def web_tiles(points: DataFrame, zooms: tuple[int, ...]) -> DataFrame:
         one = points.select(F.lit(z).alias("z"), *geo.tile_key(F.col("lon"), F.col("lat"), z), "value")
         rows = one if rows is None else rows.unionByName(one)
     return rows.groupBy("z", "tx", "ty").agg(F.count("*").alias("n"), F.max("value").alias("value"))
+
+
+def pyramid(points: DataFrame, zoom: int, bits: int = 8) -> DataFrame:
+    """(z, tx, ty, tile_id, y, x, n, value): the pixels of every web tile from ``zoom`` down to 0, tiles being 2^bits pixels wide: how many points a pixel has and their highest value.
+
+    Points are placed once; each overview is made from the four children of its pixels, so a level reads what the one below it left, a quarter of it or less where points are dense. Levels are
+    written as they are made. Points without coordinates or value are left out; latitudes beyond the map are at its edge.
+    """
+    px, py = (c.alias(n) for c, n in zip(geo.tile_key(F.col("lon"), F.col("lat"), zoom + bits), ("px", "py")))
+    level = points.filter("lon is not null and lat is not null and value is not null").select(px, py, "value").groupBy("px", "py").agg(F.count("*").alias("n"), F.max("value").alias("value"))
+    rows = None
+    for z in range(zoom, -1, -1):
+        level = written(level, f"zoom_{z}")
+        one = level.select(F.lit(z).alias("z"), F.shiftright("px", bits).alias("tx"), F.shiftright("py", bits).alias("ty"), F.col("py").bitwiseAND((1 << bits) - 1).alias("y"), F.col("px").bitwiseAND((1 << bits) - 1).alias("x"), "n", "value")
+        rows = one if rows is None else rows.unionByName(one)
+        level = level.groupBy(F.shiftright("px", 1).alias("px"), F.shiftright("py", 1).alias("py")).agg(F.sum("n").alias("n"), F.max("value").alias("value"))
+    return rows.select("z", "tx", "ty", geo.tile_id(F.col("z"), F.col("tx"), F.col("ty")).alias("tile_id"), "y", "x", "n", "value")

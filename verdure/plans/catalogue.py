@@ -11,7 +11,7 @@ from verdure.fixtures import PERIODS, ctes, load
 from verdure.functions import calendar, exact, geo, indices, overlay, wkb
 from verdure.operators import carbon, climate, composite, incidents, publish, raster, scenes, series, tiles
 from verdure.session import work_folder
-from verdure.sources import geotiff, shapefile
+from verdure.sources import geotiff, shapefile, tilearchive
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -779,6 +779,32 @@ def web_tile_keys(spark, sf_dir):
     return tiles.web_tiles(load(spark, sf_dir, "points"), (0, 3, 8))
 
 
+#: Pixels of web tiles of 256 in SQL, zooms 0 to 6: a tile's pixels are tiles eight zooms on. The curve is walked by a recursive query from a tile's highest bit down.
+_PIXELS = f"""placed AS (SELECT {_TX.replace('z)', '14)')} AS px, {_TY.replace('z)', '14)')} AS py, value FROM points),
+    pixels AS (SELECT CAST(k AS INT) AS z, px >> (6 - k) AS gx, py >> (6 - k) AS gy, count(*) AS n, max(value) AS value FROM placed, (SELECT unnest(range(7)) AS k) GROUP BY 1, 2, 3),
+    pyramid AS (SELECT z, CAST(gx >> 8 AS INT) AS tx, CAST(gy >> 8 AS INT) AS ty, CAST(gy & 255 AS INT) AS y, CAST(gx & 255 AS INT) AS x, n, value FROM pixels),
+    walk AS (SELECT DISTINCT z, tx, ty, CAST(tx AS BIGINT) AS ax, CAST(ty AS BIGINT) AS ay, z - 1 AS bit, CAST(0 AS BIGINT) AS d FROM pyramid UNION ALL
+        SELECT z, tx, ty, CASE WHEN (ay >> bit) & 1 = 1 THEN ax WHEN (ax >> bit) & 1 = 1 THEN (1 << z) - 1 - ay ELSE ay END, CASE WHEN (ay >> bit) & 1 = 1 THEN ay WHEN (ax >> bit) & 1 = 1 THEN (1 << z) - 1 - ax ELSE ax END,
+            bit - 1, d * 4 + xor(3 * ((ax >> bit) & 1), (ay >> bit) & 1) FROM walk WHERE bit >= 0),
+    ids AS (SELECT z, tx, ty, CAST((power(4, z) - 1) / 3 AS BIGINT) + d AS tile_id FROM walk WHERE bit < 0)"""
+
+
+@query(f"WITH RECURSIVE {ctes('points')}, {_PIXELS} SELECT z, tx, ty, tile_id, y, x, n, CAST(value AS INT) AS value FROM pyramid JOIN ids USING (z, tx, ty)")
+def tile_pyramid(spark, sf_dir):
+    """Pixels of all web tiles of zooms 0 to 6, overviews from their children, numbered along the curve."""
+    return tiles.pyramid(load(spark, sf_dir, "points"), 6).withColumn("n", F.col("n").cast("long"))
+
+
+@query(f"""WITH RECURSIVE {ctes('points')}, {_PIXELS}, s AS (SELECT * FROM (VALUES {_STOPS}) AS t(lo, hi, ra, rb, ga, gb, ba, bb))
+    SELECT z, tx, ty, tile_id, y, x, {_LERP('r')} AS red, {_LERP('g')} AS green, {_LERP('b')} AS blue, CASE WHEN value = 0 THEN 0 ELSE 255 END AS alpha FROM pyramid JOIN ids USING (z, tx, ty)
+    JOIN s ON (value > lo AND value <= hi) OR (value = 0 AND lo = 0)""")
+def tile_archive_round_trip(spark, sf_dir):
+    """The pyramid coloured, written as archives of tile images and read back from them."""
+    path = work_folder(spark, "tiles")
+    tilearchive.write_tiles(tiles.colour(tiles.pyramid(load(spark, sf_dir, "points"), 6)), path)
+    return tilearchive.tile_pixels(tilearchive.read_tiles(spark, path))
+
+
 @query(f"WITH {ctes('layers')} SELECT chunk, y, x, CAST(value AS DOUBLE) AS value FROM layers")
 def geotiff_round_trip(spark, sf_dir):
     """Layers written as GeoTIFF files, a file for each chunk, and read back by blocks."""
