@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from verdure.fixtures import PERIODS, ctes, load
 from verdure.functions import calendar, exact, geo, indices, overlay, wkb
 from verdure.operators import carbon, climate, composite, incidents, publish, raster, scenes, series, tiles
 from verdure.session import work_folder
-from verdure.sources import geotiff, shapefile, tilearchive
+from verdure.sources import catalog, geotiff, shapefile, tilearchive
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -779,6 +780,34 @@ def web_tile_keys(spark, sf_dir):
     return tiles.web_tiles(load(spark, sf_dir, "points"), (0, 3, 8))
 
 
+#: The outline of a catalog search, and its footprints: leaning parallelograms around places of their tiles.
+SOUGHT = [(72.13, 13.21), (76.77, 12.59), (77.41, 16.83), (74.29, 15.07)]
+_SOUGHT = ", ".join(f"({i}, {x}e0, {y}e0, {SOUGHT[(i + 1) % 4][0]}e0, {SOUGHT[(i + 1) % 4][1]}e0)" for i, (x, y) in enumerate(SOUGHT))
+_TURN = lambda a, b, p: f"sign((({b}x) - ({a}x)) * (({p}y) - ({a}y)) - (({b}y) - ({a}y)) * (({p}x) - ({a}x)))"
+
+
+@query(f"""WITH {ctes('items')}, f AS (SELECT seq, id, day, cloud, degraded, 70e0 + seq % 10 * 1.1e0 + fx0 AS x, 9e0 + seq // 7 % 8 * 1.3e0 + fy0 AS y, fx1 - fx0 + 0.3e0 AS w, fy1 - fy0 + 0.2e0 AS h FROM items
+        WHERE day BETWEEN DATE '1994-03-05' AND DATE '1996-11-20' AND cloud < 40 AND degraded < 5),
+    v AS (SELECT seq, unnest([0, 1, 2, 3]) AS i, unnest([x, x + w, x + w + 0.25e0, x + 0.25e0]) AS vx, unnest([y, y + 0.1e0, y + h + 0.1e0, y + h]) AS vy FROM f),
+    s AS (SELECT seq, i, vx AS ax, vy AS ay, coalesce(lead(vx) OVER w, first_value(vx) OVER w) AS ex, coalesce(lead(vy) OVER w, first_value(vy) OVER w) AS ey FROM v WINDOW w AS (PARTITION BY seq ORDER BY i)),
+    q AS (SELECT * FROM (VALUES {_SOUGHT}) AS t(j, cx, cy, dx, dy)),
+    hit AS (SELECT DISTINCT seq FROM s, q WHERE {_TURN('a', 'e', 'c')} * {_TURN('a', 'e', 'd')} <= 0 AND {_TURN('c', 'd', 'a')} * {_TURN('c', 'd', 'e')} <= 0
+            AND greatest(ax, ex) >= least(cx, dx) AND greatest(cx, dx) >= least(ax, ex) AND greatest(ay, ey) >= least(cy, dy) AND greatest(cy, dy) >= least(ay, ey)
+        UNION SELECT seq FROM s, q WHERE i = 0 GROUP BY seq HAVING {INSIDE.format(x='ax', y='ay').replace('ya', 'cy').replace('yb', 'dy').replace('xb', 'dx').replace('xa', 'cx')}
+        UNION SELECT seq FROM s GROUP BY seq HAVING {INSIDE.format(x=f'{SOUGHT[0][0]}e0', y=f'{SOUGHT[0][1]}e0').replace('ya', 'ay').replace('yb', 'ey').replace('xb', 'ex').replace('xa', 'ax')})
+    SELECT seq, id, day, cloud, degraded FROM f JOIN hit USING (seq)""")
+def catalog_search(spark, sf_dir):
+    """Scenes stored by place and time, searched by an outline, days, cloud and degraded share."""
+    place = lambda n, m: F.col("seq") % n if m == 1 else F.floor(F.col("seq") / m) % n
+    at = load(spark, sf_dir, "items").select("seq", "id", "day", "cloud", "degraded", (70.0 + place(10, 1) * 1.1 + F.col("fx0")).alias("x"), (9.0 + place(8, 7) * 1.3 + F.col("fy0")).alias("y"), (F.col("fx1") - F.col("fx0") + 0.3).alias("w"), (F.col("fy1") - F.col("fy0") + 0.2).alias("h"))
+    x, y, w, h = (F.col(c) for c in "xywh")
+    corner = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    ring = F.array(corner(x, y), corner(x + w, y + 0.1), corner(x + w + 0.25, y + h + 0.1), corner(x + 0.25, y + h))
+    path = work_folder(spark, "catalog")
+    catalog.write_catalog(at.select("seq", "id", "day", "cloud", "degraded", ring.alias("ring")), path)
+    return catalog.search(spark, path, SOUGHT, (date(1994, 3, 5), date(1996, 11, 20)), {"cloud": (None, 40.0), "degraded": (None, 5.0)}).drop("ring")
+
+
 #: Pixels of web tiles of 256 in SQL, zooms 0 to 6: a tile's pixels are tiles eight zooms on. The curve is walked by a recursive query from a tile's highest bit down.
 _PIXELS = f"""placed AS (SELECT {_TX.replace('z)', '14)')} AS px, {_TY.replace('z)', '14)')} AS py, value FROM points),
     pixels AS (SELECT CAST(k AS INT) AS z, px >> (6 - k) AS gx, py >> (6 - k) AS gy, count(*) AS n, max(value) AS value FROM placed, (SELECT unnest(range(7)) AS k) GROUP BY 1, 2, 3),
