@@ -1,4 +1,5 @@
 import json
+from datetime import date
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -67,6 +68,29 @@ def test_stream_of_incidents(spark, tmp_path):
     assert got == {"rescue_1": "new", "rescue_2": "closed", "rescue_4": "new"}
 
 
+def test_runs_of_a_stream_are_merged_in_tiers(spark, tmp_path):
+    assert stream.outer([(0, 0), (0, 3), (1, 1), (4, 4)]) == [(0, 3), (4, 4)]
+    names = "form_id long, region_id int, reporting_date date, " + ", ".join(f"{n} string" for n in incidents.NAMES)
+    row = lambda i, day, status: (i, 1, date(2024, 1, day), "1.5", "70.5", None, "Mammal", "Deer", status, "V", None, "05-Jan-24")
+    path = str(tmp_path / "runs")
+    put = stream.upsert_batch(path, fan=2)
+    batches = [[row(1, 9, "new"), row(2, 2, "new")], [row(1, 4, "late")], [row(2, 5, "closed"), row(3, 1, "new")], [row(2, 5, "again"), row(4, 1, "new")], [row(3, 3, "moved")], []]
+    want, seen = {}, []
+    for n, rows in enumerate(batches):
+        for _ in range(2):  # a batch may run again
+            put(spark.createDataFrame(rows, names), n)
+        for r in rows:
+            key = f"rescue_{r[0]}"
+            if key not in want or want[key][0] <= r[2]:
+                want[key] = (r[2], r[8])
+        got = {r.incident_id: (r.reporting_date, r.status) for r in stream.current(spark, path).collect()}
+        assert got == want, n  # an older submission that comes late doesn't replace a newer one
+        seen.append(stream.outer(stream.runs(spark, path)))
+    assert seen == [[(0, 0)], [(0, 1)], [(0, 1), (2, 2)], [(0, 3)], [(0, 3), (4, 4)], [(0, 3), (4, 5)]]
+    assert (0, 0) not in stream.runs(spark, path)  # void runs go with a later merge
+    assert stream.current(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_csv_names_and_digests(spark, tmp_path):
     import hashlib
 

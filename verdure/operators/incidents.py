@@ -26,9 +26,9 @@ def form_attributes(forms: DataFrame, values: DataFrame, template: str, region_i
     return rows.groupBy("form_id", "region_id", "reporting_date").agg(*(F.max_by(F.when(F.col("name") == n, F.struct("value")), F.when(F.col("name") == n, F.col("seq")))["value"].alias(n) for n in NAMES))
 
 
-def extract(attributes: DataFrame) -> DataFrame:
+def extract(attributes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Incidents: forms with numeric coordinates other than 0 and NaN, a category, a species and a valid date. Category, species and status are lower case; the description has them as
-    they were written, and the request's number if it has one."""
+    they were written, and the request's number if it has one. ``keep``: further columns of the forms, as they are."""
     text = lambda c: F.nullif(F.btrim(F.coalesce(c, F.lit("")), F.lit(" \t\n\x0b\x0c\r")), F.lit(""))
     number = lambda c: F.col(c).try_cast("double")
     request = F.nanvl(F.coalesce(number("request_id"), F.lit(0.0)), F.lit(0.0))
@@ -38,7 +38,7 @@ def extract(attributes: DataFrame) -> DataFrame:
         F.format_string("rescue_%d", "form_id").alias("incident_id"), "form_id", "region_id", number("latitude").alias("latitude"), number("longitude").alias("longitude"),
         F.when(request > 0, request).alias("request_id"), F.lower(text("animal_category")).alias("category"), F.lower(text("animal_species")).alias("species"),
         F.coalesce(F.lower(text("process_status")), F.lit("unknown")).alias("status"), text("village_town").alias("village"), text("beat_naka").alias("beat_naka"),
-        rescue_date(F.col("date_of_reporting")).alias("rescue_date"), written.alias("description"),
+        rescue_date(F.col("date_of_reporting")).alias("rescue_date"), written.alias("description"), *keep,
     )
     placed = "latitude <> 0 and longitude <> 0 and not isnan(latitude) and not isnan(longitude)"
     rows = rows.filter(f"{placed} and category is not null and species is not null and rescue_date is not null")

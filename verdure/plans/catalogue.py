@@ -13,6 +13,7 @@ from verdure.functions import calendar, exact, geo, indices, overlay, wkb
 from verdure.operators import carbon, climate, composite, incidents, publish, raster, scenes, series, tiles
 from verdure.session import work_folder
 from verdure.sources import catalog, geotiff, shapefile, tilearchive
+from verdure.streaming import incidents as stream
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -252,6 +253,18 @@ def incident_extract(spark, sf_dir):
     return _incidents(spark, sf_dir)
 
 
+@query(INCIDENTS + """SELECT incidents.* REPLACE (CASE WHEN form_id % 2 = 0 THEN 'moved' ELSE status END AS status), CAST(reporting_date + CASE WHEN form_id % 2 = 0 THEN 1 ELSE 0 END AS DATE) AS reporting_date
+    FROM incidents JOIN (SELECT form_id, reporting_date FROM forms) USING (form_id)""")
+def incident_stream(spark, sf_dir):
+    """Forms as a stream of files, a batch each, with later and earlier submissions of the same forms in any order; runs are merged in twos."""
+    rows = incidents.form_attributes(load(spark, sf_dir, "forms"), load(spark, sf_dir, "form_values"), "animal-rescue", None, "2024-01-03", "2024-01-25")
+    again = lambda n, days, status: rows.filter(F.col("form_id") % n == 0).withColumns({"reporting_date": F.date_add("reporting_date", days), "process_status": F.lit(status)})
+    forms, path, checkpoint = (work_folder(spark, n) for n in ("forms", "incidents", "progress"))
+    rows.unionByName(again(2, 1, "Moved")).unionByName(again(3, -2, "Found")).repartition(5).write.parquet(forms)
+    stream.start(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(forms), path, checkpoint, fan=2).awaitTermination()
+    return stream.current(spark, path)
+
+
 @query(INCIDENTS + """SELECT incident_id, region_id, CASE WHEN form_id % 3 = 0 THEN 'closed' ELSE status END AS status FROM incidents WHERE form_id % 2 = 0 OR form_id % 3 = 0""")
 def incident_upsert(spark, sf_dir):
     rows = _incidents(spark, sf_dir)
