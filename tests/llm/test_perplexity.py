@@ -62,6 +62,18 @@ def test_verdicts(spark):
     assert 0.5 * len(rows) < len(kept) < len(rows)
 
 
+def test_quartiles_of_all_documents(spark):
+    rng = random.Random(4)
+    rows = [(lang, round(rng.gauss(m, 0.7), 9)) for lang, m, n in (("en", 3.0, 25_000), ("de", 5.0, 7), ("fr", 2.0, 1)) for _ in range(n)] + [("it", 4.25)] * 1000 + [("it", None), ("pt", None)]
+    want = {}
+    for lang in ("en", "de", "fr", "it"):
+        v = sorted(x for k, x in rows if k == lang and x is not None)
+        want[lang] = tuple(math.floor(v[-(-q * len(v) // 4) - 1] * P.STEPS + 0.5) / P.STEPS for q in (1, 3))
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "verdure_band string, verdure_logppl double").repartition(parts)
+        assert {r[0]: (r[1], r[2]) for r in P.quartiles(df).collect()} == want
+
+
 def test_unseen_grams_back_off(spark):
     rows = [(i, t, "en", "s", "g") for i, t in enumerate(["the cat sat on the mat", "the dog sat on the rug", "a cat and a dog"])]
     model = P.load(P.kneser_ney(P.count_grams(spark.createDataFrame(rows, DOCS))))["en"]

@@ -9,7 +9,7 @@ most. What a block gets back is its sorted hash array: keys are 64-bit hashes (a
 array, never the model. All numbers are doubles, and logarithms of perplexities are rounded to nine places.
 
 A document's perplexity is judged against its language's bands, ``width`` quartile ranges below the lower and above the upper quartile of the logarithm over all documents of the
-language that pass the base rules. Three ranges are the usual fence for far-out values. A short text's mean varies more, so its bands are wider, by sqrt(1 + short / units). Base rules: a document fails with fewer than ten words, or if over a fifth of its words are in five-word windows found twice or more in it.
+language that pass the base rules. Quartiles are made of all documents, by counts, so a verdict doesn't depend on partitions. Three ranges are the usual fence for far-out values. A short text's mean varies more, so its bands are wider, by sqrt(1 + short / units). Base rules: a document fails with fewer than ten words, or if over a fifth of its words are in five-word windows found twice or more in it.
 
 Cases: a null text has no words and fails; a null language is a language of its own; rows of one doc_id are each judged on their own; an empty table gives an empty result; other
 columns are ignored, or kept by ``filter_documents``, whatever their names. A very long text is a block of its own.
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bucketed, long_id, numbered_columns, only, small, stored
@@ -34,6 +34,7 @@ BOS, EOS, ORDER = 2, 3, 4
 SYMBOLS = "#*$%&|<>"
 BLANK = " \t\n\x0b\x0c\r"
 SLICE = 500_000
+STEPS = 4096
 BLOCK_UNITS = 4_000_000
 
 
@@ -298,13 +299,22 @@ def score_documents(docs: DataFrame, keep: list[str], block_units: int = BLOCK_U
     return rows.toDF(*keep, *rows.columns[len(keep) :])
 
 
+def quartiles(rows: DataFrame) -> DataFrame:
+    """(verdure_band, q1, q3): the lower and upper quartile of verdure_logppl in each language, to the nearest of ``STEPS`` steps in one: counts of steps are added up in order, so the result is the
+    same however rows are dealt. A language has as many rows as the logarithms have steps, some hundred thousand at most, not as many as it has documents."""
+    counts = rows.filter("verdure_logppl is not null").groupBy("verdure_band", F.round(F.col("verdure_logppl") * STEPS).cast("long").alias("step")).agg(F.count("*").alias("n"))
+    own = Window.partitionBy("verdure_band")
+    ranks = counts.withColumns({"upto": F.sum("n").over(own.orderBy("step")), "whole": F.sum("n").over(own)})
+    at = lambda quarter: F.min(F.when(4 * F.col("upto") >= quarter * F.col("whole"), F.col("step"))) / STEPS
+    return ranks.groupBy("verdure_band").agg(at(1).alias("q1"), at(3).alias("q3"))
+
+
 def with_verdict(scored: DataFrame, width: float = 3.0, least: float = 0.01, short: float = 500.0) -> DataFrame:
     """verdure_low, verdure_high and verdure_kept. A quartile range under ``least`` counts as ``least``, so that few or equal documents don't make bands of no width."""
     lang = lang_key(F.col("verdure_l"))
-    q = F.percentile_approx("verdure_logppl", F.array(F.lit(0.25), F.lit(0.75)), F.lit(10_000))
-    bands = scored.filter(~F.col("verdure_base_failed")).groupBy(lang.alias("verdure_band")).agg(q.alias("q"))
-    reach = F.lit(width) * F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(least))
-    bands = bands.select("verdure_band", F.col("q")[0].alias("verdure_q1"), F.col("q")[1].alias("verdure_q3"), reach.alias("verdure_reach"))
+    bands = quartiles(scored.filter(~F.col("verdure_base_failed")).select(lang.alias("verdure_band"), "verdure_logppl"))
+    reach = F.lit(width) * F.greatest(F.col("q3") - F.col("q1"), F.lit(least))
+    bands = bands.select("verdure_band", F.col("q1").alias("verdure_q1"), F.col("q3").alias("verdure_q3"), reach.alias("verdure_reach"))
     bands = stored(bands, "bands")  # a row for each language; with its size known, rows with texts aren't shuffled by language
     more = F.col("verdure_reach") * F.sqrt(1 + F.lit(short) / (F.col("verdure_word_chars") + F.col("verdure_n_words") + 1))
     rows = scored.join(bands, lang == bands["verdure_band"], "left").withColumns({"verdure_low": F.col("verdure_q1") - more, "verdure_high": F.col("verdure_q3") + more})
