@@ -89,11 +89,12 @@ def forest_mask(rows: DataFrame) -> DataFrame:
 
 
 def nearest_in_time(scenes: DataFrame, keys: list[str], steps: int, every: int) -> DataFrame:
-    """(keys, step, ndvi): of each step of a regular grid the scene nearest in days, the earlier of two as near. A pixel's scenes are one array."""
+    """(keys, step, ndvi): of each step of a regular grid the scene nearest in days, the earlier of two as near. A pixel's scenes are one array,
+    which is looked through for each step where it is; only what is found becomes rows."""
     own = scenes.groupBy(*keys).agg(F.collect_list(F.struct("day", "ndvi")).alias("scenes"))
-    grid = own.select(*keys, "scenes", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("step"))
-    near = F.array_min(F.transform("scenes", lambda s: F.struct(F.abs(s["day"] - F.col("step") * every).alias("away"), s["day"].alias("day"), s["ndvi"].alias("ndvi"))))
-    return grid.select(*keys, "step", near["ndvi"].alias("ndvi"))
+    near = lambda step: F.array_min(F.transform("scenes", lambda s: F.struct(F.abs(s["day"] - step * every).alias("away"), s["day"].alias("day"), s["ndvi"].alias("ndvi"))))
+    found = own.select(*keys, F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), near)).alias("step", "near"))
+    return found.select(*keys, "step", F.col("near.ndvi").alias("ndvi"))
 
 
 def fill_gaps(rows: DataFrame) -> DataFrame:

@@ -13,12 +13,17 @@ RAMP = [(0, 255, 255, 229), (25, 217, 240, 163), (50, 120, 198, 121), (75, 35, 1
 
 
 def aoi_grid(regions: DataFrame, size: float, buffer: float = 1e-4) -> DataFrame:
-    """(code, i, j, share): cells of each region's box of ``size`` degrees, widened by ``buffer``, that touch the region, and the share of the cell inside it."""
-    r = regions.filter("ring is not null").select("code", "ring", *geo.box(F.col("ring")))
-    count = lambda a, b: F.ceil((F.col(b) - F.col(a)) / size).cast("int")
-    cells = r.withColumn("i", F.explode(F.sequence(F.lit(0), count("bx0", "bx1") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0), count("by0", "by1") - 1)))
+    """(code, i, j, share): cells of each region's box of ``size`` degrees, widened by ``buffer``, that touch the region, and the share of the cell inside it. Only cells that a side touches are
+    clipped; of the others their centre says whether they are inside."""
+    r = regions.filter("ring is not null").select("code", "ring", geo.edges(F.col("ring")).alias("all"), *geo.box(F.col("ring")))
+    count = lambda a, b: F.explode(F.sequence(F.lit(0), F.ceil((F.col(b) - F.col(a)) / size).cast("int") - 1))
     edge = lambda a, n, d: F.col(a) + (F.col(n) + d) * size + (buffer if d else -buffer)
-    return cells.withColumn("share", geo.box_coverage("ring", edge("bx0", "i", 0), edge("by0", "j", 0), edge("bx0", "i", 1), edge("by0", "j", 1))).filter("share > 0").select("code", "i", "j", "share")
+    x0, x1, y0, y1, far = edge("bx0", "i", 0), edge("bx0", "i", 1), edge("by0", "j", 0), edge("by0", "j", 1), F.lit(float("inf"))
+    rows = r.withColumn("j", count("by0", "by1")).withColumn("row", F.filter("all", lambda e: geo._meets(e, -far, y0, far, y1))).drop("all")
+    cells = rows.withColumn("i", count("bx0", "bx1")).withColumn("border", F.exists("row", lambda e: geo._meets(e, x0, y0, x1, y1)))
+    cells = cells.filter(F.col("border") | geo.odd_crossings((x0 + x1) / 2, (y0 + y1) / 2, F.col("row"))).drop("row")
+    clipped = geo.box_coverage(F.when(F.col("border"), F.col("ring")), x0, y0, x1, y1)
+    return cells.withColumn("share", F.when(F.col("border"), clipped).otherwise(1.0)).filter("share > 0").select("code", "i", "j", "share")
 
 
 def cut_cells(regions: DataFrame, size: float, keep: list[str]) -> DataFrame:
