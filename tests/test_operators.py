@@ -101,6 +101,15 @@ def test_insert_statements_quote(spark):
 SPECIES = "id int, name string, increment string, wood_density string, bef string, carbon_fraction string, co2_factor string, root_shoot string, num_trees int, harvest_cycle int, retention double, plant_month int, plant_year int"
 
 
+def test_carbon_periods_are_neither_sorted_nor_shuffled(spark):
+    rows = [(1, "a", "1", "0.5", "0.2", "0.5", "3.67", "0.3", 10, None, None, 1 + i, 2020 + i) for i in range(3)]
+    d = carbon.deltas(spark.createDataFrame(rows, SPECIES), volume="0.001 * D * D")
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(id" not in plan and "Sort [id" not in plan
+    got = d.toPandas()  # three plantings under one id: each has its own run
+    assert len(got[got.no == 31]) == 3 and (got.delta >= 0).all() and got[got.no == 31].months.tolist().count(360) == 1
+
+
 def test_carbon_periods_and_harvest(spark):
     rows = [(1, "a", "1.2 cm", "0.6", "0.4", "0.5", None, "0.2", 10, 7, 20.0, 6, 2020), (2, "b", "1", "0.5", "0.3", "0.47", "3.5", "0.25", 5, None, None, 12, 2021), (3, "c", "1", "1", "1", "1", "1", "1", 1, None, None, None, None)]
     sp = spark.createDataFrame(rows, SPECIES)
