@@ -39,6 +39,20 @@ def test_search_equals_a_full_scan(spark, items, tmp_path, level, block, asked):
     assert sizes[0] > 0 and sizes[2] > sizes[0]  # repeated items are there as often as stored
 
 
+def test_an_item_is_stored_once_whatever_its_size(spark, tmp_path):
+    box = lambda x, y, w, h: [{"x": x, "y": y}, {"x": x + w, "y": y}, {"x": x + w, "y": y + h}, {"x": x, "y": y + h}]
+    shapes = [box(0.0, 0.0, 0.1, 0.1), box(-180.0, -90.0, 360.0, 180.0), box(-40.0, -20.0, 50.0, 25.0), box(9.5, 5.0, 360 / 512, 180 / 512), box(-200.0, -95.0, 400.0, 190.0), box(190.0, 3.0, 5.0, 5.0), box(170.0, 3.0, 30.0, 5.0)]
+    rows = spark.createDataFrame([(i, date(2020, 5, 5), 1.0, s) for i, s in enumerate(shapes)], SCHEMA)
+    path = str(tmp_path / "catalog")
+    catalog.write_catalog(rows, path)
+    assert spark.read.parquet(path).count() == len(shapes)
+    days = (date(2020, 1, 1), date(2020, 12, 31))
+    found = lambda outline: sorted(r.id for r in catalog.search(spark, path, outline, days).collect())
+    assert found([(10.0, 5.0), (10.1, 5.0), (10.1, 5.2)]) == [1, 2, 3, 4]
+    assert found([(-0.05, -0.05), (0.0, -0.05), (0.0, 0.0)]) == [0, 1, 2, 4]  # a corner that only touches
+    assert found([(191.0, 4.0), (192.0, 4.0), (192.0, 5.0)]) == [4, 5, 6]  # beyond the earth's box
+
+
 def test_folders_and_row_groups_are_pruned(spark, items, tmp_path):
     path = str(tmp_path / "catalog")
     catalog.write_catalog(items, path)

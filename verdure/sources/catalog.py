@@ -1,8 +1,9 @@
 """A catalog of scenes as files that are pruned by place and time, searched by geometry, time and property ranges.
 
-Writing: an item has a row for each cell of a grid over the earth that its footprint's box touches, in files by year and block (a cell of a coarse grid), in the order of the cells along the Hilbert
-curve, then of days. A search turns its outline into a few ranges of the curve. Blocks and years prune folders, ranges and days prune row groups of files, and property ranges reach the scan as well.
-An item's row counts in the first of its cells that was searched, which every row can tell by itself, so nothing is shuffled; footprints are then held against the outline exactly.
+Writing: an item is one row, whatever its size. Its class is the finest grid over the earth on which its footprint's box is no larger than a cell, and its place the cell of the box's lower left
+corner. Files are by year and block (class and a cell of a coarse grid), in the order of the cells along the Hilbert curve, then of days. In each class a search turns its outline, widened down and
+left by a cell of the class, into a few ranges of the curve: no other corner can have a box that meets the outline. Blocks and years prune folders, ranges and days prune row groups of files, and
+property ranges reach the scan as well. Nothing is shuffled; footprints are then held against the outline exactly.
 
 Items without a footprint or day can't be found and aren't stored; a footprint beyond the earth's box belongs to the cells at its edge. Equal items are all kept. Property columns are kept as they are;
 names that clash with those added here (``verdure_*``) are an error.
@@ -19,7 +20,7 @@ from verdure.functions import geo
 
 #: Levels of the grids: 2^9 by 2^9 cells of 0.7 by 0.35 degrees, 2^4 by 2^4 blocks.
 LEVEL, BLOCK = 9, 4
-#: A search asks for at most this many cells, of a coarser grid if need be.
+#: A search asks for at most this many cells of a class, of a coarser grid if need be.
 ASKED = 64
 
 
@@ -35,31 +36,38 @@ def write_catalog(items: DataFrame, path: str, ring: str = "ring", day: str = "d
         raise ValueError(f"columns {taken} clash with those of the catalog")
     own = items.columns
     rows = items.filter(F.col(f"`{ring}`").isNotNull() & F.col(f"`{day}`").isNotNull()).select(*(F.col(f"`{c}`") for c in own), *(c.alias(f"verdure_{n}") for n, c in zip(("x0", "y0", "x1", "y1"), geo.box(F.col(f"`{ring}`")))))
-    (x0, y0), (x1, y1) = _column_row(F.col("verdure_x0"), F.col("verdure_y0"), level), _column_row(F.col("verdure_x1"), F.col("verdure_y1"), level)
-    cells = F.flatten(F.transform(F.sequence(x0, x1), lambda x: F.transform(F.sequence(y0, y1), lambda y: geo.curve_place(x, y, F.lit(level)))))
-    rows = rows.withColumn("verdure_cells", F.array_sort(cells)).withColumn("verdure_cell", F.explode("verdure_cells"))
+    x, y = _column_row(F.col("verdure_x0"), F.col("verdure_y0"), level)
+    # held into the earth's box, as corners are; what is larger than a finer grid's cell belongs to a coarser class
+    held = lambda c, most: F.least(F.lit(most), F.greatest(F.lit(-most), F.col(c)))
+    wide, high = held("verdure_x1", 180.0) - held("verdure_x0", 180.0), held("verdure_y1", 90.0) - held("verdure_y0", 90.0)
+    size = sum((F.when((wide <= 360.0 / (1 << n)) & (high <= 180.0 / (1 << n)), 1).otherwise(0) for n in range(1, level + 1)), F.lit(0))
+    rows = rows.withColumn("verdure_cell", size.cast("long") * F.lit(1 << 2 * level) + geo.curve_place(x, y, F.lit(level)))
     rows = rows.withColumns({"verdure_year": F.year(F.col(f"`{day}`")), "verdure_block": F.shiftright("verdure_cell", 2 * (level - block))})
     by = ["verdure_year", "verdure_block", "verdure_cell"]
     rows.repartitionByRange(*by).sortWithinPartitions(*by, F.col(f"`{day}`")).write.mode("overwrite").partitionBy(*by[:2]).parquet(path)
 
 
 def ranges_of(outline: list[tuple[float, float]], level: int = LEVEL, asked: int = ASKED) -> list[tuple[int, int]]:
-    """Ranges of cells, first and last place of each on the curve, that the outline's box touches; at most ``asked`` cells of the finest grid on which they are so few."""
-    xs, ys = [p[0] for p in outline], [p[1] for p in outline]
-    for own in range(level, -1, -1):
-        side = 1 << own
-        at = lambda v, low, width: min(side - 1, max(0, int((v - low) / width * side // 1)))  # noqa: E731, B023
-        a, b, c, d = at(min(xs), -180, 360), at(max(xs), -180, 360), at(min(ys), -90, 180), at(max(ys), -90, 180)
-        if (b - a + 1) * (d - c + 1) <= asked or own == 0:
-            break
-    finer = 2 * (level - own)
+    """Ranges of places, first and last of each, whose items' boxes may touch the outline's box. A class has at most ``asked`` cells: of its own grid, or of the finest coarser one on which they
+    are so few."""
+    xs, ys = [min(180.0, max(-180.0, p[0])) for p in outline], [min(90.0, max(-90.0, p[1])) for p in outline]
     out: list[tuple[int, int]] = []
-    for p in sorted(geo.place_of(x, y, own) for x in range(a, b + 1) for y in range(c, d + 1)):
-        first, last = p << finer, (p + 1 << finer) - 1
-        if out and out[-1][1] + 1 == first:
-            out[-1] = (out[-1][0], last)
-        else:
-            out.append((first, last))
+    for size in range(level + 1):
+        # a billionth of a degree for the last bits of a box's sides
+        low, left = min(ys) - 180 / (1 << size) - 1e-9, min(xs) - 360 / (1 << size) - 1e-9
+        for own in range(min(level, size + 1), -1, -1):
+            side = 1 << own
+            at = lambda v, low, width: min(side - 1, max(0, int((v - low) / width * side // 1)))  # noqa: E731, B023
+            a, b, c, d = at(left, -180, 360), at(max(xs), -180, 360), at(low, -90, 180), at(max(ys), -90, 180)
+            if (b - a + 1) * (d - c + 1) <= asked or own == 0:
+                break
+        finer, base = 2 * (level - own), size << 2 * level
+        for p in sorted(geo.place_of(x, y, own) for x in range(a, b + 1) for y in range(c, d + 1)):
+            first, last = base + (p << finer), base + (p + 1 << finer) - 1
+            if out and out[-1][1] + 1 == first:
+                out[-1] = (out[-1][0], last)
+            else:
+                out.append((first, last))
     return out
 
 
@@ -78,7 +86,6 @@ def search(spark: SparkSession, path: str, outline: list[tuple[float, float]], d
         rows = rows if below is None else rows.filter(F.col(f"`{c}`") < below)
     xs, ys = [p[0] for p in outline], [p[1] for p in outline]
     rows = rows.filter((F.col("verdure_x0") <= max(xs)) & (F.col("verdure_x1") >= min(xs)) & (F.col("verdure_y0") <= max(ys)) & (F.col("verdure_y1") >= min(ys)))
-    rows = rows.filter(F.get(F.filter("verdure_cells", inside), F.lit(0)) == F.col("verdure_cell"))
     shape = F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in outline))
     return rows.filter(geo.rings_meet(F.col(f"`{ring}`"), shape)).select(*(F.col(f"`{c}`") for c in own))
 
