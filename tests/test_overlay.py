@@ -141,3 +141,25 @@ def test_selection_against_plain_loops(spark):
     assert sorted((r.tile, r.seq, r.place, round(r.coverage, 6)) for r in got.collect()) == sorted(want)
     summary = scenes.selection_summary(got).collect()
     assert sum(r.scenes for r in summary) == len(want) and sum(r.tiles for r in summary) == 9 and sum(r.several for r in summary) == len({w[0] for w in want if w[2]})
+
+
+def test_footprint_coverage_settles_simple_rings_in_their_rows(spark):
+    ring = lambda *p: [{"x": x, "y": y} for x, y in p]
+    notched = ring((0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (1.0, 0.5), (0.0, 2.0))
+    simple = [(1, "t", ring((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0))), (2, "t", ring((3.0, 3.0), (4.0, 3.0), (4.0, 4.0))), (3, "t", ring((-1.0, 0.7), (3.0, 0.9), (3.0, 1.4), (-1.0, 1.2))), (4, "t", list(reversed(notched))), (5, "t", None), (6, "none", notched), (7, "none", None)]
+    crossed = [(8, "t", ring((0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 1.0)))]
+    schema = "seq int, tile string, ring array<struct<x:double,y:double>>"
+    tiles = spark.createDataFrame([("t", notched), ("none", None)], schema.split(", ", 1)[1])
+
+    def by_overlay(items):
+        rows = overlay.sides(items, ["seq"], "a").unionByName(overlay.sides(items.select("seq", "tile").join(tiles, "tile"), ["seq"], "b"))
+        return {r.seq: r.area / 2.5 for r in overlay.area(overlay.overlay(rows, ["seq"], "intersection", 1.0), ["seq"]).collect()}
+
+    items = spark.createDataFrame(simple, schema)
+    got = scenes.footprint_coverage(items, tiles, ["seq"], 1.0)
+    assert got._jdf.queryExecution().executedPlan().toString().count("sides") == 0 and "hashpartitioning(seq" not in got._jdf.queryExecution().executedPlan().toString()
+    every = {r.seq: r.coverage for r in scenes.footprint_coverage(spark.createDataFrame(simple + crossed, schema), tiles, ["seq"], 1.0).collect()}
+    want = by_overlay(spark.createDataFrame(simple + crossed, schema))
+    assert every[6] is None and every[7] is None and every[5] == 0 == every[2]
+    assert all(abs(every[i] - want.get(i, 0.0)) < 1e-9 for i in (1, 2, 3, 4, 5, 8)) and every[4] == pytest.approx(1.0)
+    assert {r.seq: r.coverage for r in got.collect()} == {k: v for k, v in every.items() if k != 8}

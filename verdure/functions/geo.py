@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -244,6 +245,47 @@ def rings_meet(a: Column, b: Column) -> Column:
     return touch | in_ring(*first(a), b) | in_ring(*first(b), a)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once for each row, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def shared_area(a: Column, b: Column) -> Column:
+    """The area that two simple counterclockwise rings have in common. A ring's area is what lies below its sides, down to a common level, those that go left added and those that go right taken
+    off; so the common area is the sum over pairs of sides, one of each ring, of what lies below both. Null where a ring is."""
+
+    def slopes(ring: Column, x: Column, y: Column) -> Column:
+        n = F.size(ring)
+
+        def side(p: Column, i: Column) -> Column:
+            q = F.get(ring, (i + 1) % n)
+            left = p["x"] > q["x"]
+            end = lambda u, v: (F.when(left, v["x"]).otherwise(u["x"]) - x, F.when(left, v["y"]).otherwise(u["y"]) - y)
+            (x0, y0), (x1, y1) = end(p, q), end(q, p)
+            return F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), ((y1 - y0) / F.nullif(x1 - x0, F.lit(0.0))).alias("k"), F.when(left, 1.0).otherwise(-1.0).alias("s"))
+
+        return F.filter(F.transform(ring, side), lambda e: e["k"].isNotNull())
+
+    def below(e: Column, f: Column) -> Column:
+        lo, hi = F.greatest(e["x0"], f["x0"]), F.least(e["x1"], f["x1"])
+        on = lambda s, v: s["y0"] + s["k"] * (v - s["x0"])
+        u, v = on(e, lo) - on(f, lo), on(e, hi) - on(f, hi)  # the lower of the two, in one piece or two
+        one = (F.least(on(e, lo), on(f, lo)) + F.least(on(e, hi), on(f, hi))) / 2 * (hi - lo)
+        m = lo + (hi - lo) * u / F.nullif(u - v, F.lit(0.0))
+        two = (F.least(on(e, lo), on(f, lo)) + on(e, m)) / 2 * (m - lo) + (on(e, m) + F.least(on(e, hi), on(f, hi))) / 2 * (hi - m)
+        return F.when(lo < hi, e["s"] * f["s"] * F.when(F.signum(u) * F.signum(v) < 0, two).otherwise(one)).otherwise(F.lit(0.0))
+
+    def common(r: Column) -> Column:
+        own = lambda c: slopes(r[c], r["b"][0]["x"], r["y"])
+        total = lambda v: F.aggregate(v["a"], F.lit(0.0), lambda s, e: s + F.aggregate(v["b"], F.lit(0.0), lambda t, f: t + below(e, f)))
+        return bound(F.struct(own("a").alias("a"), own("b").alias("b")), total)
+
+    # relative to b's first point and the lowest one, so that large coordinates lose nothing
+    lowest = lambda r: F.struct(r["a"].alias("a"), r["b"].alias("b"), F.array_min(F.transform(F.concat(r["a"], r["b"]), lambda p: p["y"])).alias("y"))
+    area = bound(F.struct(a.alias("a"), b.alias("b")), lambda r: bound(lowest(r), common))
+    return F.when(a.isNotNull() & b.isNotNull(), F.greatest(F.lit(0.0), area))
+
+
 def to_wkt(ring: Column) -> Column:
     """POLYGON text of a ring, closed."""
     point = lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))

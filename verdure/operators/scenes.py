@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdure.functions import geo, overlay
+from verdure.session import written
 
 #: Cloud limits in the order they are tried; the coverage that is accepted, that is good, and that another scene has to add.
 LADDER = (20, 40, 60, 80, 100)
@@ -135,15 +136,44 @@ def uncovered(items: DataFrame, grid: int = 50, buffer: float = 0.01, least: int
     return rows.filter(F.col("points") >= least).select("tile", "points", (F.col("points") / float(grid * grid)).alias("share"))
 
 
-def footprint_coverage(items: DataFrame, tiles: DataFrame, keys: list[str], size: float, scale: float = 1e9) -> DataFrame:
+def footprint_coverage(items: DataFrame, tiles: DataFrame, keys: list[str], size: float, scale: float = 1e9, most: int = 32) -> DataFrame:
     """``items`` (keys, tile, ring) with ``coverage``: the share of their tile's ring (tile, ring) that the footprint covers, whatever the shapes of both; 0 where they don't meet. Keys and tile
-    name an item. A footprint or tile without a ring covers nothing or has null."""
+    name an item. A footprint or tile without a ring covers nothing or has null.
+
+    Where both rings are simple (no two sides meet but neighbours at their corner) and have ``most`` sides or fewer, an item is settled in its row (``geo.shared_area``), and only the tiles are
+    joined. The others go through ``overlay``, whose rows are shuffled by item.
+    """
+    whole = F.abs(overlay._signed(F.col("ring"))) / 2
+    known = written(tiles.select("tile", F.col("ring").alias("_tile"), F.when(F.size("ring") > 2, whole).alias("_whole"), _plain("ring", most, scale).alias("_plain")), "tiles")
+    rows = items.join(known, "tile", "left")
+    plain = F.coalesce(F.col("_plain") & _plain("ring", most, scale), F.col("ring").isNull() | F.col("_tile").isNull())
+    share = lambda area: (F.coalesce(area, F.lit(0.0)) / F.nullif("_whole", F.lit(0.0))).alias("coverage")
+    snapped = lambda c: F.transform(geo.bound(F.col(c), lambda r: overlay.oriented(r)), lambda p: F.struct(*((F.rint(p[d] * scale) / scale).alias(d) for d in "xy")))
+    other = rows.filter(~plain)
+    if other.isEmpty():
+        return rows.select(*items.columns, share(geo.shared_area(snapped("ring"), snapped("_tile"))))
     by = [*keys, "tile"]
-    tile_rings = items.select(*by).join(tiles.select("tile", "ring"), "tile").select(*by, "ring")
-    met = overlay.area(overlay.overlay(overlay.sides(items, by, "a", scale=scale).unionByName(overlay.sides(tile_rings, by, "b", scale=scale)), by, "intersection", size, scale), by)
-    whole = tiles.select("tile", (F.abs(overlay._signed(F.col("ring"))) / 2).alias("whole"))
-    rows = items.join(met, by, "left").join(whole, "tile", "left")
-    return rows.select(*items.columns, (F.coalesce("area", F.lit(0.0)) / F.nullif("whole", F.lit(0.0))).alias("coverage"))
+    sides = lambda ring, layer: overlay.sides(other, by, layer, ring, scale=scale)
+    met = overlay.area(overlay.overlay(sides("ring", "a").unionByName(sides("_tile", "b")), by, "intersection", size, scale), by)
+    here = rows.filter(plain).select(*items.columns, share(geo.shared_area(snapped("ring"), snapped("_tile"))))
+    return here.unionByName(other.join(met, by, "left").select(*items.columns, share(F.col("area"))))
+
+
+def _plain(ring: str, most: int, scale: float) -> Column:
+    """Whether a ring has from 3 to ``most`` sides and is simple: no side meets another, neighbours at their corner apart, nor runs back along its neighbour. Null for no ring."""
+    r, n = F.transform(ring, lambda p: F.struct(*((F.rint(p[d] * scale) / scale).alias(d) for d in "xy"))), F.size(ring)
+    turn = lambda p, q, o: (q["x"] - p["x"]) * (o["y"] - p["y"]) - (q["y"] - p["y"]) * (o["x"] - p["x"])
+    spans = lambda p, q, u, v, d: (F.greatest(p[d], q[d]) >= F.least(u[d], v[d])) & (F.greatest(u[d], v[d]) >= F.least(p[d], q[d]))
+    apart = lambda p, q, u, v: F.signum(turn(p, q, u)) * F.signum(turn(p, q, v)) > 0
+    clear = lambda p, q, u, v: ~spans(p, q, u, v, "x") | ~spans(p, q, u, v, "y") | apart(p, q, u, v) | apart(u, v, p, q)
+    bent = lambda p, q, u: (turn(p, q, u) != 0) | ((q["x"] - p["x"]) * (u["x"] - q["x"]) + (q["y"] - p["y"]) * (u["y"] - q["y"]) > 0)
+
+    def every(r: Column) -> Column:
+        at = lambda i: F.get(r, i % n)
+        places = F.sequence(F.lit(0), n - 1)
+        return F.forall(places, lambda i: bent(at(i), at(i + 1), at(i + 2)) & F.forall(places, lambda j: (j <= i + 1) | ((i == 0) & (j == n - 1)) | clear(at(i), at(i + 1), at(j), at(j + 1))))
+
+    return F.when(F.col(ring).isNull(), F.lit(None)).when((n > 2) & (n <= most), geo.bound(r, every)).otherwise(F.lit(False))
 
 
 def uncovered_parts(tiles: DataFrame, footprints: DataFrame, buffer: float = 1000.0, least: float = 1000.0, size: float = 10_000.0) -> DataFrame:
