@@ -146,3 +146,18 @@ def test_only_pairs_of_the_set_similarity_are_linked(spark):
             want[g * 10 + n] = g * 10 + (n if n == 2 else 0)
     got = {r["doc_id"]: r["component_id"] for r in S.similar_documents(spark.createDataFrame(rows, DOCS)).collect()}
     assert all(got[i] == i for i in want if i % 10 == 2) and sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
+
+
+def test_a_group_of_near_copies_is_not_looked_up_in_itself(spark, monkeypatch):
+    """What goes to the pivots is what meets a crowded key from outside its component; a group's own look-ups, some 18 for each member, stay out, and all are linked still."""
+    rnd = random.Random(8)
+    base = [rnd.getrandbits(64) for _ in range(2)]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    rows = [(i, signed(base[0] ^ 1 << rnd.randrange(64)), signed(base[1] ^ 1 << rnd.randrange(64))) for i in range(300)]
+    rows.append((999, signed(base[0] ^ 0x0001_FFFF_FFFF_0000), signed(base[1])))  # far: looks some of the same keys up
+    seen, links = [], S.crowded_links
+    monkeypatch.setattr(S, "crowded_links", lambda members, *a: [seen.append(members.count()), links(members, *a)][1])
+    df = spark.createDataFrame(rows, "c long, f0 long, f1 long")
+    roots = {r["a"]: r["root"] for r in S.components(S.near_links(df, 2, 16, 12)).collect()}
+    assert {roots.get(i, i) for i in range(300)} == {0} and roots.get(999, 999) == 999
+    assert sum(seen) <= len(rows)

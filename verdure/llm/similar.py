@@ -10,9 +10,12 @@ in some segment with a probability of ``meet`` at least, whatever the number of
 
 Candidates' components are then settled exactly (``alike``): documents are linked where the Jaccard similarity of their sets of shingles is ``similarity`` or more, and only such links count.
 
-Keys that more than ``bucket`` fingerprints share, and keys that these look up, are crowded: their members are linked to a pivot of the key, one link each, and only what a pivot can't
-settle is compared in blocks, each pair of blocks giving a spanning forest of its links (see ``crowded_links``). No pairs of a group are written out and no group has to fit one task.
-Any other key is shared by at most ``bucket`` fingerprints and looked up by at most b + 1 times as many.
+Keys that more than ``bucket`` fingerprints hold: their holders are linked to the key's least one, where near enough, and what these links connect is a component from then on. Of a pair within
+a component nothing is left to settle, so a large group of near copies, which shares most of its keys, isn't looked up in itself: its rows are the keys that its members hold, one for each
+segment, not all that they look up. In such a key the holders outside its main component, if ``bucket`` or fewer, are looked up like those of any other key; whoever looks it up and isn't of the
+main component is held against the holders that are, or, where over (b + 1) times ``bucket`` do so, meets them in ``crowded_links``. Keys with more holders outside take all who look them up there.
+In crowded_links members are linked to a pivot of the key, one link each, and only what a pivot can't settle is compared in blocks, each pair of blocks giving a spanning forest of its links. No pairs of a group are written out and no group has to fit one task. After that components are taken anew; the other look-ups meet at most ``bucket`` fingerprints each, and pairs
+within a component aren't made.
 
 Cases: as in ``simhash``.
 """
@@ -128,6 +131,14 @@ def _away(names: list[str], others: list[str]) -> Column:
     return sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(names, others)), F.lit(0))
 
 
+def star_links(members: DataFrame, names: list[str], most: int) -> DataFrame:
+    """Links (a, b) of the members of (key, c, f0, f1, ...) with the least one of their key, where that is near enough: one for each member at most."""
+    pivot = members.groupBy("key").agg(F.min(F.struct("c", *names)).alias("pivot"))
+    far = _away(names, [f"pivot.{n}" for n in names])
+    linked = members.join(pivot, "key").filter((F.col("c") != F.col("pivot.c")) & (far <= most))
+    return linked.select(F.col("c").alias("a"), F.col("pivot.c").alias("b")).distinct()
+
+
 def crowded_links(members: DataFrame, names: list[str], most: int, rounds: int = 3) -> DataFrame:
     """Links (a, b) that connect what is near enough in each key of (key, c, f0, f1, ...), however many hold the key.
 
@@ -176,30 +187,63 @@ def near_links(fps: DataFrame, words: int, b: int, most: int, bucket: int = 8, s
     in ``rough`` bits of the first word or fewer (default: its share of ``most`` and four standard deviations)."""
     each, mask = 64 // b, (1 << b) - 1
     keys = [F.shiftrightunsigned(f"f{w}", s * b).bitwiseAND(F.lit(mask)).bitwiseOR(F.lit((w * each + s) << 32)) for w in range(words) for s in range(each)][:segments]
-    table = fps.select("c", "f0", F.explode(F.array(*keys)).alias("key"))
+    names = [f"f{w}" for w in range(words)]
     looked_up = F.array_distinct(F.array("key", *(F.col("key").bitwiseOR(F.lit(1 << i)) for i in range(b))))
-    probes = table.select(F.col("c").alias("p"), F.col("f0").alias("g"), F.explode(looked_up).alias("key"))
-    held = table.groupBy("key").agg(F.count("*").alias("n"))
-    # of the keys that holders of a large one look up, those that nobody holds make no pairs
-    crowded = stored(held.filter(F.col("n") > bucket).select(F.explode(looked_up).alias("key")).distinct().join(held.select("key"), "key"), "crowded")
+    held = fps.select(F.explode(F.array(*keys)).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    held = stored(held, "held")
+    large = held.filter(F.col("n") > bucket)
+    early = None
+    if not large.isEmpty():
+        holders = fps.select("c", *names, F.explode(F.array(*keys)).alias("key")).join(large.select("key"), "key")
+        holders = stored(holders.select("key", "c", *names), "holders")
+        early = stored(star_links(holders, names, most), "early")
+        fps = stored(fps.join(components(early).withColumnRenamed("a", "c"), "c", "left"), "with-roots")
+        part = F.coalesce("root", "c")
+        parts = holders.select("key", "c").join(fps.select("c", part.alias("part")), "c").groupBy("key", "part").agg(F.count("*").alias("m"))
+        main = parts.groupBy("key").agg(F.max(F.struct("m", "part")).alias("most"), F.sum("m").alias("n"))
+        main = stored(main.select("key", F.col("most.part").alias("main"), (F.col("n") - F.col("most.m")).alias("others")), "main")
+        # with more holders outside the main component a key counts as having none
+        crowded = stored(main.select("key", F.when(F.col("others") <= bucket, F.col("main")).alias("main")), "crowded")
+    else:
+        fps = fps.withColumn("root", F.lit(None).cast("long"))
+
+    def looking(root: str) -> DataFrame:
+        own = fps.select("c", "f0", root, F.explode(F.array(*keys)).alias("key"))
+        return own.select(F.col("c").alias("p"), F.col("f0").alias("g"), F.col(root).alias("r"), F.explode(looked_up).alias("key"))
+
+    few, probes = fps.select("c", "f0", "root", F.explode(F.array(*keys)).alias("key")), looking("root")
+    if early is not None:
+        # whoever looks up a crowded key and isn't in its main component meets the holders that are
+        foreign = probes.join(crowded, (probes["key"] == crowded["key"]) & F.coalesce(F.coalesce("r", "p") != F.col("main"), F.lit(True)))
+        foreign = stored(foreign.select(probes["key"], F.col("p").alias("c"), "main").distinct(), "foreign")
+        # such look-ups of a key are mostly few, by chance, and are held against each of the holders; only where they are more, all go to the key's pivots
+        mixed, guests = foreign.filter("main IS NULL").select("key", "c"), foreign.filter("main IS NOT NULL")
+        visited = stored(guests.groupBy("key", "main").agg((F.count("*") > (b + 1) * bucket).alias("busy")), "visited")
+        mine = holders.join(fps.select("c", F.coalesce("root", "c").alias("main")), "c").join(visited, ["key", "main"]).select("key", "c", *names, "busy")
+        mine = stored(mine, "visited-holders")
+        guests = guests.join(visited, ["key", "main"]).select("key", "c", "busy").unionByName(mixed.withColumn("busy", F.lit(True)))
+        guests = stored(guests.join(fps.select("c", *names), "c").select("key", "c", *names, "busy"), "guests")
+        once = guests.filter("NOT busy").select("key", F.col("c").alias("a"), *(F.col(n).alias(f"x{n}") for n in names))
+        near = once.join(mine.filter("NOT busy"), "key").filter(_away([f"x{n}" for n in names], names) <= most).select("a", F.col("c").alias("b")).distinct()
+        inside = guests.filter("busy").unionByName(mine.filter("busy")).select("key", "c", *names)
+        early = stored(early.unionByName(near).unionByName(crowded_links(stored(inside, "inside"), names, most)), "crowded-links")
+        late = components(early).select(F.col("a").alias("c"), F.col("root").alias("late"))
+        fps = stored(fps.join(late, "c", "left"), "with-late-roots")
+        table = fps.select("c", "f0", "root", "late", F.explode(F.array(*keys)).alias("key"))
+        table = table.join(crowded.withColumn("many", F.lit(True)), "key", "left").filter(F.col("many").isNull() | (F.coalesce("root", "c") != F.col("main")))
+        few, probes = table.select("key", "c", "f0", F.col("late").alias("root")), looking("late")
 
     # one word's distance drops chance matches before pairs are gathered
     p = most / (64 * words)
     rough = int(64 * p + 4 * math.sqrt(64 * p * (1 - p))) if rough is None else rough
-    cold = table.join(crowded, "key", "left_anti")
-    met = probes.join(cold.hint("shuffle_hash"), (probes["key"] == cold["key"]) & (F.col("p") != F.col("c")) & (F.bit_count(F.col("g").bitwiseXOR(F.col("f0"))) <= rough))
+    apart = (F.col("p") != F.col("c")) & F.coalesce(F.col("r") != F.col("root"), F.lit(True))
+    met = probes.join(few.hint("shuffle_hash"), (probes["key"] == few["key"]) & apart & (F.bit_count(F.col("g").bitwiseXOR(F.col("f0"))) <= rough))
     pairs = met.select(F.least("p", "c").alias("a"), F.greatest("p", "c").alias("b")).distinct()
     left = fps.select(F.col("c").alias("a"), *(F.col(f"f{w}").alias(f"x{w}") for w in range(words)))
     right = fps.select(F.col("c").alias("b"), *(F.col(f"f{w}").alias(f"y{w}") for w in range(words)))
     away = _away([f"x{w}" for w in range(words)], [f"y{w}" for w in range(words)])
     links = pairs.join(left, "a").join(right, "b").filter(away <= most).select("a", "b")
-
-    if crowded.isEmpty():
-        return links
-    # crowded keys: whoever holds or looks up the key
-    names = [f"f{w}" for w in range(words)]
-    inside = probes.join(crowded, "key").select("key", F.col("p").alias("c")).distinct()
-    return links.unionByName(crowded_links(stored(inside.join(fps, "c").select("key", "c", *names), "inside"), names, most))
+    return links if early is None else links.unionByName(early)
 
 
 def alike(members: DataFrame, similarity: float, rounds: int = 3) -> DataFrame:
