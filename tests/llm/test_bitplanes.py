@@ -41,6 +41,19 @@ def test_encoder_equals_library(texts):
     assert got == whole_ids(texts)
 
 
+def test_case_and_closing_marks_make_no_new_words():
+    texts = ["Heat HEAT, heat. hEAT heat,", "Été. ÉTÉ, été"]
+    enc = B.WordEncoder(open(PATH, encoding="utf-8").read())
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)] == whole_ids(texts)
+    assert set(enc.low) == {b"heat", "été".encode("latin-1"), b".", b","} and not enc.words
+
+
+def test_texts_in_lower_case_equal_library():
+    texts = ["x<|EndOfText|>Y", "<|STARTOFTEXT|>", "x<|endoftext|>y", "it'S. a\x85b \xa0c. !!. '. µ. ª, ÷. ×,", "3.14. A.B. A.., B,.", "\x1cA. Ã©. é", "ã\x81\x82", "あ", "Ÿ Y.", ".", "a.\x0bB,\n"]
+    for one in (texts, *([t] for t in texts)):
+        assert [np.frombuffer(x, "<u4").tolist() for x in _enc().encode(one)] == whole_ids(one)
+
+
 _ENC = []
 
 

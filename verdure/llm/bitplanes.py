@@ -14,6 +14,7 @@ their names; a very long text is encoded in its task and its ids are cut into bl
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -58,12 +59,19 @@ def unshuffle_planes(n: int, planes: str, plane_bytes: list[int], payload: bytes
     return np.packbits(bits, axis=1, bitorder="little").view("<u4").reshape(-1)
 
 
+#: Lower case in Latin-1, and a comma or full stop that closes a word, after a letter.
+_LOWER = bytes(ord(chr(i).lower()) for i in range(256))
+_MARK = re.compile(rb"[.,](?<=[a-z\xdf-\xf6\xf8-\xff][.,])(?![^\x20\x09-\x0D])")
+
+
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, remembered by word.
 
     This vocabulary's splitter drops white space and never joins across it, so a text's ids are those of its words in turn.
     Of a word that is letters up to U+00FF and perhaps a closing comma or full stop, letters and mark are separate for the
-    splitter too and case is dropped, so the letters are looked up in lower case. Both memories are bounded and are emptied when full.
+    splitter too and case is dropped, so the letters are looked up in lower case. All memories are bounded and are emptied when full.
+
+    A text of characters up to U+00FF that has no special token in any case is put in lower case as a whole first, and such marks are cut off in it, so that fewer words are new.
     """
 
     def __init__(self, spec: str, words: int = 400_000, cores: int = 700_000):
@@ -73,22 +81,27 @@ class WordEncoder:
         self.most_words, self.most_cores = words, cores
         self.words: dict[bytes, bytes] = {}
         self.cores: dict[str, bytes] = {}
+        self.low: dict[bytes, bytes] = {}
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.special = [t.content.lower().encode("utf-8") for t in self.tok.get_added_tokens_decoder().values()]
         self.marks = {m: self._whole([m])[0] for m in ".,"} | {"": b""}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn_cores(self, cores: list[str]) -> None:
+        self.cores.update(self._cores(cores))
+
+    def _cores(self, cores: list[str]) -> Iterator[tuple[str, bytes]]:
         for k in range(0, len(cores), 20_000):
             part = cores[k : k + 20_000]
             ids = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             assert len(cuts) == len(part)  # a core is one piece of the splitter, and only its last id ends a word
             raw, cuts = ids.tobytes(), (cuts * 4).tolist()
-            self.cores.update(zip(part, (raw[a:b] for a, b in zip([0, *cuts], cuts))))
+            yield from zip(part, (raw[a:b] for a, b in zip([0, *cuts], cuts)))
 
     def learn(self, new: set[bytes]) -> None:
         if len(self.cores) > self.most_cores:
@@ -106,18 +119,44 @@ class WordEncoder:
         self.words.update((w, cores[c] + marks[m]) for w, c, m in split)
         self.words.update(zip((w for w, _ in whole), self._whole([s for _, s in whole])))
 
+    def learn_low(self, new: list[bytes]) -> None:
+        """Words in lower case, in Latin-1."""
+        if not new:
+            return
+        own = b" ".join(new).decode("latin-1").split(" ")
+        self.low.update((c.encode("latin-1"), ids) for c, ids in self._cores([s for s in own if s.isalpha()]))
+        rest = [(w, s) for w, s in zip(new, own) if not s.isalpha()]
+        self.low.update(zip((w for w, _ in rest), self._whole([s for _, s in rest])))
+
+    def _lowered(self, text: str) -> bytes | None:
+        """The text in lower case with marks after letters cut off, in Latin-1; None if that isn't known to give the same ids."""
+        try:
+            raw = text.encode("latin-1").translate(_LOWER)
+        except UnicodeEncodeError:
+            return None
+        return None if any(x in raw for x in self.special) else _MARK.sub(rb" \g<0>", raw)
+
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian ids of each text; few texts at a time, so that what they hold new fits the memory."""
         for k in range(0, len(texts), 500):
             if len(self.words) > self.most_words:
                 self.words.clear()
-            words = [(t or "").encode("utf-8").split() for t in texts[k : k + 500]]
-            known = self.words
-            if new := {w for ws in words for w in ws if w not in known}:
+            if len(self.low) > self.most_cores:
+                self.low.clear()
+            part = [t or "" for t in texts[k : k + 500]]
+            raws = [self._lowered(t) for t in part]
+            words = [t.encode("utf-8").split() if raw is None else raw.split() for t, raw in zip(part, raws)]
+            known, low, new, new_low = self.words, self.low, set(), set()
+            for ws, raw in zip(words, raws):
+                if raw is None:
+                    new.update(w for w in ws if w not in known)
+                else:
+                    new_low.update(ws)
+            if new:
                 self.learn(new)
-            get = known.__getitem__
-            for ws in words:
-                yield b"".join(map(get, ws))
+            self.learn_low(list(new_low - low.keys()))
+            for ws, raw in zip(words, raws):
+                yield b"".join(map((known if raw is None else low).__getitem__, ws))
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
