@@ -78,3 +78,13 @@ def test_odd_rows(spark):
 @pytest.mark.parametrize("word,want", [("abc", ["abc"]), ("abcde", ["abcde", "^abcd", "^abcde"])])
 def test_features(word, want):
     assert T.features_of(word) == want
+
+
+def test_different_words_of_a_beginning_are_counted():
+    """Forms that no labelled text has count by their number; repeats of one word don't."""
+    find = T.Finder({"^bome": 0, "2^bome": 1, "3^bome": 2, "bomex": 3})
+    for text, want in (("bomea Bomea", {0}), ("bomea bomeb", {0, 1}), ("bomea bomeb bomec bomed", {0, 1, 2}), ("bomex x", {0, 3}), ("bom", set())):
+        assert find(text) == find(text) == want
+    find = T.Finder({"2^bome": 0})
+    assert find("bomea") == set() and find("bomea bomeb") == {0}
+    assert set(T.levels(["^bome", "^bome", "^x", "^y", "^y", "^y"])) == {"2^bome", "2^y", "3^y"}

@@ -5,7 +5,8 @@ toxic rows among the labelled ones of these folds, the risk of a score is ``p E+
 loss, and where the difference falls below zero, which is overfitting, the step goes back up (gradient of that part alone, reversed). The loss is the sigmoid: bounded, so rows that are surely
 toxic don't make the difference negative by their size. A score is the logistic function of the weights' sum.
 
-Features are words and their beginnings of 4 to 6 letters, lower case, present or not in the whole text; beginnings stand for inflected forms in any language. Candidates are those of enough
+Features are words and their beginnings of 4 to 6 letters, lower case, present or not in the whole text; beginnings stand for inflected forms in any language.
+That a text has two or more, or three or more, different words of one beginning are further features: one such word occurs by chance in clean texts, several forms seldom do. Candidates are those of enough
 positives; in how many rows of the learning folds each occurs is counted over all of these, in tasks first; the ``features`` that tell positives apart best are the model's.
 
 Bounds: the classifier is fitted on about ``positives`` confirmed and ``unlabelled`` rows at most, chosen by a hash of doc_id, and on ``features`` features out of ``candidates``. So what the
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +37,10 @@ FOLDS = 5
 WORDS = re.compile(r"[^\W\d_]+")
 #: Least likelihood ratio statistic (chi-squared, one degree of freedom) of a feature; 4 is the five-per-cent point.
 SURE = 4
+#: The same for numbers of words, of which there are many more: 11 is the one-in-a-thousand point.
+SURE_MANY = 11
+#: So many different words of a beginning are features of their own.
+MANY = (2, 3)
 #: Words whose features a task remembers at once.
 REMEMBERED = 300_000
 
@@ -49,22 +54,44 @@ def features_of(word: str) -> list[str]:
     return [word, *("^" + word[:n] for n in (4, 5, 6) if len(word) >= n)]
 
 
+def levels(beginnings: Iterable[str]) -> Iterator[str]:
+    """Features that tell how many different words have a beginning, 2 and 3 or more, of each word's beginnings one after the other."""
+    for f, n in Counter(beginnings).items():
+        for k in MANY:
+            if n >= k:
+                yield f"{k}{f}"
+
+
 class Finder:
     """Numbers of a text's features, of the ones that are known; what a word has is remembered, for a bounded number of words."""
 
     def __init__(self, known: dict[str, int]):
         self.known, self.memory = known, {}
+        # a beginning that is known by its numbers of words alone is found as well, under a number below 0
+        own = {f[1:] for f in known if f[:1].isdigit()}
+        self.beginnings = {f: known.get(f, -1 - i) for i, f in enumerate(sorted(own))}
+        self.many = {n: [known.get(f"{k}{f}") for k in MANY] for f, n in self.beginnings.items()}
 
     def __call__(self, text: str | None) -> set[int]:
         out: set[int] = set()
+        again: dict[int, int] = {}
+        many = self.many
         for w in set(WORDS.findall((text or "").lower())):
             own = self.memory.get(w)
             if own is None:
                 if len(self.memory) >= REMEMBERED:
                     self.memory.clear()
-                own = self.memory[w] = tuple(self.known[f] for f in features_of(w) if f in self.known)
-            if own:
-                out.update(own)
+                own = self.memory[w] = tuple(n for f in features_of(w) if (n := self.known.get(f, self.beginnings.get(f))) is not None)
+            for n in own:
+                if n in out or n in again:
+                    if n in many:
+                        k = again[n] = again.get(n, 1) + 1
+                        if k in MANY and (m := many[n][MANY.index(k)]) is not None:
+                            out.add(m)
+                elif n >= 0:
+                    out.add(n)
+                else:
+                    again[n] = 1
         return out
 
 
@@ -157,7 +184,8 @@ def _counted(rows: DataFrame) -> DataFrame:
 
         for b in small(batches, 200):
             for text in b.column(0).to_pylist():
-                counts.update({f for w in set(WORDS.findall((text or "").lower())) for f in features_of(w)})
+                own = [f for w in set(WORDS.findall((text or "").lower())) for f in features_of(w)]
+                counts.update({*own, *levels(f for f in own if f[0] == "^")})
                 if len(counts) > 500_000:
                     yield out()
         yield out()
@@ -211,7 +239,8 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = 10_000, unlabelle
     # how much more often a feature is in positives, by the likelihood ratio of the two shares
     share, base = np.clip(among / n, 1e-9, 1 - 1e-9), np.clip(np.maximum(of_all, 1) / max(1, rows), 1e-9, 1 - 1e-9)
     ratio = np.where(share > base, share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base)), 0)
-    best = [i for i in np.lexsort((np.arange(len(ratio)), -ratio))[:features].tolist() if 2 * n * ratio[i] >= SURE]
+    sure = np.array([SURE_MANY if r["feature"][0].isdigit() else SURE for r in counted])
+    best = [i for i in np.lexsort((np.arange(len(ratio)), -ratio))[:features].tolist() if 2 * n * ratio[i] >= sure[i]]
     number = {i: k for k, i in enumerate(best)}
     renamed = np.full(len(names), -1)
     renamed[best] = np.arange(len(best))
