@@ -35,6 +35,25 @@ def test_non_negative_risk():
     assert np.isfinite(w).all() and np.abs(w).max() < 50
 
 
+def test_toxic_rows_among_many_common_features():
+    """Texts with dozens of features that are as frequent in either class, and two or three of five that only toxic ones have; one in ten rows is toxic."""
+    rng = np.random.default_rng(1)
+
+    def texts(toxic):
+        own = lambda t: rng.choice(5, rng.integers(2, 4), replace=False).tolist() if t else []
+        return [own(t) + (5 + rng.choice(200, rng.integers(30, 60), replace=False)).tolist() for t in toxic]
+
+    w, b = T.fit(T.Sets.of(texts([True] * 300)), T.Sets.of(texts(rng.random(1000) < 0.1)), 0.1, 205)
+    truth = rng.random(600) < 0.2
+    caught = np.array([b + w[t].sum() >= 0 for t in texts(truth)])
+    assert caught[truth].mean() > 0.9 and caught[~truth].mean() < 0.02
+
+
+def test_no_features_leave_the_prior():
+    w, b = T.fit(T.Sets.of([[]] * 12), T.Sets.of([[]] * 60), 0.1, 0)
+    assert len(w) == 0 and 1 / (1 + np.exp(-b)) == pytest.approx(0.1, abs=0.02)
+
+
 def test_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     rows = {r["doc_id"]: r for r in queries.QUERIES["op13_toxicity"](spark, sf).collect()}

@@ -1,9 +1,11 @@
-"""Toxicity: a linear classifier by non-negative positive-unlabelled learning.
+"""Toxicity: a linear classifier by non-negative positive-unlabelled learning with balanced classes.
 
 Confirmed toxic rows are the positives; the unlabelled rows are a sample of all rows of the learning folds, toxic ones among them unknown. With the class prior p, estimated by the share of
-toxic rows among the labelled ones of these folds, the risk of a score is ``p E+[loss(+)] + max(0, Eu[loss(-)] - p E+[loss(-)])``: the toxic part of the unlabelled rows is taken out of their
-loss, and where the difference falls below zero, which is overfitting, the step goes back up (gradient of that part alone, reversed). The loss is the sigmoid: bounded, so rows that are surely
-toxic don't make the difference negative by their size. A score is the logistic function of the weights' sum.
+toxic rows among the labelled ones of these folds, the risk of a score is ``E+[loss(+)] / 2 + max(0, Eu[loss(-)] - p E+[loss(-)]) / (2 (1 - p))``: the toxic part of the unlabelled rows is
+taken out of their loss, and where the difference falls below zero, which is overfitting, the step goes back up (gradient of that part alone, reversed). Both classes weigh a half, however few
+rows are toxic: with weights of p and 1 - p every feature that is as frequent in either class is pushed down by the many clean rows at the start, long texts have hundreds of those, and where
+they are in the flat part of the loss toxic ones never come up again. The loss is the sigmoid: bounded, so rows that are surely toxic don't make the difference negative by their size. A
+score is the logistic function of the weights' sum.
 
 Features are words and their beginnings of 4 to 6 letters, lower case, present or not in the whole text; beginnings stand for inflected forms in any language.
 That a text has two or more, or three or more, different words of one beginning are further features: one such word occurs by chance in clean texts, several forms seldom do. Candidates are those of enough
@@ -135,7 +137,7 @@ class Sets:
 
 
 def fit(toxic: Sets, unlabelled: Sets, prior: float, n: int, rounds: int = 60, batches: int = 6, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights of the n features and the bias, by Adam on the non-negative risk."""
+    """Weights of the n features and the bias, by Adam on the non-negative risk of balanced classes."""
     rng = np.random.default_rng(seed)
     w = np.zeros(n + 1)  # the last one is the bias
     w[n] = np.log(prior / (1 - prior))
@@ -156,8 +158,8 @@ def fit(toxic: Sets, unlabelled: Sets, prior: float, n: int, rounds: int = 60, b
             zu, au, fu = scored(unlabelled, u_part)
             (_, up), (lp, down), (lu, rest) = _loss(zp), _loss(-zp), _loss(-zu)
             negative = lu.mean() - prior * lp.mean()
-            g = gradient(-rest, au, fu) - prior * gradient(-down, ap, fp)
-            g = prior * gradient(up, ap, fp) + g if negative >= 0 else -g
+            g = (gradient(-rest, au, fu) - prior * gradient(-down, ap, fp)) / (2 * (1 - prior))
+            g = gradient(up, ap, fp) / 2 + g if negative >= 0 else -g
             g[:n] += decay * w[:n]
             step += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
